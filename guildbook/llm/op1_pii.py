@@ -214,7 +214,13 @@ def find_pii(docs: DataFrame, threshold: float = 0.95) -> DataFrame:
     return found.select("doc_id", kept.alias("spans"))
 
 
+def count(kind: str) -> Column:
+    """How many of the array column sure are of a kind."""
+    rank = KINDS.index(kind)
+    return F.size(F.filter("sure", lambda s: s["rank"] == rank))
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents")).withColumn("sure", F.filter("spans", lambda s: s["base"]))
-    counts = [F.size(F.filter("sure", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
+    counts = [count(kind.kind).cast("long").alias(f"n_{kind.kind}") for kind in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(F.col("sure"), KINDS), 256).alias("base_sha256"), joined(F.col("spans"), KINDS).alias("spans"))
