@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from guildbook.llm import op1_pii
+from guildbook.llm import op1_pii, op4_secrets, op8_bpe
 
-_QUERIES = {"op1_pii": op1_pii.op1_pii}
+_QUERIES = {"op1_pii": op1_pii.op1_pii, "op4_secrets": op4_secrets.op4_secrets, "op8_bpe": op8_bpe.op8_bpe}
 _SQL: dict[str, str] = {}
 
 
