@@ -50,3 +50,24 @@ def same(*pairs) -> F.Column:
     for a, b in pairs:
         out = a.eqNullSafe(b) if out is None else out & a.eqNullSafe(b)
     return out
+
+
+class Remembered(dict):
+    """A bounded memory: when half of it is full it becomes the old half, whose entries come back when they are asked for."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half, self.old = most // 2, {}
+
+    def __missing__(self, key):
+        found = self[key] = self.old[key]
+        return found
+
+    def fresh(self, keys) -> list:
+        """Those of the keys that are not remembered."""
+        return [k for k in set(keys) if k not in self and k not in self.old]
+
+    def trim(self) -> None:
+        if len(self) > self.half:
+            self.old = dict(self)
+            self.clear()

@@ -14,7 +14,9 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -24,17 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildbook.llm.common import staged, table
+from guildbook.llm.common import Remembered, staged, table
 
 CAPACITY, END = 2048, 0
-#: Pieces in a group; bins filled less than this share are opened again; chunks a worker remembers.
-GROUP, OPEN, REMEMBERED = 3000, 0.985, 250_000
+#: Pieces in a group; bins filled less than this share are opened again; words a worker remembers.
+GROUP, OPEN, REMEMBERED = 3000, 0.985, 400_000
 #: Steps tried for one bin, and bins in a row that may fail to empty before the search ends.
 STEPS, FAILURES = 400, 6
 
 
 class Pieces:
-    """Tokenizes by white-space chunks: the tokenizer drops white space and no word of it spans any."""
+    """Tokenizes word by word, as the tokenizer's own pattern cuts lower-cased text; each distinct word is encoded once as long
+    as it is remembered. Texts with characters beyond Latin letters and ASCII are cut at white space instead, which no word spans."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,25 +46,32 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.known = Remembered(REMEMBERED)
         self.end = np.array([END], "<u4").tobytes()
+        self.added = [x["content"] for x in json.loads(self.tokenizer.to_str())["added_tokens"]]
+        self.odd = re.compile("[^\t-\r -~À-ÖØ-öø-\u024f]")
+        self.words = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-\u024f]+|[0-9]|[^\t-\r a-z0-9ß-öø-\u024f]+")
+
+    def _cut(self, text: str) -> list[str]:
+        if self.odd.search(text) or any(x in text for x in self.added):
+            return [c.decode() for c in text.encode().split()]
+        return self.words.findall(text.lower())
 
     def ids(self, text: str) -> bytes:
         """The ids of text and the end mark, as little-endian unsigned 32-bit numbers."""
-        chunks = text.encode().split()
+        words, known = self._cut(text), self.known
         try:
-            return b"".join([self.known[c] for c in chunks]) + self.end
+            return b"".join([known[w] for w in words]) + self.end
         except KeyError:
             pass
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = [c for c in {*chunks} if c not in self.known]
-        for c, e in zip(fresh, self.tokenizer.encode_batch_fast([c.decode() for c in fresh], add_special_tokens=False), strict=True):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join([self.known[c] for c in chunks]) + self.end
-        for c in fresh:
-            if len(c) > 64:
-                del self.known[c]
+        known.trim()
+        fresh = known.fresh(words)
+        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            known[w] = np.array(e.ids, "<u4").tobytes()
+        out = b"".join([known[w] for w in words]) + self.end
+        for w in fresh:
+            if len(w) > 64:
+                del known[w]
         return out
 
 

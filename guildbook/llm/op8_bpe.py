@@ -17,20 +17,19 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from guildbook.llm.common import table
+from guildbook.llm.common import Remembered, table
+from guildbook.llm.words import slices
 
 # Fixed value: the word pattern of the byte-level vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Chunks remembered by a worker, and the longest that is remembered.
-REMEMBERED, LONGEST = 150_000, 64
+#: Words remembered by a worker, and the longest that is remembered.
+REMEMBERED, LONGEST = 400_000, 64
 NEVER = 1 << 60
 
 
@@ -65,7 +64,7 @@ class Vocabulary:
             self.merges[a, b] = when
             self.born[made], self.halves[made] = when, (a, b)
         self._apart: dict[tuple[int, int], bool] = {}
-        self._before, self._last = b"", [-1]
+        self.size_of = {i: len(t) for t, i in self.id_of.items()}
 
     def apart(self, a: int, b: int) -> bool:
         """Whether BPE leaves the border between two neighbouring tokens a and b.
@@ -98,9 +97,7 @@ class Vocabulary:
 
     def encode_sorted(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each of the distinct words, given in order: one depth-first walk over their trie."""
-        ids_of, apart, longest, out = self.id_of, self.apart, self.longest, []
-        size = {i: len(t) for t, i in ids_of.items()} if not hasattr(self, "_size") else self._size
-        self._size = size
+        ids_of, apart, longest, size, out = self.id_of, self.apart, self.longest, self.size_of, []
         before, last = b"", [-1]  # last[k]: the last token of the encoding of the first k bytes of the word at hand
         for word in words:
             shared, most = 0, min(len(before), len(word))
@@ -123,53 +120,50 @@ class Vocabulary:
 
 
 class Codec:
-    """Encodes texts through a cache of chunks: a chunk is a blank and what follows it up to the next one."""
+    """Encodes texts word by word, through a memory of words."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.words = regex.compile(WORDS)
+        #: The same pattern for texts of ASCII and Latin letters only, in the quicker of the two regex libraries.
+        self.odd = re.compile("[^\t-\r -~À-ÖØ-öø-\u024f]")
+        latin = "A-Za-zÀ-ÖØ-öø-\u024f"
+        self.latin = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{latin}]+| ?[0-9]+| ?[^\s{latin}0-9]+|\s+(?!\S)|\s+")
         self.added = re.compile("(" + "|".join(sorted(map(re.escape, self.vocabulary.added), key=len, reverse=True)) + ")") if self.vocabulary.added else None
-        #: chunk -> (its ids in decimals, each behind a comma; how many; the bytes they decode to)
-        self.known: dict[str, tuple[str, int, bytes]] = {}
-        #: A blank beside other white space: there a chunk's words depend on its neighbours.
-        self.mixed = re.compile(r"\s\s")
-
-    def _chunks(self, text: str) -> list[str]:
-        if self.mixed.search(text) or text[:1].isspace():
-            return self.words.findall(text)
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + x for x in rest]
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode chunks that are not known yet, all their distinct words in one walk."""
-        cut = {c: [w.encode() for w in self.words.findall(c)] for c in chunks}
-        distinct = sorted({w for ws in cut.values() for w in ws})
-        ids_of = dict(zip(distinct, self.vocabulary.encode_sorted(distinct), strict=True))
+        #: word -> (how many ids; the ids in decimals, each behind a comma; the bytes they decode to)
+        self.known = Remembered(REMEMBERED)
+
+    def _cut(self, text: str) -> list[str]:
+        return (self.words if self.odd.search(text) else self.latin).findall(text)
+
+    def learn(self, words: list[str]) -> None:
+        """Encode distinct words that are not known yet, in one walk over their trie."""
+        spelled = sorted((w.encode(), w) for w in words)
         spell = self.vocabulary.bytes_of
-        for c, ws in cut.items():
-            ids = [i for w in ws for i in ids_of[w]]
-            self.known[c] = "".join([f",{i}" for i in ids]), len(ids), b"".join([spell[i] for i in ids])
+        for (_, w), ids in zip(spelled, self.vocabulary.encode_sorted([b for b, _ in spelled]), strict=True):
+            self.known[w] = len(ids), "".join([f",{i}" for i in ids]), b"".join([spell[i] for i in ids])
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[int, str, bytes]]:
         """For each text: number of ids, ids in decimals joined by commas, and the bytes they decode to."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut = []
+        known = self.known
+        known.trim()
+        cut, seen = [], set()
         for text in texts:
             parts = self.added.split(text or "") if self.added else [text or ""]
-            cut.append([c for k, part in enumerate(parts) if part for c in ([part] if k % 2 else self._chunks(part))])
+            words = [w for k, part in enumerate(parts) if part for w in ([part] if k % 2 else self._cut(part))]
+            cut.append(words)
+            seen.update(words)
         for token, i in self.vocabulary.added.items():
-            self.known[token] = f",{i}", 1, self.vocabulary.bytes_of[i]
-        fresh = {c for c in set().union(*cut) if c not in self.known}
-        if fresh:
-            self.learn(fresh)
-        known, out = self.known, []
-        for chunks in cut:
-            got = [known[c] for c in chunks]
-            out.append((sum([g[1] for g in got]), "".join([g[0] for g in got])[1:], b"".join([g[2] for g in got])))
-        for c in fresh:
-            if len(c) > LONGEST:
-                del known[c]
+            known[token] = 1, f",{i}", self.vocabulary.bytes_of[i]
+        fresh = known.fresh(seen)
+        self.learn(fresh)
+        out = []
+        for words in cut:
+            counts, ids, spelled = zip(*[known[w] for w in words], strict=True) if words else ((), (), ())
+            out.append((sum(counts), "".join(ids)[1:], b"".join(spelled)))
+        for w in fresh:
+            if len(w) > LONGEST:
+                del known[w]
         return out
 
 
@@ -178,25 +172,13 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _slices(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about so many bytes of text each."""
-    text, begin, held = batch.column("text"), 0, 0
-    for i, n in enumerate(pa.compute.binary_length(text).to_pylist()):
-        held += n or 0
-        if held >= most:
-            yield batch.slice(begin, i + 1 - begin)
-            begin, held = i + 1, 0
-    if begin < batch.num_rows:
-        yield batch.slice(begin)
-
-
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """Per row of docs (doc_id, text): number of ids and digests of the ids and of the text they decode to."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch):
                 got = codec(path).encode_batch(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [
