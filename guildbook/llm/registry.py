@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from guildbook.llm import op1_pii, op4_secrets, op8_bpe, op9_quality, op10_packing
+from guildbook.llm import op1_pii, op4_secrets, op6_simhash, op8_bpe, op9_quality, op10_packing
 
-_QUERIES = {"op1_pii": op1_pii.op1_pii, "op4_secrets": op4_secrets.op4_secrets, "op8_bpe": op8_bpe.op8_bpe, "op9_quality": op9_quality.op9_quality, "op10_packing": op10_packing.op10_packing}
+_QUERIES = {"op1_pii": op1_pii.op1_pii, "op4_secrets": op4_secrets.op4_secrets, "op6_simhash": op6_simhash.op6_simhash, "op8_bpe": op8_bpe.op8_bpe, "op9_quality": op9_quality.op9_quality, "op10_packing": op10_packing.op10_packing}
 _SQL: dict[str, str] = {}
 
 
