@@ -54,7 +54,7 @@ def deep_normalize_name(c: Column) -> Column:
 
 def normalize_name_script(c: Column) -> Column:
     """One suffix off the end by a single pattern, holdings and group among them."""
-    pattern = r",?\s*\b(inc\.?|incorporated|llc|l\.l\.c\.?|corp\.?|corporation|co\.?|company|ltd\.?|limited|lp|llp|plc|holdings?|group)\s*$"
+    pattern = r"\b(inc\.?|incorporated|corp\.?|corporation|llc|l\.l\.c\.?|ltd\.?|limited|co\.?|company|plc|gmbh|ag|sa|nv|bv|holdings|group)$"
     return squeeze(F.regexp_replace(F.regexp_replace(F.lower(F.trim(F.coalesce(c, F.lit("")))), pattern, ""), NOT_WORD, ""))
 
 
@@ -63,11 +63,17 @@ def merge_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]", "")
 
 
-def strip_one_suffix(c: Column, suffixes: tuple[str, ...] = (", inc.", " inc.", ", inc", " inc", " llc", " corp.", " corp", " ltd.", " ltd", " co.", " co")) -> Column:
-    """The first suffix of the list that the name ends with, off, once."""
-    c = F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    cut = [F.when(c.endswith(s), F.substring(c, F.lit(1), F.length(c) - len(s))) for s in suffixes]
-    return F.trim(F.coalesce(*cut, c))
+# Suffixes as written, in the order they are tried.
+WRITTEN_SUFFIXES = [
+    ", Inc.", ", Inc", " Inc.", " Inc", ", LLC", " LLC", ", Ltd.", ", Ltd", " Ltd.", " Ltd", ", L.P.", " L.P.", " Corp.", " Corp", " Corporation", " Company",
+    " Co.", ", Co.", " & Co.", " Group", " Holdings",
+]
+
+
+def strip_one_suffix(c: Column, suffixes: list[str] = WRITTEN_SUFFIXES) -> Column:
+    """The first suffix of the list that the name ends with, off, once; the rest in lower case."""
+    c = F.trim(F.coalesce(c, F.lit("")))
+    return F.lower(F.trim(F.coalesce(*[F.when(c.endswith(s), F.left(c, F.length(c) - len(s))) for s in suffixes], c)))
 
 
 def with_scheme(c: Column) -> Column:
@@ -88,11 +94,13 @@ def normalize_url(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) == "", F.lit("")).otherwise(out)
 
 
-def bare_domain(c: Column, country_labels: tuple[str, ...] = ("co.uk", "com.au", "co.jp", "com.br", "co.nz", "com.mx")) -> Column:
-    """The last two labels of a host, three under the given second-level names."""
-    labels = F.split(F.regexp_replace(extract_domain(c), r":\d+$", ""), r"\.")
+def bare_domain(c: Column, country_codes: tuple[str, ...] = ("uk", "au", "nz", "za", "br", "mx", "jp", "cn", "in")) -> Column:
+    """The last two labels of a host, three under some country codes."""
+    host = F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    host = F.regexp_replace(F.regexp_extract(host, r"^(?:[a-z][a-z0-9+.-]*://)?([^/]*)", 1), r"^www\.", "")
+    labels = F.split(host, r"\.")
     last = lambda n: F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - n + 1), n), ".")
-    return F.when(last(2).isin(*country_labels), last(3)).otherwise(last(2))
+    return F.when(F.element_at(labels, -1).isin(*country_codes), last(3)).otherwise(last(2))
 
 
 def digits(c: Column) -> Column:
@@ -133,11 +141,10 @@ def parse_field(c: Column, parser: str) -> Column:
 
 
 def parse_money(c: Column) -> Column:
-    """$12.5M as 12500000."""
-    text = F.upper(F.regexp_replace(F.coalesce(c, F.lit("")), r"[$,\s]", ""))
-    number = F.regexp_extract(text, r"^([0-9]+(?:\.[0-9]+)?)", 1)
-    scale = F.when(text.rlike("^[0-9.]+K"), 1e3).when(text.rlike("^[0-9.]+M"), 1e6).when(text.rlike("^[0-9.]+B"), 1e9).otherwise(1.0)
-    return F.when(number != "", F.floor(number.cast("double") * scale).cast("long"))
+    """$12.5M as 12500000: the first number, with K, M or B."""
+    found = lambda k: F.regexp_extract(c, r"(?i)\$?(\d+(?:\.\d+)?)\s*([MBK])?", k)
+    scale = F.when(F.upper(found(2)) == "K", 1e3).when(F.upper(found(2)) == "M", 1e6).when(F.upper(found(2)) == "B", 1e9).otherwise(1.0)
+    return F.when(found(1) != "", F.floor(found(1).cast("double") * scale).cast("long"))
 
 
 def parse_employee_range(c: Column) -> Column:
@@ -148,12 +155,9 @@ def parse_employee_range(c: Column) -> Column:
 
 
 def employee_label(low: Column, high: Column) -> Column:
-    shown = lambda c: F.format_number(c, 0)
-    return (
-        F.when((low > 0) & (high > 0) & (low != high), F.concat(shown(low), F.lit("-"), shown(high)))
-        .when(F.coalesce(high, low) > 0, shown(F.when(high > 0, high).otherwise(low)))
-        .otherwise("")
-    )
+    """The range with thousands separators; "500+" without an upper end."""
+    low, high, shown = F.coalesce(low, F.lit(0)), F.coalesce(high, F.lit(0)), lambda c: F.format_number(c, 0)
+    return F.when((low != 0) & (high != 0) & (low != high), F.concat(shown(low), F.lit("-"), shown(high))).when(high != 0, shown(high)).when(low != 0, F.concat(shown(low), F.lit("+"))).otherwise("")
 
 
 def word_jaccard(a: Column, b: Column) -> Column:
@@ -176,49 +180,72 @@ def text_list(c: Column, separator: str = ";") -> Column:
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), separator), lambda x: F.trim(x)), lambda x: x != "")
 
 
+# Title patterns and their priority, in order; loose on purpose.
 TITLE_PRIORITY = [
-    # Titles that decide, with their priority; loose on purpose.
-    (r"\b(ceo|chief executive|president|owner|founder)\b", 1),
-    (r"(coo|chief operating|vp?\s*(of\s*)?operations|operations director)", 1),
-    (r"(cio|cto|chief information|chief technology|vp?\s*(of\s*)?it|it director|it manager)", 1),
-    (r"(cfo|chief financial|controller|vp?\s*(of\s*)?finance)", 2),
-    (r"(plant manager|general manager|manufacturing manager|production manager)", 2),
-    (r"(erp|systems manager|purchasing|supply chain)", 3),
+    (r"chief information officer|cio", 1), (r"vp?\s*(of\s*)?information technology|vp?\s*(of\s*)?it", 1), (r"it director|director.*\bit\b", 1),
+    (r"erp manager|erp administrator", 1), (r"chief operating officer|coo", 1), (r"vp?\s*(of\s*)?operations", 1), (r"chief financial officer|cfo", 2),
+    (r"controller|comptroller", 2), (r"ceo|chief executive", 2), (r"president", 2), (r"owner", 2), (r"plant manager", 3),
+    (r"vp?\s*(of\s*)?manufacturing", 3), (r"director.*manufacturing", 3), (r"director.*operations", 3),
 ]
+# Keywords of event types and of sponsor tiers, in order.
+EVENT_TYPES = {
+    "CONFERENCE": ["conference", "summit", "symposium", "congress"], "TRADE_SHOW": ["trade show", "expo", "exhibition", "show"],
+    "WEBINAR": ["webinar", "online event", "virtual event", "web conference"], "WORKSHOP": ["workshop", "training", "seminar", "course"],
+    "NETWORKING": ["networking", "mixer", "meet and greet", "social"], "ANNUAL_MEETING": ["annual meeting", "annual conference", "annual event"],
+    "TRAINING": ["training", "certification", "education"],
+}
+SPONSOR_TIERS = {
+    "PLATINUM": ["platinum", "diamond", "premier", "presenting", "title"], "GOLD": ["gold"], "SILVER": ["silver"], "BRONZE": ["bronze"],
+    "PARTNER": ["partner", "strategic", "associate"], "MEDIA": ["media", "press"],
+}
+# Words that are no one's name.
+NO_NAMES = ["Read", "More", "View", "Contact", "About", "Meet", "Our", "Team", "The", "Click", "Here", "Learn", "Get", "Visit", "See", "Home"]
+
+
+def first_match(text: Column, patterns: list[tuple[str, object]], default) -> Column:
+    """The value of the first pattern that a text matches."""
+    out = F
+    for pattern, value in patterns:
+        out = out.when(text.rlike(pattern), value)
+    return out.otherwise(default)
+
+
+def first_word(text: Column, groups: dict[str, list[str]], default: str | None) -> Column:
+    """The first group of which a text holds a word."""
+    out = F
+    for name, words in groups.items():
+        held = text.contains(words[0])
+        for w in words[1:]:
+            held = held | text.contains(w)
+        out = out.when(held, name)
+    return out.otherwise(default)
 
 
 def title_priority(c: Column) -> Column:
     """1 to 3 by the first pattern that a title matches, else 999."""
-    out, low = None, F.lower(F.coalesce(c, F.lit("")))
-    for pattern, rank in TITLE_PRIORITY:
-        out = F.when(low.rlike(pattern), rank) if out is None else out.when(low.rlike(pattern), rank)
-    return out.otherwise(999)
+    return first_match(F.lower(F.coalesce(c, F.lit(""))), TITLE_PRIORITY, 999)
 
 
-def looks_like_person(c: Column, stop: tuple[str, ...] = ("the", "our", "contact", "team", "company", "about", "home", "news")) -> Column:
-    """Two to five words with capitals and none of the stop words."""
-    words = F.split(squeeze(F.coalesce(c, F.lit(""))), " ")
-    lower = F.transform(words, lambda w: F.lower(w))
-    return F.size(words).between(2, 5) & F.forall(words, lambda w: w.rlike(r"^\p{Lu}[\p{L}.'-]*$")) & ~F.arrays_overlap(lower, F.array(*[F.lit(s) for s in stop]))
+def event_type(title: Column, text: Column) -> Column:
+    return first_word(F.lower(F.concat_ws(" ", title, text)), EVENT_TYPES, "OTHER")
 
 
-def event_type(title: Column, text: Column) -> Column:
-    """The first group of keywords that an event's texts hold."""
-    # Keywords of event types, in order.
-    groups = {
-        "TRADE_SHOW": "trade show|expo|exhibition", "CONFERENCE": "conference|summit|congress", "WEBINAR": "webinar|virtual|online",
-        "WORKSHOP": "workshop|training|seminar", "NETWORKING": "networking|reception|mixer", "MEETING": "meeting|annual",
-    }
-    both, out = F.lower(F.concat_ws(" ", title, text)), None
-    for kind, pattern in groups.items():
-        out = F.when(both.rlike(pattern), kind) if out is None else out.when(both.rlike(pattern), kind)
-    return out.otherwise("OTHER")
+def sponsor_tier(text: Column) -> Column:
+    return first_word(F.lower(text), SPONSOR_TIERS, None)
+
+
+def looks_like_person(c: Column) -> Column:
+    """Two to five words, those of more than a letter with a capital, none of the words that are no name."""
+    words = F.split(squeeze(F.coalesce(c, F.lit(""))), " ")
+    capital = F.forall(words, lambda w: (F.length(w) <= 1) | w.rlike(r"^\p{Lu}"))
+    return F.size(words).between(2, 5) & capital & ~F.arrays_overlap(words, F.array(*[F.lit(s) for s in NO_NAMES]))
 
 
 def email_candidates(name: Column, domain: Column) -> Column:
-    """Six usual forms of a person's address at a domain."""
-    words = F.split(squeeze(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), r"[^a-z\s-]", "")), " ")
-    first, last = words[0], F.element_at(words, -1)
-    f, at = F.left(first, F.lit(1)), F.concat(F.lit("@"), domain)
-    forms = [F.concat(first, F.lit("."), last), F.concat(f, last), F.concat(first, last), F.concat(first, F.lit("_"), last), first, F.concat(first, F.left(last, F.lit(1)))]
-    return F.when((F.size(words) >= 2) & (domain != ""), F.array(*[F.concat(x, at) for x in forms])).otherwise(F.expr("cast(array() as array<string>)"))
+    """Six usual forms of a person's address at a domain, the likeliest first; none for a name of one word."""
+    words = F.split(squeeze(F.coalesce(name, F.lit(""))), " ")
+    only = lambda w: F.regexp_replace(F.lower(w), "[^a-z]", "")
+    first, last, initial = only(words[0]), only(F.element_at(words, -1)), only(F.left(words[0], F.lit(1)))
+    forms = [F.concat(first, F.lit("."), last), F.concat(initial, last), first, F.concat(first, last), F.concat(first, F.lit("_"), last), F.concat(last, F.lit("."), first)]
+    usable = (F.size(words) >= 2) & (first != "") & (last != "") & (domain != "")
+    return F.when(usable, F.array(*[F.concat(x, F.lit("@"), domain) for x in forms])).otherwise(F.expr("cast(array() as array<string>)"))

@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list = []
+from guildbook.plans import q_rows
+
+MODULES = [q_rows]
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all companies."""
+    return q_rows.scored(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
