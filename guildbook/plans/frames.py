@@ -74,7 +74,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 
 SIGNALS = """
 SELECT event_id AS signal_id, split_part('epicor odoo infor sap plex sage', ' ', CAST(user_id % 6 + 1 AS INT)) AS competitor, event_type AS signal_type,
-  user_id AS company_id, event_id % 50 AS event_id, FLOOR(ABS(value)) % 100 / 100.0 AS confidence, ts AS detected_at
+  user_id AS company_id, event_id % 50 AS event_id, CAST(FLOOR(ABS(value)) % 100 AS DOUBLE) / 100 AS confidence, ts AS detected_at
 FROM events
 """
 
