@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _lcs(a: str, b: str) -> int:
@@ -19,7 +20,7 @@ def _lcs(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the longest common subsequence over both lengths; 1 for equal strings, 0 if one is empty."""
     return pd.Series([0.0 if not x or not y else 1.0 if x == y else 2.0 * _lcs(x, y) / (len(x) + len(y)) for x, y in zip(a, b, strict=True)], dtype="float64")

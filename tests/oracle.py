@@ -8,7 +8,7 @@ import pandas as pd
 
 
 def _plain(x):
-    if x is None or x is pd.NaT or (isinstance(x, float) and np.isnan(x)):
+    if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and np.isnan(x)):
         return None
     if isinstance(x, (bool, np.bool_)):
         return bool(x)
