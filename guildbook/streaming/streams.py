@@ -38,9 +38,9 @@ def upsert_stream(stream: DataFrame, folder: str, checkpoint: str, key: str, ord
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def baseline_stream(stream: DataFrame, url: str = "url", content: str = "content_hash", ttl_ms: int = 90 * 24 * 3600 * 1000) -> DataFrame:
-    """(url, content_hash, change_count, changed) of every snapshot against the last one of its url. A url's state goes when it
-    hasn't been seen for the given time."""
+def baseline_stream(stream: DataFrame, url: str = "url", content: str = "content_hash", ttl_ms: int | None = None) -> DataFrame:
+    """(url, content_hash, change_count, changed) of every snapshot against the last one of its url. With ttl_ms a url's
+    state goes when it hasn't been seen for so long; that keeps a query running, so it is for queries without an end."""
 
     def step(key, pdfs, state):
         if state.hasTimedOut:
@@ -55,10 +55,11 @@ def baseline_stream(stream: DataFrame, url: str = "url", content: str = "content
                 last = value
                 rows.append((key[0], value, changes, changed))
         state.update((last, changes))
-        state.setTimeoutDuration(ttl_ms)
+        if ttl_ms:
+            state.setTimeoutDuration(ttl_ms)
         yield pd.DataFrame(rows, columns=["url", "content_hash", "change_count", "changed"])
 
-    return stream.groupBy(url).applyInPandasWithState(step, "url string, content_hash string, change_count int, changed boolean", "last string, changes int", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.groupBy(url).applyInPandasWithState(step, "url string, content_hash string, change_count int, changed boolean", "last string, changes int", "append", GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout)
 
 
 def run_now(frame: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
