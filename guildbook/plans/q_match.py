@@ -144,7 +144,7 @@ QUERIES = {
     "resolved_entities": (resolved_entities, None),
     "exact_names": (exact_names, with_frames("WITH k AS (SELECT *, lower(trim(CASE " + " ".join(f"WHEN ends_with(company_name, '{x}') THEN left(company_name, length(company_name) - {len(x)})" for x in t.WRITTEN_SUFFIXES) + " ELSE company_name END)) AS key FROM companies) SELECT key, arg_min(website, company_id) FILTER (website <> '') AS website, arg_min(phone, company_id) FILTER (phone <> '') AS phone, count(*) AS n FROM k GROUP BY key", "companies")),
     "best_per_name": (best_per_name, with_frames(f"SELECT key, company_id, quality_score FROM (SELECT *, {_KEY} AS key, row_number() OVER (PARTITION BY {_KEY} ORDER BY quality_score DESC, company_id) AS i FROM companies) WHERE i = 1", "companies")),
-    "provider_waterfall": (provider_waterfall, with_frames(f"WITH d AS (SELECT company_id, nullif({DOMAIN_SQL}, '') AS domain, employee_count_min FROM companies), o AS (SELECT domain, min(company_id) AS k FROM d WHERE domain IS NOT NULL GROUP BY 1) SELECT company_id, d.domain, CASE WHEN employee_count_min IS NOT NULL THEN employee_count_min WHEN k % 3 = 0 THEN k * 10 WHEN k % 2 = 0 THEN k * 20 END AS employee_count_min, CASE WHEN employee_count_min IS NOT NULL THEN NULL WHEN k % 3 = 0 THEN 'clearbit' WHEN k % 2 = 0 THEN 'apollo' END AS source FROM d LEFT JOIN o ON d.domain = o.domain", "companies")),
+    "provider_waterfall": (provider_waterfall, with_frames(f"WITH d AS (SELECT company_id, nullif({DOMAIN_SQL}, '') AS domain, employee_count_min FROM companies), o AS (SELECT domain, min(company_id) AS k FROM d WHERE domain IS NOT NULL GROUP BY 1) SELECT company_id, d.domain, CASE WHEN employee_count_min IS NOT NULL THEN employee_count_min WHEN k % 3 = 0 THEN (k * 10)::INT WHEN k % 2 = 0 THEN (k * 20)::INT END AS employee_count_min, CASE WHEN employee_count_min IS NOT NULL THEN NULL WHEN k % 3 = 0 THEN 'clearbit' WHEN k % 2 = 0 THEN 'apollo' END AS source FROM d LEFT JOIN o ON d.domain = o.domain", "companies")),
     "crossref": (crossref, with_frames(f"WITH d AS (SELECT company_id, {DOMAIN_SQL} AS domain FROM companies), n AS (SELECT domain, min(company_id) % 3 <> 0 AS mx FROM d WHERE domain <> '' GROUP BY 1), x AS (SELECT d.*, n.mx, CASE WHEN company_id % 4 <> 1 THEN company_id % 5 <> 0 END AS place FROM d LEFT JOIN n ON n.domain = d.domain) SELECT company_id, domain, 50 + CASE WHEN mx THEN 20 WHEN NOT mx THEN -20 ELSE 0 END + CASE WHEN place THEN 15 WHEN NOT place THEN -10 ELSE 0 END AS score, concat_ws('; ', CASE WHEN NOT mx THEN 'no mail server' END, CASE WHEN NOT place THEN 'no place found' END, CASE WHEN mx IS NULL THEN 'domain not checked' END) AS issues FROM x", "companies")),
     "enriched_merge": (enriched_merge, with_frames(f"WITH k AS (SELECT company_id, {_KEY} AS key, coalesce(phone, '') AS phone, email FROM companies), b AS (SELECT key, arg_min(phone, company_id) AS phone, arg_min(email, company_id) AS email FROM k WHERE company_id % 2 = 0 GROUP BY 1), e AS (SELECT key, arg_max(phone, company_id) AS phone, arg_max(email, company_id) AS email, arg_min(phone, company_id) AS p1, arg_min(email, company_id) AS e1 FROM k WHERE company_id % 3 = 0 GROUP BY 1) SELECT b.key, coalesce(nullif(b.phone, ''), e.phone) AS phone, coalesce(nullif(b.email, ''), e.email) AS email, 'base' AS origin FROM b LEFT JOIN e USING (key) UNION ALL SELECT key, p1, e1, 'enriched' FROM e ANTI JOIN b USING (key)", "companies")),
     "profile_overlay": (profile_overlay, with_frames("SELECT company_id, phone, CASE WHEN company_id % 3 = 0 THEN city || '*' ELSE city END AS city FROM companies", "companies")),

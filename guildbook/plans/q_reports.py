@@ -172,7 +172,7 @@ QUERIES = {
     "association_overlap": (association_overlap, with_frames(f"WITH x AS (SELECT DISTINCT company_id, unnest({_LIST.format('associations')}) AS a FROM companies) SELECT p.a, q.a AS b, count(*) AS shared FROM x p JOIN x q USING (company_id) GROUP BY 1, 2", "companies")),
     "score_histogram": (score_histogram, with_frames(SCORED_HEAD + "SELECT least(score // 10, 9)::INT AS bucket, count(*) AS n FROM scored GROUP BY 1", "companies")),
     "tier_summary": (tier_summary, with_frames(ICP_HEAD + "SELECT t.tier, count(company_id) AS n, round(avg(icp_score), 6) AS avg_icp, count(*) FILTER (trim(website) <> '') AS with_website FROM (VALUES ('Tier 1'), ('Tier 2'), ('Tier 3'), ('Unqualified')) t(tier) LEFT JOIN icp ON icp.tier = t.tier GROUP BY 1", "companies")),
-    "tier_lists": (tier_lists, with_frames(ICP_HEAD + "SELECT tier, rank, company_id, icp_score FROM (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY icp_score DESC, quality_score DESC, company_id) AS rank FROM icp) WHERE tier = 'Tier 1' AND rank <= 50 OR tier = 'Tier 2' AND rank <= 200", "companies")),
+    "tier_lists": (tier_lists, with_frames(ICP_HEAD + "SELECT tier, rank::INT AS rank, company_id, icp_score FROM (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY icp_score DESC, quality_score DESC, company_id) AS rank FROM icp) WHERE tier = 'Tier 1' AND rank <= 50 OR tier = 'Tier 2' AND rank <= 200", "companies")),
     "competitive_pressure": (competitive_pressure, with_frames(ICP_HEAD + ", x AS (SELECT unnest(assoc) AS association, CASE competitor WHEN '' THEN 'greenfield' ELSE competitor END AS rival FROM icp), b AS (SELECT association, rival, row_number() OVER (PARTITION BY association ORDER BY count(*) DESC, rival) AS i FROM x WHERE rival <> 'greenfield' GROUP BY 1, 2) SELECT x.association, " + ", ".join(f"count(*) FILTER (x.rival = '{n}') AS {n}" for n in ("greenfield", "Epicor", "Oracle", "Plex", "Sage", "Sap", "Syspro")) + ", any_value(b.rival) AS strongest FROM x LEFT JOIN b ON b.association = x.association AND b.i = 1 GROUP BY 1", "companies")),
     "email_infrastructure": (email_infrastructure, with_frames("SELECT CASE email_provider WHEN '' THEN 'Unknown' ELSE email_provider END AS provider, count(*) AS n, round(avg(nullif((coalesce(employee_count_min, 0) + coalesce(employee_count_max, 0)) / 2, 0)), 6) AS people, count(*) FILTER (spf_services <> '') AS with_spf FROM companies GROUP BY 1", "companies")),
     "gap_analysis": (gap_analysis, with_frames(ICP_HEAD + " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) FILTER ({'coalesce(trim(' + f + '), ' + chr(39) * 2 + ') = ' + chr(39) * 2 if k == 'string' else f + ' IS NULL'}) AS missing, round(100.0 * count(*) FILTER ({'coalesce(trim(' + f + '), ' + chr(39) * 2 + ') = ' + chr(39) * 2 if k == 'string' else f + ' IS NULL'}) / count(*), 6) AS percent FROM icp WHERE tier = 'Tier 2'" for f, k in FIELDS.items()), "companies")),
@@ -180,9 +180,9 @@ QUERIES = {
     "competitor_report": (competitor_report, with_frames("SELECT competitor, signal_type, count(*) AS n, count(DISTINCT company_id) AS companies, count(DISTINCT event_id) AS events, round(avg(confidence), 6) AS confidence, CASE WHEN max(detected_at) = date_trunc('second', max(detected_at)) THEN strftime(max(detected_at), '%Y-%m-%d %H:%M:%S') ELSE rtrim(strftime(max(detected_at), '%Y-%m-%d %H:%M:%S.%f'), '0') END AS last_seen FROM signals GROUP BY 1, 2", "signals")),
     "company_summary": (company_summary, with_frames("SELECT company_id, company_name, coalesce((SELECT string_agg(association, ',' ORDER BY association) FROM memberships m WHERE m.company_id = c.company_id), '') AS associations, (SELECT count(*) FROM contacts k WHERE k.company_id = c.company_id) AS contacts FROM companies c", "companies", "memberships", "contacts")),
     "event_summary": (event_summary, with_frames("SELECT event_id, count(DISTINCT company_id) FILTER (kind = 'SPONSOR') AS sponsors, count(DISTINCT company_id) FILTER (kind = 'EXHIBITOR') AS exhibitors, count(DISTINCT company_id) FILTER (kind = 'ATTENDEE') AS attendees FROM participants GROUP BY 1", "participants")),
-    "top_contacts": (top_contacts, with_frames("WITH p AS (SELECT *, CASE WHEN regexp_matches(lower(title), 'vp?\\s*(of\\s*)?it|it director|director.*\\bit\\b|chief information officer|cio|coo') THEN 1 WHEN regexp_matches(lower(title), 'ceo|chief executive|president|owner|cfo|controller') THEN 2 WHEN contains(lower(title), 'plant manager') THEN 3 ELSE 999 END AS priority, row_number() OVER (PARTITION BY company_id, lower(coalesce(email, name)) ORDER BY contact_id) AS f FROM contacts), q AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY priority, contact_id) AS rank FROM p WHERE f = 1 AND priority < 999) SELECT company_id, rank, contact_id, title, priority FROM q WHERE rank <= 5", "contacts")),
-    "latest_contacts": (latest_contacts, with_frames("SELECT company_id, rank, contact_id FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY seen_at DESC, contact_id) AS rank FROM contacts) WHERE rank <= 2", "contacts")),
-    "daily_quota": (daily_quota, "SELECT event_id, event_type, rank FROM (SELECT *, row_number() OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY ts, event_id) AS rank FROM events) WHERE rank <= 3"),
+    "top_contacts": (top_contacts, with_frames("WITH p AS (SELECT *, CASE WHEN regexp_matches(lower(title), 'vp?\\s*(of\\s*)?it|it director|director.*\\bit\\b|chief information officer|cio|coo') THEN 1 WHEN regexp_matches(lower(title), 'ceo|chief executive|president|owner|cfo|controller') THEN 2 WHEN contains(lower(title), 'plant manager') THEN 3 ELSE 999 END AS priority, row_number() OVER (PARTITION BY company_id, lower(coalesce(email, name)) ORDER BY contact_id) AS f FROM contacts), q AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY priority, contact_id) AS rank FROM p WHERE f = 1 AND priority < 999) SELECT company_id, rank::INT AS rank, contact_id, title, priority FROM q WHERE rank <= 5", "contacts")),
+    "latest_contacts": (latest_contacts, with_frames("SELECT company_id, rank::INT AS rank, contact_id FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY seen_at DESC, contact_id) AS rank FROM contacts) WHERE rank <= 2", "contacts")),
+    "daily_quota": (daily_quota, "SELECT event_id, event_type, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY ts, event_id) AS rank FROM events) WHERE rank <= 3"),
     "next_urls": (next_urls, "SELECT event_id, user_id % 10 AS priority FROM events ORDER BY user_id % 10 DESC, ts, event_id LIMIT 25"),
     "probe_summary": (probes, "WITH p AS (SELECT user_id::VARCHAR AS domain, event_id AS turn, 'p' || (event_id % 6) AS address, CASE event_type WHEN 'click' THEN 'verified' WHEN 'error' THEN 'inconclusive' ELSE 'rejected' END AS outcome FROM events), q AS (SELECT *, row_number() OVER w AS i, coalesce(sum(CASE WHEN outcome = 'inconclusive' THEN 1 ELSE 0 END) OVER (PARTITION BY domain ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM p WINDOW w AS (PARTITION BY domain ORDER BY turn)) SELECT domain, count(*) AS probes, count(*) FILTER (outcome = 'verified') AS verified, arg_min(address, turn) FILTER (outcome = 'verified') AS first, bool_or(outcome = 'inconclusive') AS blocked FROM q WHERE i <= 3 AND b = 0 GROUP BY 1"),
 }
