@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -30,7 +31,7 @@ from guildbook.llm.common import Remembered, staged, table
 
 CAPACITY, END = 2048, 0
 #: Pieces in a group; bins filled less than this share are opened again; words a worker remembers.
-GROUP, OPEN, REMEMBERED = 3000, 0.985, 400_000
+GROUP, OPEN, REMEMBERED = 3000, 0.985, 600_000
 #: Steps tried for one bin, and bins in a row that may fail to empty before the search ends.
 STEPS, FAILURES = 400, 6
 
@@ -50,7 +51,7 @@ class Pieces:
         self.end = np.array([END], "<u4").tobytes()
         self.added = [x["content"] for x in json.loads(self.tokenizer.to_str())["added_tokens"]]
         self.odd = re.compile("[^\t-\r -~À-ÖØ-öø-\u024f]")
-        self.words = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-\u024f]+|[0-9]|[^\t-\r a-z0-9ß-öø-\u024f]+")
+        self.words = re.compile("[a-zß-öø-\u024f]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9ß-öø-\u024f]+")
 
     def _cut(self, text: str) -> list[str]:
         if self.odd.search(text) or any(x in text for x in self.added):
@@ -67,7 +68,7 @@ class Pieces:
         known.trim()
         fresh = known.fresh(words)
         for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+            known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         out = b"".join([known[w] for w in words]) + self.end
         for w in fresh:
             if len(w) > 64:
