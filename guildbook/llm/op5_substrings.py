@@ -14,7 +14,7 @@ own content. All joins on hot keys are between written tables, so that Spark can
 
 Defined cases: null and empty texts have no words; texts shorter than a window stay; every row gives one row, and repeated
 rows (same doc_id and text) are one document; null doc_id comes before all others; of different texts under one doc_id the
-order is by start, then digest; empty tables give no rows; extra columns are ignored.
+order is by start, then a hash of the text; empty tables give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,8 +48,9 @@ def anchors_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return start, start + choice[start].argmin(axis=1), grams, wide
 
 
-def digest(text: Column) -> Column:
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+def mark(text: Column) -> Column:
+    """The hash of a text's digest, as describe() has it."""
+    return F.xxhash64(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)))
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """Runs of windows with one repeated anchor. docs: doc_id, digest, text and places, the places of repeated anchors."""
+    """Runs of windows with one repeated anchor. docs: doc_id, mark, text and places, the places of repeated anchors."""
 
     def run(batches):
         for batch in batches:
@@ -105,7 +106,7 @@ def passages(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(pa.array(doc)),
-                        part.column("digest").take(pa.array(doc)),
+                        part.column("mark").take(pa.array(doc)),
                         pa.array(grams[at[cut]].view(np.int64) if len(a) else np.zeros(0, np.int64)),
                         pa.array(ends.view(np.int64)),
                         pa.array(sums.view(np.int64)),
@@ -113,15 +114,15 @@ def passages(docs: DataFrame) -> DataFrame:
                         pa.array((b - a + WIDTH).astype(np.int64)),
                         pa.array([b" ".join(w.buf[w.begin[i] : w.end[j + WIDTH - 1]].tobytes().split()).decode() for i, j in zip(a.tolist(), b.tolist(), strict=True)], pa.string()),
                     ],
-                    ["doc_id", "digest", "anchor", "h1", "h2", "start", "n", "words"],
+                    ["doc_id", "mark", "anchor", "h1", "h2", "start", "n", "words"],
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {id_type}, digest binary, anchor long, h1 long, h2 long, start long, n long, words string")
+    return docs.mapInArrow(run, f"doc_id {id_type}, mark long, anchor long, h1 long, h2 long, start long, n long, words string")
 
 
 def search(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The repeats that one shard's passages hold: doc_id, digest, begin and end (in words) of windows that start earlier elsewhere."""
+    """The repeats that one shard's passages hold: doc_id, mark, begin and end (in words) of windows that start earlier elsewhere."""
     w = Words([t.encode() for t in pdf["words"]])
     known, symbol = np.unique(w.hashes(), return_inverse=True)
     length = np.diff(w.first)
@@ -129,12 +130,12 @@ def search(pdf: pd.DataFrame) -> pd.DataFrame:
     text = np.zeros(len(symbol) + len(length), np.int64)
     text[np.arange(len(symbol)) + w.doc] = symbol + 1
     index = FMIndex(text, len(known) + 1, WIDTH)
-    # Order of all places: by document, start, digest.
+    # Order of all places: by document, start, mark.
     passage = np.repeat(np.arange(len(length)), length + 1)
     inside = np.arange(len(text)) - begin[passage]
-    by_digest = np.unique(pdf["digest"].to_numpy(), return_inverse=True)[1]
+    marks = pdf["mark"].to_numpy(np.int64)
     ids = pdf["doc_id"].fillna(NO_ID).to_numpy(np.int64) if len(pdf) else np.zeros(0, np.int64)
-    order = np.lexsort((by_digest[passage], pdf["start"].to_numpy()[passage] + inside, ids[passage]))
+    order = np.lexsort((marks[passage], pdf["start"].to_numpy()[passage] + inside, ids[passage]))
     turn = np.empty(len(text), np.int64)
     turn[order] = np.arange(len(text))
     group, first_of = index.full
@@ -150,44 +151,45 @@ def search(pdf: pd.DataFrame) -> pd.DataFrame:
     last = np.append(cut[1:], len(which)) - 1 if len(which) else which
     rows = pdf.iloc[which[cut]]
     starts = rows["start"].to_numpy()
-    return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "digest": rows["digest"].to_numpy(), "begin": starts + offset[cut], "end": starts + offset[last] + WIDTH})
+    return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "mark": rows["mark"].to_numpy(), "begin": starts + offset[cut], "end": starts + offset[last] + WIDTH})
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of docs (doc_id, text): the description of every row; (doc_id, digest) of rows that repeat an earlier text as a whole;
-    and (doc_id, digest, spans) of the others that lose words, spans being (begin, end) in words."""
-    base = staged(describe(docs), "described")
+    """Of docs (doc_id, text): the description of every row; (doc_id, mark) of rows that repeat an earlier text as a whole;
+    and (doc_id, mark, spans) of the others that lose words, spans being (begin, end) in words. A mark is a hash of the text,
+    which tells the texts of one doc_id apart in eight bytes."""
+    base = staged(describe(docs).withColumn("mark", F.xxhash64("digest")), "described")
     texts = staged(base.groupBy("digest").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.col("digest").alias("same"), F.col("first.doc_id").alias("first_id")), "texts")
-    copies = staged(base.join(texts, base["digest"] == texts["same"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "digest").distinct(), "copies")
+    copies = staged(base.join(texts, base["digest"] == texts["same"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "mark").distinct(), "copies")
 
-    flat = base.select("doc_id", "digest", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("doc_id", "digest", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
+    flat = base.select("doc_id", "mark", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("doc_id", "mark", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
     again = staged(flat.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
-    hits = staged(flat.join(again, "anchor").groupBy("doc_id", "digest").agg(F.collect_list("place").alias("places")), "hits")
-    hits = hits.join(copies, same((hits["doc_id"], copies["doc_id"]), (hits["digest"], copies["digest"])), "left_anti")
-    hits = staged(hits.select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit"), "places"), "hits")
-    keyed = docs.select("doc_id", "text").withColumn("digest", digest(F.col("text")))
-    held = keyed.join(hits.hint("shuffle_hash"), same((keyed["doc_id"], hits["hit_id"]), (keyed["digest"], hits["hit"]))).select("doc_id", "digest", "text", "places")
+    hits = staged(flat.join(again, "anchor").groupBy("doc_id", "mark").agg(F.collect_list("place").alias("places")), "hits")
+    hits = hits.join(copies, same((hits["doc_id"], copies["doc_id"]), (hits["mark"], copies["mark"])), "left_anti")
+    hits = staged(hits.select(F.col("doc_id").alias("hit_id"), F.col("mark").alias("hit"), "places"), "hits")
+    keyed = docs.select("doc_id", "text").withColumn("mark", mark(F.col("text")))
+    held = keyed.join(hits.hint("shuffle_hash"), same((keyed["doc_id"], hits["hit_id"]), (keyed["mark"], hits["hit"]))).select("doc_id", "mark", "text", "places")
     found = staged(passages(held), "passages")
 
-    firsts = found.groupBy("anchor", "h1", "h2", "n").agg(F.min(F.struct("doc_id", "start", "digest")).alias("first"), F.max("words").alias("words"))
-    firsts = staged(firsts.select("anchor", "h1", "h2", "n", "first.doc_id", "first.start", "first.digest", "words"), "firsts")
-    f = firsts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("n").alias("fn"), F.col("anchor").alias("fa"), F.col("doc_id").alias("f_id"), F.col("start").alias("f_start"), F.col("digest").alias("f_digest"))
-    o = found.select("doc_id", "digest", "anchor", "h1", "h2", "n", "start")
+    firsts = found.groupBy("anchor", "h1", "h2", "n").agg(F.min(F.struct("doc_id", "start", "mark")).alias("first"), F.max("words").alias("words"))
+    firsts = staged(firsts.select("anchor", "h1", "h2", "n", "first.doc_id", "first.start", "first.mark", "words"), "firsts")
+    f = firsts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("n").alias("fn"), F.col("anchor").alias("fa"), F.col("doc_id").alias("f_id"), F.col("start").alias("f_start"), F.col("mark").alias("f_mark"))
+    o = found.select("doc_id", "mark", "anchor", "h1", "h2", "n", "start")
     later = o.join(f, (o["anchor"] == f["fa"]) & (o["h1"] == f["f1"]) & (o["h2"] == f["f2"]) & (o["n"] == f["fn"]))
-    later = later.filter(~same((F.col("doc_id"), F.col("f_id")), (F.col("start"), F.col("f_start")), (F.col("digest"), F.col("f_digest"))))
-    later = later.select("doc_id", "digest", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("end"))
+    later = later.filter(~same((F.col("doc_id"), F.col("f_id")), (F.col("start"), F.col("f_start")), (F.col("mark"), F.col("f_mark"))))
+    later = later.select("doc_id", "mark", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("end"))
 
     shards = max(LEAST, -(-int(firsts.agg(F.sum("n")).first()[0] or 0) // PER_SHARD))
     hot = staged(firsts.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor", F.lit(True).alias("hot")), "hot")
     split = firsts.join(hot, "anchor", "left")
-    columns = ["doc_id", "digest", "start", "words"]
+    columns = ["doc_id", "mark", "start", "words"]
     calm = split.filter("hot is null").select(*columns, F.xxhash64("anchor").alias("key"))
-    single = split.filter("hot").select("doc_id", "digest", "start", F.split("words", " ").alias("w"), F.explode(F.sequence(F.lit(0), F.col("n") - WIDTH)).alias("o"))
-    single = single.select("doc_id", "digest", (F.col("start") + F.col("o")).alias("start"), F.array_join(F.slice("w", F.col("o").cast("int") + 1, WIDTH), " ").alias("words")).withColumn("key", F.xxhash64("words"))
+    single = split.filter("hot").select("doc_id", "mark", "start", F.split("words", " ").alias("w"), F.explode(F.sequence(F.lit(0), F.col("n") - WIDTH)).alias("o"))
+    single = single.select("doc_id", "mark", (F.col("start") + F.col("o")).alias("start"), F.array_join(F.slice("w", F.col("o").cast("int") + 1, WIDTH), " ").alias("words")).withColumn("key", F.xxhash64("words"))
     dealt = calm.unionByName(single).withColumn("shard", F.pmod("key", F.lit(shards))).drop("key")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    inside = dealt.groupBy("shard").applyInPandas(lambda key, pdf: search(pdf), f"doc_id {id_type}, digest binary, begin long, end long")
-    lost = later.unionByName(inside).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    inside = dealt.groupBy("shard").applyInPandas(lambda key, pdf: search(pdf), f"doc_id {id_type}, mark long, begin long, end long")
+    lost = later.unionByName(inside).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     return base, copies, staged(lost, "lost")
 
 
@@ -200,9 +202,9 @@ def _mask(n: int, spans: list[dict]) -> np.ndarray:
 
 
 def _with_spans(docs: DataFrame, lost: DataFrame, how: str) -> DataFrame:
-    keyed = docs.withColumn("_digest", digest(F.col("text")))
-    lost = lost.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_lost"), F.col("spans").alias("_spans"))
-    return keyed.join(lost.hint("shuffle_hash"), same((keyed["doc_id"], lost["_id"]), (keyed["_digest"], lost["_lost"])), how)
+    keyed = docs.withColumn("_mark", mark(F.col("text")))
+    lost = lost.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_lost"), F.col("spans").alias("_spans"))
+    return keyed.join(lost.hint("shuffle_hash"), same((keyed["doc_id"], lost["_id"]), (keyed["_mark"], lost["_lost"])), how)
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -221,10 +223,10 @@ def counted(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     part = _with_spans(docs.select("doc_id", "text"), lost, "inner").select("doc_id", "text", "_spans").mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
-    marks = copies.withColumn("copy", F.lit(True)).unionByName(lost.select("doc_id", "digest", F.lit(False).alias("copy")))
-    marks = marks.select(F.col("doc_id").alias("m_id"), F.col("digest").alias("m_digest"), "copy")
-    rest = base.select("doc_id", "digest", "n_words", "words_sha256")
-    rest = rest.join(marks, same((rest["doc_id"], marks["m_id"]), (rest["digest"], marks["m_digest"])), "left").filter("copy is null or copy")
+    marks = copies.withColumn("copy", F.lit(True)).unionByName(lost.select("doc_id", "mark", F.lit(False).alias("copy")))
+    marks = marks.select(F.col("doc_id").alias("m_id"), F.col("mark").alias("m_mark"), "copy")
+    rest = base.select("doc_id", "mark", "n_words", "words_sha256")
+    rest = rest.join(marks, same((rest["doc_id"], marks["m_id"]), (rest["mark"], marks["m_mark"])), "left").filter("copy is null or copy")
     gone = F.col("copy").isNotNull() & (F.col("n_words") >= WIDTH)
     whole = rest.select(
         "doc_id", "n_words", F.when(gone, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"), F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.col("words_sha256")).alias("kept_sha256")
@@ -235,7 +237,7 @@ def counted(docs: DataFrame) -> DataFrame:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """docs with repeated windows cut out of text, white space between kept words as it was; whole copies get an empty text."""
     _, copies, lost = repeats(docs)
-    spans = lost.unionByName(copies.select("doc_id", "digest", F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.lit(-1).cast("long").alias("end"))).alias("spans")))
+    spans = lost.unionByName(copies.select("doc_id", "mark", F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.lit(-1).cast("long").alias("end"))).alias("spans")))
     columns = docs.columns
     place = columns.index("text")
 
