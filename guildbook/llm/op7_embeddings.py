@@ -8,14 +8,15 @@ at the cosine bound itself; pairs above the bound are found more surely.
 
 A bucket beyond BLOCK vectors is split into blocks, and each pair of blocks is a task of its own.
 
-Defined cases: vectors that are null, empty, zero, of another length than most, or hold null or non-finite numbers link with
-nothing (n_links 0, their own component, kept); repeated rows are vectors of their own; null vec_id has links but is the
-least of a component only alone; an empty table gives no rows; extra columns are ignored.
+Defined cases: vectors that are null, empty, zero, or hold null or non-finite numbers link with nothing (n_links 0, their own
+component, kept); vectors link among those with as many components only; repeated rows are vectors of their own; null vec_id
+has links but is the least of a component only alone; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,19 +40,20 @@ def shape_of(n: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[in
     return planes, math.ceil(math.log(1 - recall) / math.log(1 - same**planes))
 
 
-def rows_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows hold a usable vector, and those vectors in double precision, of length one."""
-    lists = column.to_pylist()
-    sizes = [len(x) if x else 0 for x in lists]
-    width = max(sizes, default=0)
-    good = [i for i, x in enumerate(lists) if x and len(x) == width and None not in x]
-    m = np.array([lists[i] for i in good], np.float64).reshape(len(good), width)
-    with np.errstate(all="ignore"):
-        largest = np.abs(m).max(axis=1, initial=0)
-        fine = np.isfinite(largest) & (largest > 0)
-        m = m[fine] / largest[fine, None]
-        m /= np.sqrt((m * m).sum(axis=1))[:, None]
-    return np.array(good, np.int64)[fine], m
+def rows_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each number of components: which rows hold a usable vector, and those vectors in double precision, of length one."""
+    lists, by_width = column.to_pylist(), {}
+    for i, x in enumerate(lists):
+        if x and None not in x:
+            by_width.setdefault(len(x), []).append(i)
+    for width, good in by_width.items():
+        m = np.array([lists[i] for i in good], np.float64).reshape(len(good), width)
+        with np.errstate(all="ignore"):
+            largest = np.abs(m).max(axis=1, initial=0)
+            fine = np.isfinite(largest) & (largest > 0)
+            m = m[fine] / largest[fine, None]
+            m /= np.sqrt((m * m).sum(axis=1))[:, None]
+        yield np.array(good, np.int64)[fine], m
 
 
 def classes(vectors: DataFrame) -> DataFrame:
@@ -62,11 +64,11 @@ def classes(vectors: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 4096):
                 part = batch.slice(k, 4096)
-                which, units = rows_of(part.column("embedding"))
                 keys, out = [None] * part.num_rows, [None] * part.num_rows
-                for i, u in zip(which.tolist(), units, strict=True):
-                    out[i] = u.tobytes()
-                    keys[i] = hashlib.blake2b(out[i], digest_size=16).digest()
+                for which, units in rows_of(part.column("embedding")):
+                    for i, u in zip(which.tolist(), units, strict=True):
+                        out[i] = u.tobytes()
+                        keys[i] = hashlib.blake2b(out[i], digest_size=16).digest()
                 yield pa.RecordBatch.from_arrays([part.column("vec_id"), pa.array(keys, pa.binary()), pa.array(out, pa.binary())], ["vec_id", "key", "unit"])
 
     return vectors.select("vec_id", "embedding").mapInArrow(run, f"vec_id {vectors.schema['vec_id'].dataType.simpleString()}, key binary, unit binary")

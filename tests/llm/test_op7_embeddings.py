@@ -39,6 +39,17 @@ def test_against_all_pairs(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_vectors_link_among_those_of_one_length(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((6, 16))
+    rows = [(i, (base[i % 6] + rng.standard_normal(16) * 0.05).tolist()) for i in range(60)]
+    rows += [(100, [1.0] * 17), (101, [1.0] * 9), (102, [2.0] * 9), (103, [1.0] * 16 + [None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for parts in (1, 3):
+        got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in op.near_duplicates(df.repartition(parts)).collect())
+        assert got == brute(rows)
+
+
 def test_query_against_sql(spark):
     sf = "/root/testdata/sf0.01"
     got = sorted(map(tuple, op.op7_embeddings(spark, sf).collect()))
