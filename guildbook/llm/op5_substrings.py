@@ -9,8 +9,9 @@ tree. Every passage is then streamed through its shard's index by backward searc
 full width; windows whose range holds an earlier start are reported, and go.
 
 Identical texts are set apart by digest at the start: the first one stays in the search, the others are repeats as a whole.
-An anchor with very many distinct passages (a common phrase in many contexts) is split into its single windows, dealt by their
-own content. All joins on hot keys are between written tables, so that Spark can split them.
+An anchor with very many distinct passages (a common phrase in many contexts) is split into its single windows. Equal ones fall
+together by digest in a partial aggregate, and all but the first are repeats; as no other anchor has such windows, nothing is left
+to search for. All joins on hot keys are between written tables, so that Spark can split them.
 
 Defined cases: null and empty texts have no words; texts shorter than a window stay; every row gives one row, and repeated
 rows (same doc_id and text) are one document; null doc_id comes before all others; of different texts under one doc_id the
@@ -163,8 +164,8 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     copies = staged(base.join(texts, base["digest"] == texts["same"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "mark").distinct(), "copies")
 
     flat = base.select("doc_id", "mark", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("doc_id", "mark", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
-    again = staged(flat.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
-    hits = staged(flat.join(again, "anchor").groupBy("doc_id", "mark").agg(F.collect_list("place").alias("places")), "hits")
+    twice = staged(flat.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
+    hits = staged(flat.join(twice, "anchor").groupBy("doc_id", "mark").agg(F.collect_list("place").alias("places")), "hits")
     hits = hits.join(copies, same((hits["doc_id"], copies["doc_id"]), (hits["mark"], copies["mark"])), "left_anti")
     hits = staged(hits.select(F.col("doc_id").alias("hit_id"), F.col("mark").alias("hit"), "places"), "hits")
     keyed = docs.select("doc_id", "text").withColumn("mark", mark(F.col("text")))
@@ -182,14 +183,18 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     shards = max(LEAST, -(-int(firsts.agg(F.sum("n")).first()[0] or 0) // PER_SHARD))
     hot = staged(firsts.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor", F.lit(True).alias("hot")), "hot")
     split = firsts.join(hot, "anchor", "left")
-    columns = ["doc_id", "mark", "start", "words"]
-    calm = split.filter("hot is null").select(*columns, F.xxhash64("anchor").alias("key"))
+    dealt = split.filter("hot is null").select("doc_id", "mark", "start", "words", F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"))
     single = split.filter("hot").select("doc_id", "mark", "start", F.split("words", " ").alias("w"), F.explode(F.sequence(F.lit(0), F.col("n") - WIDTH)).alias("o"))
-    single = single.select("doc_id", "mark", (F.col("start") + F.col("o")).alias("start"), F.array_join(F.slice("w", F.col("o").cast("int") + 1, WIDTH), " ").alias("words")).withColumn("key", F.xxhash64("words"))
-    dealt = calm.unionByName(single).withColumn("shard", F.pmod("key", F.lit(shards))).drop("key")
+    window = F.unhex(F.md5(F.array_join(F.slice("w", F.col("o").cast("int") + 1, WIDTH), " ")))
+    single = staged(single.select("doc_id", "mark", (F.col("start") + F.col("o")).alias("start"), window.alias("window")), "windows")
+    heads = single.groupBy("window").agg(F.min(F.struct("doc_id", "start", "mark")).alias("first"), F.count("*").alias("copies")).filter("copies > 1")
+    heads = staged(heads.select(F.col("window").alias("same"), F.col("first.doc_id").alias("f_id"), F.col("first.start").alias("f_start"), F.col("first.mark").alias("f_mark")), "heads")
+    again = single.join(heads, single["window"] == heads["same"])
+    again = again.filter(~same((F.col("doc_id"), F.col("f_id")), (F.col("start"), F.col("f_start")), (F.col("mark"), F.col("f_mark"))))
+    again = again.select("doc_id", "mark", F.col("start").alias("begin"), (F.col("start") + WIDTH).alias("end"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     inside = dealt.groupBy("shard").applyInPandas(lambda key, pdf: search(pdf), f"doc_id {id_type}, mark long, begin long, end long")
-    lost = later.unionByName(inside).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    lost = later.unionByName(again).unionByName(inside).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     return base, copies, staged(lost, "lost")
 
 

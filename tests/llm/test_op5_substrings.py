@@ -52,6 +52,28 @@ def test_against_brute_force(spark, monkeypatch, hot):
         assert [(i, t or []) for i, t in texts] == sorted((i, kept[i, t or ""]) for i, t in rows)
 
 
+def test_equal_windows_of_a_hot_anchor_never_meet_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(op, "HOT", 3)
+    monkeypatch.setattr(op, "LEAST", 1)
+    rng = np.random.default_rng(6)
+    word = lambda n: [f"w{k}" for k in rng.integers(0, 4000, n)]
+    line = word(24)
+    rows = [(i, " ".join(word(25) + line + word(25))) for i in range(40)]
+    most = spark.sparkContext.accumulator(0)
+    search = op.search
+
+    def watched(pdf):
+        most.add(len(pdf))
+        return search(pdf)
+
+    monkeypatch.setattr(op, "search", watched)
+    words, kept = brute(rows)
+    got = {r["doc_id"]: r["n_removed"] for r in op.counted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: len(words[i, t]) - len(kept[i, t]) for i, t in rows} and sum(got.values()) == 39 * 24
+    # All passages around the line have hot anchors or stand once: none of their windows comes to a search.
+    assert most.value <= 3
+
+
 def test_query_against_sql(spark):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
