@@ -21,10 +21,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays; of its repeated rows, one."""
-    found = op6_simhash.near_duplicates(docs)
-    stay = staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct(), "stay")
-    return docs.join(stay.hint("shuffle_hash"), same((docs["doc_id"], stay["_id"])), "left_semi").dropDuplicates(["doc_id"])
+    """Of each group of near-duplicates the document with the smallest doc_id stays (null after all others, then the smallest
+    mark of the text); of its repeated rows, equal in doc_id and text, one."""
+    keyed = docs.withColumn("_mark", F.xxhash64(F.unhex(F.sha2("text", 256))))
+    # A row is named by its doc_id and its text, as neither null nor repeated ids tell documents apart.
+    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_mark").alias("mark"))
+    found = op6_simhash.near_duplicates(keyed.select(name.alias("doc_id"), "text"))
+    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.id").alias("_id"), F.col("doc_id.mark").alias("_stay"))
+    stay = staged(stay.distinct(), "stay")
+    left = keyed.join(stay.hint("shuffle_hash"), same((keyed["doc_id"], stay["_id"]), (keyed["_mark"], stay["_stay"])), "left_semi")
+    return left.dropDuplicates(["doc_id", "_mark"]).select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

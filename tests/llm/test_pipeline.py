@@ -36,6 +36,23 @@ def test_one_of_each_near_duplicate_group_stays(stages):
     assert op6_simhash.DISTANCE == 2
 
 
+def test_documents_without_an_id_of_their_own_stay(spark):
+    from tests.llm.test_op6_simhash import brute_components, brute_fingerprint
+
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 60)) for _ in range(12)]
+    rows = [(None, t, "en") for t in texts[:5]] + [(7, t, "en") for t in texts[5:9]] + [(7, texts[9], "en")] * 2
+    rows += [(1, texts[0], "en"), (2, texts[5], "en"), (None, texts[10], "en"), (None, texts[10], "en"), (9, texts[10], "en"), (9, texts[11], "en"), (3, None, "en"), (3, "", "en")]
+    least = brute_components({i: brute_fingerprint(t) for i, (_, t, _) in enumerate(rows)})
+    groups = {}
+    for i, (doc, text, _) in enumerate(rows):
+        groups.setdefault(least[i], []).append((doc is None, doc or 0, text or ""))
+    got = cp.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), SF)
+    assert got.columns == ["doc_id", "text", "lang"]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in got.collect()) == sorted(min(g) for g in groups.values())
+    assert len(groups) == 13
+
+
 def test_repeated_passages_go(stages):
     from tests.llm.test_op5_substrings import brute
 
