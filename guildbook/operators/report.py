@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from guildbook.operators.store import written
+
 c = F.col
 
 
@@ -60,16 +62,26 @@ def latest(df: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(c("rank") <= k)
 
 
-def tier_lists(df: DataFrame, caps: dict[str, int]) -> DataFrame:
-    """Companies ranked in their tier by fit, quality, id; tiers with a cap keep so many.
+def tier_lists(df: DataFrame, caps: dict[str, int], whole: tuple[str, ...] = ()) -> DataFrame:
+    """Companies ranked in their tier by fit, quality, id; tiers with a cap keep so many, those in whole keep all.
 
-    Capped tiers are cut by a top-k before they are ranked, so that a tier's rows never meet in one task."""
+    Capped tiers are cut by a top-k before they are ranked; whole ones are sorted by ranges and ranked in each range, behind
+    the rows of the ranges before it. So a tier's rows never meet in one task."""
     order = [F.desc("icp_score"), F.desc("quality_score"), "company_id"]
     parts = [df.filter(c("tier") == tier).orderBy(*order).limit(cap) for tier, cap in caps.items()]
+    parts = [p.withColumn("rank", F.row_number().over(Window.partitionBy("tier").orderBy(*order)).cast("long")) for p in parts]
+    if whole:
+        ranged = df.filter(c("tier").isin(*whole)).repartitionByRange("tier", *order)
+        ranged = written(ranged.withColumn("_range", F.spark_partition_id()), "tiers")
+        before = F.sum("_n").over(Window.partitionBy("tier").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+        offsets = ranged.groupBy("tier", "_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(before, F.lit(0)))
+        within = F.row_number().over(Window.partitionBy("tier", "_range").orderBy(*order))
+        ranked = ranged.join(offsets, ["tier", "_range"]).withColumn("rank", within + c("_before"))
+        parts.append(ranked.select(*df.columns, "rank"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy("tier").orderBy(*order)))
+    return out.withColumn("rank", c("rank").cast("int"))
 
 
 def daily_quota(df: DataFrame, domain: str, ts: str, tie: str, limit: int) -> DataFrame:

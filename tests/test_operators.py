@@ -105,3 +105,16 @@ def test_streams(spark):
     last = {x["url"]: x["change_count"] for x in spark.read.parquet(out).groupBy("url").agg(F.max("change_count").alias("change_count")).collect()}
     assert last == {"u": 1, "v": 0}
     assert {x["url"]: x["content_hash"] for x in spark.read.parquet(out + "-table/version=2").collect()} == {"u": "b", "v": "same"}
+
+
+def test_uncapped_tiers_are_listed_whole(spark):
+    from guildbook.operators.report import tier_lists
+
+    rows = [(i, f"Tier {i % 3 + 1}", i * 7 % 40, i * 3 % 11) for i in range(600)]
+    df = spark.createDataFrame(rows, "company_id int, tier string, icp_score int, quality_score int").repartition(5)
+    got = sorted((x["tier"], x["rank"], x["company_id"]) for x in tier_lists(df, {"Tier 1": 5, "Tier 2": 20}, ("Tier 3",)).collect())
+    want = []
+    for tier, most in (("Tier 1", 5), ("Tier 2", 20), ("Tier 3", 200)):
+        own = sorted((-s, -q, i) for i, t, s, q in rows if t == tier)[:most]
+        want += [(tier, k + 1, i) for k, (_, _, i) in enumerate(own)]
+    assert got == want
