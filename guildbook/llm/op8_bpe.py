@@ -17,8 +17,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +31,7 @@ from guildbook.llm.words import slices
 # Fixed value: the word pattern of the byte-level vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words remembered by a worker, and the longest that is remembered.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 800_000, 64
 NEVER = 1 << 60
 
 
@@ -41,6 +43,24 @@ def _bytes_of_characters() -> dict[str, int]:
     return out | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def shared_prefixes(words: list[bytes], width: int = 32) -> list[int]:
+    """How many bytes each word shares with the one before it; equality is told by arrays for the first `width` bytes."""
+    if not words:
+        return []
+    table = np.array([w[:width] for w in words], f"S{width}").view(np.uint8).reshape(len(words), width)
+    differs = table[1:] != table[:-1]
+    out = [0, *np.where(differs.any(axis=1), differs.argmax(axis=1), width).tolist()]
+    for i in range(1, len(words)):
+        a, b = words[i - 1], words[i]
+        most = min(len(a), len(b))
+        if out[i] >= most:  # zero bytes at a word's end look like its padding
+            out[i] = most
+        elif out[i] == width:
+            while out[i] < most and a[out[i]] == b[out[i]]:
+                out[i] += 1
+    return out
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary read from a file of the tokenizers library."""
 
@@ -53,7 +73,6 @@ class Vocabulary:
         self.bytes_of = {i: t for t, i in self.id_of.items()}
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
-        self.longest = max(map(len, self.id_of))
         #: When a pair of ids merges, and for a token made by a merge: when, from what left and what right token.
         self.merges: dict[tuple[int, int], int] = {}
         self.born: dict[int, int] = {}
@@ -63,8 +82,46 @@ class Vocabulary:
             a, b, made = self.id_of[left], self.id_of[right], self.id_of[left + right]
             self.merges[a, b] = when
             self.born[made], self.halves[made] = when, (a, b)
-        self._apart: dict[tuple[int, int], bool] = {}
         self.size_of = {i: len(t) for t, i in self.id_of.items()}
+        self.said = {i: f",{i}" for i in self.bytes_of}
+        self._apart: dict[int, bool] = {}
+        self._build_suffixes()
+
+    def _build_suffixes(self) -> None:
+        """The automaton that tells which tokens end at each byte: a trie of all tokens, and from each node the node of its longest
+        proper suffix. ends[node]: (size, id) of the tokens that are suffixes of what led to the node, the longest first."""
+        self._down: dict[int, int] = {}
+        self._suffix, self.ends = [0], [()]
+        own, spelled = {}, [(0, b"")]
+        for token in sorted(self.id_of, key=len):
+            node = 0
+            for byte in token:
+                key = node << 8 | byte
+                node = self._down.get(key, -1)
+                if node < 0:
+                    node = self._down[key] = len(self._suffix)
+                    self._suffix.append(0)
+                    self.ends.append(())
+                    spelled.append((key >> 8, key & 255))
+            own[node] = (len(token), self.id_of[token])
+        depth = [0] * len(spelled)
+        for node in range(1, len(spelled)):  # parents come before their children
+            depth[node] = depth[spelled[node][0]] + 1
+        for node in sorted(range(1, len(spelled)), key=depth.__getitem__):
+            parent, byte = spelled[node]
+            self._suffix[node] = self._step(self._suffix[parent], byte) if parent else 0
+            self.ends[node] = ((own[node],) if node in own else ()) + self.ends[self._suffix[node]]
+        #: Steps between nodes as they were found.
+        self.moves: dict[int, int] = {}
+
+    def _step(self, node: int, byte: int) -> int:
+        while True:
+            found = self._down.get(node << 8 | byte)
+            if found is not None:
+                return found
+            if not node:
+                return 0
+            node = self._suffix[node]
 
     def apart(self, a: int, b: int) -> bool:
         """Whether BPE leaves the border between two neighbouring tokens a and b.
@@ -72,10 +129,6 @@ class Vocabulary:
         Plays the merges inside a and b backwards, the latest first. Of two equal merges the left one comes first. At each
         moment the tokens x and y face each other over the border, until x or y goes into a longer token (x_until, y_until);
         if x and y merge before that, the border falls."""
-        key = (a, b)
-        known = self._apart.get(key)
-        if known is not None:
-            return known
         x, y, x_until, y_until = a, b, NEVER, NEVER
         born, out = self.born, True
         while True:
@@ -92,31 +145,40 @@ class Vocabulary:
                 y, y_until = self.halves[y][0], y_born
         if len(self._apart) > 2_000_000:
             self._apart.clear()
-        self._apart[key] = out
+        self._apart[a << 32 | b] = out
         return out
 
-    def encode_sorted(self, words: list[bytes]) -> list[list[int]]:
+    def encode_sorted(self, words: list[bytes]) -> Iterator[list[int]]:
         """Ids of each of the distinct words, given in order: one depth-first walk over their trie."""
-        ids_of, apart, longest, size, out = self.id_of, self.apart, self.longest, self.size_of, []
-        before, last = b"", [-1]  # last[k]: the last token of the encoding of the first k bytes of the word at hand
-        for word in words:
-            shared, most = 0, min(len(before), len(word))
-            while shared < most and before[shared] == word[shared]:
-                shared += 1
-            del last[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    token = ids_of.get(word[start:end])
-                    if token is not None and (start == 0 or apart(last[start], token)):
+        ends, moves, known, size = self.ends, self.moves, self._apart, self.size_of
+        if len(moves) > 2_000_000:
+            moves.clear()
+        # last[k]: the last token of the encoding of the first k bytes of the word at hand; node[k]: where the automaton stands then.
+        last, node = [-1], [0]
+        for word, shared in zip(words, shared_prefixes(words), strict=True):
+            del last[shared + 1 :], node[shared + 1 :]
+            here = node[shared]
+            for end in range(shared, len(word)):
+                key = here << 8 | word[end]
+                here = moves.get(key, -1)
+                if here < 0:
+                    here = moves[key] = self._step(key >> 8, word[end])
+                node.append(here)
+                for n, token in ends[here]:
+                    if n > end:  # the whole prefix is one token
+                        last.append(token)
+                        break
+                    left = last[end + 1 - n]
+                    good = known.get(left << 32 | token)
+                    if good or (good is None and self.apart(left, token)):
                         last.append(token)
                         break
             ids, end = [], len(word)
             while end:
                 ids.append(last[end])
                 end -= size[last[end]]
-            out.append(ids[::-1])
-            before = word
-        return out
+            ids.reverse()
+            yield ids
 
 
 class Codec:
@@ -128,20 +190,25 @@ class Codec:
         #: The same pattern for texts of ASCII and Latin letters only, in the quicker of the two regex libraries.
         self.odd = re.compile("[^\t-\r -~À-ÖØ-öø-\u024f]")
         latin = "A-Za-zÀ-ÖØ-öø-\u024f"
-        self.latin = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{latin}]+| ?[0-9]+| ?[^\s{latin}0-9]+|\s+(?!\S)|\s+")
+        self.latin = re.compile(rf" ?[{latin}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s{latin}0-9]+|\s+(?!\S)|\s+")
         self.added = re.compile("(" + "|".join(sorted(map(re.escape, self.vocabulary.added), key=len, reverse=True)) + ")") if self.vocabulary.added else None
-        #: word -> (how many ids; the ids in decimals, each behind a comma; the bytes they decode to)
+        #: word -> its ids in decimals, each behind a comma
         self.known = Remembered(REMEMBERED)
+        #: word -> the bytes its ids decode to, where they aren't the word itself
+        self.spelled: dict[str, bytes] = {}
 
     def _cut(self, text: str) -> list[str]:
-        return (self.words if self.odd.search(text) else self.latin).findall(text)
+        return (self.words if not text.isascii() and self.odd.search(text) else self.latin).findall(text)
 
     def learn(self, words: list[str]) -> None:
-        """Encode distinct words that are not known yet, in one walk over their trie."""
-        spelled = sorted((w.encode(), w) for w in words)
-        spell = self.vocabulary.bytes_of
-        for (_, w), ids in zip(spelled, self.vocabulary.encode_sorted([b for b, _ in spelled]), strict=True):
-            self.known[w] = len(ids), "".join([f",{i}" for i in ids]), b"".join([spell[i] for i in ids])
+        """Encode distinct words that are not known yet, in one walk over their trie, and decode them again."""
+        words = sorted(words)  # in order of their bytes too
+        known, spell, said = self.known, self.vocabulary.bytes_of, self.vocabulary.said
+        for w, ids in zip(words, self.vocabulary.encode_sorted([w.encode() for w in words]), strict=True):
+            known[w] = "".join([said[i] for i in ids])
+            decoded = b"".join([spell[i] for i in ids])
+            if decoded != w.encode():
+                self.spelled[w] = decoded
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[int, str, bytes]]:
         """For each text: number of ids, ids in decimals joined by commas, and the bytes they decode to."""
@@ -150,19 +217,25 @@ class Codec:
         cut, seen = [], set()
         for text in texts:
             parts = self.added.split(text or "") if self.added else [text or ""]
-            words = [w for k, part in enumerate(parts) if part for w in ([part] if k % 2 else self._cut(part))]
+            words = [w for k, part in enumerate(parts) if part for w in ([part] if k % 2 else self._cut(part))] if len(parts) > 1 else self._cut(parts[0])
             cut.append(words)
             seen.update(words)
         for token, i in self.vocabulary.added.items():
-            known[token] = 1, f",{i}", self.vocabulary.bytes_of[i]
+            known[token] = f",{i}"
+        self.spelled.clear()
         fresh = known.fresh(seen)
         self.learn(fresh)
         out = []
         for words in cut:
-            counts, ids, spelled = zip(*[known[w] for w in words], strict=True) if words else ((), (), ())
-            out.append((sum(counts), "".join(ids)[1:], b"".join(spelled)))
+            ids = "".join([known[w] for w in words])
+            if self.spelled:
+                decoded = b"".join([self.spelled[w] if w in self.spelled else w.encode() for w in words])
+            else:
+                decoded = "".join(words).encode()
+            out.append((ids.count(","), ids[1:], decoded))
+        # Odd words are learned anew each time, and long ones are not worth the memory.
         for w in fresh:
-            if len(w) > LONGEST:
+            if len(w) > LONGEST or w in self.spelled:
                 del known[w]
         return out
 
