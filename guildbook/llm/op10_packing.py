@@ -24,21 +24,76 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildbook.llm.common import Remembered, staged, table
+from guildbook.llm.common import BLANKS, Remembered, staged, table
+from guildbook.llm.words import mix, slices
 
 CAPACITY, END = 2048, 0
 #: Pieces in a group; bins filled less than this share are opened again; words a worker remembers.
-GROUP, OPEN, REMEMBERED = 3000, 0.985, 600_000
+GROUP, OPEN, REMEMBERED = 3000, 0.985, 1_000_000
+#: Bytes of the longest word that is remembered, and characters of text that are worked on at once.
+LONGEST, PART = 64, 4_000_000
 #: Steps tried for one bin, and bins in a row that may fail to empty before the search ends.
 STEPS, FAILURES = 400, 6
 
 
+#: Classes of bytes of a lower-cased text: blanks, letters (every byte beyond ASCII is part of one), digits, all others.
+KIND = np.full(256, 3, np.uint8)
+KIND[list(BLANKS.encode())] = 0
+KIND[[*b"abcdefghijklmnopqrstuvwxyz", *range(128, 256)]] = 1
+KIND[list(b"0123456789")] = 2
+_QUOTE = ord("'")
+#: The character that a byte-level vocabulary writes for each byte: printable Latin-1 for itself, the others from U+0100 on.
+_PLAIN = [b for b in range(256) if chr(b).isprintable() and chr(b) not in " \xa0\xad"]
+SPELLED = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
+def cut_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the words that the tokenizer's pattern finds in a lower-cased text that ends with three blanks: runs of
+    letters, single digits, runs of other characters, and a quote with s, t, m, d, re, ve or ll behind it."""
+    kinds = KIND[buf]
+    edge = np.append(True, kinds[1:] != kinds[:-1]) | (kinds == 2)
+    q = np.flatnonzero(buf == _QUOTE)
+    q = q[edge[q]]  # within a run of others a quote begins nothing
+    one, two = buf[q + 1], buf[q + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = (((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    edge[q[short | long] + 1] = False
+    edge[q[short] + 2] = True
+    edge[q[long] + 3] = True
+    begin = np.flatnonzero(edge)
+    end = np.append(begin[1:], len(buf))
+    inside = kinds[begin] > 0
+    return begin[inside], end[inside]
+
+
+def keys_of(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each word, eight bytes at a time; buf has eight bytes more than the words."""
+    eight = np.ndarray((len(buf) - 7,), "<u8", buf, 0, (1,))
+    length = end - begin
+    key = mix(length.astype(np.uint64))
+    which = np.flatnonzero(length <= LONGEST)
+    for at in range(0, LONGEST, 8):
+        left = length[which] - at
+        part = eight[begin[which] + at]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        key[which] = mix(key[which] ^ part)
+        which = which[left > 8]
+        if not len(which):
+            break
+    for i in np.flatnonzero(length > LONGEST).tolist():
+        key[i] = xxhash.xxh64_intdigest(buf[begin[i] : end[i]].tobytes())
+    return key
+
+
 class Pieces:
-    """Tokenizes word by word, as the tokenizer's own pattern cuts lower-cased text; each distinct word is encoded once as long
-    as it is remembered. Texts with characters beyond Latin letters and ASCII are cut at white space instead, which no word spans."""
+    """Tokenizes word by word, as the tokenizer's own pattern cuts lower-cased text. The distinct words of a batch are found by
+    arrays, and each is encoded once as long as it is remembered. Texts with characters beyond Latin letters and ASCII are cut at
+    white space instead, which no word spans."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,34 +102,94 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known = Remembered(REMEMBERED)
+        self.model = self.tokenizer.model
+        self.four = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
+        #: Ids in little-endian bytes, of words by key and of chunks of odd texts.
+        self.known, self.chunks = Remembered(REMEMBERED), Remembered(REMEMBERED // 4)
         self.end = np.array([END], "<u4").tobytes()
         self.added = [x["content"] for x in json.loads(self.tokenizer.to_str())["added_tokens"]]
-        self.odd = re.compile("[^\t-\r -~À-ÖØ-öø-\u024f]")
-        self.words = re.compile("[a-zß-öø-\u024f]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9ß-öø-\u024f]+")
-
-    def _cut(self, text: str) -> list[str]:
-        if self.odd.search(text) or any(x in text for x in self.added):
-            return [c.decode() for c in text.encode().split()]
-        return self.words.findall(text.lower())
-
-    def ids(self, text: str) -> bytes:
-        """The ids of text and the end mark, as little-endian unsigned 32-bit numbers."""
-        words, known = self._cut(text), self.known
-        try:
-            return b"".join([known[w] for w in words]) + self.end
-        except KeyError:
-            pass
-        known.trim()
-        fresh = known.fresh(words)
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        out = b"".join([known[w] for w in words]) + self.end
-        for w in fresh:
-            if len(w) > 64:
-                del known[w]
+        # The dotted capital I becomes two characters in lower case.
+        self.odd = re.compile("[^\t-\r -~À-ÖØ-öø-\u012f\u0131-\u024f]")
+        self.blank = re.compile("[\t-\r ]")
+
+    def _word(self, word: bytes) -> bytes:
+        """Ids of one word of the pattern, by the tokenizer's model alone; it spells bytes as the byte-level step does."""
+        spelled = word.decode() if word.isascii() else word.decode("latin-1").translate(SPELLED)
+        return b"".join([self.four[t.id] for t in self.model.tokenize(spelled)])
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _odd(self, text: str) -> bytes:
+        chunks = [c.decode() for c in text.encode().split()]
+        self.chunks.trim()
+        fresh = self.chunks.fresh(chunks)
+        self.chunks.update(zip(fresh, self._encode(fresh), strict=True))
+        out = b"".join([self.chunks[c] for c in chunks])
+        for c in fresh:
+            if len(c) > LONGEST:
+                del self.chunks[c]
         return out
 
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of ASCII and Latin letters."""
+        raw = [t.lower().encode() for t in texts]
+        buf = np.frombuffer(b"\n".join(raw) + b"\n" * 8, np.uint8)
+        begin, end = cut_words(buf)
+        keys, first, place = np.unique(keys_of(buf, begin, end), return_index=True, return_inverse=True)
+        known = self.known
+        known.trim()
+        keys = keys.tolist()
+        of_word = list(map(known.get, keys))
+        lacking = [i for i, ids in enumerate(of_word) if ids is None]
+        at = first[lacking]
+        whole = buf.tobytes()
+        for i, a, b in zip(lacking, begin[at].tolist(), end[at].tolist(), strict=True):
+            ids = known.old.get(keys[i])
+            of_word[i] = ids = self._word(whole[a:b]) if ids is None else ids
+            if b - a <= LONGEST:
+                known[keys[i]] = ids
+        # Ids of all words in order, by arrays; where each text's end.
+        size = np.fromiter(map(len, of_word), np.int64, len(of_word)) // 4
+        origin = np.cumsum(size) - size
+        count = size[place]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        ids = np.frombuffer(b"".join(of_word), "<u4")[np.arange(upto[-1]) + np.repeat(origin[place] - upto[:-1], count)].tobytes()
+        starts = np.cumsum([0, *[len(r) + 1 for r in raw]])
+        cut = 4 * upto[np.searchsorted(begin, starts)]
+        return [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text and the end mark, as little-endian unsigned 32-bit numbers. Long texts are worked on in parts that
+        end before a blank, so that memory grows with the ids alone."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, owners, size = [], [], 0
+
+        def flush() -> None:
+            nonlocal held, owners, size
+            for i, ids in zip(owners, self._plain(held) if held else [], strict=True):
+                out[i].append(ids)
+            held, owners, size = [], [], 0
+
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if self.odd.search(text) or any(x in text for x in self.added):
+                out[i].append(self._odd(text))
+                continue
+            at = 0
+            while at < len(text):
+                to = self.blank.search(text, at + PART)
+                to = to.start() if to else len(text)
+                held.append(text[at:to])
+                owners.append(i)
+                size += to - at
+                at = to
+                if size >= PART:
+                    flush()
+        flush()
+        return [b"".join([*parts, self.end]) for parts in out]
+
 
 @lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
@@ -88,15 +203,15 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataF
 
     def run(batches):
         tool = pieces_of(path)
-        for batch in batches:
-            rows: list[tuple[int, int, int, int, int]] = []
-            for i, text in enumerate(batch.column("text")):
-                ids = tool.ids(text.as_py() or "")
-                rows += [(i, k, k * capacity, min(width, len(ids) - at) // 4, zlib.crc32(ids[at : at + width])) for k, at in enumerate(range(0, len(ids), width))]
-            which, piece, start, length, crc = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(which)), pa.array(piece.astype(np.int32)), *map(pa.array, (start, length, crc))], ["doc_id", "piece", "start", "length", "ids_crc32"]
-            )
+        for whole in batches:
+            for batch in slices(whole, most=2 * PART):
+                rows: list[tuple[int, int, int, int, int]] = []
+                for i, ids in enumerate(tool.encode(batch.column("text").to_pylist())):
+                    rows += [(i, k, k * capacity, min(width, len(ids) - at) // 4, zlib.crc32(ids[at : at + width])) for k, at in enumerate(range(0, len(ids), width))]
+                which, piece, start, length, crc = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(which)), pa.array(piece.astype(np.int32)), *map(pa.array, (start, length, crc))], ["doc_id", "piece", "start", "length", "ids_crc32"]
+                )
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
 
