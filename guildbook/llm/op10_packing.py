@@ -1,7 +1,7 @@
 """Best-fit packing of documents into sequences, improved by swap-based local search.
 
-Documents become pieces of at most `capacity` tokens. Pieces are dealt over groups of a fixed size by a hash of their id; each
-group is packed best fit, longest first, and then improved: the emptiest bin gives its pieces away by moves, by swaps of one
+Documents become pieces of at most `capacity` tokens. Pieces are dealt over groups of a fixed size by a hash of their row number
+(given once, when they are written, so repeated rows and rows without doc_id spread like all others); each group is packed best fit, longest first, and then improved: the emptiest bin gives its pieces away by moves, by swaps of one
 for one and of two for one with other underfull bins, each step raising the sum of squared fills, until the bin is empty or
 no step is left. Bins that stay clearly underfull are opened again and repacked together over the groups, so that a group's
 remainder doesn't cost a bin of its own.
@@ -36,8 +36,8 @@ CAPACITY, END = 2048, 0
 GROUP, OPEN, REMEMBERED = 3000, 0.985, 1_000_000
 #: Bytes of the longest word that is remembered, and characters of text that are worked on at once.
 LONGEST, PART = 64, 4_000_000
-#: Steps tried for one bin, and bins in a row that may fail to empty before the search ends.
-STEPS, FAILURES = 400, 6
+#: Bins in a row that may fail to empty before the search ends; None tries every bin.
+FAILURES = 6
 
 
 #: Classes of bytes of a lower-cased text: blanks, letters (every byte beyond ASCII is part of one), digits, all others.
@@ -247,12 +247,12 @@ class Bins:
         self.fill[b] += n
         self._file(b)
 
-    def improve(self) -> None:
+    def improve(self, failures_allowed: int | None = FAILURES) -> None:
         """Empty the emptiest bins by moves and swaps, as long as the room elsewhere could take them."""
         alive = {b for b in range(len(self.items)) if self.items[b]}
         failures = 0
         kept: set[int] = set()
-        while failures < FAILURES:
+        while failures_allowed is None or failures < failures_allowed:
             under = [b for b in alive if self.fill[b] < self.capacity]
             givers = [b for b in under if b not in kept]
             if not givers:
@@ -304,9 +304,14 @@ class Bins:
             return False
 
         def swap() -> bool:
-            """One piece, or two, for a shorter one of a taker; the step that fills a bin most."""
-            own = self.items[giver]
-            gifts = [(lengths[i], [i]) for i in own] + [(lengths[i] + lengths[j], [i, j]) for k, i in enumerate(own) for j in own[k + 1 : k + 12]]
+            """One piece, or two, for a shorter one of a taker; the step that fills a bin most. Pieces of one length are alike, so
+            the gifts are those of distinct lengths, of which a bin holds few (their sum is at most the capacity)."""
+            alike: dict[int, list[int]] = {}
+            for i in self.items[giver]:
+                alike.setdefault(lengths[i], []).append(i)
+            sizes = sorted(alike, reverse=True)
+            pairs = [(m + n, [alike[m][0], alike[n][0]]) for k, m in enumerate(sizes) for n in sizes[k + 1 :]]
+            gifts = [(n, [alike[n][0]]) for n in sizes] + pairs + [(2 * n, alike[n][:2]) for n in sizes if len(alike[n]) > 1]
             most = max(takers.values(), default=0)
             for gain in range(most, 0, -1):
                 for n, into in gifts:
@@ -316,21 +321,20 @@ class Bins:
                         return True
             return False
 
-        for _ in range(STEPS):
-            if not self.items[giver]:
-                return True
+        # Each step fills the others more, so there are at most as many as the giver holds tokens.
+        while self.items[giver]:
             if not move() and not swap():
                 return False
-        return not self.items[giver]
+        return True
 
 
-def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
+def pack(lengths: np.ndarray, capacity: int = CAPACITY, failures: int | None = FAILURES) -> tuple[np.ndarray, np.ndarray]:
     """A bin number and an offset for each piece."""
     bins = Bins([int(n) for n in lengths], capacity)
     for i in np.argsort(-lengths, kind="stable"):
         bins.best_fit(int(i))
     if len(bins.items) > -(-int(lengths.sum()) // capacity):
-        bins.improve()
+        bins.improve(failures)
     number, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     for b, items in enumerate(x for x in bins.items if x):
         at = 0
@@ -344,7 +348,7 @@ def _pack_groups(pieces: DataFrame, capacity: int, turn: int) -> DataFrame:
     """Packs each group on its own. sequence_id: the group's number and the bin's, and which turn made it."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["length", "row"], ascending=[False, True], kind="stable", ignore_index=True)
         number, offset = pack(pdf["length"].to_numpy(), capacity)
         fill = np.bincount(number, pdf["length"].to_numpy()).astype(np.int64)
         return pdf.assign(sequence_id=(pdf["group"] * 2 + turn) * (1 << 24) + number, offset=offset, fill=fill[number])
@@ -355,16 +359,17 @@ def _pack_groups(pieces: DataFrame, capacity: int, turn: int) -> DataFrame:
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """Per piece of docs (doc_id, text): doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = staged(cut_documents(docs, path, capacity), "pieces")
+    # Once written, a piece's row number tells it from all others, equal ones and those without doc_id too.
+    pieces = staged(cut_documents(docs, path, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces")
     full = pieces.filter(F.col("length") == capacity)  # sequences of their own
     rest = pieces.filter(F.col("length") < capacity)
-    spread = lambda n, seed: F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(seed)), F.lit(max(1, -(-n // group)))).cast("long")
+    spread = lambda n, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(max(1, -(-n // group)))).cast("long")
     first = staged(_pack_groups(rest.withColumn("group", spread(rest.count(), 1)), capacity, 0), "packed")
     low = F.col("fill") < OPEN * capacity
     open_ = first.filter(low).drop("sequence_id", "offset", "fill", "group")
     again = _pack_groups(open_.withColumn("group", spread(first.filter(low).count(), 2)), capacity, 1)
-    # Full pieces: numbers below zero, distinct by the place of the row.
-    alone = full.withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    # Full pieces: numbers below zero.
+    alone = full.withColumn("sequence_id", -1 - F.col("row")).withColumn("offset", F.lit(0).cast("long"))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     return alone.select(columns).unionByName(first.filter(~low).select(columns)).unionByName(again.select(columns))
 
