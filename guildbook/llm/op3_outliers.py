@@ -7,9 +7,16 @@ whose Mahalanobis distance is beyond the cutoff goes.
 The estimate concentrates step by step from two starts (median and spread of each statistic; mean and covariance of all):
 distances to the present estimate, the nearest share of rows, their mean and covariance, again. A step is one aggregation:
 moments per group and bucket of the distance, which Spark sums on the map side whatever a group's size; a group's few hundred
-buckets then give the nearest rows' moments. The start with the smaller determinant wins. No group is gathered anywhere.
+buckets then give the nearest rows' moments. Steps go on until no determinant changes. The start with the smaller determinant
+wins. No group is gathered anywhere.
 
-Groups of less than MIN_ROWS rows are pooled by language, and then over all; if that is still too small, all are kept.
+The scatter of the nearest rows is too narrow for all rows; the consistency factor for normal data widens it, and the cutoff is
+the quantile of the chi-square distribution with as many degrees of freedom as there are statistics. Only a variance below the
+floor of its statistic is raised to that floor, so that a statistic that hardly varies in a group (no symbols in most texts)
+doesn't reject every other value.
+
+Groups of less than MIN_ROWS rows that pass the base rule are pooled by language, and then over all; if that is still too small,
+all are kept.
 
 Defined cases: null and empty texts have no words and fail the base rule; null language and null source are groups; every
 row gives one row; an empty table gives no rows; extra columns are ignored.
@@ -17,6 +24,8 @@ row gives one row; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -27,14 +36,37 @@ from guildbook.llm.common import staged, table
 from guildbook.llm.words import Words, mix, slices, texts_of, windows
 
 MIN_WORDS, REPEATED_SHARE, WINDOW = 10, 20, 5
-#: Share of a group's rows the estimate rests on, steps, rows a group needs, and the cutoff on the squared distance.
-NEAREST, STEPS, MIN_ROWS, CUTOFF = 0.75, 5, 60, 60.0
-#: The statistics, and the least spread of each, so that one that hardly varies in a group doesn't reject every other value.
+#: Share of a group's rows the estimate rests on, most steps, rows a group needs, and the share of normal rows that are kept.
+NEAREST, STEPS, MIN_ROWS, KEPT = 0.75, 20, 60, 0.9999
+#: The statistics, and the least spread of each. Lines are few, so their share is taken of LINES more: one of five isn't a fault.
 STATISTICS = ("log_words", "word_length", "symbols", "repeated_lines", "repeated_words")
-FLOOR = (0.5, 0.12, 0.08, 0.08, 0.08)
+FLOOR, LINES = (0.5, 0.12, 0.05, 0.06, 0.15), 20
 P = len(STATISTICS)
 BUCKETS = 12  # per factor e of the squared distance
 
+
+
+def chi_square(x: float, degrees: int) -> float:
+    """The distribution function for an odd number of degrees of freedom."""
+    total, term = 0.0, 1.0
+    for k in range((degrees - 1) // 2):
+        total += term
+        term *= x / (2 * k + 3)
+    return math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * total
+
+
+def chi_square_quantile(share: float, degrees: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle, degrees) < share else (low, middle)
+    return (low + high) / 2
+
+
+#: What widens the scatter of the nearest rows to that of all, and the cutoff on the squared distance.
+CONSISTENCY = NEAREST / chi_square(chi_square_quantile(NEAREST, P), P + 2)
+CUTOFF = chi_square_quantile(KEPT, P)
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -99,17 +131,18 @@ def vector() -> Column:
         F.log(words.cast("double")),
         F.log(F.greatest(F.col("word_chars") / words, F.lit(0.5))),
         F.sqrt(F.col("n_symbols") / (F.col("word_chars") + 1)),
-        F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
+        F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + LINES)),
         F.sqrt(F.col("n_repeat_words") / words),
     )
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """rows with `grp`: language and source, or what a small group is pooled into; null where even all rows are too few."""
-    sized = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
+    """rows with `grp`: language and source, or what a group with few usable rows is pooled into; null where even all are too few."""
+    usable = rows.filter(~F.col("base_failed"))
+    sized = usable.groupBy("lang", "source").agg(F.count("*").alias("n"))
     names = sized.withColumn("small", F.col("n") < MIN_ROWS)
     by_lang = names.filter("small").groupBy("lang").agg(F.sum("n").alias("m"))
-    total = rows.count()
+    total = usable.count()
     names = staged(names, "sizes").alias("s").join(by_lang.alias("l"), F.col("s.lang").eqNullSafe(F.col("l.lang")), "left").select("s.lang", "s.source", "small", "m")
     whole = F.to_json(F.struct(F.lit(2).alias("k"))) if total >= MIN_ROWS else F.lit(None).cast("string")
     grp = (
@@ -130,13 +163,13 @@ def _moments() -> list[Column]:
     return [F.array(*[F.sum(a) for a in x]).alias("s"), F.array(*[F.sum(x[i] * x[j]) for i, j in _PAIRS]).alias("q"), F.count("*").alias("n")]
 
 
-def _estimate(n: float, s: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Centre, inverse of the scatter and the logarithm of its determinant; the spread has a floor."""
+def _estimate(n: float, s: np.ndarray, q: np.ndarray, wider: float = 1.0) -> tuple[np.ndarray, np.ndarray, float]:
+    """Centre, inverse of the scatter (times wider) and the logarithm of its determinant; variances below the floor are raised to it."""
     centre = s / n
     scatter = np.zeros((P, P))
     for (i, j), x in zip(_PAIRS, q, strict=True):
-        scatter[i, j] = scatter[j, i] = x / n - centre[i] * centre[j]
-    scatter += np.diag(np.square(FLOOR))
+        scatter[i, j] = scatter[j, i] = wider * (x / n - centre[i] * centre[j])
+    scatter[np.diag_indices(P)] = np.maximum(np.diag(scatter), np.square(FLOOR))
     sign, logdet = np.linalg.slogdet(scatter)
     if sign <= 0 or not np.isfinite(logdet):
         scatter = np.diag(np.diag(scatter).clip(1e-6))
@@ -156,7 +189,7 @@ def _nearest(pdf: pd.DataFrame) -> pd.DataFrame:
     n = pdf["n"].to_numpy()
     last = int(np.searchsorted(np.cumsum(n), NEAREST * n.sum()))
     take = slice(0, last + 1)
-    centre, inverse, logdet = _estimate(n[take].sum(), np.stack(pdf["s"])[take].sum(axis=0), np.stack(pdf["q"])[take].sum(axis=0))
+    centre, inverse, logdet = _estimate(n[take].sum(), np.stack(pdf["s"])[take].sum(axis=0), np.stack(pdf["q"])[take].sum(axis=0), CONSISTENCY)
     return pd.DataFrame({"grp": pdf["grp"].iloc[:1], "start": pdf["start"].iloc[:1], "centre": [centre.tolist()], "inverse": [inverse.ravel().tolist()], "logdet": [logdet], "n": [int(n.sum())]})
 
 
@@ -170,7 +203,7 @@ def _starts(rows: DataFrame) -> DataFrame:
             for r in pdf.to_dict("records"):
                 quarters = np.stack([r[f"m{i}"] for i in range(P)])
                 spread = (quarters[:, 2] - quarters[:, 0]) / 1.349
-                plain = np.diag(1 / (np.square(spread) + np.square(FLOOR)))
+                plain = np.diag(1 / np.maximum(np.square(spread), np.square(FLOOR)))
                 out.append((r["grp"], 0, quarters[:, 1].tolist(), plain.ravel().tolist(), 0.0, r["n"]))
                 centre, inverse, _ = _estimate(r["n"], np.array(r["s"]), np.array(r["q"]))
                 out.append((r["grp"], 1, centre.tolist(), inverse.ravel().tolist(), 0.0, r["n"]))
@@ -187,7 +220,10 @@ def robust_models(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         bucket = F.floor(BUCKETS * F.log(F.greatest(far, F.lit(1e-4)))).cast("int")
         placed = rows.join(models.select("grp", "start", "centre", "inverse"), "grp").select("grp", "start", "v", bucket.alias("bucket"))
         sums = placed.groupBy("grp", "start", "bucket").agg(*_moments())
+        before = models.select("grp", "start", F.col("logdet").alias("was"))
         models = staged(sums.groupBy("grp", "start").applyInPandas(_nearest, MODEL), "models")
+        if models.join(before, ["grp", "start"]).filter(F.abs(F.col("logdet") - F.col("was")) > 1e-3).isEmpty():
+            break
     return models.groupBy("grp").agg(F.min_by(F.struct("centre", "inverse"), F.struct("logdet", "start")).alias("m")).select("grp", "m.centre", "m.inverse")
 
 
