@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guildbook.llm.common import staged, table
-from guildbook.llm.spans import Rule, joined, with_matches
+from guildbook.llm.spans import Rule, joined, let, with_matches
 
 # Given names of the gazetteer.
 GIVEN_NAMES = """James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph
@@ -143,11 +143,24 @@ def candidates(docs: DataFrame) -> DataFrame:
 
         return F.transform(F.col(kind), one)
 
-    found = found.select("doc_id", F.concat(*[rows(k) for k in KINDS]).alias("spans"))
-    found = found.withColumn("sure", F.filter("spans", lambda s: s["base"]))
-    # A span beyond the base ones must not lie over one.
-    open_ = F.filter("spans", lambda s: s["base"] | ~F.exists("sure", lambda b: (b["at"] < s["to"]) & (s["at"] < b["to"])))
-    return found.select("doc_id", open_.alias("spans"))
+    return found.select("doc_id", let(F.concat(*[rows(k) for k in KINDS]), lambda spans: _clear(spans)).alias("spans"))
+
+
+def _clear(spans: Column, block: int = 64) -> Column:
+    """spans without those that lie over a base one. The base spans are looked through in blocks, of which only those that reach to
+    a span are opened."""
+    sure = F.array_sort(F.transform(F.filter(spans, lambda s: s["base"]), lambda s: F.struct(s["at"], s["to"])))
+
+    def blocks(s):
+        count = F.ceil(F.size(s) / block).cast("int")
+        places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+        parts = F.transform(places, lambda k: F.slice(s, k * block + 1, F.lit(block)))
+        return F.transform(parts, lambda p: F.struct(p[0]["at"].alias("at"), F.array_max(F.transform(p, lambda x: x["to"])).alias("to"), p.alias("all")))
+
+    def over(a, b):
+        return (a["at"] < b["to"]) & (b["at"] < a["to"])
+
+    return let(let(sure, blocks), lambda bs: F.filter(spans, lambda s: s["base"] | ~F.exists(bs, lambda b: over(b, s) & F.exists(b["all"], lambda x: over(x, s)))))
 
 
 def _em(patterns: Column) -> Column:
@@ -197,17 +210,13 @@ def find_pii(docs: DataFrame, threshold: float = 0.95) -> DataFrame:
     found = staged(candidates(docs), "pii")
     # At most len(KINDS) x (4 labelers x 3 votes + buckets + 1) numbers.
     weights = {(r["rank"], r["place"], r["value"]): r["weight"] for r in train(found).collect()}
-    if weights:
-        flat = [x for (rank, place, value), w in sorted(weights.items()) for x in (F.lit(f"{rank}:{place}:{value}"), F.lit(float(w)))]
-        model = F.create_map(*flat)
-    else:
-        model = F.expr("cast(map() as map<string,double>)")
-
-    def weight(rank, place, value):
-        return F.coalesce(model[F.concat_ws(":", rank.cast("string"), place.cast("string"), value.cast("string"))], F.lit(0.0))
+    places = LABELERS + 3  # the constant, the votes, two buckets
+    width = max(VOTES, LENGTHS, DIGITS)
+    model = F.array(*[F.lit(float(weights.get((rank, place - 1, value), 0.0))) for rank in range(len(KINDS)) for place in range(places) for value in range(width)])
 
     def sure(s):
-        odds = F.aggregate(F.transform(s["f"], lambda v, i: weight(s["rank"], i, v)), weight(s["rank"], F.lit(-1), F.lit(0)), lambda a, w: a + w)
+        first = s["rank"] * places
+        odds = F.aggregate(F.transform(s["f"], lambda v, i: model[(first + i + 1) * width + v]), model[first * width], lambda a, w: a + w)
         return s["base"] | (1 / (1 + F.exp(-odds)) >= threshold)
 
     kept = F.array_sort(F.transform(F.filter("spans", sure), lambda s: F.struct(s["rank"], s["at"], s["to"], s["base"])))

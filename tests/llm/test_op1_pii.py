@@ -81,3 +81,14 @@ def test_em_trusts_agreeing_labelers(spark):
     df = spark.createDataFrame([([3 * i + v for i, v in enumerate(vs)], float(n)) for vs, n in votes], "v array<int>, n double")
     m = df.agg(F.collect_list(F.struct("v", "n")).alias("p")).select(op1_pii._em(F.col("p")).alias("m")).first()["m"]
     assert m["pos"][2] > 0.8 and m["neg"][1] > 0.7 and 0.3 < m["prior"] < 0.6
+
+
+def test_a_long_log_of_addresses(spark):
+    """Time grows with the number of matches, not with its square; every base span is found, and no other lies over one."""
+    line, n = "10.0.0.1 a.b@c.org call (555) 222-3333\n", 20_000
+    row = op1_pii.find_pii(rows(spark, [line * n])).first()
+    by_kind = {}
+    for s in row["spans"]:
+        by_kind.setdefault(op1_pii.KINDS[s["rank"]], []).append((s["at"], s["to"]))
+    assert by_kind["ip"] == [(len(line) * i, len(line) * i + 8) for i in range(n)]
+    assert by_kind["email"] == [(len(line) * i + 9, len(line) * i + 18) for i in range(n)]
