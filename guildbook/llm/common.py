@@ -44,6 +44,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with a tail where a column has it, so that working columns can't clash with those of a table."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def same(*pairs) -> F.Column:
     """Null-safe equality of all given pairs of columns."""
     out = None

@@ -6,7 +6,9 @@ the rule version in use, appends what it finds (an empty list too, so that clean
 ledger's findings back to all paths.
 
 Copies fall together by their digest before any text moves, so a blob with a million paths is scanned once; the join back
-is on digests only, and both its sides are plain tables, so that Spark can split a hot digest.
+is on digests only, and both its sides are plain tables, so that Spark can split a hot digest. Texts whose digest can't be one
+of the unseen (told by a bounded broadcast of digest residues) stay where they are; only the others are shuffled, to meet the
+row that was chosen for their blob. Two scans at once may both append a blob; readers take one of its rows.
 
 Defined cases: null text counts as empty; null doc_id is a path like any other; repeated rows each get their row; empty
 tables give no rows; extra columns are ignored.
@@ -16,8 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from guildbook.llm.common import new_folder, staged, table
+from guildbook.llm.common import new_folder, staged, table, unused
 from guildbook.llm.spans import Rule, joined, with_matches
 
 RULES = "1"
@@ -30,6 +33,8 @@ MORE = [
     Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", "eyJ"),
 ]
 KINDS = [r.kind for r in BASE + MORE]
+#: Residues of digests that are told to all tasks before texts are shuffled.
+RESIDUES = 1 << 20
 LEDGER = "blob binary, rules string, spans array<struct<at:int,rank:int,to:int>>"
 
 
@@ -69,40 +74,54 @@ def update_ledger(docs: DataFrame, folder: str, rules: str = RULES) -> DataFrame
     versions = staged(docs.select("doc_id", "blob"), "versions")
     new = staged(unseen(versions, _ledger(docs.sparkSession, folder), rules), "unseen")
     chosen = new.select(F.col("doc_id").alias("chosen_id"), F.col("blob").alias("chosen_blob")).hint("shuffle_hash")
+    # At most RESIDUES rows of one number, whatever the input.
+    residue = lambda blob: F.pmod(F.xxhash64(blob), F.lit(RESIDUES)).cast("int")
+    hopeful = staged(new.select(residue("blob").alias("residue")).distinct(), "residues")
+    docs = docs.withColumn("residue", residue("blob")).join(F.broadcast(hopeful), "residue", "left_semi")
     blobs = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["chosen_id"]) & (docs["blob"] == chosen["chosen_blob"]), "left_semi")
     found = scan_blobs(blobs).dropDuplicates(["blob"])  # repeated rows of one path hold the same blob
     found.select("blob", F.lit(rules).alias("rules"), "spans").write.mode("append").parquet(folder)
     return versions
 
 
+def known(spark: SparkSession, folder: str, rules: str = RULES) -> DataFrame:
+    """blob and spans, one row per blob that was scanned under these rules."""
+    ledger = spark.read.schema(LEDGER).parquet(folder).filter(F.col("rules") == rules)
+    return ledger.groupBy("blob").agg(F.first("spans").alias("spans"))
+
+
 def findings(versions: DataFrame, folder: str, rules: str = RULES) -> DataFrame:
     """doc_id, blob, spans of every version."""
-    ledger = versions.sparkSession.read.schema(LEDGER).parquet(folder).filter(F.col("rules") == rules).select("blob", "spans")
-    return versions.join(ledger, "blob", "left")
+    return versions.join(known(versions.sparkSession, folder, rules), "blob", "left")
 
 
 def scan(docs: DataFrame, folder: str, rules: str = RULES) -> DataFrame:
     return findings(update_ledger(docs, folder, rules), folder, rules)
 
 
+@F.udf(StringType(), useArrow=True)
+def _redacted(text: str | None, spans: list | None, mark: str) -> str | None:
+    """text with its spans (in order of their starts) put out; Python slices a text in linear time, SQL counts code points anew."""
+    if text is None or not spans:
+        return text
+    out, at = [], 0
+    for s in spans:
+        if s["at"] >= at:
+            out += [text[at : s["at"]], mark]
+        at = max(at, s["to"])
+    return "".join([*out, text[at:]])
+
+
 def redact(docs: DataFrame, folder: str, mark: str = "[SECRET]", rules: str = RULES) -> DataFrame:
-    """docs with every secret in text put out by mark; overlapping spans become one mark."""
+    """docs with every secret in text put out by mark; overlapping spans become one mark. Null texts stay null; all columns stay."""
     update_ledger(docs, folder, rules)
-    ledger = docs.sparkSession.read.schema(LEDGER).parquet(folder).filter((F.col("rules") == rules) & (F.size("spans") > 0))
-    ledger = ledger.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    keyed = docs.withColumn("_key", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    joined_ = keyed.join(ledger, keyed["_key"] == ledger["_blob"], "left")
-
-    def cut(acc, s):
-        """Text up to the span and a mark; only what goes beyond the last span counts."""
-        piece = F.substring(F.col("text"), acc["at"] + 1, F.greatest(F.lit(0), s["at"] - acc["at"]))
-        fresh = s["at"] >= acc["at"]
-        said = F.when(fresh, F.concat(piece, F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["to"]).alias("at"), F.array_append(acc["parts"], said).alias("parts"))
-
-    begin = F.expr("struct(0 as at, cast(array() as array<string>) as parts)")
-    text = F.aggregate("_spans", begin, cut, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    return joined_.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(text)).select(*docs.columns)
+    key, blob, spans = unused(docs.columns, "_key", "_blob", "_spans")
+    ledger = known(docs.sparkSession, folder, rules).filter(F.size("spans") > 0).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    keyed = docs.withColumn(key, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    joined_ = keyed.join(ledger, F.col(key) == F.col(blob), "left")
+    # Only texts with spans go through Python.
+    new = _redacted(F.when(F.col(spans).isNotNull(), F.col("text")), F.col(spans), F.lit(mark))
+    return joined_.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(new)).select(*docs.columns)
 
 
 def count(kind: str) -> Column:

@@ -68,3 +68,23 @@ def test_repeated_rows_and_empty_table(spark):
     assert op.scan(rows(spark, []), new_folder(spark, "ledger")).count() == 0
     kept = op.redact(rows(spark, ["a token=aaaaaaaaaaaaaaaa b 0123456789abcdef0", None, "é"]), new_folder(spark, "ledger")).orderBy("doc_id").collect()
     assert [r["text"] for r in kept] == ["a [SECRET] b [SECRET]", None, "é"] and kept[0]["rules"] == "r"
+
+
+def test_two_scans_at_once_do_no_harm(spark):
+    """Both append the same blobs; every path still gets one row, and texts are redacted once."""
+    docs, folder = rows(spark, ["token=aaaaaaaaaaaaaaaa", "clean", "clean"]), new_folder(spark, "ledger")
+    versions = op.update_ledger(docs, folder)
+    spark.read.parquet(folder).write.mode("append").parquet(new_folder(spark, "other"))
+    twice = spark.read.parquet(folder).collect()
+    spark.createDataFrame(twice, op.LEDGER).write.mode("append").parquet(folder)
+    assert spark.read.parquet(folder).count() == 4
+    assert op.findings(versions, folder).count() == 3
+    assert sorted(r["text"] for r in op.redact(docs, folder).collect()) == ["[SECRET]", "clean", "clean"]
+
+
+def test_many_spans_in_one_long_text(spark):
+    text = "é token=aaaaaaaaaaaaaaaa\n" * 40_000
+    df = rows(spark, [text])
+    got = op.scan(df, new_folder(spark, "ledger")).first()["spans"]
+    assert [(s["at"], s["to"]) for s in got if s["rank"] == 0] == [(2 + 25 * i, 24 + 25 * i) for i in range(40_000)]
+    assert op.redact(df, new_folder(spark, "ledger")).first()["text"] == "é [SECRET]\n" * 40_000
