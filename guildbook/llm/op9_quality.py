@@ -124,6 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> np.ndar
     # max_rows rows of two numbers: small enough for a broadcast whatever the input.
     sample = usable.orderBy(order, "doc_id").limit(max_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "quality")
+    # One text per sampled doc_id, the one with the least digest, so that repeated ids don't grow the sample.
+    rows = rows.groupBy("doc_id", "quality").agg(F.min_by("text", F.sha2("text", 256)).alias("text")).select("doc_id", "text", "quality")
 
     def learn(pdfs):
         pdf = pd.concat([*pdfs, pd.DataFrame({"doc_id": [], "text": [], "quality": []})])
@@ -135,8 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> np.ndar
     return np.frombuffer(found[0]["weights"], np.float32) if found else train([], np.zeros(0))
 
 
-def score_documents(docs: DataFrame, weights: np.ndarray, columns: list[str] | None = None) -> DataFrame:
-    """docs' columns (doc_id and text at least) and score."""
+def score_documents(docs: DataFrame, weights: np.ndarray, columns: list[str] | None = None, score_name: str = "score") -> DataFrame:
+    """The given columns of docs (doc_id if none are given) and the score of text."""
     columns = columns or ["doc_id"]
     held = docs.sparkSession.sparkContext.broadcast(weights)
     kept = docs.select(*dict.fromkeys([*columns, "text"]))
@@ -145,13 +147,13 @@ def score_documents(docs: DataFrame, weights: np.ndarray, columns: list[str] | N
         for batch in batches:
             for part in slices(batch):
                 scores = score(texts_of(part), held.value)
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], pa.array(scores)], [*columns, "_score"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], pa.array(scores)], [*columns, score_name])
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns) + ", _score double"
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns) + f", `{score_name}` double"
     return kept.mapInArrow(run, schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= CUTOFF).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUTOFF).cast("int").alias("predicted"))

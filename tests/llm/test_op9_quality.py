@@ -24,7 +24,7 @@ def test_labels_and_names_are_no_inputs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     weights = op.fit(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
     rows = spark.createDataFrame([(1, "some text here", "en", "a"), (2, "some text here", "de", None)], "doc_id long, text string, lang string, source string")
-    assert len({r["_score"] for r in op.score_documents(rows, weights).collect()}) == 1
+    assert len({r["score"] for r in op.score_documents(rows, weights).collect()}) == 1
 
 
 def test_defined_cases(spark):
@@ -32,7 +32,7 @@ def test_defined_cases(spark):
     for labels in ([], [(1, 1), (1, 0), (2, None), (None, 1)], [(i, i % 2) for i in range(9)]):
         weights = op.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
         got = op.score_documents(docs, weights).collect()
-        assert len(got) == 6 and all(0 <= r["_score"] <= 1 for r in got)
+        assert len(got) == 6 and all(0 <= r["score"] <= 1 for r in got)
     assert op.score_documents(docs.limit(0), weights).count() == 0
 
 
