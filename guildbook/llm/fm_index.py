@@ -54,35 +54,34 @@ class FMIndex:
     """Index of a text of symbols (0 ends a passage), for patterns of up to `width` symbols.
 
     Suffixes are ordered by their first 2^k >= width + 1 symbols, by doubling; for patterns no longer than that, backward
-    search gives the same ranges as with a full suffix array."""
+    search gives the same ranges as with a full suffix array. What stays of the suffixes is a bit for each (whether it differs from
+    the one before it within width - 1 symbols) and, in their order, one 32-bit value of the caller's for each."""
 
-    def __init__(self, text: np.ndarray, symbols: int, width: int):
-        self.width = width
-        n = len(text)
+    def __init__(self, text: np.ndarray, symbols: int, width: int, value: np.ndarray):
+        self.width, self.n = width, len(text)
         ranks = {1: text.astype(np.int64)}
         step = 1
         while step <= width:
             r = ranks[step]
-            ranks[2 * step] = _dense(r, np.append(r[step:] + 1, np.zeros(min(step, n), np.int64))[:n])
+            ranks[2 * step] = _dense(r, np.append(r[step:] + 1, np.zeros(min(step, self.n), np.int64))[: self.n])
             step *= 2
-        self.places = np.argsort(ranks[step], kind="stable")
-        self.tree = WaveletTree(text[self.places - 1], symbols)
+        places = np.argsort(ranks[step], kind="stable")
+        self.tree = WaveletTree(text[places - 1], symbols)
         self.less = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])
-        self.full = self._groups(ranks, width)
-        self.short = self._groups(ranks, width - 1)
-
-    def _groups(self, ranks: dict[int, np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each place in suffix order the number of its group of suffixes equal in `depth` symbols; where groups begin."""
-        n, r, at = len(self.places), None, 0
+        self.value = value[places].astype(np.int32)
+        differs = self._differs(ranks, width - 1, places)
+        self.differs, self.begins = Bits(differs), np.append(np.flatnonzero(differs), self.n).astype(np.int32)
+
+    def _differs(self, ranks: dict[int, np.ndarray], depth: int, places: np.ndarray) -> np.ndarray:
+        """For each suffix in order whether its first `depth` symbols are others than those of the suffix before it."""
+        out, at = np.zeros(self.n, bool), 0
+        out[:1] = True
         for size in sorted(ranks, reverse=True):
             if depth & size:
-                part = ranks[size]
-                part = np.append(part[at:] + 1, np.zeros(min(at, n), np.int64))[:n]
-                r = part if r is None else _dense(r, part)
+                part = np.append(ranks[size][at:] + 1, np.zeros(min(at, self.n), np.int64))[: self.n][places]
+                out[1:] |= part[1:] != part[:-1]
                 at += size
-        r = r[self.places]
-        new = np.append(True, r[1:] != r[:-1])
-        return np.cumsum(new) - 1, np.append(np.flatnonzero(new), n)
+        return out
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search: the ranges of symbol + pattern from those of the patterns."""
@@ -90,15 +89,24 @@ class FMIndex:
 
     def shorten(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranges of the patterns without their last symbol, from patterns of full width."""
-        group, begin = self.short
-        return begin[group[low]], begin[group[low] + 1]
+        at = self.differs.rank(low + 1)
+        return self.begins[at - 1].astype(np.int64), self.begins[at].astype(np.int64)
+
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The least value in each range of a pattern of full width; such ranges are equal or apart, so each is read once."""
+        if not len(low):
+            return low
+        begin, first, which = np.unique(low, return_index=True, return_inverse=True)
+        edges = np.stack([begin, high[first]], axis=1).ravel()
+        values = np.append(self.value, np.iinfo(np.int32).max)
+        return np.minimum.reduceat(values, edges)[::2][which]
 
     def windows(self, text: np.ndarray, begin: np.ndarray, length: np.ndarray):
         """Streams passages of a text from their ends: yields for each step (which passages, the place in the text where their
         window of full width begins, low and high of its range). The matching statistic there is the width, if high > low."""
         order = np.argsort(-length, kind="stable")
         begin, length = begin[order], length[order]
-        low, high = np.zeros(len(order), np.int64), np.full(len(order), len(self.places), np.int64)
+        low, high = np.zeros(len(order), np.int64), np.full(len(order), self.n, np.int64)
         for t in range(int(length[0]) if len(length) else 0):
             m = int(np.searchsorted(-length, -t, "left"))  # passages of more than t symbols
             low, high = low[:m], high[:m]

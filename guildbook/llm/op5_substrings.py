@@ -6,7 +6,7 @@ wherever the window stands. Anchors that occur once can't belong to a repeated w
 Neighbouring windows with one anchor form a passage. Equal passages fall together before anything else (all but the first
 are repeats as they are). The distinct passages of a shard are indexed: their words' Burrows-Wheeler transform in a wavelet
 tree. Every passage is then streamed through its shard's index by backward search, which gives the range of each window of
-full width; windows whose range holds an earlier start are reported, and go.
+full width; windows whose range holds an earlier start (the least one in the range decides) are reported, and go.
 
 Identical texts are set apart by digest at the start: the first one stays in the search, the others are repeats as a whole.
 An anchor with very many distinct passages (a common phrase in many contexts) is split into its single windows. Equal ones fall
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildbook.llm.common import same, staged, table
+from guildbook.llm.common import same, staged, table, unused
 from guildbook.llm.fm_index import FMIndex
 from guildbook.llm.words import Words, slices, texts_of, windows
 
@@ -130,7 +130,6 @@ def search(pdf: pd.DataFrame) -> pd.DataFrame:
     begin = w.first[:-1] + np.arange(len(length))  # a 0 behind each passage
     text = np.zeros(len(symbol) + len(length), np.int64)
     text[np.arange(len(symbol)) + w.doc] = symbol + 1
-    index = FMIndex(text, len(known) + 1, WIDTH)
     # Order of all places: by document, start, mark.
     passage = np.repeat(np.arange(len(length)), length + 1)
     inside = np.arange(len(text)) - begin[passage]
@@ -139,13 +138,11 @@ def search(pdf: pd.DataFrame) -> pd.DataFrame:
     order = np.lexsort((marks[passage], pdf["start"].to_numpy()[passage] + inside, ids[passage]))
     turn = np.empty(len(text), np.int64)
     turn[order] = np.arange(len(text))
-    group, first_of = index.full
-    least = np.minimum.reduceat(turn[index.places], first_of[:-1])
-    found = [np.zeros((2, 0), np.int64)]
-    for which, place, low, high in index.windows(text, begin, length):
-        late = (high > low) & (least[group[low]] < turn[place])
-        found.append(np.stack([which[late], inside[place[late]]]))
-    which, offset = np.concatenate(found, axis=1)
+    index = FMIndex(text, len(known) + 1, WIDTH, turn)
+    # Every window of every passage is looked up by backward search; the least turn in its range tells whether it starts earlier.
+    which, place, low, high = (np.concatenate(x) for x in zip((np.zeros(0, np.int64),) * 4, *index.windows(text, begin, length), strict=True))
+    late = index.least(low, high) < turn[place]
+    which, offset = which[late], inside[place[late]]
     at = np.lexsort((offset, which))
     which, offset = which[at], offset[at]
     cut = np.flatnonzero(np.append(True, (which[1:] != which[:-1]) | (offset[1:] != offset[:-1] + 1))) if len(which) else which
@@ -206,10 +203,12 @@ def _mask(n: int, spans: list[dict]) -> np.ndarray:
     return np.cumsum(cover[:-1]) == 0
 
 
-def _with_spans(docs: DataFrame, lost: DataFrame, how: str) -> DataFrame:
-    keyed = docs.withColumn("_mark", mark(F.col("text")))
-    lost = lost.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_lost"), F.col("spans").alias("_spans"))
-    return keyed.join(lost.hint("shuffle_hash"), same((keyed["doc_id"], lost["_id"]), (keyed["_mark"], lost["_lost"])), how)
+def _with_spans(docs: DataFrame, lost: DataFrame, how: str) -> tuple[DataFrame, str]:
+    """docs with the spans that each row loses, and the name of their column."""
+    m, i, l, spans = unused(docs.columns, "_mark", "_id", "_lost", "_spans")
+    keyed = docs.withColumn(m, mark(F.col("text")))
+    lost = lost.select(F.col("doc_id").alias(i), F.col("mark").alias(l), F.col("spans").alias(spans))
+    return keyed.join(lost.hint("shuffle_hash"), same((keyed["doc_id"], lost[i]), (keyed[m], lost[l])), how).select(*docs.columns, spans), spans
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -227,7 +226,7 @@ def counted(docs: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    part = _with_spans(docs.select("doc_id", "text"), lost, "inner").select("doc_id", "text", "_spans").mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
+    part = _with_spans(docs.select("doc_id", "text"), lost, "inner")[0].mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
     marks = copies.withColumn("copy", F.lit(True)).unionByName(lost.select("doc_id", "mark", F.lit(False).alias("copy")))
     marks = marks.select(F.col("doc_id").alias("m_id"), F.col("mark").alias("m_mark"), "copy")
     rest = base.select("doc_id", "mark", "n_words", "words_sha256")
@@ -266,12 +265,13 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [cut(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
+            texts = [cut(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column(name).to_pylist(), strict=True)]
             arrays = [batch.column(c) for c in columns]
             arrays[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    return _with_spans(docs, spans, "left").select(*columns, "_spans").mapInArrow(run, docs.schema)
+    held, name = _with_spans(docs, spans, "left")
+    return held.mapInArrow(run, docs.schema)
 
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

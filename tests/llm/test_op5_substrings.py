@@ -88,13 +88,14 @@ def test_empty(spark):
 def test_index_counts_every_pattern():
     rng = np.random.default_rng(2)
     text = np.concatenate([np.append(rng.integers(1, 6, 40), 0) for _ in range(12)])
-    index = FMIndex(text, 6, 5)
+    index = FMIndex(text, 6, 5, np.arange(len(text)))
     begin, length = np.arange(12) * 41, np.full(12, 40)
     seen = 0
     for _, place, low, high in index.windows(text, begin, length):
+        assert index.least(low, high).tolist() == [index.value[a:b].min() for a, b in zip(low, high, strict=True)]
         for p, a, b in zip(place, low, high, strict=True):
             want = sum(np.array_equal(text[k : k + 5], text[p : p + 5]) for k in range(len(text) - 4))
             assert b - a == want
-            assert all(np.array_equal(text[k : k + 5], text[p : p + 5]) for k in index.places[a:b])
+            assert all(np.array_equal(text[k : k + 5], text[p : p + 5]) for k in index.value[a:b])
             seen += 1
     assert seen == 12 * 36
