@@ -11,40 +11,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guildbook.llm import op4_secrets, op5_substrings, op6_simhash, op9_quality, op10_packing
-from guildbook.llm.common import new_folder, same, staged, table
+from guildbook.llm.common import new_folder, same, staged, table, unused
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. Null and empty texts get the score of the constant alone; without labels all rows
+    have one score; ties at the cutoff stay; repeated rows are judged alike."""
     weights = op9_quality.fit(docs, table(spark, sf_dir, "labels"))
-    return op9_quality.score_documents(docs, weights, docs.columns).filter(F.col("_score") >= op9_quality.CUTOFF).select(*docs.columns)
+    (score,) = unused(docs.columns, "_score")
+    scored = op9_quality.score_documents(docs, weights, docs.columns, score)
+    return scored.filter(F.col(score) >= op9_quality.CUTOFF).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays (null after all others, then the smallest
-    mark of the text); of its repeated rows, equal in doc_id and text, one."""
-    keyed = docs.withColumn("_mark", F.xxhash64(F.unhex(F.sha2("text", 256))))
+    mark of the text); of its repeated rows, equal in doc_id and text, one. Null and empty texts are one group."""
+    mark, kept_id, kept = unused(docs.columns, "_mark", "_id", "_stay")
+    keyed = docs.withColumn(mark, F.xxhash64(F.unhex(F.sha2("text", 256))))
     # A row is named by its doc_id and its text, as neither null nor repeated ids tell documents apart.
-    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_mark").alias("mark"))
+    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(mark).alias("mark"))
     found = op6_simhash.near_duplicates(keyed.select(name.alias("doc_id"), "text"))
-    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.id").alias("_id"), F.col("doc_id.mark").alias("_stay"))
+    stay = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.id").alias(kept_id), F.col("doc_id.mark").alias(kept))
     stay = staged(stay.distinct(), "stay")
-    left = keyed.join(stay.hint("shuffle_hash"), same((keyed["doc_id"], stay["_id"]), (keyed["_mark"], stay["_stay"])), "left_semi")
-    return left.dropDuplicates(["doc_id", "_mark"]).select(*docs.columns)
+    left = keyed.join(stay.hint("shuffle_hash"), same((keyed["doc_id"], stay[kept_id]), (keyed[mark], stay[kept])), "left_semi")
+    return left.dropDuplicates(["doc_id", mark]).select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of passages that occurred earlier go; no document does."""
+    """Words of passages that occurred earlier go; no document does. The order is that of doc_id (null first), then start; whole
+    copies get an empty text, null texts stay null."""
     return _measured(op5_substrings.drop_repeats(docs))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are put out by a mark; no document goes."""
+    """Secrets are put out by a mark, overlapping ones by one; no document goes, null texts stay null."""
     return _measured(op4_secrets.redact(docs, new_folder(spark, "ledger")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences."""
+    """Pieces of all documents and their places in sequences; null texts count as empty, and each row has pieces of its own."""
     return op10_packing.pack_documents(docs, op10_packing.default_path())
 
 
