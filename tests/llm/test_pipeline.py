@@ -78,3 +78,42 @@ def test_pieces_fill_sequences(stages):
     from tests.llm.test_op10_packing import check_packing
 
     check_packing([(r["doc_id"], r["text"]) for r in stages[4].collect()], stages[5].collect(), op10_packing.default_path())
+
+
+WORDS = [f"w{k}" for k in range(4000)]
+CLASHES = ["_score", "_spans", "_key", "_mark", "_id", "_blob", "_stay", "_lost", "score", "mark", "spans", "blob", "residue", "places", "hit", "n_words", "quality", "row", "piece", "group", "shard", "fp"]
+
+
+def odd_docs(spark, clashes):
+    """Documents with nulls in every column, an empty and a long text, repeated rows, and columns that clash with working names."""
+    rng = np.random.default_rng(12)
+    text = lambda n: " ".join(rng.choice(WORDS, n))
+    passage, secret = text(60), "password = abcdef0123456789abcdef"
+    rows = [(i, text(80)) for i in range(20)] + [(None, text(80)), (7, text(80)), (None, None), (30, None), (31, ""), (32, text(60_000))]
+    rows += [(40, text(30) + " " + passage + " " + text(30)), (41, text(30) + " " + passage + " " + text(30)), (42, f"{text(40)} {secret} {text(40)}"), (43, f"é {secret}")]
+    rows += [rows[3], rows[3], (50, rows[4][1])]
+    return spark.createDataFrame([(i, t, None if k % 3 else "en", None, len(t or ""), *[f"c{k}" for _ in clashes]) for k, (i, t) in enumerate(rows)],
+                                 ", ".join(["doc_id long, text string, lang string, source string, n_chars int", *[f"`{c}` string" for c in clashes]])).repartition(3)
+
+
+@pytest.mark.parametrize("stage", range(len(cp.STAGES)))
+def test_a_stage_on_odd_tables(spark, stage):
+    """Clashing columns change nothing and stay as they are; nulls, empty and long texts and repeated rows pass; empty tables give none."""
+    own = ["doc_id", "text"] if stage < 4 else ["doc_id", "piece", "start", "length", "ids_crc32"]
+    key = lambda r: tuple((v is None, v or 0 if not isinstance(v, str) else v) for v in r)
+    plain, extra = odd_docs(spark, []), odd_docs(spark, CLASHES)
+    want, got = cp.STAGES[stage][1](spark, plain, SF), cp.STAGES[stage][1](spark, extra, SF)
+    assert want.count() > 0
+    assert sorted(map(tuple, want.select(*own).collect()), key=key) == sorted(map(tuple, got.select(*own).collect()), key=key)
+    if stage < 4:
+        assert got.columns == extra.columns
+        assert all(len({r[c] for c in CLASHES}) == 1 for r in got.collect())
+    assert cp.STAGES[stage][1](spark, extra.limit(0), SF).count() == 0
+
+
+def test_ties_at_the_cutoff_stay(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text"), (2, "one text"), (3, "one text")], "doc_id long, text string")
+    weights = np.zeros(op9_quality.SLOTS + 1, np.float32)
+    monkeypatch.setattr(op9_quality, "fit", lambda *_: weights)
+    monkeypatch.setattr(op9_quality, "CUTOFF", 0.5)
+    assert cp.keep_quality(spark, docs, SF).count() == 3
