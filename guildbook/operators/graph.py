@@ -74,3 +74,19 @@ def export_graph(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Elements for a graph viewer, one JSON text each."""
     n = nodes.select(F.to_json(F.struct(F.struct("id", "kind", "name").alias("data"))).alias("element"))
     return n.unionByName(edges.select(F.to_json(F.struct(F.struct("source", "target", "kind").alias("data"))).alias("element")))
+
+
+def update_graph(old: tuple[DataFrame, DataFrame], new: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of both graphs: of nodes with one id the new one stands, equal edges are one."""
+    both = old[0].withColumn("_turn", F.lit(0)).unionByName(new[0].withColumn("_turn", F.lit(1)))
+    nodes = both.groupBy("id").agg(F.max_by(F.struct("kind", "name"), "_turn").alias("x")).select("id", "x.kind", "x.name")
+    return nodes, old[1].unionByName(new[1]).distinct()
+
+
+def nodes_by_type(nodes: DataFrame, kind: str) -> DataFrame:
+    return nodes.filter(c("kind") == kind)
+
+
+def count_by_type(nodes: DataFrame) -> DataFrame:
+    return nodes.groupBy("kind").agg(F.count("*").alias("n"))
+

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
@@ -96,3 +96,51 @@ def enqueue(new: DataFrame, known: list[DataFrame], key: str, order: str) -> Dat
     out = reduce(lambda d, k: d.join(k.select(key).distinct(), key, "left_anti"), known, new)
     rest = [f for f in new.columns if f != key]
     return out.groupBy(key).agg(F.min_by(F.struct(*rest), c(order)).alias("_x")).select(key, "_x.*")
+
+
+def tech_waterfall(df: DataFrame, key: str, methods: list[tuple[str, DataFrame, str]], found: str = "erp_system", skip: bool = True) -> DataFrame:
+    """Detection methods in order until one yields `found`; without any, the result of the last method that had one stands, even
+    without it. methods: (name, frame of key, found and other fields, the column of df that the method needs). Rows that have
+    `found` already are left alone if skip."""
+    fields = [f for f in methods[0][1].columns if f != key]
+    filled = lambda x: F.coalesce(x, F.lit("")) != ""
+    done = filled(c(found)) if skip and found in df.columns else F.lit(False)
+    out = df
+    for name, p, _ in methods:
+        out = out.join(p.select(c(key).alias(f"_{name}"), F.struct(*fields).alias(f"_{name}_x")), c(key) == c(f"_{name}"), "left")
+    usable = {name: F.when(filled(c(need)), c(f"_{name}_x")) for name, _, need in methods}
+    hit = F.coalesce(*[F.when(filled(x[found]), x) for x in usable.values()])
+    # A method that ran without a result puts out what the ones before it gave.
+    last = None
+    for name, _, need in methods:
+        last = F.when(filled(c(need)), usable[name]) if last is None else F.when(filled(c(need)), usable[name]).otherwise(last)
+    result = F.when(~done, F.coalesce(hit, last))
+    new = {f: F.when(result.isNotNull(), result[f]).otherwise(c(f)) if f in df.columns else result[f] for f in fields}
+    return out.select(*[new[f].alias(f) if f in new else c(f) for f in df.columns], *[new[f].alias(f) for f in fields if f not in df.columns])
+
+
+def contacts_from_providers(companies: DataFrame, key: str, providers: list[tuple[str, DataFrame]], priority: Column, few: int = 10) -> DataFrame:
+    """Contacts of all providers for the companies without any (column n_contacts): the first of each address, else of each name, in the
+    order of the providers; only those with a target title (priority below 999), best first, at most few per company.
+    providers: (name, frame of key, turn, name, title, email)."""
+    open_ = companies.filter(F.coalesce("n_contacts", F.lit(0)) == 0).select(key)
+    rows = None
+    for rank, (name, p) in enumerate(providers):
+        part = p.select(key, F.lit(rank).alias("_rank"), F.lit(name).alias("provider"), "turn", "name", "title", "email")
+        rows = part if rows is None else rows.unionByName(part)
+    who = F.coalesce(F.nullif(F.lower(F.trim("email")), F.lit("")), F.concat(F.lit("name:"), F.lower(F.trim("name"))))
+    firsts = rows.join(open_, key).withColumn("_who", who).groupBy(key, "_who").agg(F.min_by(F.struct("_rank", "turn", "provider", "name", "title", "email"), F.struct("_rank", "turn", "name")).alias("x")).select(key, "x.*")
+    ranked = firsts.withColumn("_p", priority).filter("_p < 999")
+    order = Window.partitionBy(key).orderBy("_p", "_rank", "turn", "name")
+    return ranked.withColumn("rank", F.row_number().over(order)).filter(c("rank") <= few).select(key, "rank", "provider", "name", "title", "email")
+
+
+def upsert_contacts(target: DataFrame, batch: DataFrame, fields: list[str]) -> DataFrame:
+    """Contacts with a batch laid over them: a batch row (contact_id, company_id, email, turn and fields) meets a contact of the same
+    company and address, or, without an address, the contact of its id; the last of several wins, and new ones come in."""
+    who = lambda prefix="": F.when(F.coalesce(F.trim(c(prefix + "email")), F.lit("")) != "", F.concat_ws("|", F.lit("mail"), c(prefix + "company_id").cast("string"), F.lower(F.trim(c(prefix + "email"))))).otherwise(F.concat_ws("|", F.lit("id"), c(prefix + "contact_id").cast("string")))
+    last = batch.withColumn("_key", who()).groupBy("_key").agg(F.max_by(F.struct("contact_id", "company_id", "email", *fields), c("turn")).alias("n"))
+    old = target.withColumn("_key", who())
+    both = old.join(last, "_key", "full_outer")
+    kept = lambda f: F.coalesce(c(f"n.{f}"), c(f)).alias(f)
+    return both.select(F.coalesce(c("contact_id"), c("n.contact_id")).alias("contact_id"), F.coalesce(c("company_id"), c("n.company_id")).alias("company_id"), F.coalesce(c("email"), c("n.email")).alias("email"), *[kept(f) for f in fields])

@@ -51,7 +51,40 @@ def candidate_pairs(df: DataFrame, ord_: str, blocks: list[str], exact: dict[str
     return pairs.withColumn("score", score).filter(c("score") >= threshold - TOLERANCE).select("u", "v", "score")
 
 
-def leader_clusters(edges: DataFrame, most: int = 60) -> DataFrame:
+ENTITY_WEIGHTS = {"domain": 0.40, "name": 0.35, "phone": 0.10, "address": 0.15}
+
+
+def score_entity_pairs(df: DataFrame, ord_: str, blocks: list[str], weights: dict[str, float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """Scored pairs (u < v by ord_) of rows with domain, name, phone (last ten digits) and address that share a block: domain and phone
+    count if equal, name and address by their likeness; a mean over what both rows have."""
+    w = weights or ENTITY_WEIGHTS
+    carried = df.select(c(ord_).alias("ord"), "domain", "name", "phone", "address", *blocks)
+    both = {f: _both("a", "b", f) for f in w}
+    equal = reduce(lambda x, y: x + y, [F.when(both[f] & (c(f"a.{f}") == c(f"b.{f}")), w[f]).otherwise(0.0) for f in ("domain", "phone")])
+    total = reduce(lambda x, y: x + y, [F.when(both[f], w[f]).otherwise(0.0) for f in w])
+    most = equal + F.when(both["name"], w["name"]).otherwise(0.0) + F.when(both["address"], w["address"]).otherwise(0.0)
+    out = None
+    for block in blocks:
+        met = (c(f"a.{block}") == c(f"b.{block}")) & (c("a.ord") < c("b.ord")) & (c(f"a.{block}") != "") & (most >= (threshold - TOLERANCE) * total)
+        rows = carried.alias("a").join(carried.alias("b"), met).select(
+            c("a.ord").alias("u"), c("b.ord").alias("v"), equal.alias("equal"), total.alias("total"),
+            *[c(f"{side}.{f}").alias(f"{side}_{f}") for side in "ab" for f in ("name", "address")], both["name"].alias("named"), both["address"].alias("placed"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    pairs = out.dropDuplicates(["u", "v"])
+    like = F.when(c("named"), w["name"] * indel_ratio("a_name", "b_name")).otherwise(0.0) + F.when(c("placed"), w["address"] * indel_ratio("a_address", "b_address")).otherwise(0.0)
+    return pairs.withColumn("score", (c("equal") + like) / c("total")).filter(c("score") >= threshold - TOLERANCE).select("u", "v", "score")
+
+
+def dedupe_stats(rows: DataFrame, clusters: DataFrame) -> DataFrame:
+    """One row: records before and after, groups of duplicates, and rows that went into another."""
+    groups = clusters.groupBy("leader").agg(F.count("*").alias("n"))
+    sums = groups.agg(F.count("*").alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("grouped"), F.coalesce(F.max("n"), F.lit(0)).alias("largest"))
+    counted = rows.agg(F.count("*").alias("records"))
+    return counted.join(F.broadcast(sums), F.lit(True)).select("records", (c("records") - c("grouped") + c("groups")).alias("kept"), "groups", (c("grouped") - c("groups")).alias("merged"), "largest")
+
+
+def leader_clusters(edges: DataFrame) -> DataFrame:
     """(node, leader) for every node of the edges (u < v): the greedy clusters of a scan in order, which is not transitive.
 
     A node is a leader iff no lower neighbour is one; a member belongs to its lowest leader. Rounds decide all nodes whose
@@ -59,15 +92,14 @@ def leader_clusters(edges: DataFrame, most: int = 60) -> DataFrame:
     edges = written(edges.select("u", "v"), "edges")
     nodes = edges.select(c("u").alias("node")).union(edges.select("v")).distinct()
     state = written(nodes.withColumn("leads", F.lit(None).cast("boolean")), "state")
-    for _ in range(most):
+    # Each round decides at least the lowest open node of every component, so the rounds end.
+    while True:
         lower = edges.join(state.select(c("node").alias("u"), c("leads").alias("low")), "u")
         seen = lower.groupBy("v").agg(F.bool_or(F.coalesce("low", F.lit(False))).alias("led"), F.bool_or(c("low").isNull()).alias("open"))
         decided = F.when(c("leads").isNotNull(), c("leads")).when(F.coalesce("led", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True)
         state = written(state.join(seen.withColumnRenamed("v", "node"), "node", "left").select("node", decided.alias("leads")), "state")
         if state.filter("leads is null").isEmpty():
             break
-    else:
-        raise RuntimeError("a chain of links is longer than the rounds allow; raise `most`")
     member = edges.join(state.filter("leads").select(c("node").alias("u")), "u").groupBy("v").agg(F.min("u").alias("leader"))
     return state.filter("leads").select("node", c("node").alias("leader")).unionByName(state.filter("not leads").join(member.withColumnRenamed("v", "node"), "node").select("node", "leader"))
 

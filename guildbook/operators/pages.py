@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 from html.parser import HTMLParser
 
@@ -51,9 +52,19 @@ def access_flags(html: Column, status: Column | None = None) -> Column:
     return F.struct(login.alias("login"), pay.alias("paywall"), terms.alias("terms"), verdict.alias("verdict"))
 
 
-def fingerprint_tech(html: Column) -> Column:
-    low = F.lower(html)
-    return labels([(low.contains(part), name) for part, name in page_tables.TECHNOLOGIES.items()])
+def fingerprint_tech(html: Column, powered_by: Column | None = None, server: Column | None = None) -> Column:
+    """Technologies that a page's text and the two response headers show, each once."""
+    sources = [(F.lower(html), page_tables.TECHNOLOGIES)]
+    sources += [(F.lower(header), parts) for header, parts in ((powered_by, page_tables.POWERED_BY), (server, page_tables.SERVERS)) if header is not None]
+    return labels([(text.contains(part), name) for text, parts in sources for part, name in parts.items()])
+
+
+def site_system(generator: Column) -> Column:
+    """The site system that a generator tag names; null if none is known."""
+    low, out = F.lower(generator), F
+    for part, name in page_tables.GENERATORS.items():
+        out = out.when(low.contains(part), name)
+    return out.otherwise(F.lit(None).cast("string"))
 
 
 def certifications(text: Column) -> Column:
@@ -65,13 +76,10 @@ def capabilities(text: Column) -> Column:
 
 
 def mail_provider(hosts: Column, domain: Column) -> Column:
-    """The provider of the most preferred mail host that is known; self-hosted if a host is in the own domain."""
-    names = F.lower(F.array_join(hosts, " "))
-    out = F
-    for part, provider in page_tables.MAIL_HOSTS.items():
-        out = out.when(names.contains(part), provider)
-    own = F.exists(hosts, lambda h: F.lower(h).endswith(domain))
-    return F.when(F.size(hosts) == 0, None).otherwise(out.when(own, "Self-hosted").otherwise("Other"))
+    """The provider of the first mail host, in order of preference, that is known; self-hosted if a host's name holds the own domain."""
+    known = F.array_compact(F.transform(hosts, lambda h: reduce(lambda o, kv: o.when(F.lower(h).contains(kv[0]), kv[1]), page_tables.MAIL_HOSTS.items(), F).otherwise(F.lit(None).cast("string"))))
+    own = F.exists(hosts, lambda h: F.lower(h).contains(domain))
+    return F.when(F.size(hosts) == 0, None).when(F.size(known) > 0, F.get(known, F.lit(0))).when(own, "Self-hosted").otherwise("Other")
 
 
 def spf_services(txt: Column) -> Column:
@@ -81,17 +89,24 @@ def spf_services(txt: Column) -> Column:
 def dmarc(txt: Column) -> Column:
     """(policy, report address) of a DMARC record."""
     policy = F.lower(F.regexp_extract(txt, r"(?i)\bp=(none|quarantine|reject)", 1))
-    named = F.when(policy == "reject", "Strict (reject)").when(policy == "quarantine", "Moderate (quarantine)").when(policy == "none", "Monitor (none)")
+    named = reduce(lambda out, kv: out.when(policy == kv[0], kv[1]), page_tables.DMARC_POLICIES.items(), F)
     return F.struct(named.alias("policy"), F.nullif(F.regexp_extract(txt, r"(?i)rua=mailto:([^;,\s]+)", 1), F.lit("")).alias("report"))
 
 
 def about_facts(text: Column) -> Column:
-    """Employees, year of foundation."""
+    """Employees (1 to 500,000), year of foundation (1800 on) and revenue (100,000 on): the first pattern whose first match is in range."""
     low = F.lower(text)
-    found = lambda p: F.nullif(F.regexp_extract(low, p, 1), F.lit(""))
-    people = F.coalesce(*[F.try_to_number(F.regexp_replace(found(p), ",", ""), F.lit("999999999")).cast("long") for p in (r"(\d{1,3}(?:,\d{3})*)\+?\s*employees?", r"team of\s*(\d+)", r"workforce of\s*(\d+)", r"over\s*(\d+)\s*(?:employees?|people|staff)")])
-    year = F.coalesce(*[found(p).cast("int") for p in (r"(?:founded|established|since)\s*(?:in\s*)?(\d{4})", r"(\d{4})\s*(?:-|–)\s*present")])
-    return F.struct(F.when(people.between(1, 500000), people).alias("employees"), F.when(year.between(1800, 2100), year).alias("founded"))
+    found = lambda p: F.try_to_number(F.replace(F.regexp_extract(low, p, 1), F.lit(","), F.lit("")), F.lit("999999999")).cast("long")
+    within = lambda x, a, b: F.when(x.between(a, b), x)
+    people = F.coalesce(*[within(found(p), 1, 500_000) for p in page_tables.PEOPLE_PATTERNS])
+    year = F.coalesce(*[within(found(p), 1800, F.year(F.current_date())) for p in page_tables.YEAR_PATTERNS])
+
+    def money(p):
+        unit = F.left(F.regexp_extract(low, p, 2), F.lit(1))
+        return (F.try_to_number(F.regexp_extract(low, p, 1), F.lit("999999999999.999999")).cast("double") * F.when(unit == "b", 1e9).when(unit == "m", 1e6).otherwise(1.0)).cast("long")
+
+    revenue = F.coalesce(*[within(money(p), 100_000, 1 << 62) for p in page_tables.REVENUE_PATTERNS])
+    return F.struct(people.alias("employees"), year.cast("int").alias("founded"), revenue.alias("revenue"))
 
 
 def phones(text: Column) -> Column:
@@ -109,50 +124,85 @@ def count_mentions(df: DataFrame, key: str, text: Column, aliases: dict[str, lis
     return hits.select(key, F.inline(counts)).filter("mentions > 0")
 
 
-def mine_signals(df: DataFrame, key: str, text: str, aliases: dict[str, list[str]], window: int = 150) -> DataFrame:
-    """A row for every mention: its place, the text about it, the kind of signal by patterns near by (2 points each) and at the
-    start of the text (1 point), and a confidence."""
+def mine_signals(df: DataFrame, key: str, text: str, aliases: dict[str, list[str]], window: int = 150, most: int = 100, exact: list[str] | None = None) -> DataFrame:
+    """A row for every mention, at most `most` per text in the order of competitors, then places: the text about it (with dots where it
+    is cut), the kind of signal by patterns near by (2 points each) and at the start of the text (1 point), and a confidence (0.7, 0.1
+    more for an alias as such, 0.05 for each sure word near by, at most 0.95). The texts are read once for all competitors."""
     low = F.lower(c(text))
-    parts = None
-    for name, group in aliases.items():
-        pattern = rf"\b({'|'.join(sorted(group, key=len, reverse=True))})\b"
-        held = df.select(key, c(text).alias("_text"), low.alias("_low")).filter(c("_low").rlike(pattern))
-        pieces = F.transform(F.split("_low", pattern, -1), lambda p: F.length(p))
-        hits = F.transform(F.regexp_extract_all("_low", F.lit(pattern), F.lit(0)), lambda p: F.length(p))
-        rows = held.select(key, "_text", "_low", pieces.alias("_gaps"), hits.alias("_hits")).select("*", F.posexplode("_hits").alias("n", "_length"))
-        at = F.aggregate(F.slice("_gaps", 1, c("n") + 1), F.lit(0), lambda a, x: a + x) + F.when(c("n") > 0, F.aggregate(F.slice("_hits", 1, F.greatest(c("n"), F.lit(1))), F.lit(0), lambda a, x: a + x)).otherwise(0)
-        rows = rows.select(key, F.lit(name).alias("competitor"), at.alias("at"), "_length", "_text", "_low")
-        parts = rows if parts is None else parts.unionByName(rows)
-    context = squeeze(F.substring(c("_text"), F.greatest(F.lit(1), c("at") + 1 - window), F.least(c("at"), F.lit(window)) + c("_length") + window))
-    out = parts.withColumn("context", context).withColumn("_near", F.lower("context")).withColumn("_head", F.left("_low", F.lit(2000)))
+    patterns = {name: rf"\b({'|'.join(sorted(group, key=len, reverse=True))})\b" for name, group in aliases.items()}
+    held = df.select(key, c(text).alias("_text"), low.alias("_low")).filter(c("_low").rlike("|".join(f"(?:{p})" for p in patterns.values())))
+
+    def hits(turn: int, name: str, pattern: str) -> Column:
+        """Places of one competitor's mentions: the text before the n-th is what lies between the mentions before it, and these."""
+        gaps = F.transform(F.split("_low", pattern, -1), lambda p: F.length(p))
+        found = F.regexp_extract_all("_low", F.lit(pattern), F.lit(0))
+        whole = F.array(F.struct(gaps.alias("g"), found.alias("f")))
+
+        def places(x):
+            before = lambda i: F.aggregate(F.slice(x["g"], 1, i + 1), F.lit(0), lambda a, y: a + y) + F.aggregate(F.slice(x["f"], 1, i), F.lit(0), lambda a, y: a + F.length(y))
+            return F.transform(F.slice(x["f"], 1, most), lambda hit, i: F.struct(F.lit(turn).alias("turn"), before(i).alias("at"), F.lit(name).alias("competitor"), hit.alias("hit")))
+
+        return F.flatten(F.transform(whole, places))
+
+    every = F.slice(F.concat(*[hits(i, name, p) for i, (name, p) in enumerate(patterns.items())]), 1, most)
+    rows = held.select(key, "_text", "_low", F.inline(every))
+    begin, end = F.greatest(F.lit(0), c("at") - window), F.least(F.length("_text"), c("at") + F.length("hit") + window)
+    context = squeeze(F.substring(c("_text"), begin + 1, end - begin))
+    context = F.concat(F.when(begin > 0, "...").otherwise(""), context, F.when(end < F.length("_text"), "...").otherwise(""))
+    out = rows.withColumn("context", context).withColumn("_near", F.lower("context")).withColumn("_head", F.left("_low", F.lit(2000)))
     kinds = []
-    for i, (kind, patterns) in enumerate(page_tables.SIGNAL_KINDS.items()):
-        points = reduce(lambda a, b: a + b, [F.when(c("_near").rlike(p), 2).when(c("_head").rlike(p), 1).otherwise(0) for p in patterns])
+    for i, (kind, near) in enumerate(page_tables.SIGNAL_KINDS.items()):
+        points = reduce(lambda a, b: a + b, [F.when(c("_near").rlike(p), 2).when(c("_head").rlike(p), 1).otherwise(0) for p in near])
         kinds.append(F.struct(points.alias("points"), F.lit(-i).alias("turn"), F.lit(kind).alias("kind")))
     best = F.array_max(F.array(*kinds))
-    return out.withColumn("_best", best).select(key, "competitor", "at", "context", F.when(c("_best.points") > 0, c("_best.kind")).otherwise("MEMBER_USAGE").alias("kind"), F.lit(0.8).alias("confidence"))
+    named = c("hit").isin(exact if exact is not None else [a for group in aliases.values() for a in group])
+    sure = reduce(lambda a, b: a + b, [F.when(c("_near").contains(w), 5).otherwise(0) for w in page_tables.SURE_WORDS])
+    confidence = F.least(F.lit(95), 70 + F.when(named, 10).otherwise(0) + sure) / 100.0
+    return out.withColumn("_best", best).select(key, "competitor", "at", "context", F.when(c("_best.points") > 0, c("_best.kind")).otherwise("MEMBER_USAGE").alias("kind"), confidence.cast("double").alias("confidence"))
 
 
-def erp_from_text(text: Column) -> Column:
-    """The vendor whose words occur most, two at least; the first of the table on ties."""
-    low = F.lower(text)
+def _most_named(low: Column, table: dict[str, list[str]]) -> Column:
+    """The name whose words occur most, two at least; the first of the table on ties."""
     counted = []
-    for i, (name, words) in enumerate(page_tables.ERP_WORDS.items()):
+    for i, (name, words) in enumerate(table.items()):
         n = reduce(lambda a, b: a + b, [(F.length(low) - F.length(F.replace(low, F.lit(w.lower()), F.lit("")))) / len(w) for w in words])
         counted.append(F.struct(n.cast("int").alias("n"), F.lit(-i).alias("turn"), F.lit(name).alias("name")))
     best = F.array_max(F.array(*counted))
     return F.when(best["n"] >= 2, best["name"])
 
 
+def erp_from_text(text: Column) -> Column:
+    """The ERP vendor that a text names most, twice at least."""
+    return _most_named(F.lower(text), page_tables.ERP_WORDS)
+
+
+def systems_from_text(text: Column) -> Column:
+    """(erp, crm): the CRM vendor only where no ERP is found."""
+    erp = erp_from_text(text)
+    return F.struct(erp.alias("erp"), F.when(erp.isNull(), _most_named(F.lower(text), page_tables.CRM_WORDS)).alias("crm"))
+
+
 def text_blocks(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Entries of a plain-text directory: blocks between blank lines, the first line the name, then phone, email, place."""
+    """Entries of a plain-text directory: blocks between blank lines, the first line the name. Each other line gives one thing: a phone,
+    else an email, else a website, else a place ("City, ST"); of several lines the last counts."""
     blocks = df.select(key, F.posexplode(F.split(c(text), r"\n\s*\n")).alias("block", "_b")).withColumn("_lines", F.transform(F.split(F.trim("_b"), "\n"), lambda x: F.trim(x)))
     blocks = blocks.filter((F.size("_lines") >= 2) & ~c("_lines")[0].rlike(r"(?i)^(page|member|directory|table)") & ~c("_lines")[0].rlike(r"^\d+$") & (c("_lines")[0] != ""))
-    rest = F.slice("_lines", 2, F.size("_lines"))
-    first = lambda pattern, group=0: F.element_at(F.filter(F.transform(rest, lambda x: F.regexp_extract(x, pattern, group)), lambda x: x != ""), -1)
-    safe = lambda x: F.when(F.size(F.filter(rest, lambda y: y.rlike(x))) > 0, first(x))
-    phone = F.regexp_replace(safe(r"[\(]?\d{3}[\)\-\.\s]?\d{3}[\-\.\s]?\d{4}"), r"\D", "")
-    return blocks.select(key, "block", c("_lines")[0].alias("name"), phone.alias("phone"), F.lower(safe(r"[\w\.-]+@[\w\.-]+\.\w+")).alias("email"))
+    rules = {name: page_tables.LINES[name] for name in ("phone", "email", "website", "place")}
+
+    def kind_of(line: Column) -> Column:
+        return reduce(lambda out, kv: out.when(line.rlike(kv[1]), kv[0]), rules.items(), F).otherwise("")
+
+    lines = F.transform(F.slice("_lines", 2, F.size("_lines")), lambda x: F.struct(kind_of(x).alias("kind"), x.alias("line")))
+    blocks = blocks.withColumn("_kinds", lines)
+    last = lambda kind: F.try_element_at(F.filter("_kinds", lambda x: x["kind"] == kind), F.lit(-1))["line"]
+    place = last("place")
+    return blocks.select(
+        key, "block", c("_lines")[0].alias("name"),
+        F.regexp_replace(F.regexp_extract(last("phone"), rules["phone"], 0), r"\D", "").alias("phone"),
+        F.lower(F.regexp_extract(last("email"), rules["email"], 0)).alias("email"),
+        F.regexp_extract(last("website"), rules["website"], 0).alias("website"),
+        F.trim(F.regexp_extract(place, rules["place"], 1)).alias("city"), F.regexp_extract(place, rules["place"], 2).alias("state"),
+    )
 
 
 class _Page(HTMLParser):
@@ -161,6 +211,10 @@ class _Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.title, self.h1, self.anchors, self.tags, self.meta, self.blocks, self.text = "", [], [], [], {}, [], []
+        self.counts: dict[str, int] = {}
+        self.boxes: list[bool] = []  # of each open element whether it or one around it is a box of members
+        self.label_of_button: list[str] = []
+        self.row_links = -1  # links so far in the table row at hand
         self.open: list[str] = []
         self.href: str | None = None
         self.label: list[str] = []
@@ -168,12 +222,26 @@ class _Page(HTMLParser):
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         self.tags.append(f"{tag}.{'.'.join(sorted((a.get('class') or '').split()))}")
+        classes = a.get("class") or ""
+        names = [tag, *[k for k, p in CLASS_KINDS.items() if classes and p.search(classes)]]
+        if classes and tag in ("li", "tr", "div"):
+            names += ["classed", f"classed {tag}"]
+        if tag == "form" and re.search("register|signup|rsvp", a.get("action") or "", re.I):
+            names.append("sign_up")
+        if "data-infinite-scroll" in a or "data-next-page" in a:
+            names.append("endless")
+        for name in names:
+            self.counts[name] = self.counts.get(name, 0) + 1
+        if tag == "tr":
+            self.row_links = 0
         if tag == "meta":
             self.meta[a.get("name") or a.get("property") or ""] = a.get("content") or ""
         elif tag == "a":
-            self.href, self.label = a.get("href"), []
+            self.href, self.label, self.marks = a.get("href"), [], (classes, bool(self.boxes and self.boxes[-1]), self.row_links == 0)
+            self.row_links += self.row_links >= 0 and self.href is not None
         if tag not in ("meta", "br", "img", "link", "input", "hr"):
             self.open.append(tag)
+            self.boxes.append("box" in names or bool(self.boxes and self.boxes[-1]))
             if tag == "script" and a.get("type") == "application/ld+json":
                 self.open[-1] = "ld"
             if tag == "h1":
@@ -181,11 +249,16 @@ class _Page(HTMLParser):
 
     def handle_endtag(self, tag):
         if tag == "a" and self.href is not None:
-            self.anchors.append({"href": self.href, "text": " ".join("".join(self.label).split())})
+            classes, boxed, first = self.marks
+            self.anchors.append({"href": self.href, "text": " ".join("".join(self.label).split()), "classes": classes, "boxed": boxed, "row_first": first})
             self.href = None
+        if tag == "button" and re.search(r"(load|show|view)\s*more", "".join(self.label_of_button), re.I):
+            self.counts["more"] = self.counts.get("more", 0) + 1
+        if tag == "tr":
+            self.row_links = -1
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k] == tag or tag == "script" and self.open[k] == "ld":
-                del self.open[k:]
+                del self.open[k:], self.boxes[k:]
                 break
 
     def handle_data(self, data):
@@ -200,11 +273,20 @@ class _Page(HTMLParser):
                 self.h1[-1] += data
             if self.href is not None:
                 self.label.append(data)
+            if "button" in self.open:
+                self.label_of_button.append(data)
             if data.strip():
                 self.text.append(" ".join(data.split()))
 
 
-PARSED = "title string, h1 array<string>, anchors array<struct<href:string,text:string>>, structure string, blocks array<string>, generator string, text string"
+#: Kinds of elements by their classes.
+CLASS_KINDS = {
+    "box": re.compile("member-|company-|directory-|listing-|result-", re.I), "card": re.compile("member|company|listing|result|profile-card", re.I),
+    "listed": re.compile("member|company|listing|result", re.I), "directory": re.compile("member|company|directory", re.I), "event": re.compile("event|conference|webinar|calendar", re.I),
+    "sponsor": re.compile("platinum|gold|silver|bronze|sponsor", re.I), "exhibitor": re.compile("exhibitor|booth", re.I),
+}
+ANCHOR = "struct<href:string,text:string,classes:string,boxed:boolean,row_first:boolean>"
+PARSED = f"title string, h1 array<string>, anchors array<{ANCHOR}>, structure string, blocks array<string>, generator string, text string, counts map<string,int>"
 
 
 def parse_page(df: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
@@ -218,8 +300,8 @@ def parse_page(df: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
                 p = _Page()
                 p.feed(text)
                 p.close()
-                rows.append((" ".join(p.title.split()), [" ".join(x.split()) for x in p.h1], p.anchors, hashlib.sha256("|".join(p.tags).encode()).hexdigest(), p.blocks, p.meta.get("generator", ""), " ".join(p.text)))
-            out = pd.DataFrame(rows, columns=["title", "h1", "anchors", "structure", "blocks", "generator", "text"])
+                rows.append((" ".join(p.title.split()), [" ".join(x.split()) for x in p.h1], p.anchors, hashlib.sha256("|".join(p.tags).encode()).hexdigest(), p.blocks, p.meta.get("generator", ""), " ".join(p.text), p.counts))
+            out = pd.DataFrame(rows, columns=["title", "h1", "anchors", "structure", "blocks", "generator", "text", "counts"])
             yield pd.concat([pdf[keys].reset_index(drop=True), out], axis=1)
 
     types = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)

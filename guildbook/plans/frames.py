@@ -78,8 +78,33 @@ SELECT event_id AS signal_id, split_part('epicor odoo infor sap plex sage', ' ',
 FROM events
 """
 
-FRAMES = {"companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+#: Pages of member directories and events, one per customer, with links, boxes, tables and further pages of several kinds.
+SITES = """
+SELECT k AS page_id, n AS nation,
+  'https://assoc' || CAST(n AS VARCHAR(20)) || '.org' || split_part('/members|/events/|/pages/list.html|/sponsors', '|', CAST(k % 4 + 1 AS INT)) AS url,
+  '<html><head><title>' || split_part('Member directory|Upcoming events|Welcome|Our sponsors', '|', CAST(k % 4 + 1 AS INT)) || '</title></head><body><h1>'
+  || split_part('Find a member|Event calendar|Home|Thank you to our sponsors', '|', CAST(k % 4 + 1 AS INT)) || '</h1>'
+  || '<a href="/about">About</a><a href="#top">Top</a><a href="mailto:a@b.org">Mail</a>'
+  || '<a href="/member/' || CAST(k AS VARCHAR(20)) || '">Firm</a><a class="company-link" href="profile-' || CAST(k AS VARCHAR(20)) || '.html">Profile</a>'
+  || '<div class="member-card"><p><a href="card?id=' || CAST(k AS VARCHAR(20)) || '">Card</a></p></div><table><tr><td><a href="/row/' || CAST(k AS VARCHAR(20)) || '">Row</a> <a href="/second">Second</a></td></tr></table>'
+  || '<a href="https://other.org/member/9">Elsewhere</a><a href="http://firm' || CAST(k AS VARCHAR(20)) || '.com/x">Firm ' || CAST(k AS VARCHAR(20)) || '*</a><a href="https://facebook.com/f">Follow</a>'
+  || CASE k % 5 WHEN 0 THEN '<a href="?page=2">2</a>' WHEN 1 THEN '<a href="/list/page/2">2</a>' WHEN 2 THEN '<button>Load more</button>' WHEN 3 THEN '<a href="list?offset=100">more firms</a>' ELSE '' END
+  || '<p>We have ' || CAST(k % 300 AS VARCHAR(20)) || ' members in this list.</p></body></html>' AS html
+FROM (SELECT c_custkey AS k, c_nationkey AS n FROM customer)
+"""
+
+#: What pages and jobs say of companies: numbers, years, systems, rivals.
+STATEMENTS = """
+SELECT k AS company_id,
+  'About us. ' || CASE k % 4 WHEN 0 THEN 'We are a team of ' || CAST(k AS VARCHAR(20)) || '. ' WHEN 1 THEN '900,000 employees? No, over ' || CAST(k + 20 AS VARCHAR(20)) || ' people. ' WHEN 2 THEN CAST(k AS VARCHAR(20)) || ' employees. ' ELSE '' END
+  || CASE k % 3 WHEN 0 THEN 'Founded in ' || CAST(1850 + k % 150 AS VARCHAR(20)) || '. ' WHEN 1 THEN 'Established 1066, ' || CAST(1900 + k % 100 AS VARCHAR(20)) || ' - present. ' ELSE '' END
+  || CASE k % 5 WHEN 0 THEN 'Sales grew to $' || CAST(1 + k % 90 AS VARCHAR(20)) || '.5 million. ' WHEN 1 THEN 'Revenue of $' || CAST(50000 + k AS VARCHAR(20)) || ' last year. ' ELSE '' END
+  || split_part('We run Epicor Kinetic, our ERP system is Epicor.|Skills: Salesforce, SFDC and Excel.|Plex or Sage, Sage 100 welcome.|Good pay.|Global Shop Solutions, GSS ERP.|SAP SAP CRM.', '|', CAST(k % 6 + 1 AS INT)) AS text
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+FRAMES = {"sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -31,7 +31,7 @@ def job_matches(spark, sf):
 
 
 def event_overlap(spark, sf):
-    events = frame(spark, sf, "trade_events").filter("event_id < 40").select(c("title").alias("event_name"), c("event_id").alias("turn"))
+    events = frame(spark, sf, "trade_events").select(c("title").alias("event_name"), c("event_id").alias("turn"))
     return a.event_overlap(frame(spark, sf, "companies"), events, FRAGMENTS, ["small"], "company_id", "associations")
 
 
@@ -53,7 +53,7 @@ _STOP = ", ".join(map(_quote, a.STOP_WORDS))
 QUERIES = {
     "registry_matches": (registry_matches, with_frames(f"WITH r AS (SELECT CASE WHEN company_id % 2 = 0 THEN {_KEY} ELSE rtrim({_KEY}, 'inc') END AS reg_key, min(company_id) AS cik FROM companies WHERE company_id % 3 = 0 GROUP BY 1), v AS ({_TRIMS}), m AS (SELECT v.company_id, v.reg_key, r.cik, row_number() OVER (PARTITION BY v.company_id ORDER BY turn) AS i FROM v JOIN r USING (reg_key)) SELECT company_id, reg_key, cik FROM m WHERE i = 1", "companies")),
     "job_matches": (job_matches, with_frames(f"WITH j AS (SELECT company_id, contact_id AS job, CASE contact_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'altax precision works' ELSE 'zeta' END AS e FROM contacts) SELECT company_id, job FROM companies JOIN j USING (company_id) WHERE contains(e, lower(company_name)) OR contains(lower(company_name), e) OR len(list_filter(list_slice(list_filter(regexp_split_to_array(lower(company_name), '[\\s,./&\\-()]+'), lambda w: length(w) > 3 AND w NOT IN ({_STOP})), 1, 2), lambda w: contains(e, w))) > 0", "companies", "contacts")),
-    "event_overlap": (event_overlap, with_frames(f"WITH c AS (SELECT company_id, {_LIST.format('associations')} AS assoc FROM companies), f AS (SELECT company_id, f FROM (SELECT company_id, unnest(assoc) AS a FROM c) JOIN (VALUES {', '.join(f'({_quote(k)}, {_quote(x)})' for k, v in FRAGMENTS.items() for x in v)}) m(k, f) ON starts_with(upper(a), k)), g AS (SELECT * FROM f UNION SELECT company_id, 'small' FROM c WHERE len(assoc) > 0 AND company_id NOT IN (SELECT company_id FROM f)), h AS (SELECT company_id, title, min(event_id) AS turn FROM g JOIN trade_events ON event_id < 40 AND contains(lower(title), f) GROUP BY 1, 2) SELECT company_id, coalesce(string_agg(title, '; ' ORDER BY turn, title), '') AS events FROM companies LEFT JOIN h USING (company_id) GROUP BY 1", "companies", "trade_events")),
+    "event_overlap": (event_overlap, with_frames(f"WITH c AS (SELECT company_id, {_LIST.format('associations')} AS assoc FROM companies), f AS (SELECT company_id, f FROM (SELECT company_id, unnest(assoc) AS a FROM c) JOIN (VALUES {', '.join(f'({_quote(k)}, {_quote(x)})' for k, v in FRAGMENTS.items() for x in v)}) m(k, f) ON starts_with(upper(a), k)), g AS (SELECT * FROM f UNION SELECT company_id, 'small' FROM c WHERE len(assoc) > 0 AND company_id NOT IN (SELECT company_id FROM f)), h AS (SELECT company_id, title, min(event_id) AS turn FROM g JOIN trade_events ON contains(lower(title), f) GROUP BY 1, 2) SELECT company_id, coalesce(string_agg(title, '; ' ORDER BY turn, title), '') AS events FROM companies LEFT JOIN h USING (company_id) GROUP BY 1", "companies", "trade_events")),
     "event_reach": (event_reach, with_frames("WITH k AS (SELECT association, count(DISTINCT company_id) AS members FROM memberships GROUP BY 1), n AS (SELECT DISTINCT company_id, association FROM companies JOIN (VALUES " + ", ".join(f"({_quote(k)}, {_quote(x)})" for k, v in KEYWORDS.items() for x in v) + ") m(k, association) ON contains(lower(industry), k)) SELECT c.company_id AS event_id, coalesce(sum(members), 0)::BIGINT AS reach FROM companies c LEFT JOIN n USING (company_id) LEFT JOIN k USING (association) GROUP BY 1", "companies", "memberships")),
     "decision_makers": (decision_makers, with_frames("WITH f AS (SELECT *, row_number() OVER (PARTITION BY company_id, lower(name) ORDER BY contact_id) AS i, title IN ('Chief Executive Officer', 'Activity Coordinator', 'Plant Manager', 'Owner') AS good FROM contacts), g AS (SELECT *, bool_or(good) OVER (PARTITION BY company_id) AS any_good, row_number() OVER (PARTITION BY company_id ORDER BY contact_id) AS r FROM f WHERE i = 1) SELECT company_id, contact_id, title FROM g WHERE good OR (NOT any_good AND r <= 10)", "contacts")),
     "dashboard_rows": (dashboard_rows, with_frames(ICP_HEAD + f"SELECT company_id, company_name, coalesce(trim(website), '') AS website, trim(city) AS city, trim(state) AS state, coalesce(trim(phone), '') AS phone, array_to_string(list_slice({_LIST.format('tech_stack')}, 1, 8), ';') AS tech, array_to_string(list_slice({_LIST.format('spf_services')}, 1, 6), ';') AS spf, quality_score, icp_score, tier, competitor, CASE WHEN employee_count_max > 0 THEN CASE WHEN employee_count_min > 0 THEN employee_count_min || '-' || employee_count_max ELSE '<' || employee_count_max END WHEN employee_count_min > 0 THEN employee_count_min || '+' ELSE '' END AS people FROM icp", "companies")),

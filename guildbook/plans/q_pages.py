@@ -52,7 +52,7 @@ def mention_totals(spark, sf):
 
 
 def signals(spark, sf):
-    return p.mine_signals(table(spark, sf, "documents"), "doc_id", "text", {k: WORDS[k] for k in ("alpha", "beta", "gamma")})
+    return p.mine_signals(table(spark, sf, "documents"), "doc_id", "text", WORDS)
 
 
 def about(spark, sf):

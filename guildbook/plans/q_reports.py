@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from guildbook.functions import scores as s
+from guildbook.functions import tables
 from guildbook.functions import text as t
 from guildbook.operators import report as r
 from guildbook.plans.frames import frame, table, with_frames
@@ -96,10 +97,14 @@ def all_tier_lists(spark, sf):
     return r.tier_lists(_icp(spark, sf), {"Tier 1": 50, "Tier 2": 200}, ("Tier 3",)).select("tier", "rank", "company_id", "icp_score")
 
 
+#: All that an association's companies may have: nothing, or a competitor of the table.
+RIVALS = ["greenfield", *[name.title() for name in tables.COMPETITORS]]
+
+
 def competitive_pressure(spark, sf):
     """Association by competitor, greenfield among them, and the strongest competitor."""
     df = _icp(spark, sf).select(F.explode(assoc()).alias("association"), F.when(c("competitor") == "", "greenfield").otherwise(c("competitor")).alias("rival"))
-    wide = df.groupBy("association").pivot("rival", ["greenfield", "Epicor", "Oracle", "Plex", "Sage", "Sap", "Syspro"]).count().na.fill(0)
+    wide = df.groupBy("association").pivot("rival", RIVALS).count().na.fill(0)
     strongest = r.top_per_group(df.filter(c("rival") != "greenfield"), ["association"], "rival").select("association", c("rival").alias("strongest"))
     return wide.join(strongest, "association", "left")
 
@@ -179,7 +184,7 @@ QUERIES = {
     "tier_summary": (tier_summary, with_frames(ICP_HEAD + "SELECT t.tier, count(company_id) AS n, round(avg(icp_score), 6) AS avg_icp, count(*) FILTER (trim(website) <> '') AS with_website FROM (VALUES ('Tier 1'), ('Tier 2'), ('Tier 3'), ('Unqualified')) t(tier) LEFT JOIN icp ON icp.tier = t.tier GROUP BY 1", "companies")),
     "tier_lists": (tier_lists, with_frames(ICP_HEAD + "SELECT tier, rank::INT AS rank, company_id, icp_score FROM (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY icp_score DESC, quality_score DESC, company_id) AS rank FROM icp) WHERE tier = 'Tier 1' AND rank <= 50 OR tier = 'Tier 2' AND rank <= 200", "companies")),
     "all_tier_lists": (all_tier_lists, with_frames(ICP_HEAD + "SELECT tier, rank::INT AS rank, company_id, icp_score FROM (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY icp_score DESC, quality_score DESC, company_id) AS rank FROM icp) WHERE tier = 'Tier 1' AND rank <= 50 OR tier = 'Tier 2' AND rank <= 200 OR tier = 'Tier 3'", "companies")),
-    "competitive_pressure": (competitive_pressure, with_frames(ICP_HEAD + ", x AS (SELECT unnest(assoc) AS association, CASE competitor WHEN '' THEN 'greenfield' ELSE competitor END AS rival FROM icp), b AS (SELECT association, rival, row_number() OVER (PARTITION BY association ORDER BY count(*) DESC, rival) AS i FROM x WHERE rival <> 'greenfield' GROUP BY 1, 2) SELECT x.association, " + ", ".join(f"count(*) FILTER (x.rival = '{n}') AS {n}" for n in ("greenfield", "Epicor", "Oracle", "Plex", "Sage", "Sap", "Syspro")) + ", any_value(b.rival) AS strongest FROM x LEFT JOIN b ON b.association = x.association AND b.i = 1 GROUP BY 1", "companies")),
+    "competitive_pressure": (competitive_pressure, with_frames(ICP_HEAD + ", x AS (SELECT unnest(assoc) AS association, CASE competitor WHEN '' THEN 'greenfield' ELSE competitor END AS rival FROM icp), b AS (SELECT association, rival, row_number() OVER (PARTITION BY association ORDER BY count(*) DESC, rival) AS i FROM x WHERE rival <> 'greenfield' GROUP BY 1, 2) SELECT x.association, " + ", ".join(f"count(*) FILTER (x.rival = '{n}') AS \"{n}\"" for n in RIVALS) + ", any_value(b.rival) AS strongest FROM x LEFT JOIN b ON b.association = x.association AND b.i = 1 GROUP BY 1", "companies")),
     "email_infrastructure": (email_infrastructure, with_frames("SELECT CASE email_provider WHEN '' THEN 'Unknown' ELSE email_provider END AS provider, count(*) AS n, round(avg(nullif((coalesce(employee_count_min, 0) + coalesce(employee_count_max, 0)) / 2, 0)), 6) AS people, count(*) FILTER (spf_services <> '') AS with_spf FROM companies GROUP BY 1", "companies")),
     "gap_analysis": (gap_analysis, with_frames(ICP_HEAD + " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) FILTER ({'coalesce(trim(' + f + '), ' + chr(39) * 2 + ') = ' + chr(39) * 2 if k == 'string' else f + ' IS NULL'}) AS missing, round(100.0 * count(*) FILTER ({'coalesce(trim(' + f + '), ' + chr(39) * 2 + ') = ' + chr(39) * 2 if k == 'string' else f + ' IS NULL'}) / count(*), 6) AS percent FROM icp WHERE tier = 'Tier 2'" for f, k in FIELDS.items()), "companies")),
     "kpis": (kpis, with_frames(ICP_HEAD + "SELECT count(*) AS companies, round(100.0 * count(*) FILTER (quality_score >= 70) / count(*), 6) AS good_pct, round(100.0 * count(*) FILTER (enrichment_status = 'complete') / count(*), 6) AS done_pct, round(100.0 * count(*) FILTER (competitor = '') / count(*), 6) AS greenfield_pct, count(*) FILTER (tier = 'Tier 1') AS tier1 FROM icp", "companies")),
