@@ -1,38 +1,45 @@
 """A deterministic sharded WARC writer, and a reader of what it wrote.
 
-Writing: the shards' bounds on page_id come from an exact histogram of payload bytes, so the same pages give the same files
-whatever the partitions. Pages are dealt to shards with one shuffle by range, together with one small row for each page that
-repeats an earlier payload; a task merges both streams in order of page_id, so no page is joined or held. It writes a gzip
-member per record and rolls to the next file by compressed size. Headers and digests are made anew. Files are written under
-names of the attempt; when all tasks are done the driver renames those of the successful attempts and, last, the manifest
-that lists them. Readers go by the manifest only, so a lost task or driver leaves nothing that counts.
-
-Defined cases: null html counts as an empty payload; null page_id is written without a page number, after all others; of
-repeated rows with one page_id the first written is the response and the others refer to it; an empty table gives a manifest
-without files and no rows; extra columns are ignored.
+Writing: the shards' bounds on page_id come from exact running sums of payload bytes, so the same pages give the same files
+whatever the partitions. The bounds are one number for each shard of at least SHARD bytes, and at most MOST_SHARDS of
+them, as shards grow with the table beyond that; so they are small enough for a broadcast. A column tells each page's shard by
+binary search, and one shuffle deals every shard to a task of its own, with one small row for each page that repeats an earlier
+payload; a task merges both streams in order of page_id, so no page is joined or held. It writes a gzip member per record and
+rolls to the next file by compressed size. Headers and digests are made anew.
+
+Files are written under names of the attempt. Spark keeps the list of the files of the attempts that succeeded; tasks then rename
+those, and the list of their final names is the manifest, which appears in one rename. Readers go by the manifest only, so a lost
+task or driver leaves nothing that counts. The driver holds no list of files.
+
+Defined cases: null html counts as an empty payload; pages without page_id are written without a page number, in shards of their
+own after all others, dealt by their payload; of repeated rows with one page_id the first written is the response and the others
+refer to it; an empty table gives a manifest without files and no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import json
 import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from guildbook.llm.common import new_folder, staged, table
 
-#: Payloads of fewer bytes are never revisits. Bytes of payload to a shard, compressed bytes to a file, bins of the histogram.
-SMALLEST, SHARD, ROLL, BINS = 100, 64 << 20, 32 << 20, 1 << 12
+#: Payloads of fewer bytes are never revisits. Bytes of payload to a shard, compressed bytes to a file.
+SMALLEST, SHARD, ROLL = 100, 32 << 20, 32 << 20
+#: Rows of a range on average and the most ranges, while bounds are looked for; the most shards.
+ROWS, RANGES, MOST_SHARDS = 1_000_000, 1 << 12, 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-MANIFEST = "manifest.json"
+MANIFEST = "manifest"
 FILES = "final string, written string, records long, bytes long, sha256 string"
 
 
@@ -63,20 +70,23 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def read_records(stream: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder as Spark names it, and the folder's path there."""
+    return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1) if folder.startswith("s3a://") else folder)
+
+
+def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record of a file of gzip members, one member in memory at a time."""
-    at = 0
-    while at < len(stream):
-        unzip = zlib.decompressobj(31)
-        data = b""
+    held = stream.read(1 << 20)
+    while held:
+        unzip, data = zlib.decompressobj(31), []
         while not unzip.eof:
-            piece = stream[at : at + (1 << 20)]
-            if not piece:
+            if not held:
                 raise ValueError("a record breaks off")
-            data += unzip.decompress(piece)
-            at += len(piece)
-        at -= len(unzip.unused_data)
-        head, _, rest = data.partition(b"\r\n\r\n")
+            data.append(unzip.decompress(held))
+            held = unzip.unused_data if unzip.eof else stream.read(1 << 20)
+        held = held or stream.read(1 << 20)
+        head, _, rest = b"".join(data).partition(b"\r\n\r\n")
         headers = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
         block = rest[: int(headers["Content-Length"])]
         if hashlib.sha256(block).hexdigest() != headers["WARC-Block-Digest"].removeprefix("sha256:"):
@@ -84,38 +94,27 @@ def read_records(stream: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def shard_bounds(pages: DataFrame, size: int = SHARD) -> list[int]:
-    """The least page_id of each shard but the first: shards of about `size` bytes, by an exact histogram. Bins that hold more
-    than a shard are looked at again, finer, until they are a single id."""
-    lo, hi, total = pages.agg(F.min("page_id"), F.max("page_id"), F.sum("bytes")).first()
-    if lo is None or not total:
-        return []
-    cuts: list[int] = []
-    todo = [(lo, hi)]
-    fine: list[tuple[int, int]] = []  # (least id, bytes) of the bins in the end
-    while todo:
-        again = []
-        for a, b in todo:  # few: only bins of more than a shard come again
-            width = max(1, -(-(b - a + 1) // BINS))
-            rows = pages.filter(F.col("page_id").between(a, b)).groupBy(F.floor((F.col("page_id") - a) / width).cast("long").alias("bin")).agg(F.sum("bytes").alias("bytes")).collect()
-            for r in rows:
-                least = a + r["bin"] * width
-                if r["bytes"] > size and width > 1:
-                    again.append((least, min(b, least + width - 1)))
-                else:
-                    fine.append((least, r["bytes"]))
-        todo = again
-    held_bytes = 0
-    for least, n in sorted(fine):
-        if held_bytes and held_bytes + n > size:
-            cuts.append(least)
-            held_bytes = 0
-        held_bytes += n
-    return cuts
-
-
-def write_archives(pages: DataFrame, folder: str, shard: int = SHARD, roll: int = ROLL) -> dict:
-    """Write a record per row of pages (page_id, url, html) under folder; returns the manifest."""
+def shard_bounds(pages: DataFrame, size: int = SHARD) -> np.ndarray:
+    """The least page_id of each shard but the first: shards of about `size` bytes. pages: page_id and bytes.
+
+    Narrow rows are sorted by range once. The bytes of all smaller ids, which don't depend on how the ranges were cut, tell an id's
+    shard: sums of whole ranges (at most RANGES numbers) and a running sum within each."""
+    named = pages.filter("page_id is not null")
+    ranges = max(1, min(RANGES, named.count() // ROWS))
+    rows = staged(named.repartitionByRange(ranges, "page_id").withColumn("range", F.spark_partition_id()), "ranges")
+    sums = {r["range"]: r["bytes"] for r in rows.groupBy("range").agg(F.sum("bytes").alias("bytes")).collect()}
+    upto, offsets = 0, []
+    for k in sorted(sums):
+        offsets.append((k, upto))
+        upto += sums[k]
+    offset = pages.sparkSession.createDataFrame(offsets, "range int, upto long")
+    before = F.coalesce(F.sum("bytes").over(Window.partitionBy("range").orderBy("page_id").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.withColumn("before", before).join(F.broadcast(offset), "range").groupBy(F.floor((F.col("upto") + F.col("before")) / size).alias("shard")).agg(F.min("page_id").alias("least"))
+    return np.sort(placed.select("least").toArrow().column(0).to_numpy())[1:]  # a number for each shard
+
+
+def write_archives(pages: DataFrame, folder: str, shard: int = SHARD, roll: int = ROLL) -> DataFrame:
+    """Write a record per row of pages (page_id, url, html) under folder; returns the manifest (final, records, bytes, sha256)."""
     spark = pages.sparkSession
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     keys = staged(pages.select("page_id", F.octet_length("html").cast("long").alias("bytes"), F.unhex(F.sha2("html", 256)).alias("digest")), "keys")
@@ -123,21 +122,27 @@ def write_archives(pages: DataFrame, folder: str, shard: int = SHARD, roll: int
     firsts = staged(firsts, "firsts")
     # page_id -> the response that it revisits, only of repeated payloads.
     refs = keys.filter(F.col("bytes") >= SMALLEST).join(firsts, "digest").select("page_id", "first", "digest")
-    cuts = shard_bounds(keys.select("page_id", "bytes"), shard)
-    of = F.lit(len(cuts)).cast("int") - F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c > F.col("page_id"))) if cuts else F.lit(0)
-    of = F.coalesce(of.cast("int"), F.lit(len(cuts)))
-    names = [f"shard-{k:05d}" for k in range(len(cuts) + 1)]
+    total, nameless = keys.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("page_id").isNull(), F.col("bytes") + 1)), F.lit(0))).first()
+    size = max(shard, -(-total // MOST_SHARDS))
+    cuts = spark.sparkContext.broadcast(shard_bounds(keys.select("page_id", "bytes"), size))
+    named, rest = len(cuts.value) + 1, -(-nameless // size)
+
+    @F.pandas_udf("int")
+    def shard_of(page_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts.value, page_id.to_numpy(), "right").astype(np.int32))
+
     empty = F.lit(None)
-    both = pages.select("page_id", F.lit(1).alias("what"), empty.cast("long").alias("first"), "url", "html", empty.cast("binary").alias("digest")).unionByName(
-        refs.select("page_id", F.lit(0).alias("what"), "first", empty.cast("string").alias("url"), empty.cast("string").alias("html"), "digest")
+    both = pages.select("page_id", F.lit(1).alias("what"), empty.cast("long").alias("first"), "url", "html", empty.cast("binary").alias("digest"), F.unhex(F.sha2("html", 256)).alias("of")).unionByName(
+        refs.select("page_id", F.lit(0).alias("what"), "first", empty.cast("string").alias("url"), empty.cast("string").alias("html"), "digest", F.col("digest").alias("of"))
     )
-    both = both.withColumn("shard", of)
-    dealt = both.repartition(len(names), "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "what", "url", "html")
+    apart = F.lit(named) + F.pmod(F.xxhash64("of"), F.lit(max(1, rest))).cast("int")
+    both = both.withColumn("shard", F.when(F.col("page_id").isNull(), apart).otherwise(shard_of(F.coalesce("page_id", F.lit(0))))).drop("of")
+    dealt = both.repartitionById(named + rest, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "what", "url", "html")
 
     def write(batches):
         context = TaskContext.get()
         attempt = f"{context.partitionId()}-{context.taskAttemptId()}"
-        where, root = fs.FileSystem.from_uri(folder)
+        where, root = file_system(folder)
         where.create_dir(root, recursive=True)
         out, state, now = None, {}, None
         refs_of: dict[bytes, int] = {}
@@ -175,7 +180,7 @@ def write_archives(pages: DataFrame, folder: str, shard: int = SHARD, roll: int
                     done.append(finish())
                     number += 1
                 if out is None:
-                    final = f"{names[shard_no]}-{number:05d}.warc.gz"
+                    final = f"shard-{shard_no:07d}-{number:05d}.warc.gz"
                     state = {"final": final, "name": f"_writing-{attempt}-{final}", "records": 0, "bytes": 0, "sha": hashlib.sha256()}
                     out = where.open_output_stream(f"{root}/{state['name']}", compression=None)
                 squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -189,52 +194,59 @@ def write_archives(pages: DataFrame, folder: str, shard: int = SHARD, roll: int
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*done, strict=True)], ["final", "written", "records", "bytes", "sha256"])
 
-    # A row for each file.
-    files = sorted((r.asDict() for r in dealt.mapInArrow(write, FILES).collect()), key=lambda r: r["final"])
-    return _commit(spark, folder, files)
+    return _commit(staged(dealt.mapInArrow(write, FILES), "files"), folder)
 
 
-def _commit(spark: SparkSession, folder: str, files: list[dict]) -> dict:
+def _commit(files: DataFrame, folder: str) -> DataFrame:
+    """Give the listed files their final names, in tasks, and publish the list as the manifest."""
+
+    def publish(batches):
+        where, root = file_system(folder)
+        for batch in batches:
+            for written, final in zip(batch.column("written").to_pylist(), batch.column("final").to_pylist(), strict=True):
+                # A task that is tried again finds its file renamed.
+                if where.get_file_info(f"{root}/{final}").type == fs.FileType.NotFound:
+                    where.move(f"{root}/{written}", f"{root}/{final}")
+            yield batch.select(["final", "records", "bytes", "sha256"])
+
+    spark = files.sparkSession
+    spread = files.repartition(max(1, min(files.count(), 1 << 14)))
+    spread.mapInArrow(publish, "final string, records long, bytes long, sha256 string").write.parquet(f"{folder}/_{MANIFEST}")
     path = spark._jvm.org.apache.hadoop.fs.Path
     where = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    where.mkdirs(path(folder))
-    for f in files:
-        if not where.rename(path(f"{folder}/{f['written']}"), path(f"{folder}/{f['final']}")):
-            raise OSError(f"{f['final']} can't be renamed")
-    manifest = {"files": [{k: f[k] for k in ("final", "records", "bytes", "sha256")} for f in files]}
-    out = where.create(path(f"{folder}/_{MANIFEST}"), True)
-    out.write(bytearray(json.dumps(manifest, indent=1).encode()))
-    out.close()
-    where.rename(path(f"{folder}/_{MANIFEST}"), path(f"{folder}/{MANIFEST}"))
-    return manifest
-
-
-def read_archives(spark: SparkSession, folder: str, manifest: dict) -> DataFrame:
+    if not where.rename(path(f"{folder}/_{MANIFEST}"), path(f"{folder}/{MANIFEST}")):
+        raise OSError(f"{folder} has a manifest already")
+    for left in where.globStatus(path(f"{folder}/_writing-*")):  # of attempts that failed
+        where.delete(left.getPath(), False)
+    return spark.read.parquet(f"{folder}/{MANIFEST}")
+
+
+def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Per record: page_id, payload_bytes, payload_digest, record_type, refers_to. A response's payload is read and its digest
-    taken anew; a revisit tells its payload's size and digest in its headers."""
-    if not manifest["files"]:
-        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    files = spark.read.format("binaryFile").load([f"{folder}/{f['final']}" for f in manifest["files"]])
+    taken anew; a revisit tells its payload's size and digest in its headers. Files are streamed, a record at a time."""
+    types = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64()}
 
     def read(batches):
+        where, root = file_system(folder)
         for batch in batches:
-            for content in batch.column("content"):
+            for final in batch.column("final").to_pylist():
                 rows = []
-                for headers, block in read_records(content.as_py()):
-                    http, _, payload = block.partition(b"\r\n\r\n")
-                    told = headers["WARC-Payload-Digest"].removeprefix("sha256:")
-                    size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
-                    kind = headers["WARC-Type"]
-                    digest = told if kind == "revisit" else hashlib.sha256(payload).hexdigest()
-                    if digest != told or (kind == "response" and len(payload) != size):
-                        raise ValueError("a payload doesn't match its record's headers")
-                    page, first = headers.get("Page-Number"), headers.get("Refers-To-Page-Number")
-                    rows.append((page and int(page), size, digest, kind, first and int(first)))
-                types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+                with where.open_input_stream(f"{root}/{final}", compression=None) as stream:
+                    for headers, block in read_records(stream):
+                        http, _, payload = block.partition(b"\r\n\r\n")
+                        told = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+                        size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
+                        kind = headers["WARC-Type"]
+                        digest = told if kind == "revisit" else hashlib.sha256(payload).hexdigest()
+                        if digest != told or (kind == "response" and len(payload) != size):
+                            raise ValueError("a payload doesn't match its record's headers")
+                        page, first = headers.get("Page-Number"), headers.get("Refers-To-Page-Number")
+                        rows.append((page and int(page), size, digest, kind, first and int(first)))
                 columns = list(zip(*rows, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], list(types))
 
-    return files.select("content").mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    spread = manifest.select("final").repartition(max(1, min(manifest.count(), 1 << 16)))
+    return spread.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
