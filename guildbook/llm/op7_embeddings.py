@@ -6,7 +6,8 @@ precision. A pair that meets in several tables counts in the first only. Buckets
 forest, never all pairs. The numbers of planes and tables follow from the number of vectors and from the recall asked for
 at the cosine bound itself; pairs above the bound are found more surely.
 
-A bucket beyond BLOCK vectors is split into blocks, and each pair of blocks is a task of its own.
+Buckets are worked on many to a call. One beyond BLOCK vectors is split into blocks, and each pair of blocks counts as a bucket of
+its own. Vectors travel in single precision where that is exact, and are brought to length one in double precision on arrival.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite numbers link with nothing (n_links 0, their own
 component, kept); vectors link among those with as many components only; repeated rows are vectors of their own; null vec_id
@@ -29,7 +30,9 @@ from guildbook.llm.components import components, forest
 
 COSINE, RECALL = 0.95, 0.9995
 #: Vectors that a bucket should hold on average, and the most in one block.
-BUCKET, BLOCK = 24, 1024
+BUCKET, BLOCK = 192, 1024
+#: Rows of buckets that one call works on, on average.
+PER_CALL = 8192
 SEED = 7
 
 
@@ -40,8 +43,14 @@ def shape_of(n: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[in
     return planes, math.ceil(math.log(1 - recall) / math.log(1 - same**planes))
 
 
-def rows_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each number of components: which rows hold a usable vector, and those vectors in double precision, of length one."""
+def at_length_one(m: np.ndarray) -> np.ndarray:
+    """Rows of finite numbers, not all zero, brought to length one; each row by itself, so that it comes out alike everywhere."""
+    m = m / np.abs(m).max(axis=1, initial=0)[:, None]
+    return m / np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
+
+
+def rows_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each number of components: which rows hold a usable vector, those vectors, and the same at length one."""
     lists, by_width = column.to_pylist(), {}
     for i, x in enumerate(lists):
         if x and None not in x:
@@ -51,13 +60,31 @@ def rows_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         with np.errstate(all="ignore"):
             largest = np.abs(m).max(axis=1, initial=0)
             fine = np.isfinite(largest) & (largest > 0)
-            m = m[fine] / largest[fine, None]
-            m /= np.sqrt((m * m).sum(axis=1))[:, None]
-        yield np.array(good, np.int64)[fine], m
+        yield np.array(good, np.int64)[fine], m[fine], at_length_one(m[fine])
+
+
+def pack(vector: np.ndarray) -> bytes:
+    """A vector in bytes: in single precision behind a 4 if that loses nothing, else in double precision behind an 8."""
+    with np.errstate(all="ignore"):
+        short = vector.astype(np.float32)
+    return b"\x04" + short.tobytes() if (short == vector).all() else b"\x08" + vector.tobytes()
+
+
+def unpack(packed: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each number of components: which of the packed vectors have it, and these at length one."""
+    widths = np.array([(len(p) - 1) // p[0] for p in packed], np.int64)
+    for width in np.unique(widths):
+        at = np.flatnonzero(widths == width)
+        short = np.array([packed[i][0] == 4 for i in at])
+        m = np.empty((len(at), width))
+        for kind, mask in ((np.float32, short), (np.float64, ~short)):
+            if mask.any():
+                m[mask] = np.frombuffer(b"".join([packed[i][1:] for i in at[mask]]), kind).reshape(-1, width)
+        yield at, at_length_one(m)
 
 
 def classes(vectors: DataFrame) -> DataFrame:
-    """vec_id and key, a digest of the vector, null where it is unusable; unit, the vector at length one."""
+    """vec_id and key, a digest of the vector at length one, null where it is unusable; raw, the vector as pack() has it."""
     import hashlib
 
     def run(batches):
@@ -65,45 +92,63 @@ def classes(vectors: DataFrame) -> DataFrame:
             for k in range(0, batch.num_rows, 4096):
                 part = batch.slice(k, 4096)
                 keys, out = [None] * part.num_rows, [None] * part.num_rows
-                for which, units in rows_of(part.column("embedding")):
-                    for i, u in zip(which.tolist(), units, strict=True):
-                        out[i] = u.tobytes()
-                        keys[i] = hashlib.blake2b(out[i], digest_size=16).digest()
-                yield pa.RecordBatch.from_arrays([part.column("vec_id"), pa.array(keys, pa.binary()), pa.array(out, pa.binary())], ["vec_id", "key", "unit"])
+                for which, raw, units in rows_of(part.column("embedding")):
+                    for i, r, u in zip(which.tolist(), raw, units, strict=True):
+                        out[i] = pack(r)
+                        keys[i] = hashlib.blake2b(u.tobytes(), digest_size=16).digest()
+                yield pa.RecordBatch.from_arrays([part.column("vec_id"), pa.array(keys, pa.binary()), pa.array(out, pa.binary())], ["vec_id", "key", "raw"])
 
-    return vectors.select("vec_id", "embedding").mapInArrow(run, f"vec_id {vectors.schema['vec_id'].dataType.simpleString()}, key binary, unit binary")
+    return vectors.select("vec_id", "embedding").mapInArrow(run, f"vec_id {vectors.schema['vec_id'].dataType.simpleString()}, key binary, raw binary")
 
 
 def sides(units: np.ndarray, planes: int, tables: int) -> np.ndarray:
-    """Each unit vector's key in each table; the first tables are the same whatever their number."""
+    """Each unit vector's key in each table; the first tables are the same whatever their number. Sums of products are taken one by
+    one, so that a vector near a plane gets the same side in every call, whatever vectors are beside it."""
     normals = np.random.Generator(np.random.PCG64(SEED)).standard_normal((tables * planes, units.shape[1]))
-    bits = (units @ normals.T > 0).reshape(len(units), tables, planes)
-    return bits @ (1 << np.arange(planes, dtype=np.int64))
-
-
-def block_links(left: dict, right: dict | None, which: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links between two blocks of one bucket of table `which` (or within one): places left, places right; only pairs that no
-    earlier table brought together."""
+    out, weights = np.zeros((len(units), tables), np.int64), 1 << np.arange(planes, dtype=np.int64)
+    columns = np.ascontiguousarray(units.T)
+    for t in range(tables):
+        dots = np.zeros((planes, len(units)))
+        for k in range(units.shape[1]):  # component after component
+            dots += normals[t * planes : (t + 1) * planes, k, None] * columns[k]
+        out[:, t] = weights @ (dots > 0)
+    return out
+
+
+def bucket_links(m: np.ndarray, left: np.ndarray, right: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of m, one of left and one of right (or two of left), whose cosine reaches the bound."""
     other = left if right is None else right
-    found_i, found_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for k in range(0, len(left["id"]), 512):
-        i, j = np.nonzero(left["unit"][k : k + 512] @ other["unit"].T >= cosine)
+    found_i, found_j = [], []
+    for k in range(0, len(left), 512):
+        i, j = np.nonzero(m[left[k : k + 512]] @ m[other].T >= cosine)
         i += k
         if right is None:
             i, j = i[i < j], j[i < j]
-        if which and len(i):
-            first = ~(left["sides"][i, :which] == other["sides"][j, :which]).any(axis=1)
-            i, j = i[first], j[first]
-        found_i.append(i)
-        found_j.append(j)
+        found_i.append(left[i])
+        found_j.append(other[j])
     return np.concatenate(found_i), np.concatenate(found_j)
 
 
+def first_meetings(m: np.ndarray, i: np.ndarray, j: np.ndarray, which: np.ndarray, planes: int) -> np.ndarray:
+    """Of pairs of rows found in table `which`, those that no earlier table brought together."""
+    keep = np.ones(len(i), bool)
+    later = np.flatnonzero(which > 0)
+    if not len(later):
+        return keep
+    rows = np.unique(np.concatenate([i[later], j[later]]))
+    keys = sides(m[rows], planes, int(which.max()))
+    for k in range(0, len(later), 50_000):
+        at = later[k : k + 50_000]
+        equal = keys[np.searchsorted(rows, i[at])] == keys[np.searchsorted(rows, j[at])]
+        keep[at] = ~(equal & (np.arange(keys.shape[1]) < which[at, None])).any(axis=1)
+    return keep
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links and component_id of every row of vectors (vec_id, embedding)."""
     rows = staged(classes(vectors), "units")
     usable = rows.filter("key is not null")
-    distinct = staged(usable.groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("unit").alias("unit")), "vectors")
+    distinct = staged(usable.groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("raw").alias("raw")), "vectors")
     distinct = staged(distinct.withColumn("id", F.monotonically_increasing_id()), "numbered")
     planes, tables = shape_of(distinct.count(), cosine, recall)
 
@@ -111,17 +156,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
         for batch in batches:
             for k in range(0, batch.num_rows, 2048):
                 part = batch.slice(k, 2048)
-                units = [np.frombuffer(u) for u in part.column("unit").to_pylist()]
-                widths = np.array([len(u) for u in units])
-                for width in np.unique(widths):
-                    own = np.flatnonzero(widths == width)
-                    keys = sides(np.stack([units[i] for i in own]), planes, tables)
+                for own, units in unpack(part.column("raw").to_pylist()):
+                    keys = sides(units, planes, tables)
                     for t in range(tables):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.full(len(own), t, np.int32)), pa.array(keys[:, t]), part.column("id").take(pa.array(own))], ["which", "side", "id"]
                         )
 
-    dealt = staged(distinct.select("id", "unit").mapInArrow(deal, "which int, side long, id long"), "dealt")
+    dealt = staged(distinct.select("id", "raw").mapInArrow(deal, "which int, side long, id long"), "dealt")
     # Buckets of one vector have no pairs and go; of large ones there are few: at most rows x tables / BLOCK.
     sizes = staged(dealt.groupBy("which", "side").count().filter("count > 1"), "buckets")
     spread = dealt.join(sizes, ["which", "side"]).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
@@ -129,29 +171,37 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     # A task is a pair of blocks (x <= y); a vector of block `own` goes to all pairs that hold it.
     spread = spread.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "own").alias("x"), F.greatest(o, "own").alias("y")))))
     spread = staged(spread.select("which", "side", "pair.x", "pair.y", "own", "id"), "spread")
-    carried = spread.join(distinct.select("id", "copies", "unit"), "id")
+    calls = max(1, -(-spread.count() // PER_CALL))
+    carried = spread.join(distinct.select("id", "copies", "raw"), "id").withColumn("call", F.pmod(F.xxhash64("which", "side", "x", "y"), F.lit(calls)))
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        t, x, y = (int(pdf[c].iloc[0]) for c in ("which", "x", "y"))
-        units = [np.frombuffer(u) for u in pdf["unit"]]
-        widths = np.array([len(u) for u in units])
+        pdf = pdf.sort_values(["which", "side", "x", "y", "own"], kind="stable", ignore_index=True)
+        ids, copies = pdf["id"].to_numpy(), pdf["copies"].to_numpy()
+        table_, side, x, y, own = (pdf[c].to_numpy() for c in ("which", "side", "x", "y", "own"))
         gained, pairs = [], []
-        for width in np.unique(widths):  # vectors of other lengths link among themselves only
-            at = np.flatnonzero(widths == width)
-            m, own = np.stack([units[i] for i in at]), pdf["own"].to_numpy()[at]
-            keys = sides(m, planes, t) if t else np.zeros((len(m), 0), np.int64)
-            ids, copies = pdf["id"].to_numpy()[at], pdf["copies"].to_numpy()[at]
-            blocks = [{"id": ids[own == b], "copies": copies[own == b], "unit": m[own == b], "sides": keys[own == b]} for b in ((x,) if x == y else (x, y))]
-            left, right = blocks[0], blocks[-1]
-            i, j = block_links(left, None if x == y else right, t, cosine)
-            gained += [(left["id"][i], right["copies"][j]), (right["id"][j], left["copies"][i])]
-            pairs.append(np.stack([left["id"][i], right["id"][j]], axis=1))
+        for at, m in unpack(pdf["raw"].tolist()):  # vectors of other lengths link among themselves only
+            cut = np.flatnonzero(np.append(True, (table_[at][1:] != table_[at][:-1]) | (side[at][1:] != side[at][:-1]) | (x[at][1:] != x[at][:-1]) | (y[at][1:] != y[at][:-1])))
+            found_i, found_j = [], []
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True):
+                here = np.arange(a, b)
+                if x[at[a]] == y[at[a]]:
+                    i, j = bucket_links(m, here, None, cosine)
+                else:
+                    first = own[at[here]] == x[at[a]]
+                    i, j = bucket_links(m, here[first], here[~first], cosine)
+                found_i.append(i)
+                found_j.append(j)
+            i, j = np.concatenate(found_i), np.concatenate(found_j)
+            new = first_meetings(m, i, j, table_[at[i]], planes)
+            i, j = at[i[new]], at[j[new]]
+            gained += [(ids[i], copies[j]), (ids[j], copies[i])]
+            pairs.append(np.stack([ids[i], ids[j]], axis=1))
         nodes, which = np.unique(np.concatenate([g[0] for g in gained]), return_inverse=True)
         total = np.bincount(which, np.concatenate([g[1] for g in gained]), len(nodes)).astype(np.int64)
         star = {int(a): int(b) for a, b in forest(np.concatenate(pairs))}
         return pd.DataFrame({"id": nodes, "links": total, "up": [star.get(int(v), int(v)) for v in nodes]})
 
-    found = staged(carried.groupBy("which", "side", "x", "y").applyInPandas(meet, "id long, links long, up long"), "links")
+    found = staged(carried.groupBy("call").applyInPandas(meet, "id long, links long, up long"), "links")
     linked = found.groupBy("id").agg(F.sum("links").alias("links"))
     placed = staged(components(found.select(F.col("id").alias("a"), F.col("up").alias("b")), "id"), "components")
     named = staged(distinct.join(staged(linked, "counts"), "id", "left").join(placed, "id", "left").select("key", "copies", "least", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "id").alias("root")), "named")

@@ -60,3 +60,21 @@ def test_query_against_sql(spark):
 
 def test_empty(spark):
     assert op.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_the_bound_itself(spark):
+    """A pair at exactly 0.95 links, one just below doesn't: 19/20 and 0.9499."""
+    rows = [(1, [1.0, 0.0]), (2, [19.0, float(np.sqrt(39.0))]), (3, [0.0, -1.0]), (4, [float(np.sqrt(1 - 0.9499**2)), -0.9499])]
+    cosine = lambda a, b: np.dot(a, b) / np.sqrt(np.dot(a, a)) / np.sqrt(np.dot(b, b))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in op.near_duplicates(df, cosine=min(0.95, cosine(rows[0][1], rows[1][1]))).collect()}
+    assert got == {1: 1, 2: 1, 3: 0, 4: 0}
+
+
+def test_sides_do_not_depend_on_the_company():
+    rng = np.random.default_rng(5)
+    m = op.at_length_one(rng.standard_normal((300, 64)))
+    whole = op.sides(m, 9, 7)
+    for k in (1, 2, 17):
+        assert np.array_equal(np.concatenate([op.sides(m[a : a + k], 9, 7) for a in range(0, 300, k)]), whole)
+    assert np.array_equal(op.sides(m, 9, 3), whole[:, :3])
