@@ -37,11 +37,24 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return where
 
 
+#: Spark's setting to delete an execution's shuffle files as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write df once and read it back: cuts the lineage, so that a lost executor costs a file read and not the work before it."""
-    where = new_folder(df.sparkSession, label)
-    df.write.parquet(where)
-    return df.sparkSession.read.schema(df.schema).parquet(where)
+    """Write df once and read it back: cuts the lineage, so that a lost executor costs a file read and not the work before it. The
+    shuffle files of the writing go when it has ended, as nothing will read them again."""
+    spark, where = df.sparkSession, new_folder(df.sparkSession, label)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(where)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(where)
 
 
 def unused(columns: list[str], *names: str) -> list[str]:
