@@ -103,8 +103,46 @@ SELECT k AS company_id,
 FROM (SELECT c_custkey AS k FROM customer)
 """
 
-FRAMES = {"sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+#: Job postings of companies, one per order, with the systems that they name.
+POSTINGS = """
+SELECT o_orderkey AS job_id, o_custkey AS company_id, split_part('Planner|IT Manager|ERP Analyst|Welder|Buyer|Estimator|Machinist', '|', CAST(o_orderkey % 7 + 1 AS INT)) AS title,
+  split_part('Our Epicor ERP is Epicor Kinetic, you know Epicor and Salesforce well|Moving from JD Edwards to Oracle NetSuite, NetSuite skills and SolidWorks or Mastercam are asked for|Reports in Power BI and Tableau|Runs Infor Visual on the floor|Knows Sage 100 or Plex ERP. Sage 100 preferred by all of our plants in the north and in the south of the state|Keeps the QMS and the WMS|Uses E2 Shop System of Shoptech|Drawings live in PTC Windchill', '|', CAST(o_orderkey % 8 + 1 AS INT)) AS snippet
+FROM orders
+"""
+
+#: Pages of search results with their cards in a script; every fourth has a broken one.
+RESULT_PAGES = """
+SELECT k AS page_id, '<html><script>window.mosaic.providerData["mosaic-provider-jobcards"] = {"metaData": {"mosaicProviderJobCardsModel": {"results": [{"title": " Planner ' || CAST(k AS VARCHAR(20))
+  || ' ", "company": "Firm ' || CAST(k AS VARCHAR(20)) || '", "formattedLocation": "Akron, OH", "formattedRelativeTime": "3 days ago", "snippet": "<b>Runs</b> the   plan<br>daily", "urgentlyHiring": ' || CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END
+  || ', "extractedSalary": {"text": "$' || CAST(k AS VARCHAR(20)) || ' an hour", "max": 5}}, {"title": "", "displayTitle": "Welder", "company": null, "truncatedCompany": "Short ' || CAST(k AS VARCHAR(20)) || '"' || CASE WHEN k % 3 = 0 THEN ', "salarySnippet": "by shift"' ELSE '' END
+  || '}, {"company": "Nameless"}]}}' || CASE WHEN k % 4 = 3 THEN '' ELSE '}' END || ';</script></html>' AS html
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+#: Answers of providers about companies, one per customer.
+PAYLOADS = """
+SELECT k AS company_id, split_part('clearbit|apollo|zoominfo|builtwith|' || CASE WHEN k % 2 = 0 THEN 'apollo_people' ELSE 'hunter' END, '|', CAST(k % 5 + 1 AS INT)) AS provider,
+  CASE k % 5
+    WHEN 0 THEN '{"metrics": {"employees": ' || CAST(k AS VARCHAR(20)) || ', "estimatedAnnualRevenue": ' || CASE k % 3 WHEN 0 THEN '"$' || CAST(k AS VARCHAR(20)) || '.5M"' WHEN 1 THEN '"' || CAST(k AS VARCHAR(20)) || ' k"' ELSE 'null' END || '}, "foundedYear": ' || CAST(1900 + k % 100 AS VARCHAR(20)) || ', "category": {"naicsCode": "3327", "industry": "Metal"}, "linkedin": {"handle": ' || CASE WHEN k % 2 = 0 THEN '"firm' || CAST(k AS VARCHAR(20)) || '"' ELSE 'null' END || '}}'
+    WHEN 1 THEN '{"organization": {"estimated_num_employees": ' || CAST(k AS VARCHAR(20)) || ', "industry": "Tools", "linkedin_url": "https://linkedin.com/company/a' || CAST(k AS VARCHAR(20)) || '"}}'
+    WHEN 2 THEN '{"data": [{"employeeCount": ' || CAST(k AS VARCHAR(20)) || CASE WHEN k % 2 = 0 THEN ', "revenueInMillions": 12.5' ELSE '' END || ', "yearFounded": 1950, "naicsCode": "3328"}]}'
+    WHEN 3 THEN CASE WHEN k % 2 = 0 THEN '{"Results": [{"Result": {"Paths": [{"Technologies": [{"Name": "nginx"}, {"Name": "Epicor", "Categories": ["ERP Software"]}]}, {"Technologies": [{"Name": "HubSpot", "Categories": ["CRM", "Mail"]}]}]}}, {"Result": {"Paths": [{"Technologies": [{"Name": "Plex", "Categories": ["Cloud ERP"]}]}]}}]}' ELSE '{"Results": []}' END
+    ELSE CASE WHEN k % 2 = 0 THEN '{"people": [{"name": "Pat ' || CAST(k AS VARCHAR(20)) || '", "title": "Owner", "email": "pat@f.com", "phone_numbers": [{"number": "555-' || CAST(k AS VARCHAR(20)) || '"}, {"number": "1"}]}, {"name": "Lee", "phone_numbers": [], "linkedin_url": "https://linkedin.com/in/lee"}]}'
+      ELSE '{"data": {"emails": [{"value": "kim@f.com", "first_name": "Kim", "last_name": "Roy", "position": "CFO"}, {"value": "info@f.com", "first_name": "", "last_name": null, "phone_number": "5551234567"}]}}' END END AS raw
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+#: Team pages with people in cards of two kinds or in the text.
+TEAM_PAGES = """
+SELECT k AS page_id, '<html><body><h1>Our people</h1>' || CASE k % 3
+  WHEN 0 THEN '<div class="team-member wide"><img src="a.png"><h3>Ann Lee</h3><p class="role">Plant Manager</p><a href="mailto:Ann' || CAST(k AS VARCHAR(20)) || '@Firm.com?subject=x">Mail</a><a href="tel:+1 (330) 555-0100">Call</a><a href="https://www.linkedin.com/in/ann">Profile</a></div><div class="team-member"><h3>Bo</h3><strong>Bo Ray</strong><p>Likes boats</p></div><div class="team-member"><h3>Vacancy</h3></div>'
+  WHEN 1 THEN '<ul class="our-teams"><li>List</li></ul><section class="bio"><h4>Cy Fox</h4><span>Vice President of Sales</span></section>'
+  ELSE '<p>Dee Day, Chief Engineer, and Ed Low, Welder</p>' END || '</body></html>' AS html
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+FRAMES = {"postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,7 +152,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table; the given tables come in as frames, so no view is left behind."""
     tables = {t: table(spark, sf_dir, t) for t in SOURCES[name]}
-    text = FRAMES[name]
+    text = FRAMES[name].replace("{", "{{").replace("}", "}}")  # braces of JSON are not names of tables
     for t in tables:
         text = text.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")
     return spark.sql(text, **tables)
