@@ -141,8 +141,20 @@ SELECT k AS page_id, '<html><body><h1>Our people</h1>' || CASE k % 3
 FROM (SELECT c_custkey AS k FROM customer)
 """
 
-FRAMES = {"postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+#: Event pages with sponsors by tier, exhibitors in a table or in items, or speakers.
+EVENT_PAGES = """
+SELECT k AS page_id, 'https://show' || CAST(n AS VARCHAR(20)) || '.org/event/list' AS url, split_part('SPONSORS_LIST|EXHIBITORS_LIST|EXHIBITORS_LIST|PARTICIPANTS_LIST|EVENT_DETAIL', '|', CAST(k % 5 + 1 AS INT)) AS page_type,
+  '<html><body><h1>Trade show</h1>' || CASE k % 5
+    WHEN 0 THEN '<section><h2>Gold Level</h2><a href="https://firm' || CAST(k AS VARCHAR(20)) || '.com"><img src="x.png" alt="Firm ' || CAST(k AS VARCHAR(20)) || ' Logo"></a><img alt="Logo"><a href="/away">Other Firm</a></section><div class="silver-box"><a href="s.html">Silver Firm</a><a href="s2.html">silver firm</a><a href="w">www.x.com</a></div>'
+    WHEN 1 THEN '<table><tr><th>Name</th><th>Place</th><th>Field</th></tr><tr><td>Firm ' || CAST(k AS VARCHAR(20)) || '</td><td>Booth #' || CAST(100 + k % 900 AS VARCHAR(20)) || '</td><td>Metal</td></tr><tr><td><a href="http://b.com">Bolts</a></td><td>B12</td></tr><tr><td>X</td></tr></table>'
+    WHEN 2 THEN '<ul class="exhibitor-list"><li><h4>Item ' || CAST(k AS VARCHAR(20)) || '</h4><span class="category">Tools</span> Stand: ' || CAST(k AS VARCHAR(20)) || '</li><li>Nothing</li></ul>'
+    WHEN 3 THEN '<p>Meet our speakers</p><div class="speaker-card"><h3>Ann Lee</h3><p class="position">Head of Sales at Firm ' || CAST(k AS VARCHAR(20)) || '</p><p class="session">Steel</p></div><div class="speaker-card"><h3>Bo Ray</h3></div>'
+    ELSE '<div class="gold"><a href="x">Not asked for</a></div>' END || '</body></html>' AS html
+FROM (SELECT c_custkey AS k, c_nationkey AS n FROM customer)
+"""
+
+FRAMES = {"event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

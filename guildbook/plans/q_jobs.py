@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from guildbook.operators import jobs as jb
 from guildbook.operators import payloads as pl
+from guildbook.operators import participants as pa
 from guildbook.operators import people as pe
 from guildbook.plans.frames import frame, with_frames
 
@@ -53,6 +54,10 @@ def team_people(spark, sf):
     return people.withColumn("titled", jb.looks_like_title(c("title")))
 
 
+def event_participants(spark, sf):
+    return pa.extract_participants(frame(spark, sf, "event_pages"), "page_id", "url", "page_type")
+
+
 #: What the eight texts of the postings hold, told by hand: number of the text, vendor, word, its turn in the table, places.
 _HELD = """held(i, vendor, keyword, turn, n) AS (VALUES (0, 'epicor', 'epicor', 0, 3), (0, 'epicor', 'epicor kinetic', 1, 1), (0, 'epicor', 'epicor erp', 4, 1), (1, 'oracle', 'jd edwards', 12, 1), (1, 'netsuite', 'netsuite', 16, 2),
   (1, 'netsuite', 'oracle netsuite', 17, 1), (3, 'infor', 'infor visual', 22, 1), (3, 'visual manufacturing', 'infor visual', 53, 1), (4, 'sage', 'sage 100', 34, 2), (4, 'plex', 'plex erp', 32, 1),
@@ -81,4 +86,13 @@ SELECT k AS page_id, 0 AS turn, 'Ann Lee' AS name, 'Plant Manager' AS title, 'an
 UNION ALL SELECT k, 1, 'Bo Ray', NULL, NULL, NULL, NULL, false FROM s WHERE k % 3 = 0
 UNION ALL SELECT k, 0, 'Cy Fox', 'Vice President of Sales', NULL, NULL, NULL, true FROM s WHERE k % 3 = 1
 UNION ALL SELECT k, 0, 'Dee Day', 'Chief Engineer', NULL, NULL, NULL, true FROM s WHERE k % 3 = 2"""),
+    "event_participants": (event_participants, """WITH s AS (SELECT c_custkey AS k, 'https://show' || c_nationkey || '.org' AS b FROM customer)
+SELECT k AS page_id, 'SPONSOR' AS kind, 'GOLD' AS tier, 'Firm ' || k AS company_name, 'https://firm' || k || '.com' AS website, NULL::VARCHAR AS booth, NULL::VARCHAR AS category, NULL::VARCHAR AS speaker, NULL::VARCHAR AS title, NULL::VARCHAR AS topic FROM s WHERE k % 5 = 0
+UNION ALL SELECT k, 'SPONSOR', 'GOLD', 'Other Firm', b || '/away', NULL, NULL, NULL, NULL, NULL FROM s WHERE k % 5 = 0
+UNION ALL SELECT k, 'SPONSOR', 'SILVER', 'Silver Firm', b || '/event/s.html', NULL, NULL, NULL, NULL, NULL FROM s WHERE k % 5 = 0
+UNION ALL SELECT k, 'EXHIBITOR', NULL, 'Firm ' || k, NULL, (100 + k % 900)::VARCHAR, 'Metal', NULL, NULL, NULL FROM s WHERE k % 5 = 1
+UNION ALL SELECT k, 'EXHIBITOR', NULL, 'Bolts', 'http://b.com', 'B12', NULL, NULL, NULL, NULL FROM s WHERE k % 5 = 1
+UNION ALL SELECT k, 'EXHIBITOR', NULL, 'Item ' || k, NULL, k::VARCHAR, 'Tools', NULL, NULL, NULL FROM s WHERE k % 5 = 2
+UNION ALL SELECT k, 'SPEAKER', NULL, 'Firm ' || k, NULL, NULL, NULL, 'Ann Lee', 'Head of Sales', 'Steel' FROM s WHERE k % 5 = 3
+UNION ALL SELECT k, 'SPEAKER', NULL, 'Unknown', NULL, NULL, NULL, 'Bo Ray', NULL, NULL FROM s WHERE k % 5 = 3"""),
 }
