@@ -153,8 +153,16 @@ SELECT k AS page_id, 'https://show' || CAST(n AS VARCHAR(20)) || '.org/event/lis
 FROM (SELECT c_custkey AS k, c_nationkey AS n FROM customer)
 """
 
-FRAMES = {"event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+#: Profiles of members, and pages of a list of members.
+PROFILES = """
+SELECT k AS page_id, CASE WHEN k % 3 = 2 THEN '<html><ul class="icons row-fluid"><li class="span4"><a href="/profile.asp?id=' || CAST(k AS VARCHAR(20)) || '">Firm ' || CAST(k AS VARCHAR(20)) || '</a><cite>akron, oh</cite><a href="http://firm' || CAST(k AS VARCHAR(20)) || '.com">Site</a></li><li class="span4"><b>No link</b></li><li class="span4"><a href="/x/directory/2">Second</a><cite>Toledo</cite></li></ul></html>'
+  ELSE '<html><div class="profile-header"><h1>' || CASE WHEN k % 3 = 1 AND k % 2 = 0 THEN '' ELSE 'Firm  <i>' || CAST(k AS VARCHAR(20)) || '</i>' END || '</h1></div><div class="company-website"><a href="https://facebook.com/f">Us</a></div><a href="http://x.com/">X</a>'
+  || '<p class="location"><span class="city">new YORK</span> <span itemprop="addressRegion">ohio</span></p><a href="tel:330 555-0100">330 555-0100</a><a href="mailto:Info@Firm.com">mail</a><i class="tier-badge">gOLD</i><i class="member-since">Since 1987</i></html>' END AS html
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+FRAMES = {"profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from guildbook.functions import schemas
 from guildbook.operators import jobs as jb
 from guildbook.operators import payloads as pl
 from guildbook.operators import participants as pa
 from guildbook.operators import people as pe
+from guildbook.operators import schema as sc
 from guildbook.plans.frames import frame, with_frames
 
 c = F.col
@@ -58,6 +60,15 @@ def event_participants(spark, sf):
     return pa.extract_participants(frame(spark, sf, "event_pages"), "page_id", "url", "page_type")
 
 
+def profile_records(spark, sf):
+    return sc.extract_by_schema(frame(spark, sf, "profiles").filter("page_id % 3 <> 2"), "page_id", schemas.DEFAULT)
+
+
+def listed_records(spark, sf):
+    pages = frame(spark, sf, "profiles").filter("page_id % 3 = 2")
+    return sc.extract_by_schema(pages, "page_id", sc.extended(schemas.PMA, schemas.DEFAULT), item=schemas.PMA_ITEM).select("page_id", "turn", "company_name", "city", "state", "country", "profile_url", "member_id")
+
+
 #: What the eight texts of the postings hold, told by hand: number of the text, vendor, word, its turn in the table, places.
 _HELD = """held(i, vendor, keyword, turn, n) AS (VALUES (0, 'epicor', 'epicor', 0, 3), (0, 'epicor', 'epicor kinetic', 1, 1), (0, 'epicor', 'epicor erp', 4, 1), (1, 'oracle', 'jd edwards', 12, 1), (1, 'netsuite', 'netsuite', 16, 2),
   (1, 'netsuite', 'oracle netsuite', 17, 1), (3, 'infor', 'infor visual', 22, 1), (3, 'visual manufacturing', 'infor visual', 53, 1), (4, 'sage', 'sage 100', 34, 2), (4, 'plex', 'plex erp', 32, 1),
@@ -95,4 +106,8 @@ UNION ALL SELECT k, 'EXHIBITOR', NULL, 'Bolts', 'http://b.com', 'B12', NULL, NUL
 UNION ALL SELECT k, 'EXHIBITOR', NULL, 'Item ' || k, NULL, k::VARCHAR, 'Tools', NULL, NULL, NULL FROM s WHERE k % 5 = 2
 UNION ALL SELECT k, 'SPEAKER', NULL, 'Firm ' || k, NULL, NULL, NULL, 'Ann Lee', 'Head of Sales', 'Steel' FROM s WHERE k % 5 = 3
 UNION ALL SELECT k, 'SPEAKER', NULL, 'Unknown', NULL, NULL, NULL, 'Bo Ray', NULL, NULL FROM s WHERE k % 5 = 3"""),
+    "profile_records": (profile_records, """SELECT k AS page_id, 0 AS turn, 'Firm' || k AS company_name, 'https://facebook.com/f' AS website, 'New York' AS city, 'OH' AS state, 'United States' AS country, '3305550100' AS phone, 'mailto:info@firm.com' AS email, 'Gold' AS membership_tier, '1987' AS member_since, NULL::VARCHAR AS description
+FROM (SELECT c_custkey AS k FROM customer) WHERE k % 3 = 0 OR k % 3 = 1 AND k % 2 = 1"""),
+    "listed_records": (listed_records, """WITH s AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 = 2)
+SELECT k AS page_id, 0 AS turn, 'Firm ' || k AS company_name, 'Akron' AS city, 'OH' AS state, 'United States' AS country, '/profile.asp?id=' || k AS profile_url, k::VARCHAR AS member_id FROM s UNION ALL SELECT k, 2, 'Second', NULL, NULL, 'United States', NULL, NULL FROM s"""),
 }
