@@ -161,8 +161,17 @@ SELECT k AS page_id, CASE WHEN k % 3 = 2 THEN '<html><ul class="icons row-fluid"
 FROM (SELECT c_custkey AS k FROM customer)
 """
 
-FRAMES = {"profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+#: Pages of one event (structured data, or texts) and lists of events.
+EVENT_SITES = """
+SELECT k AS page_id, 'https://show' || CAST(n AS VARCHAR(20)) || '.org/events/x.html' AS url, split_part('EVENT_DETAIL|EVENT_DETAIL|EVENTS_LIST|OTHER', '|', CAST(k % 4 + 1 AS INT)) AS page_type, '<html><head>' || CASE k % 4
+  WHEN 0 THEN '<script type="application/ld+json">{"name": "Expo ' || CAST(k AS VARCHAR(20)) || '", "startDate": "2025-03-04T09:00", "endDate": "2025-03-06", "location": {"name": "Hall 1", "address": {"addressLocality": "Akron", "addressRegion": "OH", "addressCountry": "US"}}}</script></head><body><h1>Other</h1><a href="/join">Register now</a></body>'
+  WHEN 1 THEN '<title>Shop | Site</title></head><body><h1>Welding Workshop ' || CAST(k AS VARCHAR(20)) || '</h1><p>Learn</p><div class="when">March 4-6, 2025</div><div class="venue">Toledo, OH</div></body>'
+  ELSE '</head><body><div class="event-card"><h3>Steel Summit</h3><a href="s' || CAST(k AS VARCHAR(20)) || '.html">More</a> May 2, 2025 <i class="place">Online</i></div><div class="event-card"><a class="title" href="/two">Annual Dinner</a></div><div class="event-card"><h3>No</h3></div></body>' END || '</html>' AS html
+FROM (SELECT c_custkey AS k, c_nationkey AS n FROM customer)
+"""
+
+FRAMES = {"event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from guildbook.functions import schemas
+from guildbook.operators import event_pages as ep
 from guildbook.operators import jobs as jb
 from guildbook.operators import payloads as pl
 from guildbook.operators import participants as pa
@@ -69,6 +70,11 @@ def listed_records(spark, sf):
     return sc.extract_by_schema(pages, "page_id", sc.extended(schemas.PMA, schemas.DEFAULT), item=schemas.PMA_ITEM).select("page_id", "turn", "company_name", "city", "state", "country", "profile_url", "member_id")
 
 
+def page_events(spark, sf):
+    events = ep.extract_events(frame(spark, sf, "event_sites"), "page_id", "url", "page_type")
+    return events.withColumns({name: c(name).cast("string") for name in ("start_date", "end_date")})
+
+
 #: What the eight texts of the postings hold, told by hand: number of the text, vendor, word, its turn in the table, places.
 _HELD = """held(i, vendor, keyword, turn, n) AS (VALUES (0, 'epicor', 'epicor', 0, 3), (0, 'epicor', 'epicor kinetic', 1, 1), (0, 'epicor', 'epicor erp', 4, 1), (1, 'oracle', 'jd edwards', 12, 1), (1, 'netsuite', 'netsuite', 16, 2),
   (1, 'netsuite', 'oracle netsuite', 17, 1), (3, 'infor', 'infor visual', 22, 1), (3, 'visual manufacturing', 'infor visual', 53, 1), (4, 'sage', 'sage 100', 34, 2), (4, 'plex', 'plex erp', 32, 1),
@@ -110,4 +116,9 @@ UNION ALL SELECT k, 'SPEAKER', NULL, 'Unknown', NULL, NULL, NULL, 'Bo Ray', NULL
 FROM (SELECT c_custkey AS k FROM customer) WHERE k % 3 = 0 OR k % 3 = 1 AND k % 2 = 1"""),
     "listed_records": (listed_records, """WITH s AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 = 2)
 SELECT k AS page_id, 0 AS turn, 'Firm ' || k AS company_name, 'Akron' AS city, 'OH' AS state, 'United States' AS country, '/profile.asp?id=' || k AS profile_url, k::VARCHAR AS member_id FROM s UNION ALL SELECT k, 2, 'Second', NULL, NULL, 'United States', NULL, NULL FROM s"""),
+    "page_events": (page_events, """WITH s AS (SELECT c_custkey AS k, 'https://show' || c_nationkey || '.org/' AS b FROM customer)
+SELECT k AS page_id, 0 AS turn, 'Expo ' || k AS title, 'TRADE_SHOW' AS event_type, '2025-03-04' AS start_date, '2025-03-06' AS end_date, 'Hall 1' AS venue, 'Akron' AS city, 'OH' AS state, 'US' AS country, false AS virtual, b || 'events/x.html' AS event_url, b || 'join' AS registration_url FROM s WHERE k % 4 = 0
+UNION ALL SELECT k, 0, 'Welding Workshop ' || k, 'WORKSHOP', '2025-03-04', '2025-03-06', NULL, 'Toledo', 'OH', 'United States', false, b || 'events/x.html', NULL FROM s WHERE k % 4 = 1
+UNION ALL SELECT k, 0, 'Steel Summit', 'CONFERENCE', '2025-05-02', NULL, 'Online', NULL, NULL, 'United States', true, b || 'events/s' || k || '.html', NULL FROM s WHERE k % 4 = 2
+UNION ALL SELECT k, 1, 'Annual Dinner', 'OTHER', NULL, NULL, NULL, NULL, NULL, 'United States', false, b || 'two', NULL FROM s WHERE k % 4 = 2"""),
 }

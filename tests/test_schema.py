@@ -2,6 +2,7 @@
 
 import pytest
 
+from guildbook.operators import event_pages as ep
 from guildbook.operators import participants as pa
 from guildbook.operators import schema as sc
 from guildbook.operators.people import _Elements
@@ -38,3 +39,10 @@ def test_participants_of_odd_pages(spark):
     df = spark.createDataFrame(rows, "k int, url string, kind string, html string")
     got = sorted((r["k"], r["kind"], r["tier"], r["company_name"], r["website"]) for r in pa.extract_participants(df, "k", "url", "kind").collect())
     assert got == [(2, "SPONSOR", "GOLD", "Firm A", "http://a.org/x"), (3, "EXHIBITOR", None, "Firm B", None), (5, "SPONSOR", "OTHER", "Firm C", "http://a.org/y")]
+
+
+def test_events_of_odd_pages(spark):
+    rows = [(1, None, None, None), (2, "http://a.org/e", "EVENT_DETAIL", None), (3, "http://a.org/e", "EVENTS_LIST", ""), (4, "http://a.org/e", "EVENT_DETAIL", "<script type='application/ld+json'>{broken</script><title>Steel Expo | Site</title>"), (5, "http://a.org/e", "EVENTS_LIST", "<table><tr><th>N</th></tr><tr><td><a href='/1'>First Seminar</a></td></tr><tr><td>no link</td></tr></table>")]
+    df = spark.createDataFrame(rows, "k int, url string, kind string, html string")
+    got = sorted((r["k"], r["title"], r["event_type"], r["event_url"], r["start_date"]) for r in ep.extract_events(df, "k", "url", "kind").collect())
+    assert got == [(4, "Steel Expo", "TRADE_SHOW", "http://a.org/e", None), (5, "First Seminar", "WORKSHOP", "http://a.org/1", None)]
