@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from guildbook.llm import op1_pii, op2_warc, op3_outliers, op4_secrets, op5_substrings, op6_simhash, op7_embeddings, op8_bpe, op9_quality, op10_packing
+from guildbook.llm import op1_pii, op2_warc, op3_outliers, op4_secrets, op5_substrings, op6_simhash, op7_embeddings, op8_bpe, op9_quality, op10_packing, op13_whitening
 
-_QUERIES = {"op1_pii": op1_pii.op1_pii, "op2_warc": op2_warc.op2_warc, "op3_outliers": op3_outliers.op3_outliers, "op4_secrets": op4_secrets.op4_secrets, "op5_substrings": op5_substrings.op5_substrings, "op6_simhash": op6_simhash.op6_simhash, "op7_embeddings": op7_embeddings.op7_embeddings, "op8_bpe": op8_bpe.op8_bpe, "op9_quality": op9_quality.op9_quality, "op10_packing": op10_packing.op10_packing}
+_QUERIES = {"op1_pii": op1_pii.op1_pii, "op2_warc": op2_warc.op2_warc, "op3_outliers": op3_outliers.op3_outliers, "op4_secrets": op4_secrets.op4_secrets, "op5_substrings": op5_substrings.op5_substrings, "op6_simhash": op6_simhash.op6_simhash, "op7_embeddings": op7_embeddings.op7_embeddings, "op8_bpe": op8_bpe.op8_bpe, "op9_quality": op9_quality.op9_quality, "op10_packing": op10_packing.op10_packing, "op13_whitening": op13_whitening.op13_whitening}
 _SQL = {"op2_warc": op2_warc.SQL, "op5_substrings": op5_substrings.SQL, "op7_embeddings": op7_embeddings.SQL}
 
 
