@@ -189,8 +189,8 @@ class Codec:
         self.words = regex.compile(WORDS)
         #: The same pattern for texts of ASCII and Latin letters only, in the quicker of the two regex libraries.
         self.odd = re.compile("[^\t-\r -~À-ÖØ-öø-\u024f]")
-        latin = "A-Za-zÀ-ÖØ-öø-\u024f"
-        self.latin = re.compile(rf" ?[{latin}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s{latin}0-9]+|\s+(?!\S)|\s+")
+        latin, blank = "A-Za-zÀ-ÖØ-öø-\u024f", "\t-\r "  # spelled out: the library's \s has U+001C to U+001F too
+        self.latin = re.compile(rf" ?[{latin}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^{blank}{latin}0-9]+|[{blank}]+(?![^{blank}])|[{blank}]+")
         self.added = re.compile("(" + "|".join(sorted(map(re.escape, self.vocabulary.added), key=len, reverse=True)) + ")") if self.vocabulary.added else None
         #: word -> its ids in decimals, each behind a comma
         self.known = Remembered(REMEMBERED)

@@ -52,6 +52,14 @@ def test_any_text(text):
     assert ids == ",".join(map(str, tokenizer.encode(text, add_special_tokens=False).ids)) and decoded.decode() == text
 
 
+def test_all_pairs_of_ascii():
+    """Every pair of ASCII characters, between letters and after a quote."""
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = [f"a{chr(a)}{chr(b)}'s 1{chr(b)}{chr(a)} b" for a in range(128) for b in range(128)] + ["don't\x1c's"]
+    want = [",".join(map(str, e.ids)) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids for _, ids, _ in codec.encode_batch(texts)] == want
+
+
 def test_shared_prefixes_are_walked_once(monkeypatch):
     v = op.Vocabulary(PATH)
     words = sorted(f"prefixprefix{x}".encode() for x in ("", "a", "ab", "abc", "b"))
