@@ -22,7 +22,6 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -345,16 +344,21 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY, failures: int | None = F
 
 
 def _pack_groups(pieces: DataFrame, capacity: int, turn: int) -> DataFrame:
-    """Packs each group on its own. sequence_id: the group's number and the bin's, and which turn made it."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "row"], ascending=[False, True], kind="stable", ignore_index=True)
-        number, offset = pack(pdf["length"].to_numpy(), capacity)
-        fill = np.bincount(number, pdf["length"].to_numpy()).astype(np.int64)
-        return pdf.assign(sequence_id=(pdf["group"] * 2 + turn) * (1 << 24) + number, offset=offset, fill=fill[number])
+    """Packs each group on its own. sequence_id: the group's number and the bin's, and which turn made it. Rows stay in Arrow, as
+    doc_ids beyond 2^53 would not survive as floats beside a null."""
+
+    def run(held: pa.Table) -> pa.Table:
+        held = held.take(pa.array(np.lexsort((held.column("row").to_numpy(), -held.column("length").to_numpy()))))
+        length = held.column("length").to_numpy()
+        number, offset = pack(length, capacity)
+        fill = np.bincount(number, length).astype(np.int64)[number]
+        sequence = (held.column("group").to_numpy() * 2 + turn) * (1 << 24) + number
+        for name, column in (("sequence_id", sequence), ("offset", offset), ("fill", fill)):
+            held = held.append_column(name, pa.array(column))
+        return held
 
     names = [f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields]
-    return pieces.groupBy("group").applyInPandas(run, ", ".join([*names, "sequence_id long", "offset long", "fill long"]))
+    return pieces.groupBy("group").applyInArrow(run, ", ".join([*names, "sequence_id long", "offset long", "fill long"]))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:

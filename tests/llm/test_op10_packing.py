@@ -76,3 +76,9 @@ def test_swaps_empty_a_bin():
     assert number.max() + 1 <= len(plain.items)
     fill = np.bincount(number, lengths)
     assert fill.max() <= 2048 and fill.sum() == lengths.sum()
+
+
+def test_ids_beyond_floats_beside_a_null(spark):
+    rows = [(2**60 + 1, "one text"), (2**60 + 2, "another text"), (None, "a third")]
+    got = op.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), op.default_path()).collect()
+    assert {r["doc_id"] for r in got} == {2**60 + 1, 2**60 + 2, None}
