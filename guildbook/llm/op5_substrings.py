@@ -23,8 +23,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +40,7 @@ NO_ID = -(1 << 63)
 
 def anchors_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First words of all windows, the place of each one's anchor, and the hashes of all grams and of all windows."""
-    h = w.hashes()
+    h = w.hashes(apart=True)
     grams, wide = windows(h, GRAM), windows(h, WIDTH)
     start = np.flatnonzero(w.doc[: len(wide)] == w.doc[WIDTH - 1 :][: len(wide)]) if len(wide) else np.zeros(0, np.int64)
     if not len(start):
@@ -122,10 +122,13 @@ def passages(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {id_type}, mark long, anchor long, h1 long, h2 long, start long, n long, words string")
 
 
-def search(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The repeats that one shard's passages hold: doc_id, mark, begin and end (in words) of windows that start earlier elsewhere."""
-    w = Words([t.encode() for t in pdf["words"]])
-    known, symbol = np.unique(w.hashes(), return_inverse=True)
+def search(passages: pa.Table) -> pa.Table:
+    """The repeats that one shard's passages hold: doc_id, mark, begin and end (in words) of windows that start earlier elsewhere.
+    Words are numbered by their bytes; doc_ids stay in Arrow, as they would not survive as floats beside a null."""
+    texts = [t.encode() for t in passages.column("words").to_pylist()]
+    w = Words(texts)
+    words = pa.array(b" ".join(texts).split(), pa.binary()).dictionary_encode()
+    known, symbol = words.dictionary, words.indices.to_numpy().astype(np.int64)
     length = np.diff(w.first)
     begin = w.first[:-1] + np.arange(len(length))  # a 0 behind each passage
     text = np.zeros(len(symbol) + len(length), np.int64)
@@ -133,9 +136,9 @@ def search(pdf: pd.DataFrame) -> pd.DataFrame:
     # Order of all places: by document, start, mark.
     passage = np.repeat(np.arange(len(length)), length + 1)
     inside = np.arange(len(text)) - begin[passage]
-    marks = pdf["mark"].to_numpy(np.int64)
-    ids = pdf["doc_id"].fillna(NO_ID).to_numpy(np.int64) if len(pdf) else np.zeros(0, np.int64)
-    order = np.lexsort((marks[passage], pdf["start"].to_numpy()[passage] + inside, ids[passage]))
+    marks, first = passages.column("mark").to_numpy(), passages.column("start").to_numpy()
+    ids = pc.fill_null(passages.column("doc_id").cast(pa.int64()), NO_ID).to_numpy()
+    order = np.lexsort((marks[passage], first[passage] + inside, ids[passage]))
     turn = np.empty(len(text), np.int64)
     turn[order] = np.arange(len(text))
     index = FMIndex(text, len(known) + 1, WIDTH, turn)
@@ -147,9 +150,8 @@ def search(pdf: pd.DataFrame) -> pd.DataFrame:
     which, offset = which[at], offset[at]
     cut = np.flatnonzero(np.append(True, (which[1:] != which[:-1]) | (offset[1:] != offset[:-1] + 1))) if len(which) else which
     last = np.append(cut[1:], len(which)) - 1 if len(which) else which
-    rows = pdf.iloc[which[cut]]
-    starts = rows["start"].to_numpy()
-    return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "mark": rows["mark"].to_numpy(), "begin": starts + offset[cut], "end": starts + offset[last] + WIDTH})
+    rows = which[cut]
+    return pa.table({"doc_id": passages.column("doc_id").take(pa.array(rows)), "mark": marks[rows], "begin": first[rows] + offset[cut], "end": first[rows] + offset[last] + WIDTH})
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -190,7 +192,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     again = again.filter(~same((F.col("doc_id"), F.col("f_id")), (F.col("start"), F.col("f_start")), (F.col("mark"), F.col("f_mark"))))
     again = again.select("doc_id", "mark", F.col("start").alias("begin"), (F.col("start") + WIDTH).alias("end"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    inside = dealt.groupBy("shard").applyInPandas(lambda key, pdf: search(pdf), f"doc_id {id_type}, mark long, begin long, end long")
+    inside = dealt.groupBy("shard").applyInArrow(search, f"doc_id {id_type}, mark long, begin long, end long")
     lost = later.unionByName(again).unionByName(inside).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     return base, copies, staged(lost, "lost")
 

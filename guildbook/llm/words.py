@@ -65,13 +65,14 @@ class Words:
         total = np.concatenate([[0], np.cumsum(of_byte, dtype=np.int64)])
         return total[self.text_begin[1:]] - total[self.text_begin[:-1]]
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
+    def hashes(self, apart: bool = False) -> np.ndarray:
+        """A 64-bit hash of each word. apart: each byte is mixed with its place before the sum, so that no two words are known to fall
+        together; sums over powers of a base alone are equal for some pairs of words of 1,024 letters and more."""
         if not len(self.begin):
             return np.zeros(0, np.uint64)
         lengths = self.end - self.begin
         place = np.arange(len(self.buf)) - np.repeat(np.append([0], self.begin), np.diff(np.concatenate([[0], self.begin, [len(self.buf)]])))
-        terms = _OF_BYTE[self.buf] * powers(int(place.max()) + 1)[place]
+        terms = mix(_OF_BYTE[self.buf] + place.astype(np.uint64) * _BASE) if apart else _OF_BYTE[self.buf] * powers(int(place.max()) + 1)[place]
         terms[self.kinds == 0] = 0
         sums = np.add.reduceat(terms, self.begin)
         return mix(sums + lengths.astype(np.uint64))

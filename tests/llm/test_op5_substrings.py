@@ -99,3 +99,21 @@ def test_index_counts_every_pattern():
             assert all(np.array_equal(text[k : k + 5], text[p : p + 5]) for k in index.value[a:b])
             seen += 1
     assert seen == 12 * 36
+
+
+def test_ids_beyond_floats_beside_a_null(spark):
+    rng = np.random.default_rng(9)
+    common = [f"c{k}" for k in rng.integers(0, 900, 60)]
+    rows = [(i, " ".join([f"a{k}"] + common[k : k + 40] + [f"b{k}"])) for k, i in enumerate([2**60 + 1, 2**60 + 2, None, 2**60 + 3, -(2**62) - 1])]
+    _, want = brute([(-(2**63) if i is None else i, t) for i, t in rows])
+    got = {r["doc_id"]: r["n_words"] - r["n_removed"] for r in op.counted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {-(2**63) if i is None else i: n for i, n in got.items()} == {i: len(words) for (i, _), words in want.items()}
+
+
+def test_words_whose_sums_over_powers_are_equal(spark):
+    a = "".join("ab"[bin(k).count("1") % 2] for k in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rest = [f"w{k}" for k in range(19)]
+    rows = [(1, " ".join([a, *rest])), (2, " ".join([b, *rest])), (3, " ".join([b, *rest]))]
+    got = {r["doc_id"]: r["n_removed"] for r in op.counted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 20}
