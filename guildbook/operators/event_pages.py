@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from guildbook.functions import events as ev
 from guildbook.functions.text import event_type
 from guildbook.operators.discovery import resolve
 from guildbook.operators.participants import _Event
+from guildbook.operators.per_page import each_page
 
 c = F.col
 
@@ -82,20 +82,15 @@ def extract_events(pages: DataFrame, key: str, url: str, page_type: str, html: s
     """(key, turn, title, event_type, start_date, end_date, venue, city, state, country, virtual, event_url, registration_url): of a page of
     its own (EVENT_DETAIL) one event, by structured data, else by tags and texts; of a list (EVENTS_LIST) one for each container. Dates of
     structured data and tags are read in ISO form, others as null. Events without a title, other pages and nulls give no rows."""
-    kind = pages.schema[key].dataType.simpleString()
-
-    def run(pdfs):
-        for pdf in pdfs:
-            rows = []
-            for k, base, what, text in zip(pdf[key], pdf[url], pdf[page_type], pdf[html].fillna(""), strict=True):
-                page = _Page()
-                page.feed(text)
-                page.close()
-                rows += [(k, base, what, turn, *[x.get(f) for f in FIELDS]) for turn, x in enumerate([page.single()] if what == "EVENT_DETAIL" else page.listed())]
-            yield pd.DataFrame(rows, columns=[key, "_base", "_kind", "turn", *FIELDS])
-
-    asked = pages.select(key, url, page_type, html).filter(c(page_type).isin("EVENT_DETAIL", "EVENTS_LIST"))
-    raw = asked.mapInPandas(run, f"{key} {kind}, _base string, _kind string, turn int, " + ", ".join(f"`{f}` string" for f in FIELDS))
+
+    def one(base, what, text):
+        page = _Page()
+        page.feed(text or "")
+        page.close()
+        return [(base, what, turn, *[x.get(f) for f in FIELDS]) for turn, x in enumerate([page.single()] if what == "EVENT_DETAIL" else page.listed())]
+
+    asked = pages.filter(c(page_type).isin("EVENT_DETAIL", "EVENTS_LIST"))
+    raw = each_page(asked, [key], [url, page_type, html], one, "_base string, _kind string, turn int, " + ", ".join(f"`{f}` string" for f in FIELDS))
     day = lambda x: F.left(x, F.lit(10)).try_cast("date")
     begun = F.coalesce(_told("$.startDate"), c("start"))
     over = F.when(_told("$.startDate").isNotNull(), _told("$.endDate")).otherwise(c("end"))

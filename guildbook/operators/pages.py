@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from functools import reduce
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from guildbook.functions import page_tables, tables
 from guildbook.functions.text import extract_domain, squeeze
+from guildbook.operators.per_page import each_page
 
 c = F.col
 
@@ -290,22 +292,15 @@ PARSED = f"title string, h1 array<string>, anchors array<{ANCHOR}>, structure st
 
 
 def parse_page(df: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
-    """Each page parsed once; other operators read the columns. Batches are small, as pages may be large."""
-    import hashlib
-
-    def run(pdfs):
-        for pdf in pdfs:
-            rows = []
-            for text in pdf[html].fillna(""):
-                p = _Page()
-                p.feed(text)
-                p.close()
-                rows.append((" ".join(p.title.split()), [" ".join(x.split()) for x in p.h1], p.anchors, hashlib.sha256("|".join(p.tags).encode()).hexdigest(), p.blocks, p.meta.get("generator", ""), " ".join(p.text), p.counts))
-            out = pd.DataFrame(rows, columns=["title", "h1", "anchors", "structure", "blocks", "generator", "text", "counts"])
-            yield pd.concat([pdf[keys].reset_index(drop=True), out], axis=1)
-
-    types = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return df.select(*keys, html).mapInPandas(run, f"{types}, {PARSED}")
+    """Each page parsed once; other operators read the columns. Null pages are empty."""
+
+    def one(text):
+        p = _Page()
+        p.feed(text or "")
+        p.close()
+        yield " ".join(p.title.split()), [" ".join(x.split()) for x in p.h1], p.anchors, hashlib.sha256("|".join(p.tags).encode()).hexdigest(), p.blocks, p.meta.get("generator", ""), " ".join(p.text), p.counts
+
+    return each_page(df, keys, [html], one, PARSED)
 
 
 def external_members(parsed: DataFrame, key: str, url: str) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guildbook.functions.text import SPONSOR_TIERS
 from guildbook.operators.discovery import resolve
-from guildbook.operators.people import _Elements
+from guildbook.operators.people import Elements
+from guildbook.operators.per_page import each_page
 
 c = F.col
 
@@ -26,7 +26,7 @@ def clean_sponsor_name(name: Column) -> Column:
     return F.when(F.length(out).between(2, 200) & (F.lower(out) != "photo"), out)
 
 
-class _Event(_Elements):
+class _Event(Elements):
     """Finds the parts of one page that speak of participants."""
 
     def within(self, i: int, tags: set[str]) -> list[int]:
@@ -36,11 +36,14 @@ class _Event(_Elements):
         return [k for k in span or range(len(self.rows)) if re.search(pattern, self.rows[k]["attrs"].get(attribute, ""), re.I)]
 
     def around(self, i: int, tags: set[str]) -> int | None:
-        return next((k for k in range(i - 1, -1, -1) if self.rows[k]["last"] > i and self.rows[k]["tag"] in tags), None)
+        k = self.rows[i]["parent"]
+        while k is not None and self.rows[k]["tag"] not in tags:
+            k = self.rows[k]["parent"]
+        return k
 
     def after(self, i: int, tags: set[str]) -> int | None:
         """The next element of these tags beside one."""
-        parent = next((k for k in range(i - 1, -1, -1) if self.rows[k]["last"] > i), None)
+        parent = self.rows[i]["parent"]
         k, end = self.rows[i]["last"], len(self.rows) if parent is None else self.rows[parent]["last"]
         while k < end:
             if self.rows[k]["tag"] in tags:
@@ -124,16 +127,8 @@ def extract_participants(pages: DataFrame, key: str, url: str, page_type: str, h
     """(key, kind, tier, company_name, website, booth, category, speaker, title, topic): sponsors by tier (images' texts, then links),
     exhibitors (table rows, else items and cards) and speakers ("Title at Company"), by the page's type (SPONSORS_LIST, EXHIBITORS_LIST,
     SPEAKERS_LIST, PARTICIPANTS_LIST: its words tell). Each sponsor once per tier and page, other equal rows too. Nulls have none."""
-    kind = pages.schema[key].dataType.simpleString()
-
-    def run(pdfs):
-        for pdf in pdfs:
-            rows = []
-            for k, base, what, text in zip(pdf[key], pdf[url], pdf[page_type], pdf[html].fillna(""), strict=True):
-                rows += [(k, base, turn, *[x.get(name) for name in COLUMNS[1:]]) for turn, x in enumerate(_found(what, text))]
-            yield pd.DataFrame(rows, columns=[key, "_base", *COLUMNS])
-
-    raw = pages.select(key, url, page_type, html).mapInPandas(run, f"{key} {kind}, _base string, {RAW}")
+    one = lambda base, what, text: [(base, turn, *[x.get(name) for name in COLUMNS[1:]]) for turn, x in enumerate(_found(what, text or ""))]
+    raw = each_page(pages, [key], [url, page_type, html], one, f"_base string, {RAW}")
     sponsor, link = c("kind") == "SPONSOR", c("source") == "link"
     raw = raw.filter(~sponsor | (F.length("name") > 2) & ~(link & c("name").rlike("^(http|www)")))
     name = F.when(sponsor & ~link, clean_sponsor_name(c("name"))).otherwise(c("name"))

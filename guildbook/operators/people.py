@@ -5,15 +5,15 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
 from guildbook.functions import job_tables
+from guildbook.operators.per_page import each_page
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-class _Elements(HTMLParser):
+class Elements(HTMLParser):
     """The elements of a page in order, each with the last element and the last piece of text inside."""
 
     def __init__(self):
@@ -21,24 +21,33 @@ class _Elements(HTMLParser):
         self.rows: list[dict] = []
         self.pieces: list[str] = []
         self.open: list[int] = []
+        self.there: dict[str, int] = {}  # open elements by tag, so that an end without a beginning costs no search
 
     def handle_starttag(self, tag, attrs):
         a = {k: v or "" for k, v in attrs}
-        self.rows.append({"tag": tag, "attrs": a, "classes": a.get("class", "").split(), "from": len(self.pieces), "last": None, "to": None})
+        row = {"tag": tag, "attrs": a, "classes": a.get("class", "").split(), "parent": self.open[-1] if self.open else None, "from": len(self.pieces), "last": None, "to": None}
+        self.rows.append(row)
+        self.added(row, len(self.rows) - 1)
         if tag in VOID:
             self._shut(len(self.rows) - 1)
         else:
             self.open.append(len(self.rows) - 1)
+            self.there[tag] = self.there.get(tag, 0) + 1
+
+    def added(self, row: dict, i: int) -> None:
+        """Called with each new element, before it can end."""
 
     def _shut(self, i: int):
         self.rows[i]["last"], self.rows[i]["to"] = len(self.rows), len(self.pieces)
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.rows[self.open[k]]["tag"] == tag:
-                for i in self.open[k:]:
-                    self._shut(i)
-                del self.open[k:]
+        if not self.there.get(tag):
+            return
+        while self.open:
+            i = self.open.pop()
+            self.there[self.rows[i]["tag"]] -= 1
+            self._shut(i)
+            if self.rows[i]["tag"] == tag:
                 return
 
     def handle_data(self, data):
@@ -47,9 +56,8 @@ class _Elements(HTMLParser):
 
     def close(self):
         super().close()
-        for i in self.open:
-            self._shut(i)
-        self.open = []
+        while self.open:
+            self._shut(self.open.pop())
 
     def inside(self, i: int, place: str) -> int | None:
         """The first element of a tag, or with a leading dot of a class, inside another."""
@@ -70,7 +78,7 @@ def _titled(text: str) -> bool:
     return 0 < len(text) <= 100 and any(w in text.lower() for w in job_tables.TITLE_WORDS)
 
 
-def _person(page: _Elements, i: int) -> dict | None:
+def _person(page: Elements, i: int) -> dict | None:
     named = ((k, page.text(k)) for place in job_tables.NAME_PLACES if (k := page.inside(i, place)) is not None)
     name = next((text for _, text in named if len(text.split()) >= 2 and len(text) < 50), None)
     if name is None:
@@ -87,7 +95,7 @@ def _person(page: _Elements, i: int) -> dict | None:
 
 def people_of(html: str) -> list[dict]:
     """The people of one page."""
-    page = _Elements()
+    page = Elements()
     page.feed(html)
     page.close()
     for word, whole in job_tables.PERSON_CARDS:
@@ -101,12 +109,5 @@ def people_of(html: str) -> list[dict]:
 def extract_people(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """(key, turn, name, title, email, phone, linkedin_url): people of each page, from the first kind of card that gives any, else up to
     ten from its text ("Name, Title"). A card has a name of two words at least. Null pages have none. Cards within cards count apart."""
-    kind = pages.schema[key].dataType.simpleString()
-    names = [key, "turn", "name", "title", "email", "phone", "linkedin_url"]
-
-    def run(pdfs):
-        for pdf in pdfs:
-            rows = [(k, turn, *x.values()) for k, text in zip(pdf[key], pdf[html].fillna(""), strict=True) for turn, x in enumerate(people_of(text))]
-            yield pd.DataFrame(rows, columns=names)
-
-    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, turn int, name string, title string, email string, phone string, linkedin_url string")
+    one = lambda text: [(turn, *x.values()) for turn, x in enumerate(people_of(text or ""))]
+    return each_page(pages, [key], [html], one, "turn int, name string, title string, email string, phone string, linkedin_url string")

@@ -2,84 +2,32 @@
 
 from __future__ import annotations
 
-import re
-from functools import lru_cache
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from guildbook.functions.text import parse_field
-from guildbook.operators.people import _Elements
+from guildbook.operators.matcher import read, rules
+from guildbook.operators.pages import external_members, parse_page
+from guildbook.operators.people import Elements
+from guildbook.operators.per_page import each_page
 
 c = F.col
 
-_PART = re.compile(r"""(?P<tag>^[\w-]+|^\*)|\.(?P<cls>[\w-]+)|\#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[*^$~]?=)['"]?(?P<val>[^'"\]]*)['"]?)?\]|:not\((?P<no>[^)]*)\)""")
-
-
-@lru_cache(maxsize=4096)
-def _steps(selector: str) -> tuple:
-    """A selector without commas as its steps from outside in, each a tuple of conditions."""
-    steps = []
-    for word in re.findall(r"""(?:[^\s\[]|\[[^\]]*\])+""", selector):
-        found, at = [], 0
-        while at < len(word):
-            m = _PART.match(word, at) if at else _PART.match(word)
-            if m is None:
-                raise ValueError(f"not a selector of this kind: {selector}")
-            found.append(m.groupdict())
-            at = m.end()
-        steps.append(tuple(found))
-    return tuple(steps)
-
-
-def _holds(row: dict, conditions) -> bool:
-    for x in conditions:
-        if x["tag"] and x["tag"] not in ("*", row["tag"]) or x["cls"] and x["cls"] not in row["classes"] or x["id"] and x["id"] != row["attrs"].get("id"):
-            return False
-        if x["no"] and _holds(row, _steps(x["no"])[0]):
-            return False
-        if x["attr"]:
-            has, want = row["attrs"].get(x["attr"]), x["val"] or ""
-            if has is None:
-                return False
-            test = {None: lambda: True, "=": lambda: has == want, "*=": lambda: want in has, "^=": lambda: has.startswith(want), "$=": lambda: has.endswith(want), "~=": lambda: want in has.split()}
-            if not test[x["op"]]():
-                return False
-    return True
-
-
-def select(page: _Elements, selector: str, box: int | None = None) -> list[int]:
-    """The elements, in order, that a selector means, inside one or in the whole page: tag, .class, #id, [attribute] with =, *=, ^=, $=, ~=,
-    :not(...), steps down, and commas."""
-    span = range(len(page.rows)) if box is None else range(box + 1, page.rows[box]["last"])
-    ways = [_steps(part.strip()) for part in _split(selector)]
-
-    def met(i: int, steps) -> bool:
-        if not _holds(page.rows[i], steps[-1]):
-            return False
-        k, rest = i - 1, len(steps) - 2
-        while rest >= 0 and k >= 0:  # the nearest element around that meets a step is never a worse choice than one further out
-            if page.rows[k]["last"] > i and _holds(page.rows[k], steps[rest]):
-                rest -= 1
-            k -= 1
-        return rest < 0
-
-    return [i for i in span if any(met(i, steps) for steps in ways)]
-
-
-def _split(selector: str) -> list[str]:
-    return re.findall(r"(?:[^,\[]|\[[^\]]*\])+", selector)
-
-
-def _value(page: _Elements, field: dict, box: int | None) -> str | None:
-    for selector in field["selectors"]:
-        if found := select(page, selector, box):
-            row = page.rows[found[0]]
-            value = row["attrs"].get(field["extract"]) if field.get("extract") else " ".join(page.text(found[0]).split())
-            if value:
-                return value
-    return None
+
+def select(page: Elements, selector: str, box: int | None = None) -> list[int]:
+    """The elements, in order, that a selector means, inside one or in the whole parsed page: tag, .class, #id, [attribute] with =, *=, ^=,
+    $=, ~=, :not(...), steps down, > for children, and commas; or a path (see matcher)."""
+    found, own, around, nth = rules((selector,)), [], [], {}
+    out = []
+    for i, row in enumerate(page.rows):
+        up = row["parent"]
+        row["nth"] = nth[up, row["tag"]] = nth.get((up, row["tag"]), 0) + 1
+        met, hit = found.meet(row, *((0, 0) if up is None else (own[up], around[up])), up is None)
+        own.append(met)
+        around.append(met | (0 if up is None else around[up]))
+        if hit and (box is None or box < i < page.rows[box]["last"]):
+            out.append(i)
+    return out
 
 
 def extended(schema: dict, base: dict) -> dict:
@@ -99,25 +47,34 @@ def _column(name: str, field: dict, listed: bool) -> Column:
     return F.coalesce(F.nullif(out, F.lit("")), F.lit(field.get("default")).cast("string")).alias(name)
 
 
-def extract_by_schema(pages: DataFrame, key: str, schema: dict, item: str | None = None, html: str = "html", required: str = "company_name") -> DataFrame:
-    """(key, turn, the schema's fields): one record per page, or with `item` (a selector) one per item. Of a field's selectors the first
-    with a value counts; then its parser, mapping, names of an enum in any case (pages only) and default. Records without the required
-    field go; null pages have none. A page is parsed once, whatever the number of fields."""
-    kind, names = pages.schema[key].dataType.simpleString(), list(schema)
-    for field in schema.values():
-        for selector in field["selectors"]:
-            [_steps(part.strip()) for part in _split(selector)]  # a selector that can't be read is told at once
-
-    def run(pdfs):
-        for pdf in pdfs:
-            rows = []
-            for k, text in zip(pdf[key], pdf[html].fillna(""), strict=True):
-                page = _Elements()
-                page.feed(text)
-                page.close()
-                boxes = [None] if item is None else select(page, item)
-                rows += [(k, turn, *[_value(page, f, box) for f in schema.values()]) for turn, box in enumerate(boxes)]
-            yield pd.DataFrame(rows, columns=[key, "turn", *names])
-
-    raw = pages.select(key, html).mapInPandas(run, f"{key} {kind}, turn int, " + ", ".join(f"`{n}` string" for n in names))
+def extract_by_schema(pages: DataFrame, key: str, schema: dict, item: str | None = None, html: str = "html", required: str = "company_name", container: str | None = None) -> DataFrame:
+    """(key, turn, the schema's fields): one record per page, or with `item` (a selector) one per item, of the first element of `container`
+    if the page has it. Of a field's selectors (of CSS, or paths that begin with /) the first with a value counts; then its parser, mapping,
+    names of an enum in any case (pages only) and default. Records without the required field go; null pages have none. All selectors are
+    matched in the one walk that parses a page; one that can't be read is told at once."""
+    names, asked = list(schema), [s for f in schema.values() for s in f["selectors"]]
+    found = rules(tuple(dict.fromkeys([*asked, *[s for s in (item, container) if s]])))
+    number = {s: k for k, s in enumerate(found.selectors)}
+
+    def one(text):
+        page = read(text or "", found)
+        boxes = [None]
+        if item is not None:
+            holder = page.found(number[container]) if container else []
+            boxes = page.found(number[item], holder[0] if holder else None)
+        for turn, box in enumerate(boxes):
+            yield turn, *[next((v for s in f["selectors"] if (v := page.value(number[s], f.get("extract"), box))), None) for f in schema.values()]
+
+    raw = each_page(pages, [key], [html], one, "turn int, " + ", ".join(f"`{n}` string" for n in names))
     return raw.select(key, "turn", *[_column(n, f, item is not None) for n, f in schema.items()]).filter(c(required).isNotNull())
+
+
+def directory_records(pages: DataFrame, key: str, url: str, schema: dict, item: str, html: str = "html", container: str | None = None) -> DataFrame:
+    """The records of a list page by a schema, or where they are more the links to other firms' sites (their text is the name): (key, turn,
+    how, the schema's fields). Both are counted by key over narrow rows."""
+    listed = extract_by_schema(pages, key, schema, item, html, container=container).withColumn("how", F.lit("schema"))
+    links = external_members(parse_page(pages.select(key, url, html), [key, url], html), key, url)
+    links = links.select(key, F.row_number().over(Window.partitionBy(key).orderBy("host")).cast("int").alias("turn"), *[c({"company_name": "name", "website": "website"}[n]).alias(n) for n in ("company_name", "website") if n in schema], F.lit("links").alias("how"))
+    both = listed.unionByName(links, allowMissingColumns=True)
+    n = lambda how: F.count_if(c("how") == how).over(Window.partitionBy(key))
+    return both.withColumn("_links", n("links") > n("schema")).filter(c("_links") == (c("how") == "links")).select(key, "turn", "how", *list(schema))
