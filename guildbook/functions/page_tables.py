@@ -137,3 +137,9 @@ LINES = {
     "phone": r"[\(]?\d{3}[\)\-\.\s]?\d{3}[\-\.\s]?\d{4}", "email": r"[\w\.-]+@[\w\.-]+\.\w+", "website": r"(?i)(?:https?://)?(?:www\.)?[\w\.-]+\.[a-z]{2,}",
     "place": r"^([A-Z][a-zA-Z\s]+),?\s+([A-Z]{2})(?:\s+\d{5})?$",
 }
+# Classes of elements that are items of a list, and what a page says that keeps visitors out.
+ITEM_CLASSES = "member|company|listing|item|card"
+BLOCKING = [
+    ("rate limited", "rate_limit"), ("too many requests", "rate_limit"), ("access denied", "access_denied"), ("forbidden", "forbidden"),
+    ("captcha", "captcha"), ("please verify", "verification"), ("unusual traffic", "unusual_traffic"),
+]

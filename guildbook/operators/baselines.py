@@ -1,52 +1,128 @@
-"""Baselines of sources and what has changed since: alerts with levels, drift of structure, reports."""
+"""Baselines of sources and what has changed since: alerts with levels and actions, drift of structure, updates, reports."""
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from guildbook.functions import page_tables
+from guildbook.operators.matcher import read, rules
+from guildbook.operators.per_page import each_page
+
 c = F.col
 
+_ITEM = re.compile(page_tables.ITEM_CLASSES, re.I)
+_FACTS = "structure_hash string, selectors map<string,string>, found map<string,int>, items int, tags map<string,int>"
+
+
+def facts(html: str | None, selectors: dict[str, str]) -> tuple:
+    """Of one page: a digest of its tree's shape (tags and classes, five levels below the body), of what each selector finds, how many
+    elements that are, how many items it lists, and how often it has each tag."""
+    found = rules(tuple(selectors.values()))
+    page = read(html or "", found, digests=True)
+    digests, counts = {}, {}
+    for k, name in enumerate(selectors):
+        digests[name] = hashlib.sha256("".join(page.rows[i]["digest"] for i in page.hits[k]).encode()).hexdigest()
+        counts[name] = len(page.hits[k])
+    tags: dict[str, int] = {}
+    for row in page.rows:
+        tags[row["tag"]] = tags.get(row["tag"], 0) + 1
+    marked = sum(any(_ITEM.search(x) for x in row["classes"]) for row in page.rows)
+    items = max(marked, tags.get("tr", 0) - 1 if tags.get("table") else 0, sum(row["tag"] == "li" and "class" in row["attrs"] for row in page.rows))
+    return hashlib.sha256(page.structure().encode()).hexdigest(), digests, counts, items, tags
 
-def create_baselines(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Hash of the url and of the content, tag counts and the number of items, per url."""
-    tags = F.regexp_extract_all(F.lower(c(html)), F.lit("<([a-z][a-z0-9]*)"), F.lit(1))
-    items = F.greatest(*[F.size(F.filter(tags, lambda t: t.isin(*names))) for names in (("li",), ("tr",), ("article",))])
-    return pages.select(c(url).alias("url"), F.sha2(c(url), 256).alias("url_hash"), F.sha2(c(html), 256).alias("content_hash"), tags.alias("tags"), items.alias("items"))
+
+def blocked(html: Column) -> Column:
+    """The signs of a page that keeps visitors out, in the table's order."""
+    low = F.lower(html)
+    return F.array_compact(F.array(*[F.when(low.contains(words), sign) for words, sign in page_tables.BLOCKING]))
+
+
+def create_baselines(pages: DataFrame, selectors: dict[str, str] | None = None, url: str = "url", html: str = "html", status: str | None = None, error: str | None = None) -> DataFrame:
+    """Per page: url, url_hash, domain, content_hash, structure_hash, selectors (digests by name), found (elements by name), items, tags
+    (counts), blocked (signs), status and error. A page is parsed once, with all selectors; a null page is an empty one."""
+    chosen = dict(selectors or {})
+    told = F.col(status).cast("int") if status else F.lit(200)
+    rows = pages.select(c(url).alias("url"), c(html).alias("_html"), told.alias("status"), (F.col(error) if error else F.lit(None)).cast("string").alias("error"))
+    rows = rows.withColumns({"url_hash": F.sha2(c("url"), 256), "domain": F.regexp_extract(c("url"), r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1), "content_hash": F.sha2(F.coalesce("_html", F.lit("")), 256), "blocked": blocked(F.coalesce("_html", F.lit("")))})
+    return each_page(rows, ["url", "url_hash", "domain", "content_hash", "blocked", "status", "error"], ["_html"], lambda text: [facts(text, chosen)], _FACTS)
 
 
 def tag_drift(a: Column, b: Column) -> Column:
-    """Share of tags by kind that two pages don't have in common."""
-    kinds = F.array_distinct(F.concat(a, b))
-    count = lambda arr, t: F.size(F.filter(arr, lambda x: x == t))
-    apart = F.aggregate(kinds, F.lit(0), lambda s, t: s + F.abs(count(a, t) - count(b, t)))
-    return apart / F.greatest(F.lit(1), F.size(a) + F.size(b))
-
-
-def check_baselines(now: DataFrame, baselines: DataFrame, drift: float = 0.2, change: float = 0.5) -> DataFrame:
-    """Alerts of each page against its baseline: a row (url_hash, alert, level) each."""
-    b = baselines.select("url_hash", c("content_hash").alias("b_content"), c("tags").alias("b_tags"), c("items").alias("b_items"))
-    joined = now.join(b, "url_hash", "left")
-    alert = lambda held, name, level: F.when(held, F.struct(F.lit(name).alias("alert"), F.lit(level).alias("level")))
-    alerts = F.array_compact(
-        F.array(
-            alert(c("b_content").isNull(), "no baseline", "INFO"),
-            alert(c("b_content") != c("content_hash"), "content changed", "INFO"),
-            alert(tag_drift(c("tags"), c("b_tags")) > drift, "structure drift", "CRITICAL"),
-            alert((c("b_items") > 0) & (c("items") == 0), "items missing", "CRITICAL"),
-            alert((c("b_items") > 0) & (c("items") > 0) & (F.abs(c("items") - c("b_items")) / c("b_items") > change), "items changed", "WARNING"),
-        )
+    """Share of tags by kind that two pages (counts by tag) don't have in common."""
+    total = lambda m: F.aggregate(F.map_values(m), F.lit(0), lambda s, n: s + n)
+    apart = F.aggregate(F.map_values(F.map_zip_with(a, b, lambda _, x, y: F.abs(F.coalesce(x, F.lit(0)) - F.coalesce(y, F.lit(0))))), F.lit(0), lambda s, n: s + n)
+    return apart / F.greatest(F.lit(1), total(a) + total(b))
+
+
+def check_baselines(now: DataFrame, baselines: DataFrame, drift: float = 0.2, change: float = 0.5, placeholder: bool = False) -> DataFrame:
+    """Alerts of each page (both tables as create_baselines gives them) against its baseline: url, url_hash, alert, level, action, detail.
+
+    A page without baseline has one alert, as has one that wasn't fetched or answered otherwise than 200. Else: DOM_DRIFT if the shape is
+    another (critical beyond `drift`, which is the share of tags not in common, or with placeholder a fixed 0.1), SELECTOR_BROKEN or
+    SELECTOR_CHANGED for each selector whose digest is another, ITEMS_MISSING or ITEM_COUNT_CHANGED (by more than the share `change`), and
+    ACCESS_BLOCKED. Several baselines of one url count apart."""
+    kept = ["content_hash", "structure_hash", "selectors", "items", "tags"]
+    joined = now.join(baselines.select("url_hash", F.lit(True).alias("_there"), *[c(k).alias(f"b_{k}") for k in kept]), "url_hash", "left")
+    text = F.lit("").cast("string")
+    one = lambda name, level, action, detail=text: F.struct(F.lit(name).alias("alert"), F.lit(level).alias("level"), F.lit(action).alias("action"), detail.alias("detail"))
+    share = F.lit(0.1) if placeholder else tag_drift(c("tags"), c("b_tags"))
+    percent = F.concat(F.format_number(share * 100, 1), F.lit("%"))
+    drifted = F.when(c("structure_hash") != c("b_structure_hash"), F.when(share > drift, one("DOM_DRIFT", "CRITICAL", "update_selectors", percent)).otherwise(one("DOM_DRIFT", "WARNING", "monitor", percent)))
+    other = F.array_sort(F.filter(F.map_keys("selectors"), lambda k: F.try_element_at(c("b_selectors"), k) != F.try_element_at(c("selectors"), k)))
+    chosen = F.transform(other, lambda k: F.when(F.try_element_at(c("found"), k) == 0, F.struct(F.lit("SELECTOR_BROKEN").alias("alert"), F.lit("CRITICAL").alias("level"), F.lit("fix_selector").alias("action"), k.alias("detail"))).otherwise(F.struct(F.lit("SELECTOR_CHANGED").alias("alert"), F.lit("WARNING").alias("level"), F.lit("verify_extraction").alias("action"), k.alias("detail"))))
+    numbers = F.concat_ws(" -> ", c("b_items").cast("string"), c("items").cast("string"))
+    listed = F.when(c("b_items") > 0, F.when(c("items") == 0, one("ITEMS_MISSING", "CRITICAL", "investigate", numbers)).when(F.abs(c("items") - c("b_items")) / c("b_items") > change, one("ITEM_COUNT_CHANGED", "WARNING", "verify", numbers)))
+    shut = F.when(F.size("blocked") > 0, one("ACCESS_BLOCKED", "CRITICAL", "review_access", F.array_join("blocked", ",")))
+    compared = F.array_compact(F.concat(F.array(drifted), chosen, F.array(listed, shut)))
+    alerts = (
+        F.when(c("_there").isNull(), F.array(one("NO_BASELINE", "INFO", "create_baseline")))
+        .when(c("error").isNotNull() | c("status").isNull(), F.array(one("FETCH_FAILED", "CRITICAL", "investigate", F.coalesce("error", text))))
+        .when(c("status") != 200, F.array(one("HTTP_ERROR", "CRITICAL", "investigate", c("status").cast("string"))))
+        .otherwise(compared)
     )
-    return joined.select("url_hash", F.inline(alerts))
+    return joined.select("url", "url_hash", F.inline(alerts))
+
+
+#: Alerts of pages that were not compared with a baseline.
+NOT_COMPARED = ["NO_BASELINE", "FETCH_FAILED", "HTTP_ERROR"]
 
 
-def update_baselines(baselines: DataFrame, alerts: DataFrame, now: DataFrame) -> DataFrame:
-    """Counts of changes go up, the content hash is taken over; the structure stays as it was."""
-    n = alerts.groupBy("url_hash").agg(F.count("*").alias("alerts"))
-    fresh = now.select("url_hash", c("content_hash").alias("new_content"))
+def content_changes(now: DataFrame, baselines: DataFrame) -> DataFrame:
+    """(url_hash) of pages whose content is another than their baseline's."""
+    return now.select("url_hash", c("content_hash").alias("_now")).join(baselines.select("url_hash", "content_hash"), "url_hash").filter("_now <> content_hash").select("url_hash")
+
+
+def update_baselines(baselines: DataFrame, alerts: DataFrame, now: DataFrame, at: Column | None = None) -> DataFrame:
+    """Baselines after a check at a time: of pages with alerts from the comparison change_count goes up by their number, the content hash is
+    taken over and the dates of check, change and update are set; the structure stays as it was, and other pages stay whole. Pages
+    without baseline that were fetched get one. Without `at` only url_hash, content_hash and change_count are given."""
+    compared = alerts.filter(~c("alert").isin(NOT_COMPARED)) if "alert" in alerts.columns else alerts
+    n = compared.groupBy("url_hash").agg(F.count("*").alias("_n"))
+    fresh = now.select("url_hash", c("content_hash").alias("_content"))
     out = baselines.join(n, "url_hash", "left").join(fresh, "url_hash", "left")
-    return out.select("url_hash", F.coalesce("new_content", "content_hash").alias("content_hash"), (F.coalesce("change_count", F.lit(0)) + F.coalesce("alerts", F.lit(0))).alias("change_count"))
+    count = F.coalesce("change_count", F.lit(0)) + F.coalesce("_n", F.lit(0))
+    if at is None:
+        return out.select("url_hash", F.coalesce("_content", "content_hash").alias("content_hash"), count.alias("change_count"))
+    moved, dates = c("_n").isNotNull(), ["last_checked_at", "last_changed_at", "updated_at"]
+    kept = [x for x in baselines.columns if x not in ("content_hash", "change_count", *dates)]
+    before = {d: c(d) if d in baselines.columns else F.lit(None).cast("timestamp") for d in dates}
+    old = out.select(*kept, F.when(moved, c("_content")).otherwise(c("content_hash")).alias("content_hash"), count.cast("long").alias("change_count"), *[F.when(moved, at).otherwise(before[d]).alias(d) for d in dates])
+    new = now.join(baselines.select("url_hash"), "url_hash", "left_anti").filter("status = 200 and error is null")
+    new = new.select(*[x for x in kept if x in now.columns], "content_hash", F.lit(0).cast("long").alias("change_count"), at.alias("last_checked_at"), F.lit(None).cast("timestamp").alias("last_changed_at"), F.lit(None).cast("timestamp").alias("updated_at"))
+    return old.unionByName(new, allowMissingColumns=True)
+
+
+def monitor_report(baselines: DataFrame, alerts: DataFrame) -> DataFrame:
+    """One row: sources, those with changes so far, and alerts by level."""
+    sources = baselines.agg(F.count("*").alias("total_sources"), F.count_if(c("change_count") > 0).alias("sources_with_changes"))
+    levels = {"critical_count": "CRITICAL", "warning_count": "WARNING", "info_count": "INFO"}
+    said = alerts.agg(F.count("*").alias("alert_count"), *[F.count_if(c("level") == level).alias(name) for name, level in levels.items()])
+    return sources.join(said, F.lit(True))  # one row each
 
 
-def monitor_report(alerts: DataFrame) -> DataFrame:
-    return alerts.groupBy("level").agg(F.count("*").alias("alerts"), F.count_distinct("url_hash").alias("sources"))
+def monitored_sources(baselines: DataFrame) -> DataFrame:
+    return baselines.select("url", "domain", c("last_checked_at").alias("last_checked"), F.coalesce("change_count", F.lit(0)).alias("change_count"))

@@ -170,8 +170,32 @@ SELECT k AS page_id, 'https://show' || CAST(n AS VARCHAR(20)) || '.org/events/x.
 FROM (SELECT c_custkey AS k, c_nationkey AS n FROM customer)
 """
 
-FRAMES = {"event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+_LIST = '<html><body><h1>Members</h1><table class="plain"><tr><th>Name</th></tr></table><ul class="list">'
+_ITEM = "'<li class=\"member-item\"><a class=\"name\" href=\"/m/{0}\">Firm ' || CAST(k AS VARCHAR(20)) || '-{0}</a></li>'"
+_FOUR = " || ".join(_ITEM.format(i) for i in range(4))
+_TIER = '<p class="tier">Gold</p>'
+_WHOLE = f"'{_LIST}' || {_FOUR} || '</ul>{_TIER}</body></html>'"
+
+#: Pages of watched sources as they were and as they are: nine kinds of change by the page's number.
+SNAPSHOTS = f"""
+SELECT k AS page_id, 'https://watch' || CAST(k AS VARCHAR(20)) || '.org/members' AS url, CASE k % 9 WHEN 5 THEN 503 WHEN 8 THEN NULL ELSE 200 END AS status, CASE WHEN k % 9 = 8 THEN 'timeout' END AS error,
+  {_WHOLE} AS old_html,
+  CASE k % 9 WHEN 1 THEN replace({_WHOLE}, 'Firm ', 'Works ') WHEN 2 THEN replace({_WHOLE}, '{_TIER}', '') WHEN 3 THEN '{_LIST}</ul>{_TIER}</body></html>' WHEN 4 THEN '{_LIST}' || {_ITEM.format(0)} || '</ul>{_TIER}</body></html>'
+    WHEN 6 THEN '<html><body><h1>Access Denied</h1><p>Please verify: CAPTCHA</p></body></html>' ELSE {_WHOLE} END AS new_html
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+#: Lists of members: in items, or as links to their sites.
+DIRECTORIES = """
+SELECT k AS page_id, 'https://guild.org/list' || CAST(k AS VARCHAR(20)) AS url, '<html><body><div class="nav"><ul><li><b class="nm">Not a member</b></li></ul></div><div id="members"><ul>'
+  || CASE WHEN k % 3 < 2 THEN '<li><b class="nm">Firm ' || CAST(k AS VARCHAR(20)) || '</b><a class="w" href="/go/1">Site</a><i>Akron</i></li><li><b class="nm"></b></li><li><b class="nm">Second</b></li>' ELSE '' END || '</ul>'
+  || CASE WHEN k % 3 > 0 THEN '<a href="https://one' || CAST(k AS VARCHAR(20)) || '.com/x">One*</a><a href="https://www.facebook.com/q">F</a><a href="https://two' || CAST(k AS VARCHAR(20)) || '.com">Two</a><a href="/here">Here</a>' ELSE '' END
+  || CASE WHEN k % 3 = 2 THEN '<a href="https://one' || CAST(k AS VARCHAR(20)) || '.com/again">Again</a>' ELSE '' END || '</div></body></html>' AS html
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+FRAMES = {"snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -81,13 +81,12 @@ def baseline_alerts(spark, sf):
 
 def monitor_report(spark, sf):
     old, new = _snapshots(spark, sf)
-    return b.monitor_report(b.check_baselines(new, old))
+    return b.monitor_report(old.withColumn("change_count", F.lit(0)), b.check_baselines(new, old))
 
 
 def content_changes(spark, sf):
     old, new = _snapshots(spark, sf)
-    alerts = b.check_baselines(new, old).filter("alert = 'content changed'")
-    return b.update_baselines(old.withColumn("change_count", F.lit(0)), alerts, new)
+    return b.update_baselines(old.withColumn("change_count", F.lit(0)), b.content_changes(new, old), new)
 
 
 def _events(spark, sf):
