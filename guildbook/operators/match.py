@@ -8,72 +8,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from guildbook.functions.similar import indel_ratio
+from guildbook.operators.pairs import TOLERANCE, present, tried_pairs, with_rows
 from guildbook.operators.store import written
 
 c = F.col
-THRESHOLD, TOLERANCE = 0.85, 1e-9
+THRESHOLD = 0.85
 WEIGHTS = {"name": 0.5, "domain": 0.3, "city": 0.1, "state": 0.1}
 
 
-def _both(a: str, b: str, field: str) -> Column:
-    return (F.coalesce(c(f"{a}.{field}"), F.lit("")) != "") & (F.coalesce(c(f"{b}.{field}"), F.lit("")) != "")
+def scored(df: DataFrame, ord_: str, blocks: list[str], exact: dict[str, float], fuzzy: dict[str, float], threshold: float, fold: bool) -> DataFrame:
+    """(u, v, score) of the pairs (u < v by ord_) that share a block and reach the threshold: exact fields count if equal (fold: without
+    case), fuzzy ones by their likeness; a mean over the fields that both rows have. Pairs are tried where their fields leave it possible (see
+    pairs); what they then leave for the fuzzy fields is held against the edit distance, and only survivors meet the fuzzy ratio."""
+    fields, weights = [*exact, *fuzzy], exact | fuzzy
+    rows = written(df.select(c(ord_).alias("ord"), *[c(x) for x in dict.fromkeys([*fields, *blocks])]), "rows")
+    value = lambda x: F.lower(x.cast("string")) if fold else x.cast("string")
+    tried = tried_pairs(rows, blocks, {f: value(c(f)) for f in exact}, (exact, fuzzy), threshold)
+    pairs = with_rows(tried, rows, list(dict.fromkeys([*fields, *blocks])))
+    met = reduce(lambda x, y: x | y, [(c(f"a_{b}") == c(f"b_{b}")) & present(c(f"a_{b}")) for b in blocks])
+    both = {f: present(c(f"a_{f}")) & present(c(f"b_{f}")) for f in fields}
+    total = reduce(lambda x, y: x + y, [F.when(both[f], w).otherwise(0.0) for f, w in weights.items()])
+    equal = reduce(lambda x, y: x + y, [F.when(both[f] & (value(c(f"a_{f}")) == value(c(f"b_{f}"))), w).otherwise(0.0) for f, w in exact.items()])
+    most = reduce(lambda x, y: x + y, [F.when(both[f], w).otherwise(0.0) for f, w in fuzzy.items()])
+    pairs = pairs.filter(met).select("u", "v", equal.alias("equal"), total.alias("total"), most.alias("most"), *[c(f"{side}_{f}") for f in fuzzy for side in "ab"], *[both[f].alias(f"both_{f}") for f in fuzzy])
+    for f, w in fuzzy.items():
+        # Least likeness that still reaches the threshold, as a limit on the edit distance: indel ratio >= s needs
+        # levenshtein <= (1 - s) * (len a + len b).
+        need, x, y = (F.lit(threshold) * c("total") - c("equal") - (c("most") - w)) / w, c(f"a_{f}"), c(f"b_{f}")
+        pairs = pairs.filter(~c(f"both_{f}") | (F.levenshtein(x, y) <= F.floor((1 - need) * (F.length(x) + F.length(y)) + TOLERANCE)))
+    like = reduce(lambda x, y: x + y, [F.when(c(f"both_{f}"), w * indel_ratio(f"a_{f}", f"b_{f}")).otherwise(0.0) for f, w in fuzzy.items()])
+    return pairs.withColumn("score", (c("equal") + like) / c("total")).filter(c("score") >= threshold - TOLERANCE).select("u", "v", "score")
 
 
 def candidate_pairs(df: DataFrame, ord_: str, blocks: list[str], exact: dict[str, float], name: tuple[str, float], threshold: float = THRESHOLD) -> DataFrame:
-    """Scored pairs (u < v by ord_) that share a block and reach the threshold.
-
-    exact: fields that count if equal, without case, with weights; name: the fuzzy field and its weight. A mean is taken over
-    the fields that both rows have. Inside the join, pairs whose bound with a perfect name stays below the threshold are
-    dropped, and the rest must keep the edit distance that the bound leaves; only survivors meet the fuzzy ratio."""
-    field, weight = name
-    carried = df.select(c(ord_).alias("ord"), field, *exact, *blocks)
-
-    def side(alias: str) -> DataFrame:
-        return carried.alias(alias)
-
-    present = [(f, w, _both("a", "b", f), F.lower(c(f"a.{f}")) == F.lower(c(f"b.{f}"))) for f, w in exact.items()]
-    named = _both("a", "b", field)
-    total = reduce(lambda x, y: x + y, [F.when(p, w).otherwise(0.0) for _, w, p, _ in present]) + F.when(named, weight).otherwise(0.0)
-    equal = reduce(lambda x, y: x + y, [F.when(p & e, w).otherwise(0.0) for _, w, p, e in present])
-    bound = (equal + F.when(named, weight).otherwise(0.0)) / total
-    # Least name similarity that still reaches the threshold, as a limit on the edit distance: indel ratio >= s needs
-    # levenshtein <= (1 - s) * (len a + len b).
-    need = (F.lit(threshold) * total - equal) / weight
-    x, y = c(f"a.{field}"), c(f"b.{field}")
-    near = F.levenshtein(x, y) <= F.floor((1 - need) * (F.length(x) + F.length(y)) + TOLERANCE)
-    out = None
-    for block in blocks:
-        joined = side("a").join(side("b"), (c(f"a.{block}") == c(f"b.{block}")) & (c("a.ord") < c("b.ord")) & (c(f"a.{block}") != "") & (bound >= threshold - TOLERANCE) & (~named | near))
-        rows = joined.select(c("a.ord").alias("u"), c("b.ord").alias("v"), x.alias("x"), y.alias("y"), equal.alias("equal"), total.alias("total"), named.alias("named"))
-        out = rows if out is None else out.unionByName(rows)
-    pairs = out.dropDuplicates(["u", "v"])
-    score = (c("equal") + F.when(c("named"), weight * indel_ratio("x", "y")).otherwise(0.0)) / c("total")
-    return pairs.withColumn("score", score).filter(c("score") >= threshold - TOLERANCE).select("u", "v", "score")
+    """Scored pairs of companies: exact fields without case, and a fuzzy name."""
+    return scored(df, ord_, blocks, exact, dict([name]), threshold, fold=True)
 
 
 ENTITY_WEIGHTS = {"domain": 0.40, "name": 0.35, "phone": 0.10, "address": 0.15}
 
 
 def score_entity_pairs(df: DataFrame, ord_: str, blocks: list[str], weights: dict[str, float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Scored pairs (u < v by ord_) of rows with domain, name, phone (last ten digits) and address that share a block: domain and phone
-    count if equal, name and address by their likeness; a mean over what both rows have."""
+    """Scored pairs of rows with domain, name, phone (last ten digits) and address: domain and phone count if equal, name and address by
+    their likeness."""
     w = weights or ENTITY_WEIGHTS
-    carried = df.select(c(ord_).alias("ord"), "domain", "name", "phone", "address", *blocks)
-    both = {f: _both("a", "b", f) for f in w}
-    equal = reduce(lambda x, y: x + y, [F.when(both[f] & (c(f"a.{f}") == c(f"b.{f}")), w[f]).otherwise(0.0) for f in ("domain", "phone")])
-    total = reduce(lambda x, y: x + y, [F.when(both[f], w[f]).otherwise(0.0) for f in w])
-    most = equal + F.when(both["name"], w["name"]).otherwise(0.0) + F.when(both["address"], w["address"]).otherwise(0.0)
-    out = None
-    for block in blocks:
-        met = (c(f"a.{block}") == c(f"b.{block}")) & (c("a.ord") < c("b.ord")) & (c(f"a.{block}") != "") & (most >= (threshold - TOLERANCE) * total)
-        rows = carried.alias("a").join(carried.alias("b"), met).select(
-            c("a.ord").alias("u"), c("b.ord").alias("v"), equal.alias("equal"), total.alias("total"),
-            *[c(f"{side}.{f}").alias(f"{side}_{f}") for side in "ab" for f in ("name", "address")], both["name"].alias("named"), both["address"].alias("placed"),
-        )
-        out = rows if out is None else out.unionByName(rows)
-    pairs = out.dropDuplicates(["u", "v"])
-    like = F.when(c("named"), w["name"] * indel_ratio("a_name", "b_name")).otherwise(0.0) + F.when(c("placed"), w["address"] * indel_ratio("a_address", "b_address")).otherwise(0.0)
-    return pairs.withColumn("score", (c("equal") + like) / c("total")).filter(c("score") >= threshold - TOLERANCE).select("u", "v", "score")
+    return scored(df, ord_, blocks, {f: w[f] for f in ("domain", "phone")}, {f: w[f] for f in ("name", "address")}, threshold, fold=False)
 
 
 def dedupe_stats(rows: DataFrame, clusters: DataFrame) -> DataFrame:
