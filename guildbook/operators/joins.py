@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from guildbook.operators.store import written
+
 c = F.col
 
 
@@ -83,6 +85,31 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str, fields: li
     return joined.select(F.coalesce(c(key), c("_k")).alias(key), *[F.coalesce(c(f"_{f}"), c(f)).alias(f) for f in fields])
 
 
+def upsert_companies(target: DataFrame, batch: DataFrame, fields: list[str], order: str = "turn", id_: str = "id", domain: str = "domain") -> DataFrame:
+    """Companies with a batch laid over them: (id, domain, fields) of every company after it, and `how` (kept, updated, added).
+
+    A row of the batch meets the company of its domain, else that of its id, both as the table was before the batch; where they are two,
+    that of the domain wins. Of several companies with one domain the least id is met. Rows that meet none come in as new companies: one
+    for each domain, rows without domain one for each id, and rows without both one each; a new company's id is the first of its rows that is
+    one. Of several rows the last value that isn't null counts, for the domain too; the id stays. Domains are compared as they are, and
+    empty ones are none. A batch row without `order` counts as the first."""
+    filled = lambda x: F.nullif(F.trim(c(x).cast("string")), F.lit(""))
+    rows = batch.select(c(id_).alias("_id"), filled(domain).alias("_domain"), F.coalesce(c(order), F.lit(-(2**62))).alias("_turn"), *[c(f).alias(f"_{f}") for f in fields])
+    by_domain = target.filter(filled(domain).isNotNull()).groupBy(filled(domain).alias("_domain")).agg(F.min(id_).alias("_first"))
+    met = rows.join(by_domain, "_domain", "left")
+    by_id = target.filter(c(id_).isNotNull()).select(c(id_).alias("_id"), F.lit(True).alias("_known")).distinct()
+    met = met.join(by_id, "_id", "left").withColumn("_meets", F.coalesce("_first", F.when(c("_known"), c("_id"))))
+    # A key for each company that is met or made: rows of one key are one company.
+    key = F.when(c("_meets").isNotNull(), F.concat(F.lit("old:"), c("_meets").cast("string"))).when(c("_domain").isNotNull(), F.concat(F.lit("domain:"), "_domain")).when(c("_id").isNotNull(), F.concat(F.lit("id:"), c("_id").cast("string"))).otherwise(F.concat(F.lit("row:"), F.uuid()))
+    met = written(met.withColumn("_key", key), "met")
+    last = lambda x: F.max_by(c(x), F.when(c(x).isNotNull(), F.struct("_turn", c(x)))).alias(x)
+    news = met.groupBy("_key").agg(F.first("_meets").alias("_meets"), F.min_by("_id", F.when(c("_id").isNotNull(), F.struct("_turn", "_id"))).alias("_id"), last("_domain"), *[last(f"_{f}") for f in fields])
+    old = target.join(news.filter(c("_meets").isNotNull()).drop("_id", "_key"), c(id_) == c("_meets"), "left")
+    old = old.select(c(id_).alias(id_), F.coalesce("_domain", domain).alias(domain), *[F.coalesce(f"_{f}", f).alias(f) for f in fields], F.when(c("_meets").isNull(), "kept").otherwise("updated").alias("how"))
+    new = news.filter(c("_meets").isNull()).select(c("_id").alias(id_), c("_domain").alias(domain), *[c(f"_{f}").alias(f) for f in fields], F.lit("added").alias("how"))
+    return old.unionByName(new)
+
+
 def audit_diff(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """A row for every field that differs, rows that came and went among them."""
     side = lambda df, p: df.select(c(key).alias(f"{p}k"), *[c(f).cast("string").alias(f"{p}{f}") for f in fields])
