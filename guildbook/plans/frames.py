@@ -170,6 +170,16 @@ SELECT k AS page_id, 'https://show' || CAST(n AS VARCHAR(20)) || '.org/events/x.
 FROM (SELECT c_custkey AS k, c_nationkey AS n FROM customer)
 """
 
+#: Records of companies in two runs: copies of one name in other forms, and names that are new.
+RECORDS = """
+SELECT k * 10 + i AS row_id, CASE WHEN i < 3 THEN 1 ELSE 2 END AS run,
+  CASE i WHEN 1 THEN 'Firm' || CAST(k AS VARCHAR(20)) || ' Works' WHEN 2 THEN 'Firm' || CAST(k AS VARCHAR(20)) || ' Works LLC' WHEN 3 THEN 'FIRM' || CAST(k AS VARCHAR(20)) || ' WORKS, Inc.' ELSE 'Other' || CAST(k AS VARCHAR(20)) || ' Group' END AS company_name,
+  CASE WHEN i < 4 THEN 'f' ELSE 'o' END || CAST(k AS VARCHAR(20)) || '.com' AS domain, CASE WHEN i = 3 THEN '(555) 123-4567' ELSE '' END AS phone, CASE WHEN i = 2 THEN 'Akron' WHEN i = 4 THEN 'Gary' END AS city,
+  CAST(CASE i WHEN 1 THEN 10 WHEN 2 THEN 5 WHEN 3 THEN 30 END AS INT) AS employee_count_min, CAST(CASE i WHEN 1 THEN 50 WHEN 2 THEN 70 WHEN 3 THEN 60 ELSE 20 END AS INT) AS quality_score,
+  CASE i WHEN 1 THEN 'PMA' WHEN 2 THEN 'NEMA' WHEN 4 THEN 'AGMA' END AS association, 'run' || CAST(CASE WHEN i < 3 THEN 1 ELSE 2 END AS VARCHAR(20)) || '-' || CAST(i AS VARCHAR(20)) AS provenance
+FROM (SELECT c_custkey AS k, 1 AS i FROM customer UNION ALL SELECT c_custkey, 2 FROM customer UNION ALL SELECT c_custkey, 3 FROM customer UNION ALL SELECT c_custkey, 4 FROM customer) WHERE i = 1 OR i = 2 AND k % 3 = 0 OR i = 3 AND k % 2 = 0 OR i = 4 AND k % 5 = 0
+"""
+
 _LIST = '<html><body><h1>Members</h1><table class="plain"><tr><th>Name</th></tr></table><ul class="list">'
 _ITEM = "'<li class=\"member-item\"><a class=\"name\" href=\"/m/{0}\">Firm ' || CAST(k AS VARCHAR(20)) || '-{0}</a></li>'"
 _FOUR = " || ".join(_ITEM.format(i) for i in range(4))
@@ -194,8 +204,8 @@ SELECT k AS page_id, 'https://guild.org/list' || CAST(k AS VARCHAR(20)) AS url,
 FROM (SELECT c_custkey AS k FROM customer)
 """
 
-FRAMES = {"snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+FRAMES = {"records": RECORDS, "snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"records": ["customer"], "snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
