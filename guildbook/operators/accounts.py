@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guildbook.functions.text import merge_key, text_list
+from guildbook.operators.within import held_in
 
 c = F.col
 # Endings tried on names that the registry doesn't have, in order.
@@ -72,9 +73,9 @@ def words_of_event(name: Column) -> Column:
 
 
 def events_for_competitor(competitors: DataFrame, events: DataFrame) -> DataFrame:
-    """Events of which a word occurs in a competitor's presence text; competitors are a small table by nature and broadcast."""
-    words = events.select("event_name", F.explode(words_of_event(c("event_name"))).alias("w")).distinct()
-    hits = words.join(F.broadcast(competitors.select("competitor", F.lower("presence").alias("_p"))), c("_p").contains(c("w")))
+    """(competitor, events): names of the events of which a word of three letters or more occurs in a competitor's presence text."""
+    words = events.select("event_name", F.explode(words_of_event(c("event_name"))).alias("_w")).distinct()
+    hits = held_in(words, "_w", competitors.select("competitor", F.lower("presence").alias("_p")).distinct(), "_p").select("competitor", "event_name").distinct()
     return hits.groupBy("competitor").agg(F.array_join(F.array_sort(F.collect_set("event_name")), "; ").alias("events"))
 
 

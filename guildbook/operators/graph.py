@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from guildbook.operators.store import written
@@ -70,6 +70,46 @@ def related_companies(edges: DataFrame, company: str) -> DataFrame:
     return parts.join(own, "target").filter(c("source") != company).groupBy(c("source").alias("id")).agg(F.count_distinct("target").alias("shared"))
 
 
+#: Companies at an event beyond which its pairs are not listed.
+HEAVY = 200
+
+
+def all_related(edges: DataFrame, few: int = 10, heavy: int = HEAVY) -> DataFrame:
+    """(id, related, rank, other, shared): for every company the number of companies that share an event with it, and the `few` that share
+    most (least id on ties). Companies without any have no row.
+
+    Pairs are listed at events of up to `heavy` companies only, so they grow with the edges. Companies at the same set of larger events
+    are one class: classes meet by their events, a class counts by its size, and its first members by id stand for it. That is enough:
+    a member that is left out shares no more than those before it, and what it shares at small events is in the list of pairs."""
+    at = edges.filter(c("kind").isin("SPONSOR", "EXHIBITOR", "ATTENDEE")).select(c("source").alias("id"), c("target").alias("event")).distinct()
+    size = at.groupBy("event").agg((F.count("*") > heavy).alias("heavy"))
+    at = written(at.join(size, "event"), "attended")
+    sets = at.groupBy("id").agg(F.array_sort(F.collect_list(F.when(c("heavy"), c("event")))).alias("set"))
+    sets = written(sets, "sets")
+    small = at.filter(~c("heavy")).select("id", "event")
+    pairs = small.alias("a").join(small.alias("b"), F.expr("a.event = b.event AND a.id <> b.id")).groupBy(c("a.id").alias("id"), c("b.id").alias("other")).agg(F.count("*").alias("light"))
+    side = lambda at_, name: sets.select(c("id").alias(at_), c("set").alias(name))
+    pairs = pairs.join(side("id", "_a"), "id").join(side("other", "_b"), "other")
+    pairs = written(pairs.select("id", "other", "light", F.size(F.array_intersect("_a", "_b")).alias("over")), "pairs")
+
+    first = Window.partitionBy("set").orderBy("id")
+    classes = written(sets.filter(F.size("set") > 0).groupBy("set").agg(F.count("*").alias("n")), "classes")
+    heads = sets.filter(F.size("set") > 0).withColumn("_r", F.row_number().over(first)).filter(c("_r") <= few + 1).select("set", c("id").alias("other"))
+    flat = classes.select("set", "n", F.explode("set").alias("event"))
+    met = flat.alias("a").join(flat.alias("b"), F.expr("a.event = b.event")).groupBy(c("a.set").alias("set"), c("b.set").alias("with")).agg(F.count("*").alias("over"), F.max("b.n").alias("n"))
+    met = written(met, "met")
+    many = met.groupBy("set").agg((F.sum("n") - 1).alias("_heavy"))
+    light = pairs.filter("over = 0").groupBy("id").agg(F.count("*").alias("_light"))
+    counted = sets.join(many, "set", "left").join(light, "id", "left").select("id", "set", (F.coalesce("_heavy", F.lit(0)) + F.coalesce("_light", F.lit(0))).alias("related"))
+
+    best = Window.partitionBy("set").orderBy(F.desc("over"), "other")
+    of_class = met.join(heads.withColumnRenamed("set", "with"), "with").withColumn("_r", F.row_number().over(best)).filter(c("_r") <= few + 1).select("set", "other", c("over").alias("shared"))
+    by_class = sets.join(written(of_class, "tops"), "set").filter("id <> other").select("id", "other", c("shared").cast("long").alias("shared"))
+    both = by_class.unionByName(pairs.select("id", "other", (c("light") + c("over")).alias("shared"))).groupBy("id", "other").agg(F.max("shared").alias("shared"))
+    ranked = both.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("shared"), "other"))).filter(c("rank") <= few)
+    return ranked.join(counted.select("id", "related"), "id").select("id", "related", "rank", "other", "shared")
+
+
 def export_graph(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Elements for a graph viewer, one JSON text each."""
     n = nodes.select(F.to_json(F.struct(F.struct("id", "kind", "name").alias("data"))).alias("element"))

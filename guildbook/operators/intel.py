@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from guildbook.functions import tables
 from guildbook.functions.text import text_list
+from guildbook.operators.accounts import events_for_competitor
+from guildbook.operators.within import held_in
 
 c = F.col
 
@@ -94,12 +96,27 @@ def event_threat(events: DataFrame, competitors: DataFrame) -> DataFrame:
     )
 
 
-def competitor_accounts(competitors: DataFrame, detected: DataFrame) -> DataFrame:
-    """Per tracked competitor: how many companies it was detected at, and their three most frequent associations (ties by name).
-    Detected names are those of a fixed table, so names meet names, and companies are joined by equality only."""
+def threatened_events(events: DataFrame, competitors: DataFrame) -> DataFrame:
+    """(event_name, competitor) of events of high priority and competitors of a high or emerging threat whose presence text holds a word of
+    the event's name, of four letters or more; in any case, each pair once."""
+    words = events.filter(F.upper("priority") == "HIGH").select("event_name", F.explode(F.filter(F.split(F.upper("event_name"), r"\s+"), lambda w: F.length(w) > 3)).alias("_w")).distinct()
+    who = competitors.filter(F.upper("threat_level").isin("HIGH", "EMERGING")).select("competitor").distinct()
+    texts = competitors.join(who, "competitor").select("competitor", F.upper("presence").alias("_p")).distinct()
+    return held_in(words, "_w", texts, "_p").select("event_name", "competitor").distinct()
+
+
+def most_threatened(events: DataFrame, competitors: DataFrame, few: int = 3) -> DataFrame:
+    """The events with most such competitors, names on ties: (event_name, competitors)."""
+    return threatened_events(events, competitors).groupBy("event_name").agg(F.count("*").alias("competitors")).orderBy(F.desc("competitors"), "event_name").limit(few)
+
+
+def competitor_accounts(competitors: DataFrame, detected: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Per tracked competitor: how many companies it was detected at, their three most frequent associations (ties by name), and with
+    `events` (and a column presence) the events that its presence text names. Names meet names by their pieces, companies by equality."""
     known = detected.filter(c("competitor") != "").select("company_id", c("competitor").alias("_found"), text_list(c("associations")).alias("_lists"))
     names = known.select("_found").distinct()
-    pairs = competitors.select("name").distinct().join(F.broadcast(names), F.lower("_found").contains(F.lower("name")) | F.lower("name").contains(F.lower("_found")))
+    own, others = competitors.select("name", F.lower("name").alias("_n")).distinct(), names.select("_found", F.lower("_found").alias("_f"))
+    pairs = held_in(own, "_n", others, "_f").select("name", "_found").unionByName(held_in(others, "_f", own, "_n").select("name", "_found"))
     # The exact name first, then any that holds the other, in order of names.
     chosen = pairs.groupBy("name").agg(F.min_by("_found", F.struct(F.initcap("name") != c("_found"), "_found")).alias("_found"))
     counts = known.groupBy("_found").agg(F.count("*").alias("companies"))
@@ -107,7 +124,11 @@ def competitor_accounts(competitors: DataFrame, detected: DataFrame) -> DataFram
     first = lists.withColumn("_r", F.row_number().over(Window.partitionBy("_found").orderBy(F.desc("n"), "a"))).filter("_r <= 3")
     top = first.groupBy("_found").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "a"))), lambda x: x["a"]), "; ").alias("associations"))
     out = competitors.select("name").join(chosen, "name", "left").join(counts, "_found", "left").join(top, "_found", "left")
-    return out.select("name", F.coalesce("companies", F.lit(0)).alias("companies"), F.coalesce("associations", F.lit("")).alias("associations"))
+    columns = ["name", F.coalesce("companies", F.lit(0)).alias("companies"), F.coalesce("associations", F.lit("")).alias("associations")]
+    if events is None:
+        return out.select(columns)
+    named = events_for_competitor(competitors.select(c("name").alias("competitor"), "presence"), events).select(c("competitor").alias("name"), c("events").alias("_events"))
+    return out.join(named, "name", "left").select(*columns, F.coalesce("_events", F.lit("")).alias("events"))
 
 
 def competitor_matrix(df: DataFrame) -> DataFrame:
