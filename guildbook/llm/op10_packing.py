@@ -32,7 +32,7 @@ from guildbook.llm.words import mix, slices
 
 CAPACITY, END = 2048, 0
 #: Pieces in a group; bins filled less than this share are opened again; words a worker remembers.
-GROUP, OPEN, REMEMBERED = 3000, 0.985, 1_000_000
+GROUP, OPEN, REMEMBERED = 3000, 0.985, 300_000
 #: Bytes of the longest word that is remembered, and characters of text that are worked on at once.
 LONGEST, PART = 64, 4_000_000
 #: Bins in a row that may fail to empty before the search ends; None tries every bin.
