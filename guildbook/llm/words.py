@@ -37,6 +37,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _mix_in_place(h: np.ndarray) -> None:
+    """mix() with one array beside the given one, for long arrays."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):
+        h ^= h >> np.uint64(shift)
+        if factor:
+            h *= np.uint64(factor)
+
+
 class Words:
     """Words of a list of texts in UTF-8. kind: a class for each byte value, 0 between words; a word is a run of one class.
     begin, end: places in buf; doc: which text; first: for each text its first word, and the number of words at the end."""
@@ -72,7 +80,13 @@ class Words:
             return np.zeros(0, np.uint64)
         lengths = self.end - self.begin
         place = np.arange(len(self.buf)) - np.repeat(np.append([0], self.begin), np.diff(np.concatenate([[0], self.begin, [len(self.buf)]])))
-        terms = mix(_OF_BYTE[self.buf] + place.astype(np.uint64) * _BASE) if apart else _OF_BYTE[self.buf] * powers(int(place.max()) + 1)[place]
+        if apart:
+            terms = place.view(np.uint64)
+            terms *= _BASE
+            terms += _OF_BYTE[self.buf]
+            _mix_in_place(terms)
+        else:
+            terms = _OF_BYTE[self.buf] * powers(int(place.max()) + 1)[place]
         terms[self.kinds == 0] = 0
         sums = np.add.reduceat(terms, self.begin)
         return mix(sums + lengths.astype(np.uint64))
