@@ -8,8 +8,9 @@ payload; a task merges both streams in order of page_id, so no page is joined or
 rolls to the next file by compressed size. Headers and digests are made anew.
 
 Files are written under names of the attempt. Spark keeps the list of the files of the attempts that succeeded; tasks then rename
-those, and the list of their final names is the manifest, which appears in one rename. Readers go by the manifest only, so a lost
-task or driver leaves nothing that counts. The driver holds no list of files.
+those, and the list of their final names is the manifest, which appears in one rename. A folder with a manifest is refused at once;
+files that an ended run without manifest left there are replaced, and its unfinished manifest is dropped. Readers go by the manifest
+only and hold each file's digest against it, so a lost task or driver leaves nothing that counts. The driver holds no list of files.
 
 Defined cases: null html counts as an empty payload; pages without page_id are written without a page number, in shards of their
 own after all others, dealt by their payload; of repeated rows with one page_id the first written is the response and the others
@@ -33,10 +34,11 @@ from pyspark.sql import functions as F
 
 from guildbook.llm.common import new_folder, staged, table
 
-#: Payloads of fewer bytes are never revisits. Bytes of payload to a shard, compressed bytes to a file.
-SMALLEST, SHARD, ROLL = 100, 32 << 20, 32 << 20
+#: Payloads of fewer bytes are never revisits. Least bytes of payload to a shard, compressed bytes to a file. Beyond MOST_SHARDS shards
+#: (half a terabyte) shards grow with the table, so that the compressed size cuts the files; below, tasks are kept small.
+SMALLEST, SHARD, ROLL = 100, 32 << 20, 256 << 20
 #: Rows of a range on average and the most ranges, while bounds are looked for; the most shards.
-ROWS, RANGES, MOST_SHARDS = 1_000_000, 1 << 12, 1 << 20
+ROWS, RANGES, MOST_SHARDS = 1_000_000, 1 << 12, 1 << 14
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "manifest"
@@ -75,6 +77,26 @@ def file_system(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1) if folder.startswith("s3a://") else folder)
 
 
+class Digested:
+    """A stream that takes the digest of what is read from it."""
+
+    def __init__(self, stream):
+        self.stream, self.sha = stream, hashlib.sha256()
+
+    def read(self, size: int) -> bytes:
+        data = self.stream.read(size)
+        self.sha.update(data)
+        return data
+
+
+def file_digest(where: fs.FileSystem, path: str) -> str:
+    with where.open_input_stream(path, compression=None) as stream:
+        digested = Digested(stream)
+        while digested.read(1 << 20):
+            pass
+    return digested.sha.hexdigest()
+
+
 def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record of a file of gzip members, one member in memory at a time."""
     held = stream.read(1 << 20)
@@ -116,6 +138,9 @@ def shard_bounds(pages: DataFrame, size: int = SHARD) -> np.ndarray:
 def write_archives(pages: DataFrame, folder: str, shard: int = SHARD, roll: int = ROLL) -> DataFrame:
     """Write a record per row of pages (page_id, url, html) under folder; returns the manifest (final, records, bytes, sha256)."""
     spark = pages.sparkSession
+    path, hadoop = _hadoop(spark, folder)
+    if hadoop.exists(path(f"{folder}/{MANIFEST}")):
+        raise FileExistsError(f"{folder} has a manifest already")
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     keys = staged(pages.select("page_id", F.octet_length("html").cast("long").alias("bytes"), F.unhex(F.sha2("html", 256)).alias("digest")), "keys")
     firsts = keys.filter(F.col("bytes") >= SMALLEST).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").drop("n")
@@ -197,23 +222,32 @@ def write_archives(pages: DataFrame, folder: str, shard: int = SHARD, roll: int
     return _commit(staged(dealt.mapInArrow(write, FILES), "files"), folder)
 
 
+def _hadoop(spark: SparkSession, folder: str):
+    """Hadoop's class of paths, and the file system of a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path, path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _commit(files: DataFrame, folder: str) -> DataFrame:
     """Give the listed files their final names, in tasks, and publish the list as the manifest."""
 
     def publish(batches):
         where, root = file_system(folder)
         for batch in batches:
-            for written, final in zip(batch.column("written").to_pylist(), batch.column("final").to_pylist(), strict=True):
-                # A task that is tried again finds its file renamed.
-                if where.get_file_info(f"{root}/{final}").type == fs.FileType.NotFound:
+            for written, final, sha in zip(*[batch.column(x).to_pylist() for x in ("written", "final", "sha256")], strict=True):
+                there = [x.type != fs.FileType.NotFound for x in where.get_file_info([f"{root}/{written}", f"{root}/{final}"])]
+                if there[0]:
+                    if there[1]:  # left by a run that ended before its manifest
+                        where.delete_file(f"{root}/{final}")
                     where.move(f"{root}/{written}", f"{root}/{final}")
+                elif not there[1] or file_digest(where, f"{root}/{final}") != sha:  # else an earlier try of this task renamed it
+                    raise OSError(f"{written} is gone, and {final} isn't the same file")
             yield batch.select(["final", "records", "bytes", "sha256"])
 
     spark = files.sparkSession
     spread = files.repartition(max(1, min(files.count(), 1 << 14)))
-    spread.mapInArrow(publish, "final string, records long, bytes long, sha256 string").write.parquet(f"{folder}/_{MANIFEST}")
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    where = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, where = _hadoop(spark, folder)
+    spread.mapInArrow(publish, "final string, records long, bytes long, sha256 string").write.mode("overwrite").parquet(f"{folder}/_{MANIFEST}")
     if not where.rename(path(f"{folder}/_{MANIFEST}"), path(f"{folder}/{MANIFEST}")):
         raise OSError(f"{folder} has a manifest already")
     for left in where.globStatus(path(f"{folder}/_writing-*")):  # of attempts that failed
@@ -229,10 +263,11 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
     def read(batches):
         where, root = file_system(folder)
         for batch in batches:
-            for final in batch.column("final").to_pylist():
+            for final, sha in zip(batch.column("final").to_pylist(), batch.column("sha256").to_pylist(), strict=True):
                 rows = []
                 with where.open_input_stream(f"{root}/{final}", compression=None) as stream:
-                    for headers, block in read_records(stream):
+                    digested = Digested(stream)
+                    for headers, block in read_records(digested):
                         http, _, payload = block.partition(b"\r\n\r\n")
                         told = headers["WARC-Payload-Digest"].removeprefix("sha256:")
                         size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
@@ -242,10 +277,12 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
                             raise ValueError("a payload doesn't match its record's headers")
                         page, first = headers.get("Page-Number"), headers.get("Refers-To-Page-Number")
                         rows.append((page and int(page), size, digest, kind, first and int(first)))
+                if digested.sha.hexdigest() != sha:
+                    raise ValueError(f"{final} doesn't match its digest in the manifest")
                 columns = list(zip(*rows, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], list(types))
 
-    spread = manifest.select("final").repartition(max(1, min(manifest.count(), 1 << 16)))
+    spread = manifest.select("final", "sha256").repartition(max(1, min(manifest.count(), 1 << 16)))
     return spread.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 

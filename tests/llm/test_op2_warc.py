@@ -1,4 +1,7 @@
+import os
+
 import duckdb
+import pytest
 
 from guildbook.llm import op2_warc as op
 from guildbook.llm.common import new_folder
@@ -58,3 +61,31 @@ def test_pages_without_id_and_clustered_ids(spark):
     shards = spark.createDataFrame([(10**15 + i, 400) for i in range(200)] + [(i, 400) for i in range(200)], "page_id long, bytes long")
     assert op.shard_bounds(shards, 20_000).tolist() == [50, 100, 150, *(10**15 + k for k in (0, 50, 100, 150))]
     assert op.shard_bounds(shards.repartition(7), 20_000).tolist() == op.shard_bounds(shards, 20_000).tolist()
+
+
+def left_over(folder):
+    """As a run leaves a folder that ends after its renames: final files, a manifest under its unfinished name."""
+    os.rename(f"{folder}/{op.MANIFEST}", f"{folder}/_{op.MANIFEST}")
+
+
+def test_files_of_an_ended_run_are_replaced(spark):
+    schema = "page_id long, url string, html string"
+    first = spark.createDataFrame([(1, "u", "a" * 150), (2, "u", "b" * 151)], schema)
+    second = spark.createDataFrame([(1, "u", "c" * 200), (2, "u", "d" * 201)], schema)
+    folder = new_folder(spark, "warc-test")
+    op.write_archives(first, folder)
+    left_over(folder.removeprefix("file://"))
+    manifest = op.write_archives(second, folder)
+    assert sorted(r["payload_bytes"] for r in op.read_archives(spark, folder, manifest).collect()) == [200, 201]
+    with pytest.raises(FileExistsError):
+        op.write_archives(first, folder)
+
+
+def test_a_file_that_the_manifest_does_not_name_fails(spark):
+    schema = "page_id long, url string, html string"
+    folder, other = new_folder(spark, "warc-test"), new_folder(spark, "warc-test")
+    manifest = op.write_archives(spark.createDataFrame([(1, "u", "a" * 150)], schema), folder)
+    name = op.write_archives(spark.createDataFrame([(1, "u", "b" * 150)], schema), other).first()["final"]
+    os.replace(f"{other.removeprefix('file://')}/{name}", f"{folder.removeprefix('file://')}/{name}")
+    with pytest.raises(Exception, match="doesn't match its digest in the manifest"):
+        op.read_archives(spark, folder, manifest).collect()
