@@ -143,3 +143,7 @@ BLOCKING = [
     ("rate limited", "rate_limit"), ("too many requests", "rate_limit"), ("access denied", "access_denied"), ("forbidden", "forbidden"),
     ("captcha", "captcha"), ("please verify", "verification"), ("unusual traffic", "unusual_traffic"),
 ]
+
+#: Types of structured data that count as organisations, and as corporations. Fixed values.
+ORGANISATIONS = ["Organization", "LocalBusiness", "Corporation", "MedicalOrganization", "SportsOrganization", "AutomotiveBusiness", "Store"]
+CORPORATIONS = ["Organization", "Corporation"]

@@ -63,22 +63,56 @@ def dedupe_stats(rows: DataFrame, clusters: DataFrame) -> DataFrame:
     return counted.join(F.broadcast(sums), F.lit(True)).select("records", (c("records") - c("grouped") + c("groups")).alias("kept"), "groups", (c("grouped") - c("groups")).alias("merged"), "largest")
 
 
+def _ends(alias: DataFrame) -> DataFrame:
+    """alias(v, u, want): v leads iff u's leading is want. The same with u at the end of each chain; a jump halves the chains."""
+    while True:
+        after = alias.select(c("v").alias("u"), c("u").alias("end"), c("want").alias("then"))
+        jumped = alias.join(after, "u", "left").select("v", F.coalesce("end", "u").alias("u"), (c("want") == F.coalesce("then", F.lit(True))).alias("want"), c("end").isNotNull().alias("moved"))
+        jumped = written(jumped, "jumped")
+        alias = jumped.drop("moved")
+        if jumped.filter("moved").isEmpty():
+            return alias
+
+
+def leading(edges: DataFrame) -> DataFrame:
+    """(node, leads) for every node of the edges (u < v): a node leads iff no lower neighbour does.
+
+    terms(v, u, want) holds the open nodes: v leads iff each u's leading is want. A round puts in what was decided in the last one. A node with
+    a term that fails, or with both wants of one u, doesn't lead; one without terms leads; both leave with their terms. A node with one
+    term left only repeats or negates another: it leaves too, and those that ask for it ask for the end of its chain, found by jumps. So
+    the rounds of a chain grow with the logarithm of its length. The lowest open node is decided in each round, so the rounds end."""
+    terms = written(edges.select("v", "u").distinct().withColumn("want", F.lit(False)), "terms")
+    lowest = edges.select(c("u").alias("v")).distinct().join(edges.select("v").distinct(), "v", "left_anti")
+    now = written(lowest.select("v", F.lit(True).alias("leads")), "decided")
+    decided, aliases = [now], []
+    while not terms.isEmpty():
+        met = terms.join(now.select(c("v").alias("u"), "leads"), "u", "left").groupBy("v", "u").agg(F.bool_and("want").alias("least"), F.bool_or("want").alias("want"), F.first("leads").alias("leads"))
+        met = written(met.select("v", "u", "want", (c("least") != c("want")).alias("both"), "leads"), "met")
+        failed = c("both") | F.coalesce(c("leads") != c("want"), F.lit(False))
+        left = F.when(c("leads").isNull(), 1)
+        judged = written(met.groupBy("v").agg(F.bool_or(failed).alias("failed"), F.count(left).alias("left"), F.max(F.when(c("leads").isNull(), F.struct("u", "want"))).alias("one")), "judged")
+        now = judged.filter("failed or left = 0").select("v", (~c("failed")).alias("leads"))
+        decided.append(now)
+        alias = judged.filter("not failed and left = 1").select("v", "one.u", "one.want")
+        if not alias.isEmpty():
+            alias = _ends(alias)
+            aliases.append(alias)
+        rest = met.filter("leads is null").join(judged.filter("not failed and left > 1").select("v"), "v").select("v", "u", "want")
+        ends = alias.select(c("v").alias("u"), c("u").alias("end"), c("want").alias("then"))
+        moved = rest.join(ends, "u", "left").select("v", F.coalesce("end", "u").alias("u"), (c("want") == F.coalesce("then", F.lit(True))).alias("want"))
+        terms = written(moved.distinct(), "terms")
+    for alias in reversed(aliases):  # chains end at nodes that were decided, or left after theirs
+        known = reduce(DataFrame.unionByName, decided).select(c("v").alias("u"), "leads")
+        decided.append(written(alias.join(known, "u").select("v", (c("leads") == c("want")).alias("leads")), "decided"))
+    return reduce(DataFrame.unionByName, decided).withColumnRenamed("v", "node")
+
+
 def leader_clusters(edges: DataFrame) -> DataFrame:
     """(node, leader) for every node of the edges (u < v): the greedy clusters of a scan in order, which is not transitive.
 
-    A node is a leader iff no lower neighbour is one; a member belongs to its lowest leader. Rounds decide all nodes whose
-    lower neighbours are decided: without undecided or leading ones a node leads, with a leading one it is a member."""
+    A node is a leader iff no lower neighbour is one; a member belongs to its lowest leader."""
     edges = written(edges.select("u", "v"), "edges")
-    nodes = edges.select(c("u").alias("node")).union(edges.select("v")).distinct()
-    state = written(nodes.withColumn("leads", F.lit(None).cast("boolean")), "state")
-    # Each round decides at least the lowest open node of every component, so the rounds end.
-    while True:
-        lower = edges.join(state.select(c("node").alias("u"), c("leads").alias("low")), "u")
-        seen = lower.groupBy("v").agg(F.bool_or(F.coalesce("low", F.lit(False))).alias("led"), F.bool_or(c("low").isNull()).alias("open"))
-        decided = F.when(c("leads").isNotNull(), c("leads")).when(F.coalesce("led", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True)
-        state = written(state.join(seen.withColumnRenamed("v", "node"), "node", "left").select("node", decided.alias("leads")), "state")
-        if state.filter("leads is null").isEmpty():
-            break
+    state = written(leading(edges), "state")
     member = edges.join(state.filter("leads").select(c("node").alias("u")), "u").groupBy("v").agg(F.min("u").alias("leader"))
     return state.filter("leads").select("node", c("node").alias("leader")).unionByName(state.filter("not leads").join(member.withColumnRenamed("v", "node"), "node").select("node", "leader"))
 

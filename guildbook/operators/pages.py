@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from functools import reduce
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -310,28 +308,3 @@ def external_members(parsed: DataFrame, key: str, url: str) -> DataFrame:
     links = links.select(key, "_own", "turn", c("a.text").alias("name"), c("a.href").alias("website")).filter(c("website").rlike("^https?://"))
     links = links.withColumn("host", extract_domain(c("website"))).filter((c("host") != c("_own")) & ~c("host").rlike(social) & (c("name") != ""))
     return links.groupBy(key, "host").agg(F.min_by(F.struct("name", "website"), "turn").alias("x")).select(key, "host", F.regexp_replace("x.name", r"[*†‡]+$", "").alias("name"), "x.website")
-
-
-def schema_org(blocks: pd.Series) -> pd.Series:
-    """The first organisation of JSON-LD blocks, as JSON; lists and graphs are searched."""
-
-    def find(x):
-        if isinstance(x, list):
-            return next((y for z in x if (y := find(z))), None)
-        if not isinstance(x, dict):
-            return None
-        kinds = x.get("@type") or ""
-        if any(k in ("Organization", "Corporation", "LocalBusiness", "Manufacturer") for k in ([kinds] if isinstance(kinds, str) else kinds)):
-            return x
-        return find(x.get("@graph"))
-
-    def one(texts):
-        for t in texts if texts is not None else []:
-            try:
-                if found := find(json.loads(t)):
-                    return json.dumps(found)
-            except ValueError:
-                continue
-        return None
-
-    return blocks.map(one)

@@ -204,8 +204,22 @@ SELECT k AS page_id, 'https://guild.org/list' || CAST(k AS VARCHAR(20)) AS url,
 FROM (SELECT c_custkey AS k FROM customer)
 """
 
-FRAMES = {"records": RECORDS, "snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"records": ["customer"], "snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+#: Pages with structured data of organisations: one item, a graph, a list, broken blocks, control characters, several items, none.
+ORGANISATION_PAGES = """
+SELECT k AS page_id, '<html><head>' || CASE k % 8
+  WHEN 0 THEN '<script type="application/ld+json">{"@type": "Organization", "numberOfEmployees": {"@type": "QuantitativeValue", "value": ' || CAST(k + 1 AS VARCHAR(20)) || '}, "foundingDate": "1950-05-01", "telephone": " 555-0' || CAST(k AS VARCHAR(20)) || ' ", "url": "https://firm.com", "address": {"streetAddress": "1 Main St", "addressLocality": "Akron", "addressRegion": "Ohio", "postalCode": "44301", "addressCountry": "US"}, "geo": {"latitude": "41.5", "longitude": -81.25}, "sameAs": ["https://facebook.com/f", "https://www.LinkedIn.com/company/f' || CAST(k AS VARCHAR(20)) || '"]}</script>'
+  WHEN 1 THEN '<script type="application/ld+json">{"@context": "x", "@graph": [{"@type": "WebSite", "telephone": "1"}, "text", {"@type": "LocalBusiness", "telephone": 5550100, "numberOfEmployees": {"minValue": 5, "maxValue": "1,0' || CAST(10 + k % 90 AS VARCHAR(20)) || '"}, "address": "2 Oak Ave, Gary", "sameAs": "https://linkedin.com/company/one", "geo": {"lat": 1.5}}]}</script>'
+  WHEN 2 THEN '<script type="application/ld+json">[{"@type": "Person", "telephone": "2"}, {"@type": ["Store", "Thing"], "numberOfEmployees": "1,200", "telephone": ""}, {"@type": ["Thing", "NewsOrganization"], "numberOfEmployees": ' || CAST(k AS VARCHAR(20)) || '.0, "foundingDate": 1999, "address": {"addressLocality": "Tulsa"}}, null, 7]</script>'
+  WHEN 3 THEN '<script type="application/ld+json">{"@type": "Organization", "telephone": </script><script type="application/ld+json"></script><script type="application/ld+json">{"@type": "Corporation", "foundingDate": 1066, "hasMap": "https://Maps.google.com/' || CAST(k AS VARCHAR(20)) || '", "telephone": {"a": 1}, "address": null}</script>'
+  WHEN 4 THEN '<script type="application/ld+json">{"@type": "Organization", "description": "A' || chr(1) || 'B", "name": "F", "address": {"addressRegion": "tx", "addressLocality": ""}, "geo": {"latitude": "north", "longitude": 2}, "map": "/here"}</script>'
+  WHEN 6 THEN '<script type="application/ld+json">{"@type": "Organization", "address": {"addressLocality": "Gary"}}</script><script type="application/ld+json">[{"@type": "Organization", "telephone": "3", "address": {"streetAddress": "3 Elm", "addressLocality": "Flint", "addressRegion": "MI"}}, {"@type": "Organization", "telephone": "4", "address": {"addressLocality": "Reno", "postalCode": "89501"}}]</script>'
+  WHEN 7 THEN '<script type="application/ld+json">{"@type": "Product", "telephone": "5"}</script>'
+  ELSE '' END || '</head><body><p>Text</p></body></html>' AS html
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+FRAMES = {"organisation_pages": ORGANISATION_PAGES, "records": RECORDS, "snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"organisation_pages": ["customer"], "records": ["customer"], "snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guildbook.plans import q_accounts, q_entities, q_jobs, q_match, q_more, q_pages, q_reports, q_rows, q_watch
+from guildbook.plans import q_accounts, q_entities, q_facts, q_jobs, q_match, q_more, q_pages, q_reports, q_rows, q_watch
 
-MODULES = [q_rows, q_reports, q_match, q_accounts, q_pages, q_more, q_jobs, q_watch, q_entities]
+MODULES = [q_rows, q_reports, q_match, q_accounts, q_pages, q_more, q_jobs, q_watch, q_entities, q_facts]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
