@@ -15,7 +15,11 @@ HEADERS = {
     "company": "company_name", "company name": "company_name", "name": "company_name", "member": "company_name", "member name": "company_name",
     "organization": "company_name", "city": "city", "state": "state", "st": "state", "province": "state", "country": "country", "phone": "phone",
     "telephone": "phone", "email": "email", "e-mail": "email", "website": "website", "web": "website", "url": "website",
+    "membership": "membership_tier", "membership type": "membership_tier", "type": "membership_tier", "joined": "member_since", "member since": "member_since",
+    "year joined": "member_since",
 }
+# A table of members has a name and one of these.
+BESIDE_A_NAME = ["city", "state", "phone", "email", "website"]
 
 
 def _month(c: Column) -> Column:
@@ -66,5 +70,19 @@ def map_headers(header: Column, values: Column) -> Column:
     """A row of a member table as a map of fields; headers without a field, and empty values, are left out."""
     table = F.create_map(*[F.lit(x) for pair in HEADERS.items() for x in pair])
     fields = F.transform(header, lambda h: table[F.lower(F.trim(h))])
+    # Of two headers with one field the last value that isn't empty stands.
     pairs = F.filter(F.arrays_zip(fields.alias("field"), F.transform(values, lambda v: F.trim(v)).alias("value")), lambda p: p["field"].isNotNull() & (p["value"] != ""))
-    return F.map_from_entries(F.filter(pairs, lambda p: p["field"].isNotNull()))
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["field"] == p["field"]))
+    return F.map_from_entries(last)
+
+
+def member_rows(table: Column) -> Column:
+    """The members of a table (rows of texts, the first its header) as an array of maps: only of tables with a name and one field
+    of BESIDE_A_NAME; rows of another length than the header, and rows without a name, are left out."""
+    header = F.get(table, F.lit(0))
+    known = F.create_map(*[F.lit(x) for pair in HEADERS.items() for x in pair])
+    fields = F.transform(header, lambda h: known[F.lower(F.trim(h))])
+    is_member = F.array_contains(fields, "company_name") & F.arrays_overlap(fields, F.array(*[F.lit(x) for x in BESIDE_A_NAME]))
+    rows = F.transform(F.filter(F.slice(table, 2, F.greatest(F.size(table) - 1, F.lit(0))), lambda r: F.size(r) == F.size(header)), lambda r: map_headers(header, r))
+    named = F.filter(rows, lambda m: F.map_contains_key(m, F.lit("company_name")))
+    return F.when(F.coalesce(is_member, F.lit(False)), named).otherwise(F.array().cast("array<map<string,string>>"))

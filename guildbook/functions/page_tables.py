@@ -147,3 +147,12 @@ BLOCKING = [
 #: Types of structured data that count as organisations, and as corporations. Fixed values.
 ORGANISATIONS = ["Organization", "LocalBusiness", "Corporation", "MedicalOrganization", "SportsOrganization", "AutomotiveBusiness", "Store"]
 CORPORATIONS = ["Organization", "Corporation"]
+
+# Patterns of contacts on pages.
+PHONE_PATTERN = r"(?:\+1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]\d{4}"
+STREET_PATTERN = r"(?i)\b(\d{1,5})\s+([A-Z][a-zA-Z0-9\s]{2,40}?)\s+(St|Street|Ave|Avenue|Blvd|Boulevard|Dr|Drive|Rd|Road|Ln|Lane|Way|Pkwy|Parkway|Ct|Court|Pl|Place|Cir|Circle|Hwy|Highway|Suite|Ste|Bldg|Building|Floor|Fl)\b"
+PLACE_PATTERN = r"(?i)([A-Z][a-zA-Z\s]{2,30}),\s*(AL|AK|AZ|AR|CA|CO|CT|DE|FL|GA|HI|ID|IL|IN|IA|KS|KY|LA|ME|MD|MA|MI|MN|MS|MO|MT|NE|NV|NH|NJ|NM|NY|NC|ND|OH|OK|OR|PA|RI|SC|SD|TN|TX|UT|VT|VA|WA|WV|WI|WY|DC)(?:\s+(\d{5}(?:-\d{4})?))?"
+ZIP_PATTERN = r"(?<![.\d])(\d{5}(?:-\d{4})?)(?![.\d])"
+STAFF_PATTERN = r"(?i)(?:team of|employs?|over|more than|approximately|about|nearly|workforce of|staff of|employees?:?)\s*(\d[\d,]*)\s*(?:\+\s*)?(?:employees?|people|staff|team members?|professionals?)?"
+FOUNDED_PATTERN = r"(?i)(?:founded|established|since|incorporated|started|began)\s+(?:in\s+)?(\d{4})"
+MAP_PATTERNS = [r"""(?i)<iframe[^>]+src=["']([^"']*(?:maps\.google|google\.com/maps|maps\.googleapis)[^"']*)["']""", r"""(?i)data-src=["']([^"']*(?:maps\.google|google\.com/maps)[^"']*)["']"""]

@@ -72,3 +72,44 @@ TERMS = [
     r"scraping.*(prohibited|forbidden|not allowed)", r"automated.*(access|collection).*(prohibited|forbidden)", r"data mining.*(prohibited|forbidden)",
     r"no.*(crawling|scraping|harvesting)", r"robots?.*(prohibited|forbidden)",
 ]
+
+# Columns of each kind of export, and names of fields in two sales systems.
+EXPORT_COLUMNS = {
+    "companies": ["company_name", "website", "domain", "city", "state", "country", "employee_count_min", "employee_count_max", "revenue_min_usd", "industry", "naics_code", "erp_system", "crm_system", "associations", "quality_score", "quality_grade", "contact_count", "primary_contact_name", "primary_contact_email", "source_url", "extracted_at"],
+    "events": ["title", "event_type", "start_date", "end_date", "venue", "city", "state", "country", "is_virtual", "event_url", "registration_url", "organizer_association", "sponsor_count", "exhibitor_count", "source_url", "extracted_at"],
+    "participants": ["company_name", "company_website", "participant_type", "sponsor_tier", "booth_number", "booth_category", "speaker_name", "speaker_title", "presentation_title", "event_id", "source_url", "extracted_at"],
+    "competitors": ["competitor_name", "signal_type", "confidence", "context", "source_company_id", "source_event_id", "source_association", "source_url", "detected_at"],
+}
+SALESFORCE_FIELDS = {
+    "company_name": "Account Name", "website": "Website", "domain": "Domain__c", "city": "BillingCity", "state": "BillingState", "country": "BillingCountry",
+    "employee_count_min": "NumberOfEmployees", "revenue_min_usd": "AnnualRevenue", "industry": "Industry", "erp_system": "ERP_System__c",
+    "associations": "Associations__c", "quality_score": "Data_Quality_Score__c",
+}
+HUBSPOT_FIELDS = {
+    "company_name": "name", "website": "website", "domain": "domain", "city": "city", "state": "state", "country": "country", "employee_count_min": "numberofemployees",
+    "revenue_min_usd": "annualrevenue", "industry": "industry", "erp_system": "erp_system",
+}
+
+# Fields of records. type; null: may be null; least, most, shortest, longest, one_of; items: what a list holds; needed: must be there.
+_TEXT, _MAYBE = {"type": "string"}, {"type": "string", "null": True}
+_COUNT = {"type": "integer", "null": True, "least": 0}
+_TEXTS = {"type": "array", "items": _TEXT}
+CONTACT_FIELDS = {
+    "full_name": {"type": "string", "shortest": 1, "needed": True}, "first_name": _MAYBE, "last_name": _MAYBE, "title": _MAYBE, "department": _MAYBE, "seniority": _MAYBE, "email": _MAYBE,
+    "email_verified": {"type": "boolean"}, "phone": _MAYBE, "linkedin_url": _MAYBE, "data_source": _MAYBE, "confidence_score": {"type": "number", "least": 0, "most": 1},
+}
+PROVENANCE_FIELDS = {
+    "source_url": {"type": "string", "needed": True}, "source_type": {"type": "string", "one_of": ["web", "api", "pdf", "manual"]}, "extracted_at": _TEXT,
+    "extracted_by": {"type": "string", "needed": True}, "association_code": _MAYBE, "job_id": _MAYBE,
+    "page_type": {"type": "string", "null": True, "one_of": ["ASSOCIATION_HOME", "ASSOCIATION_DIRECTORY", "MEMBER_DIRECTORY", "MEMBER_DETAIL", "EVENTS_LIST", "EVENT_DETAIL", "PARTICIPANTS_LIST", "EXHIBITORS_LIST", "SPONSORS_LIST", "RESOURCE", "OTHER"]},
+    "confidence": {"type": "number", "least": 0, "most": 1},
+}
+COMPANY_FIELDS = {
+    "id": _TEXT, "company_name": {"type": "string", "shortest": 1, "needed": True}, "normalized_name": _MAYBE, "domain": _MAYBE, "website": _MAYBE, "city": _MAYBE,
+    "state": {"type": "string", "null": True, "longest": 50}, "country": _TEXT, "full_address": _MAYBE, "latitude": {"type": "number", "null": True}, "longitude": {"type": "number", "null": True},
+    "employee_count_min": _COUNT, "employee_count_max": _COUNT, "revenue_min_usd": _COUNT, "revenue_max_usd": _COUNT, "year_founded": {"type": "integer", "null": True, "least": 1800, "most": 2030},
+    "naics_code": _MAYBE, "sic_code": _MAYBE, "industry": _MAYBE, "erp_system": _MAYBE, "crm_system": _MAYBE, "tech_stack": _TEXTS, "associations": _TEXTS,
+    "contacts": {"type": "array", "items": CONTACT_FIELDS}, "quality_score": {"type": "integer", "null": True, "least": 0, "most": 100},
+    "quality_grade": {"type": "string", "null": True, "one_of": ["A", "B", "C", "D", "F"]}, "data_sources": _TEXTS, "provenance": {"type": "array", "items": PROVENANCE_FIELDS},
+    "created_at": _TEXT, "updated_at": _TEXT, "last_verified_at": _MAYBE,
+}

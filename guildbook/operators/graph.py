@@ -110,10 +110,22 @@ def all_related(edges: DataFrame, few: int = 10, heavy: int = HEAVY) -> DataFram
     return ranked.join(counted.select("id", "related"), "id").select("id", "related", "rank", "other", "shared")
 
 
-def export_graph(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Elements for a graph viewer, one JSON text each."""
-    n = nodes.select(F.to_json(F.struct(F.struct("id", "kind", "name").alias("data"))).alias("element"))
-    return n.unionByName(edges.select(F.to_json(F.struct(F.struct("source", "target", "kind").alias("data"))).alias("element")))
+def export_graph(nodes: DataFrame, edges: DataFrame, format: str = "cytoscape") -> DataFrame:
+    """(part, element): nodes and edges as JSON texts, one row each. json: the rows as they are; cytoscape: elements of a graph viewer;
+    gephi: nodes and edges with labels, types and a weight (of edges without a confidence 1)."""
+    label = c("kind").alias("type")
+    weight = (c("confidence") if "confidence" in edges.columns else F.lit(1.0)).cast("double").alias("weight")
+    name, link = F.concat_ws("|", "source", "kind", "target").alias("id"), c("kind").alias("label")
+    if format == "json":
+        n, e = F.struct(*nodes.columns), F.struct(*edges.columns)
+    elif format == "cytoscape":
+        n, e = (F.struct(F.struct(*x).alias("data")) for x in (["id", c("name").alias("label"), label], [name, "source", "target", link]))
+    elif format == "gephi":
+        n, e = F.struct("id", c("name").alias("label"), label), F.struct(name, "source", "target", label, weight)
+    else:
+        raise ValueError(f"no format of graphs: {format}")
+    part = lambda df, what, x: df.select(F.lit(what).alias("part"), F.to_json(x).alias("element"))
+    return part(nodes, "node", n).unionByName(part(edges, "edge", e))
 
 
 def update_graph(old: tuple[DataFrame, DataFrame], new: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from guildbook.functions.text import extract_domain, has_value, names_match
 from guildbook.operators.store import written
 
 c = F.col
@@ -171,3 +172,30 @@ def upsert_contacts(target: DataFrame, batch: DataFrame, fields: list[str]) -> D
     both = old.join(last, "_key", "full_outer")
     kept = lambda f: F.coalesce(c(f"n.{f}"), c(f)).alias(f)
     return both.select(F.coalesce(c("contact_id"), c("n.contact_id")).alias("contact_id"), F.coalesce(c("company_id"), c("n.company_id")).alias("company_id"), F.coalesce(c("email"), c("n.email")).alias("email"), *[kept(f) for f in fields])
+
+
+def cross_reference(df: DataFrame, dns: DataFrame, places: DataFrame, linkedin: DataFrame) -> DataFrame:
+    """Companies against look-ups: mail servers and LinkedIn pages by domain, places by (name, city, state), of which the first five results
+    are compared by name. dns: domain, mx. places: company_name, city, state, results (names). linkedin: domain, found. Each of those has one
+    row per key; what wasn't looked up stays null. Companies without city and state aren't looked for among places."""
+    out = df.withColumn("domain", F.nullif(extract_domain(c("website")), F.lit("")))
+    out = out.join(dns.select("domain", c("mx").alias("dns_mx_valid")), "domain", "left").join(linkedin.select("domain", c("found").alias("linkedin_found")), "domain", "left")
+    asked = has_value(c("company_name")) & (has_value(c("city")) | has_value(c("state")))
+    text = lambda x: F.coalesce(F.trim(c(x)), F.lit(""))
+    keys = ["company_name", "city", "state"]
+    known = places.select(*[text(k).alias(f"_{k}") for k in keys], "results")
+    out = out.join(known, reduce(lambda a, b: a & b, [text(k) == c(f"_{k}") for k in keys]) & asked, "left").drop(*[f"_{k}" for k in keys])
+    met = F.exists(F.slice("results", 1, 5), lambda x: F.coalesce(names_match(c("company_name"), x), F.lit(False)))
+    out = out.withColumn("places_matched", F.when(c("results").isNotNull(), met)).drop("results")
+    points = lambda x, yes, no: F.when(c(x), yes).when(~c(x), no).otherwise(0)
+    score = 50 + points("dns_mx_valid", 20, -20) + points("places_matched", 20, -10) + points("linkedin_found", 10, 0)
+    issues = F.array_compact(F.array(F.when(~c("dns_mx_valid"), "invalid_domain"), F.when(~c("places_matched"), "address_not_found")))
+    return out.withColumn("validation_score", F.least(F.lit(100), F.greatest(F.lit(0), score))).withColumn("issues", issues)
+
+
+def validation_stats(df: DataFrame) -> DataFrame:
+    """One row: how many look-ups of mail servers and places were good, bad or left out."""
+    counts = []
+    for x, good, bad, left_out in (("dns_mx_valid", "dns_valid", "dns_invalid", "dns_skipped"), ("places_matched", "places_matched", "places_unmatched", "places_skipped")):
+        counts += [F.count_if(c(x)).alias(good), F.count_if(~c(x)).alias(bad), F.count_if(c(x).isNull()).alias(left_out)]
+    return df.agg(*counts)

@@ -308,3 +308,33 @@ def external_members(parsed: DataFrame, key: str, url: str) -> DataFrame:
     links = links.select(key, "_own", "turn", c("a.text").alias("name"), c("a.href").alias("website")).filter(c("website").rlike("^https?://"))
     links = links.withColumn("host", extract_domain(c("website"))).filter((c("host") != c("_own")) & ~c("host").rlike(social) & (c("name") != ""))
     return links.groupBy(key, "host").agg(F.min_by(F.struct("name", "website"), "turn").alias("x")).select(key, "host", F.regexp_replace("x.name", r"[*†‡]+$", "").alias("name"), "x.website")
+
+
+def contact_facts(html: Column, text: Column) -> Column:
+    """Phone, address, employees, year of foundation and map link of a page. The address: that of the first <address> with over ten letters;
+    without a city there, the first "City, ST 12345" of the text whose city has at most 22 letters and three words; else only a ZIP."""
+    squeezed = lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))
+    none = lambda x: F.nullif(x, F.lit(""))
+    boxes = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<address[^>]*>(.*?)</address>"), F.lit(1)), lambda x: squeezed(F.regexp_replace(x, "<[^>]+>", " ")))
+    box = F.get(F.filter(boxes, lambda x: F.length(x) > 10), F.lit(0))
+    place = page_tables.PLACE_PATTERN
+    street_at, street = F.regexp_instr(box, F.lit(page_tables.STREET_PATTERN)), F.regexp_extract(box, page_tables.STREET_PATTERN, 0)
+    begin = F.greatest(F.lit(1), street_at - 2)
+    around = F.trim(F.substring(box, begin, street_at + F.length(street) + 30 - begin))
+    parts = F.arrays_zip(*[F.regexp_extract_all(text, F.lit(place), F.lit(k)).alias(n) for k, n in ((1, "city"), (2, "state"), (3, "zip"))])
+    fits = lambda p: (p["zip"] != "") & F.length(F.trim(p["city"])).between(2, 22) & (F.size(F.split(squeezed(p["city"]), " ")) <= 3)
+    told = F.get(F.filter(parts, fits), F.lit(0))
+    in_box = none(F.trim(F.regexp_extract(box, place, 1)))
+    where = lambda k, n: F.when(in_box.isNotNull(), none(F.regexp_extract(box, place, k))).otherwise(told[n])
+    number = lambda p, low, high: F.get(F.filter(F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(1)), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("int")), lambda x: x.between(low, high)), F.lit(0))
+    called = F.filter(F.regexp_extract_all(text, F.lit(page_tables.PHONE_PATTERN), F.lit(0)), lambda x: F.length(F.regexp_replace(x, r"\D", "")).isin(10, 11))
+    return F.struct(
+        F.trim(F.get(called, F.lit(0))).alias("phone"),
+        F.when(street_at > 0, F.left(F.trim(F.element_at(F.split(around, r"\|"), 1)), F.lit(100))).alias("street"),
+        F.initcap(squeezed(F.coalesce(in_box, told["city"]))).alias("city"),
+        F.upper(where(2, "state")).alias("state"),
+        F.coalesce(where(3, "zip"), told["zip"], none(F.regexp_extract(text, page_tables.ZIP_PATTERN, 1))).alias("zip"),
+        number(page_tables.STAFF_PATTERN, 1, 500_000).alias("employees"),
+        number(page_tables.FOUNDED_PATTERN, 1800, 2024).alias("founded"),
+        F.coalesce(*[none(F.regexp_extract(html, p, 1)) for p in page_tables.MAP_PATTERNS]).alias("map_url"),
+    )

@@ -218,8 +218,32 @@ SELECT k AS page_id, '<html><head>' || CASE k % 8
 FROM (SELECT c_custkey AS k FROM customer)
 """
 
-FRAMES = {"organisation_pages": ORGANISATION_PAGES, "records": RECORDS, "snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"organisation_pages": ["customer"], "records": ["customer"], "snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+#: Records of companies as JSON, whole and broken in several ways.
+CONTRACT_RECORDS = """
+SELECT k AS record_id, CASE k % 7
+  WHEN 0 THEN '{"company_name": "Firm ' || CAST(k AS VARCHAR(20)) || '", "state": "OH", "quality_score": 100, "quality_grade": "A", "year_founded": 2030, "latitude": 1, "revenue_max_usd": 2.0, "contacts": [{"full_name": "A", "confidence_score": 1, "email": null}], "tech_stack": ["x"], "provenance": []}'
+  WHEN 1 THEN '{"company_name": "", "state": "' || repeat('x', CAST(50 + k % 2 AS INT)) || '", "year_founded": 2031, "quality_grade": "E", "quality_score": ' || CAST(k % 200 AS VARCHAR(20)) || '}'
+  WHEN 2 THEN '{"company_name": null, "employee_count_min": -1, "quality_score": "7", "extra": 1, "country": null, "also": []}'
+  WHEN 3 THEN '{"contacts": [{"full_name": "", "confidence_score": 1.5}, {"email_verified": "yes", "nick": "x"}, 5], "associations": ["a", 1]}'
+  WHEN 4 THEN '{"company_name": "F", "provenance": [{"source_url": "u", "extracted_by": "x", "source_type": "fax", "confidence": -0.5, "page_type": null}, {"page_type": "HOME"}], "latitude": "n", "revenue_min_usd": 1.5}'
+  WHEN 5 THEN '[1]' ELSE '{"company_name": ' END AS record
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+#: Contact pages: an address box, addresses in the text, only a ZIP, none.
+CONTACT_PAGES = """
+SELECT k AS page_id, CASE k % 5
+  WHEN 0 THEN '<address>Short</address><address><b>Firm</b><br>' || CAST(10 + k % 90 AS VARCHAR(20)) || ' North Main Street <i>| Suite 5</i>, new berlin, wi 53151-1234</address><iframe width=1 src="https://www.google.com/maps/embed?k=' || CAST(k AS VARCHAR(20)) || '"></iframe>'
+  WHEN 1 THEN '<div data-src="//maps.google.com/x"></div>' ELSE '<p>None</p>' END AS html,
+  CASE k % 5 WHEN 0 THEN 'Call 555-1234 or +1 (330) 555-0100. A team of 1,200 people since 1066, founded in 1950. Akron, OH 44301'
+  WHEN 1 THEN 'Acme Inc, CO. Visit us at: Fort Wayne, IN 46801. Over 900,000 sold, staff of ' || CAST(1 + k AS VARCHAR(20)) || '. Call 330.555.0199 ext 2'
+  WHEN 2 THEN 'The very long name of a firm here, OH 44301. Zoom 46.26486 and 90210-1234.'
+  WHEN 3 THEN 'Established 2030. Gary, IN. Tel 330 5550100' ELSE '' END AS text
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+FRAMES = {"contract_records": CONTRACT_RECORDS, "contact_pages": CONTACT_PAGES, "organisation_pages": ORGANISATION_PAGES, "records": RECORDS, "snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"contract_records": ["customer"], "contact_pages": ["customer"], "organisation_pages": ["customer"], "records": ["customer"], "snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

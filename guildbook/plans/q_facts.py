@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from guildbook.functions import tables
+from guildbook.functions import text as t
+from guildbook.operators import contracts as ct
+from guildbook.operators import exports as ex
+from guildbook.operators import joins as j
 from guildbook.operators import organisations as og
 from guildbook.operators import pages as pg
 from guildbook.plans.frames import frame, with_frames
@@ -44,7 +49,115 @@ FROM (SELECT page_id, page_id % 8 AS k, CASE page_id % 8 WHEN 0 THEN page_id + 1
     "organisation_pages",
 )
 
+
+def record_contract(spark, sf):
+    return ct.check_records(frame(spark, sf, "contract_records"), "record_id", "record", tables.COMPANY_FIELDS)
+
+
+def _said(k: int, texts: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT record_id, {i} AS turn, '{x}' AS violation FROM contract_records WHERE record_id % 7 = {k}" for i, x in enumerate(texts))
+
+
+CONTRACT_SQL = with_frames(
+    "SELECT record_id, (row_number() OVER (PARTITION BY record_id ORDER BY t) - 1)::INT AS turn, violation FROM ("
+    + " UNION ALL ".join(f"SELECT record_id, {t} AS t, '{x}' AS violation FROM contract_records WHERE record_id % 7 = 1 AND {when}" for t, x, when in [(0, "company_name: shorter than 1", "true"), (1, "state: longer than 50", "record_id % 2 = 1"), (2, "year_founded: above 2030", "true"), (3, "quality_score: above 100", "record_id % 200 > 100"), (4, "quality_grade: not one of the values", "true")])
+    + ") UNION ALL " + _said(2, ["company_name: no string", "country: no string", "employee_count_min: below 0", "quality_score: no integer", "also: unknown", "extra: unknown"])
+    + " UNION ALL " + _said(3, ["company_name: missing", "associations[1]: no string", "contacts[0].full_name: shorter than 1", "contacts[0].confidence_score: above 1", "contacts[1].full_name: missing", "contacts[1].email_verified: no boolean", "contacts[1].nick: unknown", "contacts[2]: no object"])
+    + " UNION ALL " + _said(4, ["latitude: no number", "revenue_min_usd: no integer", "provenance[0].source_type: not one of the values", "provenance[0].confidence: below 0", "provenance[1].source_url: missing", "provenance[1].extracted_by: missing", "provenance[1].page_type: not one of the values"])
+    + " UNION ALL " + _said(5, ["record: no object"]) + " UNION ALL " + _said(6, ["record: no JSON"]),
+    "contract_records",
+)
+
+
+def contact_facts(spark, sf):
+    return frame(spark, sf, "contact_pages").select("page_id", pg.contact_facts(c("html"), c("text")).alias("_x")).select("page_id", "_x.*")
+
+
+CONTACT_SQL = with_frames(
+    """SELECT page_id, CASE k WHEN 0 THEN '+1 (330) 555-0100' WHEN 1 THEN '330.555.0199' END AS phone, CASE k WHEN 0 THEN 'm ' || (10 + page_id % 90) || ' North Main Street' END AS street,
+  CASE k WHEN 0 THEN 'New Berlin' WHEN 1 THEN 'Fort Wayne' END AS city, CASE k WHEN 0 THEN 'WI' WHEN 1 THEN 'IN' END AS state, CASE k WHEN 0 THEN '53151-1234' WHEN 1 THEN '46801' WHEN 2 THEN '90210' END AS zip,
+  CASE k WHEN 0 THEN 1200 WHEN 1 THEN 1 + page_id END AS employees, CASE k WHEN 0 THEN 1950 END AS founded,
+  CASE k WHEN 0 THEN 'https://www.google.com/maps/embed?k=' || page_id WHEN 1 THEN '//maps.google.com/x' END AS map_url
+FROM (SELECT page_id, page_id % 5 AS k FROM contact_pages)""",
+    "contact_pages",
+)
+
+
+def _records(spark, sf):
+    """Companies as nested records."""
+    people = F.when(c("company_id") % 3 == 0, F.array(F.struct(F.lit("Ann Lee").alias("full_name"), c("email"), F.lit(None).cast("string").alias("title")))).otherwise(F.array().cast("array<struct<full_name:string,email:string,title:string>>"))
+    df = frame(spark, sf, "companies").select("company_id", "company_name", "website", "city", "state", "employee_count_min", "revenue_min_usd", "industry", "erp_system", "quality_score", t.text_list(c("associations")).alias("associations"), people.alias("contacts"))
+    return df.withColumns({"certificates": F.array(F.lit("ISO 9001"), F.lit('a"b')), "geo": F.struct((c("company_id") / 2).alias("lat"), F.lit("x").alias("kind")), "provenance": F.lit("crawl"), "extracted_at": F.lit("2024-05-06 07:08:09").cast("timestamp")})
+
+
+def company_export(spark, sf):
+    return ex.export_table(_records(spark, sf), "companies")
+
+
+def other_export(spark, sf):
+    return ex.export_table(_records(spark, sf).select("company_id", "certificates", "geo", "contacts", "extracted_at"), "other")
+
+
+def crm_exports(spark, sf):
+    """One row for each field that a company has in the two sales systems."""
+    day, rows = F.lit("2024-05-06").cast("date"), _records(spark, sf)
+
+    def long(mapping, system):
+        out = ex.export_fields(rows, mapping, "Guild", day)
+        named = [n for n in out.columns if n not in ("Data_Source__c", "Import_Date__c")]
+        pairs = F.inline(F.array(*[F.struct(F.lit(n).alias("field"), c(f"`{n}`").cast("string").alias("value")) for n in named]))
+        return out.select(F.lit(system).alias("system"), c("Data_Source__c").alias("source"), c("Import_Date__c").alias("day"), pairs).groupBy("system", "source", "day", "field").agg(F.count("value").alias("filled"), F.min("value").alias("least"), F.max("value").alias("most"))
+
+    return long(tables.SALESFORCE_FIELDS, "salesforce").unionByName(long(tables.HUBSPOT_FIELDS, "hubspot"))
+
+
+_TEXT_FIELDS = {"company_name": ("Account Name", "name"), "website": ("Website", "website"), "city": ("BillingCity", "city"), "state": ("BillingState", "state"), "employee_count_min": ("NumberOfEmployees", "numberofemployees"), "revenue_min_usd": ("AnnualRevenue", "annualrevenue"), "industry": ("Industry", "industry"), "erp_system": ("ERP_System__c", "erp_system"), "assoc": ("Associations__c", None), "quality_score": ("Data_Quality_Score__c", None)}
+_JOINED = "array_to_string(list_filter(list_transform(string_split(associations, ';'), lambda x: trim(x)), lambda x: x <> ''), '; ')"
+CRM_SQL = with_frames(
+    f"WITH r AS (SELECT *, {_JOINED} AS assoc FROM companies) "
+    + " UNION ALL ".join(f"SELECT '{system}' AS system, 'Guild' AS source, '2024-05-06' AS day, '{names[i]}' AS field, count({f}) AS filled, min({f}::VARCHAR) AS least, max({f}::VARCHAR) AS most FROM r" for i, system in enumerate(("salesforce", "hubspot")) for f, names in _TEXT_FIELDS.items() if names[i]),
+    "companies",
+)
+EXPORT_SQL = with_frames(
+    f"""SELECT company_name, website, NULL AS domain, city, state, NULL AS country, employee_count_min, NULL AS employee_count_max, revenue_min_usd, industry, NULL AS naics_code, erp_system, NULL AS crm_system, {_JOINED} AS associations, quality_score, NULL AS quality_grade,
+  CASE WHEN company_id % 3 = 0 THEN 1 END AS contact_count, CASE WHEN company_id % 3 = 0 THEN 'Ann Lee' END AS primary_contact_name, CASE WHEN company_id % 3 = 0 THEN email END AS primary_contact_email, NULL AS source_url, '2024-05-06T07:08:09' AS extracted_at FROM companies""",
+    "companies",
+)
+OTHER_SQL = with_frames(
+    """SELECT company_id, '["ISO 9001","a\\"b"]' AS certificates, company_id / 2 AS geo_lat, 'x' AS geo_kind, CASE WHEN company_id % 3 = 0 THEN 1 END AS contact_count, CASE WHEN company_id % 3 = 0 THEN 'Ann Lee' END AS primary_contact_name,
+  CASE WHEN company_id % 3 = 0 THEN email END AS primary_contact_email, CASE WHEN company_id % 3 = 0 THEN '' END AS primary_contact_title, '2024-05-06T07:08:09' AS extracted_at FROM companies""",
+    "companies",
+)
+
+
+def _referenced(spark, sf):
+    """Companies with look-ups: every third domain has no mail server, names of places come sixth, in another form, or not at all."""
+    df = frame(spark, sf, "companies").select("company_id", F.concat(F.lit("Firm"), "company_id", F.lit(" Works Inc")).alias("company_name"), F.when(c("company_id") % 6 > 0, F.concat(F.lit("http://f"), "company_id", F.lit(".com"))).alias("website"), F.when(c("company_id") % 7 > 0, "Akron").alias("city"), F.lit("").alias("state"))
+    sites = df.filter("company_id % 6 > 0").select(t.extract_domain(c("website")).alias("domain"), "company_id")
+    others = F.array_repeat(F.lit("Zeta Bakery"), 5)
+    met = F.concat(F.lit("FIRM"), "company_id", F.lit(" works"))
+    results = F.when(c("company_id") % 4 == 0, F.array(F.lit("Zeta Bakery"), met)).when(c("company_id") % 4 == 1, F.concat(others, F.array(met))).when(c("company_id") % 4 == 2, F.array().cast("array<string>"))
+    places = df.select("company_name", "city", "state", results.alias("results")).filter("results is not null")
+    return j.cross_reference(df, sites.filter("company_id % 5 > 0").select("domain", (c("company_id") % 3 > 0).alias("mx")), places, sites.filter("company_id % 2 = 1").select("domain", (c("company_id") % 9 > 0).alias("found")))
+
+
+def cross_references(spark, sf):
+    return _referenced(spark, sf).select("company_id", "domain", "dns_mx_valid", "places_matched", "linkedin_found", "validation_score", F.array_join("issues", ",").alias("issues"))
+
+
+def cross_reference_stats(spark, sf):
+    return j.validation_stats(_referenced(spark, sf))
+
+
+_REFERENCED = """WITH r AS (SELECT company_id, CASE WHEN company_id % 6 > 0 THEN 'f' || company_id || '.com' END AS domain, CASE WHEN company_id % 6 > 0 AND company_id % 5 > 0 THEN company_id % 3 > 0 END AS dns_mx_valid,
+  CASE WHEN company_id % 7 > 0 AND company_id % 4 < 3 THEN company_id % 4 = 0 END AS places_matched, CASE WHEN company_id % 6 > 0 AND company_id % 2 = 1 THEN company_id % 9 > 0 END AS linkedin_found FROM companies) """
+CROSS_SQL = with_frames(_REFERENCED + "SELECT *, 50 + CASE WHEN dns_mx_valid THEN 20 WHEN NOT dns_mx_valid THEN -20 ELSE 0 END + CASE WHEN places_matched THEN 20 WHEN NOT places_matched THEN -10 ELSE 0 END + CASE WHEN linkedin_found THEN 10 ELSE 0 END AS validation_score, concat_ws(',', CASE WHEN NOT dns_mx_valid THEN 'invalid_domain' END, CASE WHEN NOT places_matched THEN 'address_not_found' END) AS issues FROM r", "companies")
+CROSS_STATS_SQL = with_frames(_REFERENCED + "SELECT count(*) FILTER (dns_mx_valid) AS dns_valid, count(*) FILTER (NOT dns_mx_valid) AS dns_invalid, count(*) FILTER (dns_mx_valid IS NULL) AS dns_skipped, count(*) FILTER (places_matched) AS places_matched, count(*) FILTER (NOT places_matched) AS places_unmatched, count(*) FILTER (places_matched IS NULL) AS places_skipped FROM r", "companies")
+
 QUERIES = {
     "organisation_facts": (organisation_facts, FACTS_SQL),
+    "record_contract": (record_contract, CONTRACT_SQL), "contact_facts": (contact_facts, CONTACT_SQL),
+    "company_export": (company_export, EXPORT_SQL), "other_export": (other_export, OTHER_SQL), "crm_exports": (crm_exports, CRM_SQL),
+    "cross_references": (cross_references, CROSS_SQL), "cross_reference_stats": (cross_reference_stats, CROSS_STATS_SQL),
     "organisation_firmographics": (organisation_firmographics, FIRMOGRAPHICS_SQL),
 }
