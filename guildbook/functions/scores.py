@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from guildbook.functions import tables
-from guildbook.functions.text import has_value, lookup, text_list
+from guildbook.functions.text import extract_domain, has_value, lookup, text_list
 
 c = F.col
 
@@ -83,6 +84,45 @@ def grade(score: Column, bands: tuple[int, int, int, int] = (90, 80, 70, 60)) ->
     return F.when(score >= a, "A").when(score >= b, "B").when(score >= d, "C").when(score >= e, "D").otherwise("F")
 
 
+RUN_VALUABLE = {f: kind for f, kind in VALUABLE.items() if f != "n_contacts"} | {"contacts": "array", "email_provider": "string", "tech_stack": "array", "spf_services": "array"}
+
+
+def run_completeness() -> Column:
+    """As completeness, with twelve valuable fields; lists count if they hold something."""
+    return share_filled(REQUIRED, RUN_VALUABLE)
+
+
+def run_accuracy() -> Column:
+    """60, with points for a domain, a finished enrichment and mail servers, and for or against their validation."""
+    site = F.when(has_value(c("website")), c("website")).otherwise(c("domain"))
+    sure = one(has_value(extract_domain(site))) * 10 + one(c("enrichment_status") == "complete") * 10 + one(c("has_mx")) * 10
+    return F.greatest(F.lit(0), F.least(F.lit(100), 60 + sure + F.when(c("dns_mx_valid"), 5).when(~c("dns_mx_valid"), -15).otherwise(0)))
+
+
+def run_source_reliability() -> Column:
+    """Mean trust of three named sources, of each association, and of a seed sheet; up to ten points for their number."""
+    trust = tables.RUN_SOURCE_SCORES
+    named = F.array_compact(F.array(*[F.when(c(f) != "", F.coalesce(lookup(trust, c(f)), F.lit(50))) for f in ("firmographic_source", "tech_source", "enrichment_source")], F.when(c("source_url").contains("xlsx_seed"), trust["xlsx_seed"])))
+    members = F.transform(F.filter(F.coalesce("associations", F.array().cast("array<string>")), lambda x: x != ""), lambda _: F.lit(trust["association"]))
+    known = F.concat(named, members)
+    n = F.size(known)
+    mean = F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / n
+    return F.when(n == 0, 50.0).otherwise(F.least(F.lit(100.0), mean + F.least(F.lit(10), n * 2)))
+
+
+def field_points(schema: T.StructType) -> Column:
+    """Points of the fields that hold something, 100 at most: texts that aren't blank, lists that aren't empty, numbers above zero. Fields
+    that the rows lack give none."""
+
+    def some(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.ArrayType):
+            return F.size(c(f.name)) > 0
+        return c(f.name) > 0 if isinstance(f.dataType, T.NumericType) else has_value(c(f.name))
+
+    points = [one(some(f)) * tables.FIELD_POINTS[f.name] for f in schema if f.name in tables.FIELD_POINTS]
+    return F.least(F.lit(100), total([F.lit(0), *points]))
+
+
 def all_text() -> Column:
     """Technologies, mail services and ERP in one lower-case text."""
     return F.concat_ws(" ", F.transform(F.concat(text_list(c("tech_stack")), text_list(c("spf_services"))), lambda x: F.lower(x)), F.lower(F.trim(F.coalesce("erp_system", F.lit("")))))

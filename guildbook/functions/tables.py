@@ -113,3 +113,12 @@ COMPANY_FIELDS = {
     "quality_grade": {"type": "string", "null": True, "one_of": ["A", "B", "C", "D", "F"]}, "data_sources": _TEXTS, "provenance": {"type": "array", "items": PROVENANCE_FIELDS},
     "created_at": _TEXT, "updated_at": _TEXT, "last_verified_at": _MAYBE,
 }
+
+# Country codes below which three labels of a host are kept.
+COUNTRY_CODES = ["uk", "au", "nz", "za", "br", "mx", "jp", "cn", "in"]
+# Trust of sources in scores of whole runs, and points of filled fields.
+RUN_SOURCE_SCORES = SOURCE_SCORES | {"website_scrape": 70, "xlsx_seed": 55}
+FIELD_POINTS = {
+    "company_name": 20, "website": 15, "domain": 10, "city": 5, "state": 5, "country": 3, "member_type": 3, "industry": 5, "sector": 5, "tech_stack": 10,
+    "employee_count_min": 5, "revenue_min_usd": 5, "erp_system": 5, "contacts": 4,
+}

@@ -94,7 +94,13 @@ def normalize_url(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) == "", F.lit("")).otherwise(out)
 
 
-def bare_domain(c: Column, country_codes: tuple[str, ...] = ("uk", "au", "nz", "za", "br", "mx", "jp", "cn", "in")) -> Column:
+def last_two_labels(host: Column) -> Column:
+    """The last two labels of a host in lower case, whatever the country; null as empty."""
+    labels = F.split(F.lower(F.coalesce(host, F.lit(""))), r"\.")
+    return F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), ".")
+
+
+def bare_domain(c: Column, country_codes: list[str] = tables.COUNTRY_CODES) -> Column:
     """The last two labels of a host, three under some country codes."""
     host = F.lower(F.trim(F.coalesce(c, F.lit(""))))
     host = F.regexp_replace(F.regexp_extract(host, r"^(?:[a-z][a-z0-9+.-]*://)?([^/]*)", 1), r"^www\.", "")

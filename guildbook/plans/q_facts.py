@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from guildbook.functions import events as ev
+from guildbook.functions import scores as s
 from guildbook.functions import tables
 from guildbook.functions import text as t
 from guildbook.operators import contracts as ct
@@ -154,8 +156,80 @@ _REFERENCED = """WITH r AS (SELECT company_id, CASE WHEN company_id % 6 > 0 THEN
 CROSS_SQL = with_frames(_REFERENCED + "SELECT *, 50 + CASE WHEN dns_mx_valid THEN 20 WHEN NOT dns_mx_valid THEN -20 ELSE 0 END + CASE WHEN places_matched THEN 20 WHEN NOT places_matched THEN -10 ELSE 0 END + CASE WHEN linkedin_found THEN 10 ELSE 0 END AS validation_score, concat_ws(',', CASE WHEN NOT dns_mx_valid THEN 'invalid_domain' END, CASE WHEN NOT places_matched THEN 'address_not_found' END) AS issues FROM r", "companies")
 CROSS_STATS_SQL = with_frames(_REFERENCED + "SELECT count(*) FILTER (dns_mx_valid) AS dns_valid, count(*) FILTER (NOT dns_mx_valid) AS dns_invalid, count(*) FILTER (dns_mx_valid IS NULL) AS dns_skipped, count(*) FILTER (places_matched) AS places_matched, count(*) FILTER (NOT places_matched) AS places_unmatched, count(*) FILTER (places_matched IS NULL) AS places_skipped FROM r", "companies")
 
+
+def _run_rows(spark, sf):
+    """Companies as rows of a whole run, with lists and further sources."""
+    people = F.when(c("n_contacts") > 1, F.array(F.lit("Ann"))).otherwise(F.array().cast("array<string>"))
+    df = frame(spark, sf, "companies").withColumns({f: t.text_list(c(f)) for f in ("tech_stack", "spf_services", "associations")} | {"contacts": people})
+    return df.withColumns({
+        "domain": F.when(c("company_id") % 2 == 0, "own.com"), "has_mx": F.when(c("company_id") % 4 > 0, c("company_id") % 4 == 1), "country": F.when(c("company_id") % 3 == 0, "US"),
+        "enrichment_source": F.get(F.array(F.lit("xlsx_seed"), F.lit("website_scrape"), F.lit(""), F.lit("paper"), F.lit(None)), (c("company_id") % 5).cast("int")), "source_url": F.when(c("company_id") % 6 == 0, "file:xlsx_seed/1").when(c("company_id") % 6 == 1, "http://x"),
+    })
+
+
+def run_scores(spark, sf):
+    df = _run_rows(spark, sf).withColumns({"completeness": s.run_completeness(), "accuracy": s.run_accuracy(), "freshness": s.freshness(c("days_old")), "source_reliability": s.run_source_reliability()})
+    df = df.withColumn("score", s.quality_score())
+    return df.select("company_id", F.round("completeness", 4).alias("completeness"), "accuracy", F.round("source_reliability", 4).alias("source_reliability"), "score", s.grade(c("score")).alias("letter"))
+
+
+def field_points(spark, sf):
+    df = _run_rows(spark, sf)
+    return df.select("company_id", s.field_points(df.schema).alias("points"))
+
+
+_N = "(CASE WHEN {} THEN 1 ELSE 0 END)"
+_ADD = lambda tests: " + ".join(_N.format(x) for x in tests)
+_SOME = lambda f: f"coalesce(trim({f}), '') <> ''"
+_MANY = lambda f: f"len(list_filter(string_split(coalesce({f}, ''), ';'), lambda x: trim(x) <> '')) > 0"
+_TRUST = "(CASE {0} WHEN 'clearbit' THEN 95 WHEN 'zoominfo' THEN 90 WHEN 'apollo' THEN 85 WHEN 'builtwith' THEN 80 WHEN 'website' THEN 70 WHEN 'website_scrape' THEN 70 WHEN 'job_postings' THEN 65 WHEN 'association' THEN 60 WHEN 'xlsx_seed' THEN 55 ELSE 50 END)"
+_RUN = f"""WITH r AS (SELECT *, CASE company_id % 5 WHEN 0 THEN 'xlsx_seed' WHEN 1 THEN 'website_scrape' WHEN 2 THEN '' WHEN 3 THEN 'paper' END AS third, len(list_filter(string_split(associations, ';'), lambda x: trim(x) <> '')) AS members FROM companies),
+x AS (SELECT *, ({_ADD(["firmographic_source <> ''", "tech_source <> ''", "third <> ''", "company_id % 6 = 0"])}) + members AS named,
+  (CASE WHEN firmographic_source <> '' THEN {_TRUST.format("firmographic_source")} ELSE 0 END) + (CASE WHEN tech_source <> '' THEN {_TRUST.format("tech_source")} ELSE 0 END) + (CASE WHEN third <> '' THEN {_TRUST.format("third")} ELSE 0 END) + (CASE WHEN company_id % 6 = 0 THEN 55 ELSE 0 END) + 60 * members AS trust FROM r),
+y AS (SELECT *, ({_ADD([_SOME(f) for f in ("company_name", "website", "city", "state")])})::DOUBLE / 4 * 60 + ({_ADD(["employee_count_min IS NOT NULL", "revenue_min_usd IS NOT NULL", _SOME("erp_system"), "year_founded IS NOT NULL", _SOME("naics_code"), _SOME("industry"), _SOME("phone"), _SOME("email"), "n_contacts > 1", _SOME("email_provider"), _MANY("tech_stack"), _MANY("spf_services")])})::DOUBLE / 12 * 40 AS completeness,
+  greatest(0, least(100, 60 + 10 * ({_ADD([_SOME("website") + " OR company_id % 2 = 0", "enrichment_status = 'complete'", "company_id % 4 = 1"])}) + CASE WHEN dns_mx_valid THEN 5 WHEN NOT dns_mx_valid THEN -15 ELSE 0 END)) AS accuracy,
+  CASE WHEN days_old IS NULL THEN 50 WHEN days_old <= 7 THEN 100 WHEN days_old <= 30 THEN 90 WHEN days_old <= 90 THEN 75 WHEN days_old <= 180 THEN 60 WHEN days_old <= 365 THEN 40 ELSE 20 END AS fresh,
+  CASE WHEN named = 0 THEN 50.0::DOUBLE ELSE least(100.0::DOUBLE, trust::DOUBLE / named + least(10, 2 * named)) END AS source_reliability FROM x),
+z AS (SELECT *, greatest(0, least(100, round_even(completeness * 0.30::DOUBLE + accuracy * 0.40::DOUBLE + fresh * 0.15::DOUBLE + source_reliability * 0.15::DOUBLE, 0)))::INT AS score FROM y) """
+RUN_SQL = with_frames(_RUN + "SELECT company_id, round(completeness, 4) AS completeness, accuracy, round(source_reliability, 4) AS source_reliability, score, CASE WHEN score >= 90 THEN 'A' WHEN score >= 80 THEN 'B' WHEN score >= 70 THEN 'C' WHEN score >= 60 THEN 'D' ELSE 'F' END AS letter FROM z", "companies")
+POINTS_SQL = with_frames(
+    "SELECT company_id, 20 * " + _N.format(_SOME("company_name")) + " + 15 * " + _N.format(_SOME("website")) + " + 10 * " + _N.format("company_id % 2 = 0") + " + " + " + ".join(f"5 * {_N.format(x)}" for x in [_SOME("city"), _SOME("state"), _SOME("industry"), "employee_count_min > 0", "revenue_min_usd > 0", _SOME("erp_system")])
+    + " + 3 * " + _N.format("company_id % 3 = 0") + " + 10 * " + _N.format(_MANY("tech_stack")) + " + 4 * " + _N.format("n_contacts > 1") + " AS points FROM companies",
+    "companies",
+)
+
+
+def short_domains(spark, sf):
+    host = F.concat(F.get(F.array(F.lit("WWW.a"), F.lit("shop.north.b"), F.lit("c"), F.lit("")), (c("company_id") % 4).cast("int")), "company_id", F.get(F.array(F.lit(".com"), F.lit(".co.uk"), F.lit("")), (c("company_id") % 3).cast("int")))
+    return frame(spark, sf, "companies").select("company_id", host.alias("host")).select("company_id", t.last_two_labels(c("host")).alias("two"), t.bare_domain(c("host")).alias("by_country"))
+
+
+_HOST = "CASE company_id % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' ELSE '' END || company_id"
+SHORT_SQL = with_frames(
+    f"""SELECT company_id, CASE company_id % 3 WHEN 0 THEN h || '.com' WHEN 1 THEN 'co.uk' ELSE CASE company_id % 4 WHEN 0 THEN 'www.' WHEN 1 THEN 'north.' ELSE '' END || h END AS two,
+  CASE company_id % 3 WHEN 0 THEN h || '.com' WHEN 1 THEN h || '.co.uk' ELSE CASE company_id % 4 WHEN 1 THEN 'north.' ELSE '' END || h END AS by_country FROM (SELECT company_id, {_HOST} AS h FROM companies)""",
+    "companies",
+)
+
+
+def member_tables(spark, sf):
+    """Tables of members, of things that aren't, and with headers twice."""
+    k = c("company_id").cast("string")
+    row = lambda *x: F.array(*[y if not isinstance(y, str) else F.lit(y) for y in x])
+    tables_ = [F.array(row("Member Name", " ST ", "Year Joined"), row(F.concat(F.lit(" Firm "), k), "OH", "1999"), row("", "MI", "2000"), row("Short")), F.array(row("Name", "Type"), row("Acme", "Gold")), F.array(row("Company", "Name", "Web"), row("First", k, "a.com"), row("Only", "", ""))]
+    df = frame(spark, sf, "companies").select("company_id", F.get(F.array(*tables_), (c("company_id") % 3).cast("int")).alias("_t"))
+    return df.select("company_id", F.posexplode(ev.member_rows(c("_t"))).alias("turn", "_m")).select("company_id", "turn", *[c("_m")[f].alias(f) for f in ("company_name", "state", "member_since", "website")])
+
+
+MEMBERS_SQL = with_frames(
+    """SELECT company_id, 0 AS turn, CASE company_id % 3 WHEN 0 THEN 'Firm ' || company_id ELSE company_id::VARCHAR END AS company_name, CASE company_id % 3 WHEN 0 THEN 'OH' END AS state, CASE company_id % 3 WHEN 0 THEN '1999' END AS member_since, CASE company_id % 3 WHEN 2 THEN 'a.com' END AS website
+FROM companies WHERE company_id % 3 <> 1 UNION ALL SELECT company_id, 1, 'Only', NULL, NULL, NULL FROM companies WHERE company_id % 3 = 2""",
+    "companies",
+)
+
 QUERIES = {
     "organisation_facts": (organisation_facts, FACTS_SQL),
+    "run_scores": (run_scores, RUN_SQL), "field_points": (field_points, POINTS_SQL), "short_domains": (short_domains, SHORT_SQL), "member_tables": (member_tables, MEMBERS_SQL),
     "record_contract": (record_contract, CONTRACT_SQL), "contact_facts": (contact_facts, CONTACT_SQL),
     "company_export": (company_export, EXPORT_SQL), "other_export": (other_export, OTHER_SQL), "crm_exports": (crm_exports, CRM_SQL),
     "cross_references": (cross_references, CROSS_SQL), "cross_reference_stats": (cross_reference_stats, CROSS_STATS_SQL),
