@@ -28,7 +28,22 @@ def _month(c: Column) -> Column:
 
 def _date(year: Column, month: Column, day: Column) -> Column:
     """A date of texts or numbers, null for what is none."""
-    return F.try_to_timestamp(F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string")), F.lit("yyyy-M-d")).cast("date")
+    return F.try_to_timestamp(F.concat(year.cast("string"), F.lit("-"), month.cast("string"), F.lit("-"), day.cast("string")), F.lit("yyyy-M-d")).cast("date")
+
+
+def told_date(text: Column) -> Column:
+    """The date that a tag or structured data states, whatever time follows: 2025-03-04, 2025/3/4, 20250304, March 4, 2025, 4th of Mar 2025,
+    3/4/2025 (the month first, unless it can't be one). Other texts, and days that don't exist, are null."""
+    t = F.regexp_replace(F.trim(text), r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+", "")
+    got = lambda p, k: F.nullif(F.regexp_extract(t, p, k), F.lit(""))
+    after = r"(?:\D.*)?$"
+    year_first, plain = r"(?s)^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + after, r"(?s)^(\d{4})(\d{2})(\d{2})" + after
+    month_first, day_first = "(?s)^" + _MONTH + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + after, r"(?s)^(\d{1,2})(?:st|nd|rd|th)?(?:\s+of)?\s+" + _MONTH + r",?\s+(\d{4})" + after
+    numbers = r"(?s)^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + after
+    iso = F.coalesce(*[_date(got(p, 1), got(p, 2), got(p, 3)) for p in (year_first, plain)])
+    words = F.coalesce(_date(got(month_first, 3), _month(got(month_first, 1)), got(month_first, 2)), _date(got(day_first, 3), _month(got(day_first, 2)), got(day_first, 1)))
+    first, second = got(numbers, 1), got(numbers, 2)
+    return F.coalesce(iso, words, _date(got(numbers, 3), first, second), _date(got(numbers, 3), second, first))
 
 
 def event_dates(text: Column) -> Column:

@@ -80,8 +80,9 @@ def _told(path: str) -> Column:
 
 def extract_events(pages: DataFrame, key: str, url: str, page_type: str, html: str = "html") -> DataFrame:
     """(key, turn, title, event_type, start_date, end_date, venue, city, state, country, virtual, event_url, registration_url): of a page of
-    its own (EVENT_DETAIL) one event, by structured data, else by tags and texts; of a list (EVENTS_LIST) one for each container. Dates of
-    structured data and tags are read in ISO form, others as null. Events without a title, other pages and nulls give no rows."""
+    its own (EVENT_DETAIL) one event, by structured data, else by tags and texts; of a list (EVENTS_LIST) one for each container. Dates are
+    those of structured data, else of tags, else of the text; a start or an end that can't be read leaves both to the next. Events without a
+    title, other pages and nulls give no rows."""
 
     def one(base, what, text):
         page = _Page()
@@ -91,17 +92,20 @@ def extract_events(pages: DataFrame, key: str, url: str, page_type: str, html: s
 
     asked = pages.filter(c(page_type).isin("EVENT_DETAIL", "EVENTS_LIST"))
     raw = each_page(asked, [key], [url, page_type, html], one, "_base string, _kind string, turn int, " + ", ".join(f"`{f}` string" for f in FIELDS))
-    day = lambda x: F.left(x, F.lit(10)).try_cast("date")
-    begun = F.coalesce(_told("$.startDate"), c("start"))
-    over = F.when(_told("$.startDate").isNotNull(), _told("$.endDate")).otherwise(c("end"))
+    def span(start, end):
+        """The dates of a start and an end, null if one of them can't be read."""
+        begun, over = ev.told_date(start), ev.told_date(end)
+        return F.when(begun.isNotNull() & (end.isNull() | over.isNotNull()), F.struct(begun.alias("start"), over.alias("end")))
+
     read, there, own = ev.event_dates(F.coalesce("dates", F.lit(""))), ev.location(c("place")), _told("$.location").startswith("{")
-    rows = raw.withColumns({"_dates": read, "_place": there, "_own": F.coalesce(own, F.lit(False)), "title": F.coalesce(_told("$.name"), c("title"))}).filter("title <> ''")
+    dates = F.coalesce(span(_told("$.startDate"), _told("$.endDate")), span(c("start"), c("end")), read)
+    rows = raw.withColumns({"_dates": dates, "_place": there, "_own": F.coalesce(own, F.lit(False)), "title": F.coalesce(_told("$.name"), c("title"))}).filter("title <> ''")
     part = lambda path, other: F.when(c("_own"), _told(path)).otherwise(other)
     single = c("_kind") == "EVENT_DETAIL"
     virtual = F.when(c("_own"), F.lower(_told("$.location")).contains("virtual")).otherwise(F.coalesce("_place.virtual", F.lit(False)))
     return rows.select(
         key, "turn", "title", event_type(c("title"), F.left(c("about"), F.when(single, 500).otherwise(F.length("about")))).alias("event_type"),
-        F.when(begun.isNotNull(), day(begun)).otherwise(c("_dates.start")).alias("start_date"), F.when(begun.isNotNull(), day(over)).otherwise(c("_dates.end")).alias("end_date"),
+        c("_dates.start").alias("start_date"), c("_dates.end").alias("end_date"),
         part("$.location.name", c("_place.venue")).alias("venue"), part("$.location.address.addressLocality", c("_place.city")).alias("city"), part("$.location.address.addressRegion", c("_place.state")).alias("state"),
         F.coalesce(part("$.location.address.addressCountry", F.lit(None).cast("string")), F.lit("United States")).alias("country"), virtual.alias("virtual"),
         F.when(single, c("_base")).otherwise(resolve(c("link"), c("_base"))).alias("event_url"), F.when(single, resolve(c("link"), c("_base"))).alias("registration_url"),

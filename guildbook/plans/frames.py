@@ -242,8 +242,21 @@ SELECT k AS page_id, CASE k % 5
 FROM (SELECT c_custkey AS k FROM customer)
 """
 
-FRAMES = {"contract_records": CONTRACT_RECORDS, "contact_pages": CONTACT_PAGES, "organisation_pages": ORGANISATION_PAGES, "records": RECORDS, "snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
-SOURCES = {"contract_records": ["customer"], "contact_pages": ["customer"], "organisation_pages": ["customer"], "records": ["customer"], "snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
+#: Pages of one event whose dates stand in several forms, in structured data, tags or texts.
+DATED_EVENTS = """
+SELECT k AS page_id, 'https://show.org/e' AS url, 'EVENT_DETAIL' AS page_type, '<html><head>' || CASE k % 8
+  WHEN 0 THEN '<script type="application/ld+json">{"name": "E", "startDate": "March 4, 2025 9:00 AM", "endDate": "Thu, 6 Mar 2025"}</script>'
+  WHEN 1 THEN '<script type="application/ld+json">{"name": "E", "startDate": "13/4/2025", "endDate": "5/6/2025 10:00"}</script>'
+  WHEN 2 THEN '<script type="application/ld+json">{"name": "E", "startDate": "2025-02-01", "endDate": "soon"}</script><meta property="startDate" content="20250304T0900"><meta property="endDate" content="5th of March 2025">'
+  WHEN 3 THEN '<meta property="event:start_time" content="next week"><meta property="event:end_time" content="2025/3/9">'
+  WHEN 4 THEN '<script type="application/ld+json">{"name": "E", "startDate": "Feb 30, 2025"}</script>'
+  WHEN 5 THEN '<meta property="event:start_time" content="2025.10.' || CAST(10 + k % 20 AS VARCHAR(20)) || ' 09:00">'
+  ELSE '' END || '</head><body><h1>Steel Expo</h1><div class="when">' || CASE WHEN k % 8 < 7 THEN 'May 2, 2025' ELSE '' END || '</div></body></html>' AS html
+FROM (SELECT c_custkey AS k FROM customer)
+"""
+
+FRAMES = {"dated_events": DATED_EVENTS, "contract_records": CONTRACT_RECORDS, "contact_pages": CONTACT_PAGES, "organisation_pages": ORGANISATION_PAGES, "records": RECORDS, "snapshots": SNAPSHOTS, "directories": DIRECTORIES, "event_sites": EVENT_SITES, "profiles": PROFILES, "event_pages": EVENT_PAGES, "postings": POSTINGS, "result_pages": RESULT_PAGES, "payloads": PAYLOADS, "team_pages": TEAM_PAGES, "sites": SITES, "statements": STATEMENTS, "companies": COMPANIES, "contacts": CONTACTS, "memberships": MEMBERSHIPS, "trade_events": EVENTS, "participants": PARTICIPANTS, "signals": SIGNALS}
+SOURCES = {"dated_events": ["customer"], "contract_records": ["customer"], "contact_pages": ["customer"], "organisation_pages": ["customer"], "records": ["customer"], "snapshots": ["customer"], "directories": ["customer"], "event_sites": ["customer"], "profiles": ["customer"], "event_pages": ["customer"], "postings": ["orders"], "result_pages": ["customer"], "payloads": ["customer"], "team_pages": ["customer"], "sites": ["customer"], "statements": ["customer"], "companies": ["customer"], "contacts": ["orders"], "memberships": ["orders"], "trade_events": ["part"], "participants": ["lineitem", "orders"], "signals": ["events"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

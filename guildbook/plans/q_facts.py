@@ -9,6 +9,7 @@ from guildbook.functions import scores as s
 from guildbook.functions import tables
 from guildbook.functions import text as t
 from guildbook.operators import contracts as ct
+from guildbook.operators import event_pages as ep
 from guildbook.operators import exports as ex
 from guildbook.operators import joins as j
 from guildbook.operators import organisations as og
@@ -227,9 +228,21 @@ FROM companies WHERE company_id % 3 <> 1 UNION ALL SELECT company_id, 1, 'Only',
     "companies",
 )
 
+
+def dated_events(spark, sf):
+    return ep.extract_events(frame(spark, sf, "dated_events"), "page_id", "url", "page_type").select("page_id", c("start_date").cast("string").alias("start_date"), c("end_date").cast("string").alias("end_date"))
+
+
+DATED_SQL = with_frames(
+    """SELECT page_id, CASE page_id % 8 WHEN 0 THEN '2025-03-04' WHEN 1 THEN '2025-04-13' WHEN 2 THEN '2025-03-04' WHEN 5 THEN '2025-10-' || (10 + page_id % 20) WHEN 7 THEN NULL ELSE '2025-05-02' END AS start_date,
+  CASE page_id % 8 WHEN 0 THEN '2025-03-06' WHEN 1 THEN '2025-05-06' WHEN 2 THEN '2025-03-05' END AS end_date FROM dated_events""",
+    "dated_events",
+)
+
 QUERIES = {
     "organisation_facts": (organisation_facts, FACTS_SQL),
     "run_scores": (run_scores, RUN_SQL), "field_points": (field_points, POINTS_SQL), "short_domains": (short_domains, SHORT_SQL), "member_tables": (member_tables, MEMBERS_SQL),
+    "dated_events": (dated_events, DATED_SQL),
     "record_contract": (record_contract, CONTRACT_SQL), "contact_facts": (contact_facts, CONTACT_SQL),
     "company_export": (company_export, EXPORT_SQL), "other_export": (other_export, OTHER_SQL), "crm_exports": (crm_exports, CRM_SQL),
     "cross_references": (cross_references, CROSS_SQL), "cross_reference_stats": (cross_reference_stats, CROSS_STATS_SQL),

@@ -20,3 +20,9 @@ def test_addresses_and_headers(spark):
     df = spark.createDataFrame([("1 Main St\nSuite 2\nAKRON, OH 44301", ["Member", "St", "x"], [" Acme ", "OH", "1"])], "t string, h array<string>, v array<string>")
     row = df.select(e.address_block(c("t")).alias("a"), e.map_headers(c("h"), c("v")).alias("m")).first()
     assert tuple(row["a"]) == ("1 Main St, Suite 2", "Akron", "OH", "44301") and row["m"] == {"company_name": "Acme", "state": "OH"}
+
+
+def test_told_dates(spark):
+    texts = {"2025-03-04T09:00Z": (2025, 3, 4), "2025/3/4": (2025, 3, 4), "20250304": (2025, 3, 4), "202503045": None, "Sept. 4th, 2025": (2025, 9, 4), " Tuesday, 4 March 2025 8pm": (2025, 3, 4), "4/13/2025": (2025, 4, 13), "13.4.2025": (2025, 4, 13), "2025": None, "April 31, 2025": None, "": None, None: None}
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, t string").orderBy("i")
+    assert [r[0] for r in df.select(e.told_date(c("t"))).collect()] == [x and d.date(*x) for x in texts.values()]
