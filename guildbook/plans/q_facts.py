@@ -8,9 +8,11 @@ from guildbook.functions import events as ev
 from guildbook.functions import scores as s
 from guildbook.functions import tables
 from guildbook.functions import text as t
+from guildbook.operators import accounts as ac
 from guildbook.operators import contracts as ct
 from guildbook.operators import event_pages as ep
 from guildbook.operators import exports as ex
+from guildbook.operators import graph as g
 from guildbook.operators import joins as j
 from guildbook.operators import organisations as og
 from guildbook.operators import pages as pg
@@ -239,9 +241,45 @@ DATED_SQL = with_frames(
     "dated_events",
 )
 
+
+def exported_graph(spark, sf):
+    """Firms and their associations for three programs that draw graphs."""
+    f = lambda n: frame(spark, sf, n)
+    nodes = g.build_nodes(f("companies"), f("memberships"), f("trade_events"), f("signals")).filter("kind in ('company', 'association')")
+    edges = g.build_edges(f("memberships"), f("trade_events"), f("participants"), f("signals")).filter("kind = 'HAS_MEMBER'")
+    parts = [g.export_graph(nodes, edges, how).select(F.lit(how).alias("format"), "part", "element") for how in ("json", "cytoscape", "gephi")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+GRAPH_SQL = with_frames(
+    """WITH n AS (SELECT 'company:' || company_id AS id, 'company' AS kind, company_name AS name FROM companies UNION SELECT 'association:' || association, 'association', association FROM memberships),
+e AS (SELECT 'association:' || association AS s, 'company:' || company_id AS t FROM memberships), j AS (SELECT *, s || '|HAS_MEMBER|' || t AS id FROM e)
+SELECT 'json' AS format, 'node' AS part, '{"id":"' || id || '","kind":"' || kind || '","name":"' || name || '"}' AS element FROM n
+UNION ALL SELECT 'json', 'edge', '{"source":"' || s || '","target":"' || t || '","kind":"HAS_MEMBER"}' FROM e
+UNION ALL SELECT 'cytoscape', 'node', '{"data":{"id":"' || id || '","label":"' || name || '","type":"' || kind || '"}}' FROM n
+UNION ALL SELECT 'cytoscape', 'edge', '{"data":{"id":"' || id || '","source":"' || s || '","target":"' || t || '","label":"HAS_MEMBER"}}' FROM j
+UNION ALL SELECT 'gephi', 'node', '{"id":"' || id || '","label":"' || name || '","type":"' || kind || '"}' FROM n
+UNION ALL SELECT 'gephi', 'edge', '{"id":"' || id || '","source":"' || s || '","target":"' || t || '","type":"HAS_MEMBER","weight":1.0}' FROM j""",
+    "companies", "memberships",
+)
+
+
+def exported_records(spark, sf):
+    """JSON records of companies, and the description of the export beside each."""
+    rows = frame(spark, sf, "companies").select("company_id", "city", F.nullif("state", F.lit("")).alias("state"))
+    records, about = ac.export_json(rows, "companies", F.lit("2024-05-06"))
+    return records.join(F.broadcast(about), F.lit(True))
+
+
+RECORDS_SQL = with_frames(
+    """SELECT '{"company_id":' || company_id || ',"city":"' || city || '"' || CASE WHEN state <> '' THEN ',"state":"' || state || '"' ELSE '' END || '}' AS value, 'companies' AS export_type, '2024-05-06' AS exported_at, (SELECT count(*) FROM companies) AS record_count FROM companies""",
+    "companies",
+)
+
 QUERIES = {
     "organisation_facts": (organisation_facts, FACTS_SQL),
     "run_scores": (run_scores, RUN_SQL), "field_points": (field_points, POINTS_SQL), "short_domains": (short_domains, SHORT_SQL), "member_tables": (member_tables, MEMBERS_SQL),
+    "exported_graph": (exported_graph, GRAPH_SQL), "exported_records": (exported_records, RECORDS_SQL),
     "dated_events": (dated_events, DATED_SQL),
     "record_contract": (record_contract, CONTRACT_SQL), "contact_facts": (contact_facts, CONTACT_SQL),
     "company_export": (company_export, EXPORT_SQL), "other_export": (other_export, OTHER_SQL), "crm_exports": (crm_exports, CRM_SQL),
