@@ -45,17 +45,23 @@ def match_jobs(companies: DataFrame, jobs: DataFrame, key: str, name: str) -> Da
 
 def event_overlap(df: DataFrame, events: DataFrame, fragments: dict[str, list[str]], default: list[str], key: str, associations: str) -> DataFrame:
     """The events that an account's associations lead to, in the events' order, joined. Associations go by prefix; those without
-    fragments of their own get the default ones. Fragments and events are small tables; a row's list is made in place."""
+    fragments of their own get the default ones.
+
+    Events of one name count once, at their first turn, before anything meets them. Accounts with the same fragments have the same
+    events: the text is made once for each set of fragments, of which there are at most two to the power of their number."""
     code = lambda a: F.upper(F.trim(a))
     lists = F.flatten(F.transform(text_list(c(associations)), lambda a: F.flatten(F.array(*[F.when(code(a).startswith(k), F.array(*[F.lit(x.lower()) for x in v])).otherwise(F.expr("cast(array() as array<string>)")) for k, v in fragments.items()]))))
     wanted = F.when(F.size(lists) > 0, lists).otherwise(F.array(*[F.lit(x.lower()) for x in default]))
-    keyed = df.select(key, F.when(F.size(text_list(c(associations))) > 0, F.array_distinct(wanted)).otherwise(F.expr("cast(array() as array<string>)")).alias("_w"))
-    parts = keyed.select(key, F.explode("_w").alias("_f"))
-    # Fragments of few kinds meet the events first, then accounts by an equi-join.
+    wanted = F.when(F.size(text_list(c(associations))) > 0, F.array_sort(F.array_distinct(wanted))).otherwise(F.expr("cast(array() as array<string>)"))
+    keyed = df.select(key, F.array_join(wanted, "\x00").alias("_set"))
+    sets = keyed.select("_set").distinct()
     kinds = sorted({x.lower() for v in [*fragments.values(), default] for x in v})
-    known = events.select("event_name", "turn", F.explode(F.array(*[F.when(F.lower("event_name").contains(x), F.lit(x)) for x in kinds])).alias("_f")).filter("_f is not null")
-    hits = parts.join(known, "_f").groupBy(key, "event_name").agg(F.min("turn").alias("turn")).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("turn", "event_name"))).alias("x"))
-    return keyed.select(key).join(hits.select(key, F.array_join(F.transform("x", lambda e: e["event_name"]), "; ").alias("events")), key, "left").select(key, F.coalesce("events", F.lit("")).alias("events"))
+    named = events.groupBy("event_name").agg(F.min("turn").alias("turn"))
+    known = named.select("event_name", "turn", F.explode(F.array_compact(F.array(*[F.when(F.lower("event_name").contains(x), F.lit(x)) for x in kinds]))).alias("_f"))
+    hits = sets.select("_set", F.explode(F.split("_set", "\x00")).alias("_f")).join(known, "_f").select("_set", "event_name", "turn").distinct()
+    texts = hits.groupBy("_set").agg(F.array_sort(F.collect_list(F.struct("turn", "event_name"))).alias("x"))
+    texts = texts.select("_set", F.array_join(F.transform("x", lambda e: e["event_name"]), "; ").alias("events"))
+    return keyed.join(texts, "_set", "left").select(key, F.coalesce("events", F.lit("")).alias("events"))
 
 
 def event_reach(events: DataFrame, memberships: DataFrame, keywords: dict[str, list[str]]) -> DataFrame:
