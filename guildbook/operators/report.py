@@ -66,7 +66,9 @@ def tier_lists(df: DataFrame, caps: dict[str, int], whole: tuple[str, ...] = ())
     """Companies ranked in their tier by fit, quality, id; tiers with a cap keep so many, those in whole keep all.
 
     Capped tiers are cut by a top-k before they are ranked; whole ones are sorted by ranges and ranked in each range, behind
-    the rows of the ranges before it. So a tier's rows never meet in one task."""
+    the rows of the ranges before it. So a tier's rows never meet in one task. The rows are written first: each list reads them, and
+    the scores behind them are dear."""
+    df = written(df, "ranked")
     order = [F.desc("icp_score"), F.desc("quality_score"), "company_id"]
     parts = [df.filter(c("tier") == tier).orderBy(*order).limit(cap) for tier, cap in caps.items()]
     parts = [p.withColumn("rank", F.row_number().over(Window.partitionBy("tier").orderBy(*order)).cast("long")) for p in parts]

@@ -94,7 +94,7 @@ def tier_lists(spark, sf):
 
 def all_tier_lists(spark, sf):
     """The lists of tiers 1 and 2, and all of tier 3."""
-    return r.tier_lists(_icp(spark, sf), {"Tier 1": 50, "Tier 2": 200}, ("Tier 3",)).select("tier", "rank", "company_id", "icp_score")
+    return r.tier_lists(_icp(spark, sf).select("tier", "company_id", "icp_score", "quality_score"), {"Tier 1": 50, "Tier 2": 200}, ("Tier 3",)).select("tier", "rank", "company_id", "icp_score")
 
 
 #: All that an association's companies may have: nothing, or a competitor of the table.
