@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from guildbook.operators import accounts as a
 from guildbook.operators import report as r
+from guildbook.streaming import streams
 
 
 def within(spark, seconds, job):
@@ -21,7 +22,7 @@ def test_events_of_one_name_meet_accounts_once(spark):
     accounts = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, "PMA;AGMA").when(F.col("id") % 4 == 1, "ZZ").otherwise("").alias("members"))
     events = spark.range(400_000).select(F.when(F.col("id") % 2 == 0, "Steel show").when(F.col("id") % 4 == 1, "Tin and steel").otherwise("Small fair").alias("event_name"), (F.lit(7_000_000) - F.col("id")).alias("turn"))
     out = within(spark, 60, lambda: a.event_overlap(accounts, events, {"PMA": ["steel", "tin"]}, ["small"], "id", "members").groupBy("events").count().collect())
-    assert {x["events"]: x["count"] for x in out} == {"Tin and steel; Steel show": 10_000, "Small fair": 5_000, "": 5_000}
+    assert {x["events"]: x["count"] for x in out} == {"Steel show; Tin and steel": 10_000, "Small fair": 5_000, "": 5_000}
 
 
 def test_tiers_score_their_rows_once(spark):
@@ -35,3 +36,63 @@ def test_tiers_score_their_rows_once(spark):
     df = spark.range(200).select(F.col("id").alias("company_id"), score("id").alias("icp_score"), F.lit(1).alias("quality_score")).withColumn("tier", F.when(F.col("icp_score") >= 50, "a").otherwise("b"))
     assert r.tier_lists(df, {"a": 5}, ("b",)).count() == 105
     assert seen.value == 200
+
+
+class _Kept:
+    """A state of one key that counts how often it is asked."""
+
+    def __init__(self, calls):
+        self.value, self.calls = [], calls
+
+    def exists(self):
+        self.calls.append("exists")
+        return bool(self.value)
+
+    def get(self):
+        self.calls.append("get")
+        return self.value[0] if self.one else iter(self.value)
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = [value]
+
+    def put(self, rows):
+        self.calls.append("put")
+        self.value = list(rows)
+
+    def appendList(self, rows):
+        self.calls.append("append")
+        self.value += rows
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = []
+
+
+def test_snapshots_of_one_url_ask_the_state_a_few_times():
+    calls, timers = [], []
+
+    class Handle:
+        def getValueState(self, *_):
+            out = _Kept(calls)
+            out.one = True
+            return out
+
+        def getListState(self, *_):
+            out = _Kept(calls)
+            out.one = False
+            return out
+
+        def registerTimer(self, at):
+            timers.append(at)
+
+    class Now:
+        getCurrentWatermarkInMs = getExpiryTimeInMs = lambda self: 900
+
+    p = streams._Snapshots(None)
+    p.init(Handle())
+    rows = [{"at": 999 - k, "content": "ab"[k // 10 % 2]} for k in range(1000)]
+    assert list(p.handleInputRows(("u",), iter(rows), Now())) == []
+    out = list(p.handleExpiredTimer(("u",), Now(), Now()))
+    assert [r["at"] for r in out] == list(range(901)) and out[-1]["change_count"] == 90
+    assert timers == [0, 901] and len(calls) < 10, (timers, calls)
