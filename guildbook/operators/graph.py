@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,40 +78,92 @@ def related_companies(edges: DataFrame, company: str) -> DataFrame:
 HEAVY = 200
 
 
+def _shared(batches: Iterable[pa.RecordBatch], few: int) -> Iterator[pa.RecordBatch]:
+    """Of rows (n, set, others, sets) in the order of n, a company at one event with those who are there: per company and set of the others the
+    `few` that it meets most often (least number on ties) and how many there are. A company whose rows go on in the next batch waits
+    for it, with a number for each other company, not for each meeting."""
+    names = ["n", "set", "with", "other", "light", "met"]
+
+    def counted(n, own, other, with_, times):
+        order = np.lexsort((other, n))
+        n, own, other, with_, times = n[order], own[order], other[order], with_[order], times[order]
+        first = np.flatnonzero(np.r_[True, (n[1:] != n[:-1]) | (other[1:] != other[:-1])]) if len(n) else np.zeros(0, np.int64)
+        return n[first], own[first], other[first], with_[first], np.add.reduceat(times, first) if len(first) else times
+
+    def best(n, own, other, with_, times):
+        order = np.lexsort((other, -times, with_, n))
+        n, own, other, with_, times = n[order], own[order], other[order], with_[order], times[order]
+        first = np.flatnonzero(np.r_[True, (n[1:] != n[:-1]) | (with_[1:] != with_[:-1])])
+        sizes = np.diff(np.r_[first, len(n)])
+        kept = np.arange(len(n)) - np.repeat(first, sizes) < few
+        return pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (n, own, with_, other, times, np.repeat(sizes, sizes))], names)
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = batch.column("others")
+        sizes = np.diff(lists.offsets.to_numpy())
+        n, own = (np.repeat(batch.column(x).to_numpy(), sizes) for x in ("n", "set"))
+        other, with_ = lists.flatten().to_numpy(), batch.column("sets").flatten().to_numpy()
+        apart = n != other
+        now = [n[apart], own[apart], other[apart], with_[apart], np.ones(int(apart.sum()), np.int64)]
+        if held is not None:
+            now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+        now = counted(*now)
+        if not len(now[0]):
+            held = None
+            continue
+        done = now[0] != now[0][-1]
+        held = [x[~done] for x in now]
+        if done.any():
+            yield best(*[x[done] for x in now])
+    if held is not None:
+        yield best(*held)
+
+
 def all_related(edges: DataFrame, few: int = 10, heavy: int = HEAVY) -> DataFrame:
     """(id, related, rank, other, shared): for every company the number of companies that share an event with it, and the `few` that share
     most (least id on ties). Companies without any have no row.
 
-    Pairs are listed at events of up to `heavy` companies only, so they grow with the edges. Companies at the same set of larger events
+    Companies get numbers in the order of their ids. At events of up to `heavy` companies each company gets the list of those who are there, so
+    the lists grow with the edges, and meets are counted in the task that has its lists. Companies at the same set of larger events
     are one class: classes meet by their events, a class counts by its size, and its first members by id stand for it. That is enough:
-    a member that is left out shares no more than those before it, and what it shares at small events is in the list of pairs."""
+    a member that is left out shares no more than those before it. For the same reason a company keeps `few` of each class that it meets at small
+    events, and their number: what they share at larger events is the same for all of the class."""
     at = edges.filter(c("kind").isin("SPONSOR", "EXHIBITOR", "ATTENDEE")).select(c("source").alias("id"), c("target").alias("event")).distinct()
+    at = written(at, "visits")
     size = at.groupBy("event").agg((F.count("*") > heavy).alias("heavy"))
     at = written(at.join(size, "event"), "attended")
     sets = at.groupBy("id").agg(F.array_sort(F.collect_list(F.when(c("heavy"), c("event")))).alias("set"))
-    sets = written(sets, "sets")
-    small = at.filter(~c("heavy")).select("id", "event")
-    pairs = small.alias("a").join(small.alias("b"), F.expr("a.event = b.event AND a.id <> b.id")).groupBy(c("a.id").alias("id"), c("b.id").alias("other")).agg(F.count("*").alias("light"))
-    side = lambda at_, name: sets.select(c("id").alias(at_), c("set").alias(name))
-    pairs = pairs.join(side("id", "_a"), "id").join(side("other", "_b"), "other")
-    pairs = written(pairs.select("id", "other", "light", F.size(F.array_intersect("_a", "_b")).alias("over")), "pairs")
-
-    first = Window.partitionBy("set").orderBy("id")
-    classes = written(sets.filter(F.size("set") > 0).groupBy("set").agg(F.count("*").alias("n")), "classes")
-    heads = sets.filter(F.size("set") > 0).withColumn("_r", F.row_number().over(first)).filter(c("_r") <= few + 1).select("set", c("id").alias("other"))
-    flat = classes.select("set", "n", F.explode("set").alias("event"))
-    met = flat.alias("a").join(flat.alias("b"), F.expr("a.event = b.event")).groupBy(c("a.set").alias("set"), c("b.set").alias("with")).agg(F.count("*").alias("over"), F.max("b.n").alias("n"))
+    sets = written(sets.orderBy("id").withColumn("n", F.monotonically_increasing_id()), "sets")
+    classes = sets.filter(F.size("set") > 0).groupBy("set").agg(F.count("*").alias("size"))
+    classes = written(classes.withColumn("class", F.monotonically_increasing_id() + 1), "classes")
+    who = written(sets.join(classes.select("set", "class"), "set", "left").select("id", "n", F.coalesce("class", F.lit(0)).alias("set")), "numbers")
+
+    there = at.filter(~c("heavy")).select("id", "event").join(who, "id").groupBy("event").agg(F.collect_list(F.struct("n", "set")).alias("x"))
+    there = there.select(c("x.n").alias("others"), c("x.set").alias("sets"), F.explode("x").alias("y"))
+    there = there.select("y.n", "y.set", "others", "sets").repartition("n").sortWithinPartitions("n")
+    light = there.mapInArrow(lambda batches: _shared(batches, few), "n long, set long, with long, other long, light long, met long")
+    light = written(light, "light")
+
+    flat = classes.select(c("class").alias("set"), "size", F.explode("set").alias("event"))
+    met = flat.alias("a").join(flat.alias("b"), F.expr("a.event = b.event")).groupBy(c("a.set").alias("set"), c("b.set").alias("with")).agg(F.count("*").alias("over"), F.max("b.size").alias("size"))
     met = written(met, "met")
-    many = met.groupBy("set").agg((F.sum("n") - 1).alias("_heavy"))
-    light = pairs.filter("over = 0").groupBy("id").agg(F.count("*").alias("_light"))
-    counted = sets.join(many, "set", "left").join(light, "id", "left").select("id", "set", (F.coalesce("_heavy", F.lit(0)) + F.coalesce("_light", F.lit(0))).alias("related"))
+    pairs = written(light.join(met.select("set", "with", "over"), ["set", "with"], "left").withColumn("over", F.coalesce("over", F.lit(0))), "pairs")
+    alone = pairs.filter("over = 0").groupBy("n", "with").agg(F.first("met").alias("met")).groupBy("n").agg(F.sum("met").alias("_light"))
+    many = met.groupBy("set").agg((F.sum("size") - 1).alias("_heavy"))
+    counted = who.join(many, "set", "left").join(alone, "n", "left").select("n", "id", (F.coalesce("_heavy", F.lit(0)) + F.coalesce("_light", F.lit(0))).alias("related"))
 
+    first = Window.partitionBy("set").orderBy("n")
+    heads = who.filter("set > 0").withColumn("_r", F.row_number().over(first)).filter(c("_r") <= few + 1).select(c("set").alias("with"), c("n").alias("other"))
     best = Window.partitionBy("set").orderBy(F.desc("over"), "other")
-    of_class = met.join(heads.withColumnRenamed("set", "with"), "with").withColumn("_r", F.row_number().over(best)).filter(c("_r") <= few + 1).select("set", "other", c("over").alias("shared"))
-    by_class = sets.join(written(of_class, "tops"), "set").filter("id <> other").select("id", "other", c("shared").cast("long").alias("shared"))
-    both = by_class.unionByName(pairs.select("id", "other", (c("light") + c("over")).alias("shared"))).groupBy("id", "other").agg(F.max("shared").alias("shared"))
-    ranked = both.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("shared"), "other"))).filter(c("rank") <= few)
-    return ranked.join(counted.select("id", "related"), "id").select("id", "related", "rank", "other", "shared")
+    of_class = met.join(heads, "with").withColumn("_r", F.row_number().over(best)).filter(c("_r") <= few + 1).select("set", "other", c("over").alias("shared"))
+    by_class = who.join(written(of_class, "tops"), "set").filter("n <> other").select("n", "other", "shared")
+    both = by_class.unionByName(pairs.select("n", "other", (c("light") + c("over")).alias("shared"))).groupBy("n", "other").agg(F.max("shared").alias("shared"))
+    ranked = both.withColumn("rank", F.row_number().over(Window.partitionBy("n").orderBy(F.desc("shared"), "other"))).filter(c("rank") <= few)
+    names = who.select(c("n").alias("other"), c("id").alias("_name"))
+    return ranked.join(counted, "n").join(names, "other").select("id", "related", "rank", c("_name").alias("other"), "shared")
 
 
 def export_graph(nodes: DataFrame, edges: DataFrame, format: str = "cytoscape") -> DataFrame:

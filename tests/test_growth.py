@@ -1,10 +1,13 @@
 """Jobs whose work must grow with their rows, on tables where the product of two sides would not end."""
 
+import random
 import threading
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from guildbook.operators import accounts as a
+from guildbook.operators import graph as g
 from guildbook.operators import report as r
 from guildbook.streaming import streams
 
@@ -96,3 +99,26 @@ def test_snapshots_of_one_url_ask_the_state_a_few_times():
     out = list(p.handleExpiredTimer(("u",), Now(), Now()))
     assert [r["at"] for r in out] == list(range(901)) and out[-1]["change_count"] == 90
     assert timers == [0, 901] and len(calls) < 10, (timers, calls)
+
+
+def test_meets_of_a_company_over_several_batches():
+    """A company's rows in two batches count together, and of each set the best stand for all."""
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))], ["n", "set", "others", "sets"])
+    rows = [(1, 0, [1, 2, 3], [0, 7, 7]), (1, 0, [1, 4], [0, 0]), (1, 0, [3, 1], [7, 0]), (1, 0, [5, 1], [7, 0]), (2, 7, [2], [7]), (3, 7, [1, 3], [0, 7])]
+    want = [(1, 0, 0, 4, 1, 1), (1, 0, 7, 3, 2, 3), (1, 0, 7, 2, 1, 3), (3, 7, 0, 1, 1, 1)]
+    for cut in range(len(rows) + 1):
+        got = [tuple(r.values()) for b in g._shared([batch(rows[:cut]), batch(rows[cut:])], 2) for r in b.to_pylist()]
+        assert sorted(got) == sorted(want), cut
+
+
+def test_shared_events_against_all_pairs(spark):
+    rng = random.Random(4)
+    at = {(f"c{rng.randrange(60)}", f"e{rng.randrange(25)}") for _ in range(260)} | {(f"c{k}", "all") for k in range(0, 60, 2)} | {(f"c{k}", "some") for k in range(0, 60, 3)}
+    edges = spark.createDataFrame([(u, e, "SPONSOR") for u, e in at], "source string, target string, kind string")
+    got = {(r["id"], r["rank"]): (r["related"], r["other"], r["shared"]) for r in g.all_related(edges, few=4, heavy=12).collect()}
+    events = {u: {e for v, e in at if v == u} for u, _ in at}
+    want = {}
+    for u in events:
+        met = sorted((-len(events[u] & events[v]), v) for v in events if v != u and events[u] & events[v])
+        want |= {(u, k): (len(met), v, -n) for k, (n, v) in enumerate(met[:4], 1)}
+    assert got == want
