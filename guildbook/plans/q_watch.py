@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from guildbook.operators import baselines as b
 from guildbook.operators import joins as j
 from guildbook.operators import schema as sc
-from guildbook.operators.store import new_folder
+from guildbook.operators.store import new_folder, written
 from guildbook.plans.frames import frame, table, with_frames
 from guildbook.streaming import streams
 
@@ -23,11 +23,11 @@ MEMBERS = {
 
 
 def _watched(spark, sf):
-    """Baselines as they were, without every ninth page, and the pages as they are."""
+    """Baselines as they were, without every ninth page, and the pages as they are; both written, so that a page is parsed once."""
     pages = frame(spark, sf, "snapshots")
     old = b.create_baselines(pages.filter("page_id % 9 <> 7"), SELECTORS, html="old_html")
     old = old.withColumns({"change_count": F.lit(0).cast("long"), "last_checked_at": F.lit("2025-05-01").cast("timestamp"), "last_changed_at": F.lit(None).cast("timestamp"), "updated_at": F.lit(None).cast("timestamp")})
-    return old, b.create_baselines(pages, SELECTORS, html="new_html", status="status", error="error")
+    return written(old, "old"), written(b.create_baselines(pages, SELECTORS, html="new_html", status="status", error="error"), "new")
 
 
 def source_alerts(spark, sf):
