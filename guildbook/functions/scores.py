@@ -130,11 +130,15 @@ def all_text() -> Column:
 
 def detect_competitor(text: Column) -> Column:
     """The first competitor of the table that is named anywhere in the text, in title case; empty if none is."""
-    out = None
-    for name, aliases in tables.COMPETITORS.items():
-        named = reduce(lambda a, b: a | b, [text.contains(a) for a in aliases])
-        out = F.when(named, F.initcap(F.lit(name))) if out is None else out.when(named, F.initcap(F.lit(name)))
-    return out.otherwise("")
+
+    def first(text: Column) -> Column:
+        out = None
+        for name, aliases in tables.COMPETITORS.items():
+            named = reduce(lambda a, b: a | b, [text.contains(a) for a in aliases])
+            out = F.when(named, F.lit(name)) if out is None else out.when(named, F.lit(name))
+        return out.otherwise("")
+
+    return F.initcap(F.transform(F.array(text), first)[0])  # the text is made once, not for each alias
 
 
 def icp_dimensions() -> dict[str, Column]:

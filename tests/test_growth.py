@@ -6,6 +6,7 @@ import threading
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from guildbook.functions import scores as s
 from guildbook.operators import accounts as a
 from guildbook.operators import graph as g
 from guildbook.operators import report as r
@@ -122,3 +123,17 @@ def test_shared_events_against_all_pairs(spark):
         met = sorted((-len(events[u] & events[v]), v) for v in events if v != u and events[u] & events[v])
         want |= {(u, k): (len(met), v, -n) for k, (n, v) in enumerate(met[:4], 1)}
     assert got == want
+
+
+def test_a_text_is_made_once_for_all_competitors(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(k):
+        seen.add(1)
+        return ["odoo and sap", "none", "plex", None][k % 4]
+
+    got = spark.range(40).select(s.detect_competitor(text("id")).alias("x")).groupBy("x").count().collect()
+    assert {r["x"]: r["count"] for r in got} == {"Odoo": 10, "Plex": 10, "": 20} and seen.value == 40
+    code = spark.range(1).select(s.detect_competitor(F.concat(F.lit("marker"), F.col("id").cast("string"))).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert code.count("marker") == 1, code
