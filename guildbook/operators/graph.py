@@ -54,9 +54,11 @@ def metrics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def neighbors(edges: DataFrame, start: str, depth: int, kinds: list[str] | None = None) -> DataFrame:
-    """(id, depth) within `depth` steps, in either direction, breadth first. Each step is a join of the frontier with the edges."""
+    """(id, depth) within `depth` steps, in either direction, breadth first. Each step is a join of the frontier with the edges,
+    which are made once."""
     if kinds:
         edges = edges.filter(c("kind").isin(kinds))
+    edges = written(edges.select("source", "target"), "edges")
     both = edges.select(c("source").alias("id"), c("target").alias("next")).unionByName(edges.select(c("target").alias("id"), c("source").alias("next")))
     seen = edges.sparkSession.createDataFrame([(start, 0)], "id string, depth int")
     frontier = seen

@@ -137,3 +137,16 @@ def test_a_text_is_made_once_for_all_competitors(spark):
     assert {r["x"]: r["count"] for r in got} == {"Odoo": 10, "Plex": 10, "": 20} and seen.value == 40
     code = spark.range(1).select(s.detect_competitor(F.concat(F.lit("marker"), F.col("id").cast("string"))).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert code.count("marker") == 1, code
+
+
+def test_edges_are_made_once_for_all_steps(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def end(k):
+        seen.add(1)
+        return f"n{k + 1}"
+
+    edges = spark.range(20).select(F.concat(F.lit("n"), "id").alias("source"), end("id").alias("target"), F.lit("K").alias("kind"))
+    got = {(r["id"], r["depth"]) for r in g.neighbors(edges, "n5", 3, ["K"]).collect()}
+    assert got == {("n4", 1), ("n6", 1), ("n3", 2), ("n7", 2), ("n2", 3), ("n8", 3)} and seen.value == 20
