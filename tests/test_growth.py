@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from guildbook.functions import scores as s
 from guildbook.operators import accounts as a
 from guildbook.operators import graph as g
+from guildbook.operators import pairs as pr
 from guildbook.operators import report as r
 from guildbook.streaming import streams
 
@@ -150,3 +151,14 @@ def test_edges_are_made_once_for_all_steps(spark):
     edges = spark.range(20).select(F.concat(F.lit("n"), "id").alias("source"), end("id").alias("target"), F.lit("K").alias("kind"))
     got = {(r["id"], r["depth"]) for r in g.neighbors(edges, "n5", 3, ["K"]).collect()}
     assert got == {("n4", 1), ("n6", 1), ("n3", 2), ("n7", 2), ("n2", 3), ("n8", 3)} and seen.value == 20
+
+
+def test_equal_texts_of_a_key_are_indexed_once(spark, monkeypatch):
+    sizes, real = [], pr.indexed
+    monkeypatch.setattr(pr, "indexed", lambda large, often: sizes.append(large.count()) or real(large, often))
+    rows = [(i, f"acme {'abc'[i % 3] * 9} works", None if i % 2 else "a.com", "Akron", "OH", "acme") for i in range(600)]
+    df = spark.createDataFrame(rows, "ord int, name string, site string, city string, state string, word string")
+    tried = pr.tried_pairs(df, ["word"], {x: F.col(x) for x in ("site", "city", "state")}, ({"site": 0.3, "city": 0.1, "state": 0.1}, {"name": 0.5}), 0.85)
+    want = {(a, b) for a in range(600) for b in range(a + 1, 600) if a % 3 == b % 3}
+    got = [(r["u"], r["v"]) for r in tried.collect()]
+    assert want <= set(got) and len(set(got)) == len(got) and sizes[0] < 100
