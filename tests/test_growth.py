@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from guildbook.functions import scores as s
 from guildbook.operators import accounts as a
 from guildbook.operators import graph as g
+from guildbook.operators import pages as p
 from guildbook.operators import pairs as pr
 from guildbook.operators import report as r
 from guildbook.streaming import streams
@@ -153,6 +154,12 @@ def test_edges_are_made_once_for_all_steps(spark):
     assert got == {("n4", 1), ("n6", 1), ("n3", 2), ("n7", 2), ("n2", 3), ("n8", 3)} and seen.value == 20
 
 
+def test_the_start_of_a_text_is_searched_once_for_all_mentions(spark):
+    out = p.mine_signals(spark.createDataFrame([(1, "news " + "sap " * 50)], "id int, text string"), "id", "text", {"sap": ["sap"]})
+    assert "2000" not in out._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert {r["kind"] for r in out.collect()} == {"PRESS_RELEASE"} and out.count() == 50
+
+
 def test_equal_texts_of_a_key_are_indexed_once(spark, monkeypatch):
     sizes, real = [], pr.indexed
     monkeypatch.setattr(pr, "indexed", lambda large, often: sizes.append(large.count()) or real(large, often))
