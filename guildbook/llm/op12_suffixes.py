@@ -29,11 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guildbook.llm.common import staged, table
-from guildbook.llm.words import slices, texts_of
+from guildbook.llm.words import mix, slices, texts_of
 
 WIDTH, GRAM = 50, 20
 #: Windows in a passage at most, bytes in a shard on average, the least number of shards, distinct passages beyond which an anchor is cut.
 RUN, PER_SHARD, LEAST, HOT = 128, 1_000_000, 64, 256
+#: Bytes of text in a block of documents on average, and bytes of text to a share of the anchors (which has about one for 16 bytes).
+PER_BLOCK, PER_SHARE = 4_000_000, 16_000_000
 #: Bytes that are looked at together.
 STEP = 1 << 21
 NO_ID = -(1 << 63)
@@ -100,7 +102,7 @@ def _runs(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray,
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         first, part, n = np.repeat(first, times) + nth * RUN, np.repeat(part, times), np.minimum(np.repeat(n, times) - nth * RUN, RUN)
     doc, offset = (np.fromiter((p[k] for p in parts), np.int64, len(parts)) for k in (0, 1))
-    return doc[part], first - begin[part] + offset[part], n, anchors[first].view(np.int64)
+    return doc[part], first - begin[part] + offset[part], n, mix(anchors[first])
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -113,56 +115,104 @@ def _longs(*columns: np.ndarray) -> list[pa.Array]:
     return [pa.array(c.astype(np.int64, copy=False)) for c in columns]
 
 
-def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """(anchor): those of two documents at least."""
+def merged(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors in order, each once, with the least and the greatest ord."""
+    anchor, low, high = (np.concatenate(c) for c in zip(*rows, strict=True))
+    order = np.argsort(anchor)
+    anchor = anchor[order]
+    first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+    return anchor[first], np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
 
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch):
-                ords = part.column("ord").to_numpy()
-                for doc, _, _, anchors in runs(texts_of(part)):
-                    order = np.lexsort((ords[doc], anchors))
-                    anchor, of = anchors[order], ords[doc][order]
-                    first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-                    yield pa.RecordBatch.from_arrays(_longs(anchor[first], of[first], of[np.append(first[1:], len(of)) - 1]), ["anchor", "low", "high"])
 
-    found = docs.select("ord", "text").mapInArrow(run, "anchor long, low long, high long")
-    return staged(found.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("anchor"), "anchors")
+def by_block(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Parts of a batch of one block each; rows of a block lie together."""
+    for part in slices(batch):
+        block = part.column("block").to_numpy()
+        begin = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist()
+        for a, b in zip(begin, [*begin[1:], len(block)], strict=True):
+            yield int(block[a]), part.slice(a, b - a)
 
 
-def passages(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(anchor, k1, k2, ord, mark, span) of all passages with the given anchors; k1 and k2 are a digest of the passage's bytes, and a
-    span is its first byte times 256 and the number of its bytes."""
+def lists(anchors: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Neighbouring parts of an array as one binary value each; ends: where each begins, and the end of the last."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(anchors))])
 
-    def places(batches):
-        for batch in batches:
-            for part in slices(batch):
-                ords, marks = part.column("ord").to_numpy(), part.column("mark").to_numpy()
-                for doc, first, _, anchor in runs(texts_of(part)):
-                    yield pa.RecordBatch.from_arrays(_longs(anchor, ords[doc], marks[doc], first), ["anchor", "ord", "mark", "place"])
 
-    # Repeated rows give the same places, so sets; a set is bounded by the length of its text.
-    hits = docs.mapInArrow(places, "anchor long, ord long, mark long, place long").join(anchors, "anchor").groupBy("ord", "mark").agg(F.collect_set("place").alias("places"))
-    hits = staged(hits, "hits")
+def repeated_anchors(docs: DataFrame, shares: int) -> DataFrame:
+    """(block, anchors): for each block of docs, in lists of 8 bytes each, its anchors that several documents have. Rows of one doc_id that
+    lie in different blocks count as several. A block sends each of its anchors once to the share of the anchor, and twice if two of its
+    documents have it; what a share gets twice is repeated."""
+
+    def sent(block, rows):
+        anchor, low, high = merged(rows)
+        times = 1 + (low < high)
+        share = ((anchor >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
+        ends = np.append(0, np.cumsum(times))[np.searchsorted(share, np.arange(shares + 1, dtype=np.uint64))]
+        some = np.flatnonzero(ends[1:] > ends[:-1])
+        found = lists(np.repeat(anchor, times), ends).take(pa.array(some))
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(np.full(len(some), block), pa.int32()), found], ["share", "block", "anchors"])
+
+    def deal(batches):
+        now, rows = None, []
+        for batch in batches:
+            for block, part in by_block(batch):
+                if block != now and rows:
+                    yield sent(now, rows)
+                    rows = []
+                now, ords = block, part.column("ord").to_numpy()
+                for doc, _, _, anchor in runs(texts_of(part)):
+                    rows.append(merged([(anchor, ords[doc], ords[doc])]))
+                if len(rows) > 8:
+                    rows = [merged(rows)]
+        if rows:
+            yield sent(now, rows)
+
+    def again(share: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x, np.uint64) for x in share.column("anchors").to_pylist()]
+        every = np.concatenate(parts)
+        order = np.sort(every)
+        twice = order[1:][order[1:] == order[:-1]]
+        at = np.minimum(np.searchsorted(twice, every), len(twice) - 1)
+        keep = twice[at] == every if len(twice) else np.zeros(len(every), bool)
+        ends = np.append(0, np.cumsum(keep))[np.append(0, np.cumsum([len(p) for p in parts]))]
+        return pa.table({"block": share.column("block"), "anchors": lists(every[keep], ends)}).filter(pa.array(ends[1:] > ends[:-1]))
+
+    found = docs.mapInArrow(deal, "share int, block int, anchors binary").groupBy("share").applyInArrow(again, "block int, anchors binary")
+    return staged(found, "anchors")
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """(anchor, k1, k2, ord, mark, span) of all passages whose anchor other documents have; k1 and k2 are a digest of the passage's bytes,
+    and a span is its first byte times 256 and the number of its bytes.
+
+    Documents are dealt to blocks by their key, and whole lists of anchors go from blocks to shares of all anchors and back."""
+    size = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    blocks, shares = (max(LEAST, -(-size // n)) for n in (PER_BLOCK, PER_SHARE))
+    docs = docs.filter(F.octet_length("text") >= WIDTH).withColumn("block", F.pmod(F.xxhash64("ord", "mark"), F.lit(blocks)).cast("int"))
+    anchors = repeated_anchors(docs.select("block", "ord", "text").repartition("block").sortWithinPartitions("block"), shares)
 
     def run(batches):
+        now, lists, wanted = None, [], None
         for batch in batches:
-            for part in slices(batch):
-                texts = texts_of(part)
-                ords, marks = part.column("ord").to_numpy(), part.column("mark").to_numpy()
-                wanted = [np.sort(np.array(p, np.int64)) for p in part.column("places").to_pylist()]
+            for block, part in by_block(batch):
+                if block != now:
+                    now, lists, wanted = block, [], None
+                lists += [np.frombuffer(x, np.uint64) for x in part.column("anchors").drop_null().to_pylist()]
+                part = part.filter(part.column("anchors").is_null())
+                if not part.num_rows or not lists:
+                    continue
+                wanted = np.sort(np.concatenate(lists)) if wanted is None else wanted
+                texts, ords, marks = texts_of(part), part.column("ord").to_numpy(), part.column("mark").to_numpy()
                 for doc, first, n, anchor in runs(texts):
-                    keep = np.zeros(len(doc), bool)
-                    for k in np.unique(doc).tolist():
-                        mine = slice(*np.searchsorted(doc, [k, k + 1]))
-                        at = np.searchsorted(wanted[k], first[mine])
-                        keep[mine] = wanted[k][np.minimum(at, len(wanted[k]) - 1)] == first[mine]
-                    doc, first, n, anchor = doc[keep], first[keep], n[keep] + WIDTH - 1, anchor[keep]
+                    keep = wanted[np.minimum(np.searchsorted(wanted, anchor), len(wanted) - 1)] == anchor
+                    doc, first, n, anchor = doc[keep], first[keep], n[keep] + WIDTH - 1, anchor[keep].view(np.int64)
                     digests = b"".join([hashlib.blake2b(texts[k][a : a + m], digest_size=16).digest() for k, a, m in zip(doc.tolist(), first.tolist(), n.tolist(), strict=True)])
                     pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays(_longs(anchor, pair[:, 0], pair[:, 1], ords[doc], marks[doc], first * 256 + n), ["anchor", "k1", "k2", "ord", "mark", "span"])
 
-    held = docs.join(hits.hint("shuffle_hash"), ["ord", "mark"])
+    # The lists of a block come before its texts.
+    held = docs.select("block", "ord", "mark", "text").unionByName(anchors, allowMissingColumns=True)
+    held = held.repartition("block").sortWithinPartitions("block", F.col("anchors").isNull())
     return staged(held.mapInArrow(run, "anchor long, k1 long, k2 long, ord long, mark long, span long"), "passages")
 
 
@@ -241,7 +291,7 @@ def search(passages: pa.Table) -> pa.Table:
 
 def lost_spans(docs: DataFrame) -> DataFrame:
     """(ord, mark, spans) of the keyed documents that lose bytes."""
-    found = passages(docs, repeated_anchors(docs))
+    found = passages(docs)
     groups = found.groupBy("anchor").agg(F.min("ord").alias("low"), *[f(k).alias(f"{n}_{k}") for k in ("k1", "k2") for f, n in ((F.min, "a"), (F.max, "b"))])
     groups = staged(groups.select("anchor", "low", ((F.col("a_k1") == F.col("b_k1")) & (F.col("a_k2") == F.col("b_k2"))).alias("pure")), "groups")
     pure = found.join(groups.filter("pure").select("anchor", "low"), "anchor").filter("ord > low").select("ord", "mark", "span")

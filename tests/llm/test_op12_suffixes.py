@@ -112,6 +112,21 @@ def test_a_hot_passage(spark):
     assert got(spark, rows) == brute(rows)
 
 
+def test_anchors_travel_in_lists(spark, monkeypatch):
+    """Rows between documents and anchors follow blocks and shares, not the number of anchors."""
+    rows, sizes, write = some(11, 40), {}, op.staged
+
+    def counted(df, label):
+        out = write(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(op, "staged", counted)
+    monkeypatch.setattr(op, "LEAST", 3)
+    assert got(spark, rows) == brute(rows)
+    assert 0 < sizes["anchors"] <= 9 and sizes["passages"] > 100
+
+
 def test_query_against_sql(spark):
     compare(spark, "op12_suffixes", op.op12_suffixes, op.SQL, "/root/testdata/sf0.001")
 
