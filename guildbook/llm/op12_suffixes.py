@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildbook.llm.common import staged, table
+from guildbook.llm.common import discard, staged, table
 from guildbook.llm.words import mix, slices, texts_of
 
 WIDTH, GRAM = 50, 20
@@ -213,7 +213,9 @@ def passages(docs: DataFrame) -> DataFrame:
     # The lists of a block come before its texts.
     held = docs.select("block", "ord", "mark", "text").unionByName(anchors, allowMissingColumns=True)
     held = held.repartition("block").sortWithinPartitions("block", F.col("anchors").isNull())
-    return staged(held.mapInArrow(run, "anchor long, k1 long, k2 long, ord long, mark long, span long"), "passages")
+    found = staged(held.mapInArrow(run, "anchor long, k1 long, k2 long, ord long, mark long, span long"), "passages")
+    discard(anchors)
+    return found
 
 
 def suffixes(text: np.ndarray) -> np.ndarray:
@@ -302,12 +304,14 @@ def lost_spans(docs: DataFrame) -> DataFrame:
     kinds = staged(kinds.withColumn("kind", F.monotonically_increasing_id()), "kinds")
     met = mixed.join(kinds.select("anchor", "k1", "k2", "kind", F.col("ord").alias("low")), ["anchor", "k1", "k2"])
     met = staged(met.select("kind", "ord", "mark", "span", (F.col("ord") > F.col("low")).alias("copy")), "met")
+    discard(mixed)
 
     shards = max(LEAST, -(-int(kinds.agg(F.sum(F.col("span") % 256)).first()[0] or 0) // PER_SHARD))
     hot = kinds.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor", F.lit(True).alias("hot"))
     shard = F.when(F.col("hot"), -1).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))).cast("int")
     sent = kinds.join(hot, "anchor", "left").select("ord", "mark", F.struct("kind", "span", shard.alias("shard")).alias("x"))
     sent = staged(sent.groupBy("ord", "mark").agg(F.collect_list("x").alias("wanted")), "wanted")
+    discard(kinds)
     fields = [("shard", pa.int32()), ("kind", pa.int64()), ("ord", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary()), ("k1", pa.int64()), ("k2", pa.int64())]
 
     def rows(out):
@@ -333,16 +337,21 @@ def lost_spans(docs: DataFrame) -> DataFrame:
 
     parts = docs.join(sent.hint("shuffle_hash"), ["ord", "mark"]).select("ord", "text", "wanted")
     parts = staged(parts.mapInArrow(cut, "shard int, kind long, ord long, at long, bytes binary, k1 long, k2 long"), "parts")
+    discard(sent)
     windows = parts.filter("shard < 0").select("k1", "k2", "kind", "ord", "at")
     least = windows.groupBy("k1", "k2").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).filter("low < high").select("k1", "k2", "low")
-    again = windows.join(staged(least, "windows"), ["k1", "k2"]).filter("ord > low").select("kind", "at", F.lit(WIDTH).cast("long").alias("n"))
+    least = staged(least, "windows")
+    again = windows.join(least, ["k1", "k2"]).filter("ord > low").select("kind", "at", F.lit(WIDTH).cast("long").alias("n"))
     # Repeated rows of documents send their passages again; they fall together before a shard gets them.
     alone = parts.filter("shard >= 0").groupBy("shard", "kind", "ord").agg(F.max("bytes").alias("bytes"))
     verdicts = staged(again.unionByName(alone.groupBy("shard").applyInArrow(search, "kind long, at long, n long")).distinct(), "verdicts")
+    discard(parts, least)
     own = met.filter("not copy").select("kind", "ord", "mark", "span").distinct()
     own = own.join(verdicts, "kind").select("ord", "mark", ((F.shiftright("span", 8) + F.col("at")) * 256 + F.col("n")).alias("span"))
     every = pure.unionByName(met.filter("copy").select("ord", "mark", "span")).unionByName(own)
-    return staged(every.groupBy("ord", "mark").agg(F.collect_set("span").alias("spans")), "lost")
+    lost = staged(every.groupBy("ord", "mark").agg(F.collect_set("span").alias("spans")), "lost")
+    discard(found, groups, met, verdicts)
+    return lost
 
 
 def kept(text: bytes, spans: list[int] | None) -> tuple[bytes, int]:

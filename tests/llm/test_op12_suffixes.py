@@ -1,10 +1,12 @@
 import hashlib
+import pathlib
 import random
 
 import numpy as np
 import pytest
 
 from guildbook.llm import op12_suffixes as op
+from guildbook.llm.common import shared_folder
 from tests.oracle import compare
 
 WIDTH = 50
@@ -127,6 +129,15 @@ def test_anchors_travel_in_lists(spark, monkeypatch):
     assert 0 < sizes["anchors"] <= 9 and sizes["passages"] > 100
 
 
+def test_written_tables_go_when_they_are_used(spark):
+    """Beside the spans that go, nothing stays on disk before the texts are cut."""
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file://")) / "guildbook"
+    before = set(folder.glob("*"))
+    spans = op.lost_spans(op.keyed(spark.createDataFrame(some(12, 40), "doc_id long, text string")))
+    assert spans.count() > 0
+    assert [p.name.split("-")[0] for p in set(folder.glob("*")) - before] == ["lost"]
+
+
 def test_query_against_sql(spark):
     compare(spark, "op12_suffixes", op.op12_suffixes, op.SQL, "/root/testdata/sf0.001")
 
