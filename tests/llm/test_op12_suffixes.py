@@ -129,6 +129,42 @@ def test_anchors_travel_in_lists(spark, monkeypatch):
     assert 0 < sizes["anchors"] <= 9 and sizes["passages"] > 100
 
 
+def written(spark, monkeypatch, rows):
+    """Rows of each table that is written on the way, and the result."""
+    sizes, write = {}, op.staged
+
+    def counted(df, label):
+        out = write(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(op, "staged", counted)
+    return sizes, got(spark, rows)
+
+
+def test_common_phrases_are_cut_by_longer_anchors(spark, monkeypatch):
+    """A phrase in many contexts is not cut into all its windows, of which a larger table has more and more."""
+    rng = random.Random(21)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    phrase = letters(38)
+    rows = [(d, letters(60) + phrase + letters(60)) for d in range(300)]
+    rows += [(300 + d, letters(40) + rows[d][1][20:120] + letters(40)) for d in range(0, 300, 10)]
+    monkeypatch.setattr(op, "HOT", 64)
+    sizes, found = written(spark, monkeypatch, rows)
+    assert found == brute(rows) and sum(r[2] for r in found) > 30 * 90
+    assert 300 < sizes["parts"] < 5 * len(rows), sizes
+
+
+def test_whole_copies_have_no_passages(spark, monkeypatch):
+    """Of equal texts only the first one's anchors are looked for; null doc_id is the least, and repeated rows are no copies."""
+    rng = random.Random(22)
+    texts = [prose(rng, 40) + str(k) for k in range(5)]
+    rows = [(10 * k + d, texts[k]) for k in range(5) for d in range(8)] + [(None, texts[0]), (10, texts[1]), (90, "short"), (91, "short"), (92, "q" * 50), (93, "q" * 50)]
+    sizes, found = written(spark, monkeypatch, rows)
+    assert found == brute(rows)
+    assert sizes["copies"] == 8 + 4 * 7 + 1 and sizes["passages"] < 40
+
+
 def test_written_tables_go_when_they_are_used(spark):
     """Beside the spans that go, nothing stays on disk before the texts are cut."""
     folder = pathlib.Path(shared_folder(spark).removeprefix("file://")) / "guildbook"
